@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from quillon.llm.decontamination import OP10_SQL, op10_decontamination
+from quillon.llm.language import op1_language_id
 from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
