@@ -43,7 +43,7 @@ def chunks_of(text: str, chunk: int, overlap: int) -> Iterator[tuple[int, int, b
 def _count(definition: str):
     def run(batches):
         coder = byte_level(definition)
-        for b in sliced(batches, 4096):
+        for b in sliced(batches, 1024):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(coder.encode(b.column(2)).counts(), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return run

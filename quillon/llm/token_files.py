@@ -28,7 +28,7 @@ from quillon.llm.tokens import byte_level, definition_of, vocabulary_path
 
 MAGIC = b"QDAC1\x00\x00\x00"
 BLOCK = 512
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 MANIFEST = "part int, number int, name string, n_docs long, n_ids long"
 
 
@@ -123,7 +123,7 @@ def _write(folder: str, definition: str, end_id: int, file_ids: int):
             docs, lengths, held, n, number = [], [], [], 0, number + 1
             return row
 
-        for b in sliced(batches, 2048):
+        for b in sliced(batches, 1024):
             coded = coder.encode(b.column(1))
             counts = coded.counts()
             ids = np.insert(coded.ids(), np.cumsum(counts), end_id)

@@ -21,7 +21,7 @@ _CLEAN = re.compile(r"(?<=\S) (?=\S)")
 #: Texts with white space beside a space, or with white space other than space and line feed, take the slower split.
 _ODD = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|  | \\n|\\n "
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 LONG_PIECE = 64
 MARKS = frozenset(",.;:")
 
