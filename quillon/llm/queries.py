@@ -7,9 +7,11 @@ from quillon.llm.language import op1_language_id
 from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
+from quillon.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
