@@ -8,11 +8,13 @@ from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
 from quillon.llm.toxicity import op2_toxicity
+from quillon.llm.word_bpe import op7_bpe
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op6_secret_scan": op6_secret_scan,
+    "op7_bpe": op7_bpe,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
