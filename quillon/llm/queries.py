@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quillon.llm.decontamination import OP10_SQL, op10_decontamination
 from quillon.llm.language import op1_language_id
+from quillon.llm.near_dedup import op3_near_dedup
 from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
@@ -13,6 +14,7 @@ from quillon.llm.word_bpe import op7_bpe
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op3_near_dedup": op3_near_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_bpe": op7_bpe,
     "op8_token_files": op8_token_files,
