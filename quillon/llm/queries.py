@@ -8,6 +8,7 @@ from quillon.llm.near_dedup import op3_near_dedup
 from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
+from quillon.llm.topk_search import OP4_SQL, op4_topk_search
 from quillon.llm.toxicity import op2_toxicity
 from quillon.llm.word_bpe import op7_bpe
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_topk_search": op4_topk_search,
     "op6_secret_scan": op6_secret_scan,
     "op7_bpe": op7_bpe,
     "op8_token_files": op8_token_files,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_topk_search": OP4_SQL,
     "op10_decontamination": OP10_SQL,
 }
