@@ -25,5 +25,5 @@ def write_bytes(folder: str, name: str, content: bytes) -> None:
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(folder)
-    with system.open_output_stream(f"{path}/{name}") as out:
+    with system.open_output_stream(f"{path}/{name}", compression=None) as out:
         out.write(content)

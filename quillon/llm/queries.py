@@ -10,6 +10,7 @@ from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
 from quillon.llm.topk_search import OP4_SQL, op4_topk_search
 from quillon.llm.toxicity import op2_toxicity
+from quillon.llm.warc import op5_warc
 from quillon.llm.word_bpe import op7_bpe
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_topk_search": op4_topk_search,
+    "op5_warc": op5_warc,
     "op6_secret_scan": op6_secret_scan,
     "op7_bpe": op7_bpe,
     "op8_token_files": op8_token_files,
