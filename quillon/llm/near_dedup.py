@@ -11,8 +11,8 @@ texts). Texts of at most 32 shingles have keys of 2 shingles as well, for there
 
 1. Texts that share a key form candidate components: every text is joined with the least of each of its buckets (no pairs
    within a bucket are made), and the stars are contracted until the labels stand.
-2. A component of up to `block` texts is resolved in one group. A larger one is cut into blocks, and each pair of blocks
-   is a group, so that every pair of texts meets somewhere whatever the component's size. Inside a group exact shingle
+2. A component of up to `block` shingles is resolved in one group. A larger one is cut into blocks, and each pair of
+   blocks is a group, so that every pair of texts meets somewhere whatever the component's size. Inside a group exact shingle
    intersections come from an inverted index in numpy, and only pairs not linked already are aligned; a group returns a
    spanning forest of its links, never all pairs.
 3. The components of these links are the classes.
@@ -36,7 +36,8 @@ from quillon.llm._common import U64, mix, read, sliced, stored
 
 WORDS, LEAST = 5, 0.8
 KEYS, SIZE, SHORT_SIZE, SHORT = 48, 6, 2, 32
-BLOCK = 600
+BLOCK = 1_000_000
+SLOTS = 1 << 19
 _RNG = np.random.default_rng(20240601)
 _ODD = _RNG.integers(0, 2**63, 2 * KEYS, dtype=np.uint64) * U64(2) + U64(1)
 _SEED = _RNG.integers(0, 2**63, 2 * KEYS, dtype=np.uint64)
@@ -198,9 +199,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _sketches(batches):
     for b in sliced(batches, 512):
-        keys = [sketch(shingles(t)) for t in b.column(1).to_pylist()]
+        labelled = [shingles(t) for t in b.column(1).to_pylist()]
+        keys = [sketch(x) for x in labelled]
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "keys"])
+        size = pa.array(list(map(len, labelled)), pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), size, pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "size", "keys"])
 
 
 def _resolve(least: float):
@@ -234,27 +237,32 @@ def _resolve(least: float):
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("node", F.xxhash64("text"))
-    sketched = stored(rows.select("node", "text", "doc_id").mapInArrow(_sketches, "node long, doc_id long, keys array<long>"), "sketches")
+    sketched = stored(rows.select("node", "text", "doc_id").mapInArrow(_sketches, "node long, doc_id long, size long, keys array<long>"), "sketches")
     keys = sketched.filter(F.col("doc_id").isNotNull()).select("node", F.explode("keys").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w").select("key", "v")
     stars = keys.join(buckets, "key").filter("node <> v").select(F.col("node").alias("u"), "v")
     groups = components(stars)
-    reps = sketched.filter(F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"))
-    sized = groups.join(groups.groupBy("label").agg(F.count("*").alias("n")), "label")
+    reps = sketched.filter(F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
+    placed = groups.join(reps, "node")
+    sized = placed.join(placed.groupBy("label").agg(F.sum("size").alias("n")), "label")
     parts = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64(F.col("node"), F.lit(7)), parts).cast("int")
-    placed = stored(sized.join(reps, "node").select("node", "rep", "label", parts.alias("parts"), own.alias("own")), "groups")
-    texts = rows.select(F.col("doc_id").alias("rep"), "node", "text").join(placed, ["rep", "node"])
+    placed = stored(sized.select("node", "rep", "label", parts.alias("parts"), own.alias("own")), "groups")
+    # before texts are shuffled, most that are in no component are left out by a hash of their node: at most SLOTS numbers
+    slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int").alias("slot")
+    slots = placed.select(slot(F.col("node"))).distinct()
+    likely = rows.select(F.col("doc_id").alias("rep"), "node", "text", slot(F.col("node"))).join(F.broadcast(slots), "slot", "left_semi")
+    texts = likely.drop("slot").join(placed, ["rep", "node"])
     met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "node", "text")
     dealt = pairs.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "side", "node")
     found = stored(dealt.mapInArrow(_resolve(least), "u long, v long"), "links")
     linked = components(found)
     # a linked node is not alone; its class is named by the least document of all its nodes
-    classes = reps.join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classes = reps.drop("size").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = classes.groupBy("label").agg(F.min("rep").alias("class_id"))
     by_node = classes.join(named, "label").select("node", "class_id")
-    has_words = F.size("keys") > 0
+    has_words = F.col("size") > 0
     out = sketched.select("doc_id", "node", has_words.alias("worded")).join(by_node, "node", "left")
     return out.select("doc_id", F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")).withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
 
