@@ -4,27 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 U64 = np.uint64
 MULTIPLIER = U64(0x9E3779B97F4A7C15)
 
 
+@lru_cache(maxsize=1)
+def _own() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="quillon-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below spark.checkpoint.dir, the folder that driver and executors share.
 
     Only where the setting is absent (single-machine tests) a temporary folder takes its place.
     """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = "file://" + tempfile.mkdtemp(prefix="quillon-")
-        spark.conf.set("spark.checkpoint.dir", top)
+    top = spark.conf.get("spark.checkpoint.dir", None) or _own()
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -40,17 +42,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
-
-
-def map_arrow(
-    df: DataFrame, row_fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | T.StructType
-) -> DataFrame:
-    """mapInArrow, with batches of few rows so that very long texts don't pile up in one batch."""
-    return df.mapInArrow(row_fn, schema)
-
-
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most `rows`: bounds what is turned into Python objects at once."""
     for b in batches:
@@ -73,6 +64,3 @@ def held_out(doc_id: str = "doc_id"):
     """True where crc32 of the id as text leaves no remainder modulo 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
-
-def to_arrow(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
