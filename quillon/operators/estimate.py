@@ -27,7 +27,7 @@ def estimator(kind: str = "logistic"):
         return RandomForestClassifier(numTrees=100, maxDepth=3, seed=SEED, **common)
     if kind == "boosted":
         return GBTClassifier(maxIter=30, maxDepth=3, seed=SEED, **common)
-    return LogisticRegression(regParam=0.01, maxIter=50, **common)
+    return LogisticRegression(regParam=0.01, maxIter=20, **common)
 
 
 def fit_estimator(df: DataFrame, features: str = "features", kind: str = "logistic") -> Model:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.ordered import numbered, running
+from quillon.functions.shared import kept
 from quillon.functions.text import tanimoto
 
 
@@ -90,20 +91,20 @@ def groups_butina(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id
 
     The greedy order (most neighbours first, then the greater id) is fixed beforehand, so the sequential result equals the
     maximal independent set found in rounds: a point that comes before all its undecided neighbours is a centroid, and its
-    neighbours are decided. Each round is checkpointed in spark.checkpoint.dir; the number of rounds is that of the longest
+    neighbours are decided. Each round is written to the shared folder; the number of rounds is that of the longest
     chain of decreasing priorities.
     """
     pairs = similar_pairs(df, cutoff, id_col, bits).select("a", "b")
-    edges = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    degree = df.select(F.col(id_col).alias("id")).join(edges.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("deg")), "id", "left").select("id", F.struct(F.coalesce("deg", F.lit(0)).alias("deg"), F.col("id").alias("id")).alias("rank")).checkpoint()
+    edges = kept(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    degree = kept(df.select(F.col(id_col).alias("id")).join(edges.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("deg")), "id", "left").select("id", F.struct(F.coalesce("deg", F.lit(0)).alias("deg"), F.col("id").alias("id")).alias("rank")), "degrees")
     neighbours = edges.join(degree.select(F.col("id").alias("b"), F.col("rank").alias("rb")), "b")
     open_, centroids = degree, None
     while not open_.isEmpty():
         rivals = neighbours.join(open_.select(F.col("id").alias("b")), "b", "left_semi").groupBy(F.col("a").alias("id")).agg(F.max("rb").alias("best"))
-        won = open_.join(rivals, "id", "left").filter(F.col("best").isNull() | (F.col("rank") > F.col("best"))).select("id", "rank").checkpoint()
+        won = kept(open_.join(rivals, "id", "left").filter(F.col("best").isNull() | (F.col("rank") > F.col("best"))).select("id", "rank"), "won")
         centroids = won if centroids is None else centroids.unionByName(won)
         gone = won.select("id").unionByName(neighbours.join(won.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("a").alias("id"))).distinct()
-        open_ = open_.join(gone, "id", "left_anti").checkpoint()
+        open_ = kept(open_.join(gone, "id", "left_anti"), "open")
     if centroids is None:
         return df.select(F.col(id_col).alias("id"), F.col(id_col).alias("group"))
     first = edges.join(centroids.select(F.col("id").alias("b"), "rank"), "b").groupBy(F.col("a").alias("id")).agg(F.max("rank").alias("best"))

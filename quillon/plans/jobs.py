@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.shared import kept
 from quillon.functions.text import is_lexical_structure
 from quillon.operators import estimate, metrics, outputs, pooling, prep, scaling, screen, splits
 
@@ -66,18 +67,19 @@ def features_of(data: DataFrame, d: Descriptor) -> DataFrame:
 def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor], settings: Settings | None = None) -> Run:
     s = settings or Settings()
     run = Run(prepare(df, structure, value, s, fit=True))
-    data = run.tables["data"].persist()
+    data = kept(run.tables["data"], "data")
     run.tables["data"] = data
     matrices = {}
     for d in descriptors:
         raw = features_of(data, d)
-        run.transformers[d.name] = scaling.fit_transformer(raw).persist()
-        matrices[d.name] = scaling.apply_transformer(raw, run.transformers[d.name]).persist()
+        fitted = scaling.fit_transformer(raw)
+        run.transformers[d.name] = df.sparkSession.createDataFrame(fitted.collect(), fitted.schema)  # a row a feature
+        matrices[d.name] = kept(scaling.apply_transformer(raw, run.transformers[d.name]), "matrix")
     chosen = sorted(matrices)
     if len(chosen) > s.top_k:
         folds, _ = splits.build_folds(data.select("compound_id", "bin"), s.repeats, ("random",))
         chosen = screen.screen(matrices, folds, s.top_k)
-    labelled = {n: matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id") for n in chosen}
+    labelled = {n: kept(matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "labelled") for n in chosen}
     run.models, run.tables["errors"] = estimate.fit_all(labelled, kind=s.kind)[0], None
     parts, cutoffs = None, []
     for n in run.models:
@@ -87,11 +89,13 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
         cutoffs.append((n, float(run.domains[n]["cutoff"])))
         one = oof.join(ad, "compound_id", "left")
         parts = one if parts is None else parts.unionByName(one)
-    parts = parts.persist()
-    scores = estimate.rank_quantile(parts, parts, ["descriptor"]).persist()
+    parts = kept(parts, "oof")
+    scores = kept(estimate.rank_quantile(parts, parts, ["descriptor"]), "scores")
     ad_cutoffs = df.sparkSession.createDataFrame(cutoffs, "descriptor string, ad_cutoff double")
     run.signals = {"use_rank": True, "use_ad": True}
-    run.pool_model = pooling.fit_pool(estimate.pool_signals(scores, ad_cutoffs)).persist()
+    run.pool_model = pooling.fit_pool(estimate.pool_signals(scores, ad_cutoffs))
+    # a row a descriptor, with at most 20 knots each: kept as rows, so later plans don't carry the fit's lineage
+    run.pool_model = df.sparkSession.createDataFrame(run.pool_model.collect(), run.pool_model.schema)
     run.tables["scores"], run.tables["oof"] = scores, parts
     run.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
     return run
@@ -101,7 +105,7 @@ def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[
     """Score a new table with a fit's models: only selected descriptors are computed, saved transformers and domains used."""
     s = settings or Settings()
     out = Run(prepare(df, structure, value, s, fit=False), run.models, run.transformers, run.domains, run.pool_model, run.signals)
-    data = out.tables["data"].persist()
+    data = out.tables["data"] = kept(out.tables["data"], "data")
     parts = None
     for d in descriptors:
         if d.name in run.models:
@@ -112,7 +116,7 @@ def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[
             parts = one if parts is None else parts.unionByName(one)
     if parts is None:
         raise ValueError("no trained descriptor is present")
-    scores = estimate.rank_quantile(parts, run.tables["oof"], ["descriptor"]).persist()
+    scores = kept(estimate.rank_quantile(kept(parts, "parts"), run.tables["oof"], ["descriptor"]), "scores")
     out.tables["scores"] = scores
     out.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
     return out
@@ -136,14 +140,14 @@ def run_folds(data: DataFrame, folds: DataFrame, descriptors: list[Descriptor],
     A fold that fails is skipped. Folds drive ML jobs one after another; each job itself is distributed.
     """
     s = settings or Settings()
-    matrices = {d.name: features_of(data, d).persist() for d in descriptors}
+    matrices = {d.name: kept(features_of(data, d), "matrix") for d in descriptors}
     out = None
     for fold in [r.fold for r in folds.select("fold").distinct().orderBy("fold").collect()]:
         rows = folds.filter(F.col("fold") == fold).select("compound_id", "is_test", F.col("bin").alias("y"))
         try:
             parts, skills = None, []
             for name, x in matrices.items():
-                joined = x.join(rows, "compound_id").persist()
+                joined = kept(x.join(rows, "compound_id"), "fold")
                 model = estimate.fit_estimator(joined.filter(~F.col("is_test")), kind=s.kind)
                 skill = estimate.evaluate(estimate.predict(model, joined.filter(~F.col("is_test")))).first()[0]
                 skills.append((name, float(skill)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions import text as tx
 from quillon.functions.curves import logit, sigmoid
+from quillon.functions.shared import kept, shared_path
 from quillon.operators import estimate, features, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import DESCRIPTORS, labelled, ranked_scores, read
@@ -288,11 +289,11 @@ def feature_stats(spark, sf_dir):
     return scaling.fit_transformer(_vectors(spark, sf_dir))
 
 
-@query(f"WITH {STATS} SELECT vec_id AS compound_id, round(sum(round(CAST((x - m) / s AS FLOAT)::DOUBLE, 4)), 3) AS total FROM e JOIN f USING (pos) GROUP BY 1")
+@query(f"WITH {STATS} SELECT vec_id AS compound_id, round(sum(round(CAST((x - m) / s AS FLOAT)::DOUBLE, 4)), 1) AS total FROM e JOIN f USING (pos) GROUP BY 1")
 def scale_features(spark, sf_dir):
     v = _vectors(spark, sf_dir)
     out = scaling.apply_transformer(v, scaling.fit_transformer(v))
-    return out.select("compound_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.round(x.cast("double"), 4)), 3).alias("total"))
+    return out.select("compound_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.round(x.cast("double"), 4)), 1).alias("total"))
 
 
 # Splits
@@ -620,15 +621,15 @@ def _avg_pool(spark, sf_dir):
 AP = ", ap AS (SELECT compound_id, 1 / (1 + exp(-avg(ln(least(1 - 1e-7, greatest(1e-7, p)) / (1 - least(1 - 1e-7, greatest(1e-7, p))))))) AS clf, avg(p) AS clf_rank, min(p) AS clf_ad, stddev_pop(p) AS sd, avg(p) AS mean FROM ps GROUP BY 1)"
 
 
-@query(AP + " SELECT CAST(row_number() OVER (ORDER BY round(clf, 9) DESC, compound_id) AS INTEGER) AS rank, compound_id, round(clf, 6) AS clf, CAST(clf > 0.5 AS INTEGER) AS clf_bin, round(sd, 6) AS std, round(clf_ad, 6) AS clf_ad FROM ap ORDER BY 1 LIMIT 25", scores=True)
+@query(AP + " SELECT CAST(row_number() OVER (ORDER BY round(clf, 9) DESC, compound_id) AS INTEGER) AS rank, compound_id, round(clf, 4) AS clf, CAST(clf > 0.5 AS INTEGER) AS clf_bin, round(sd, 6) AS std, round(clf_ad, 6) AS clf_ad FROM ap ORDER BY 1 LIMIT 25", scores=True)
 def hit_list(spark, sf_dir):
     pooled = _avg_pool(spark, sf_dir).withColumn("clf", F.round("clf", 9))
-    return ranking.hit_list(pooled, fx.scores(spark, sf_dir))
+    return ranking.hit_list(pooled, fx.scores(spark, sf_dir)).withColumn("clf", F.round("clf", 4))
 
 
-@query(AP + " SELECT compound_id, round(clf, 6) AS clf, round(100 * row_number() OVER (ORDER BY round(clf, 9) DESC, compound_id) / count(*) OVER (), 6) AS pct FROM ap", scores=True)
+@query(AP + " SELECT compound_id, round(clf, 4) AS clf, round(100 * row_number() OVER (ORDER BY round(clf, 9) DESC, compound_id) / count(*) OVER (), 6) AS pct FROM ap", scores=True)
 def rank_curve(spark, sf_dir):
-    return ranking.rank_curve(_avg_pool(spark, sf_dir).withColumn("clf", F.round("clf", 9)))
+    return ranking.rank_curve(_avg_pool(spark, sf_dir).withColumn("clf", F.round("clf", 9))).withColumn("clf", F.round("clf", 4))
 
 
 @query(AP + " SELECT compound_id, round(clf, 6) AS clf, round(sd, 6) AS std, round(mean, 6) AS mean FROM ap", scores=True)
@@ -763,16 +764,16 @@ def screen(spark, sf_dir):
     from quillon.operators import screen as sc
 
     v = _vectors(spark, sf_dir)
-    member, _ = splits.select_folds(v.select("compound_id", F.col("y").alias("bin")), "random", 2)
+    member = kept(splits.select_folds(v.select("compound_id", F.col("y").alias("bin")), "random", 2)[0], "folds")
     tables = {f"part{i}": v.select("compound_id", F.slice("features", 16 * i + 1, 16).alias("features")) for i in range(4)}
     preds = sc.proxy_scores(tables, member)
-    chosen, solo = sc.select_descriptors(preds.persist(), sorted(tables))
+    chosen, solo = sc.select_descriptors(kept(preds, "preds"), sorted(tables))
     return sc.screen_table(spark, solo, chosen)
 
 
 @query()
 def bag_weighting(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = kept(labelled(spark, sf_dir), "labelled")
     return estimate.bag_weighting(rows.select("compound_id", "descriptor", "p", "y"), fx.scores(spark, sf_dir).drop("n_chars"), [{"len": 0.5, "space": 0.3, "digit": 0.2}])
 
 
@@ -811,14 +812,7 @@ def score_stream(spark, sf_dir):
     from quillon.streaming import streams
 
     schema: StructType = read(spark, sf_dir, "documents").schema
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        import tempfile
-
-        top = "file://" + tempfile.mkdtemp(prefix="quillon-")
-    import uuid
-
-    at = f"{top.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/documents.parquet*")
     score = lambda df: df.select(F.col("doc_id").alias("compound_id"), (1 / (1 + F.exp(-(F.ln(F.col("n_chars") + 1.0) - 7)))).alias("p"))
     streams.score_stream(stream, score, lambda df, n: df.write.mode("overwrite").parquet(f"{at}/out/batch={n}"), f"{at}/state").awaitTermination()
@@ -845,11 +839,7 @@ def telemetry_stream(spark, sf_dir):
 
 def _collected(stream: DataFrame, spark: SparkSession) -> DataFrame:
     """Run a stream over what is there and read the closed windows back from a table in the shared folder."""
-    import tempfile
-    import uuid
-
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quillon-")
-    at = f"{top.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
