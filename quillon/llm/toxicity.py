@@ -31,7 +31,10 @@ STEM = 4
 SAMPLE = 2_000
 CELL = 1 << 18
 ROUNDS, RATE, DECAY = 250, 0.25, 2e-4
-BIAS = -7.0
+#: A sentence without known words has this logit: long documents must not add up to toxic.
+BIAS = -8.5
+#: How far from chance, in deviations, the share of toxic documents with a feature must be for it to have a weight.
+LEAST_Z = 3.5
 _STOPS = np.zeros(0x110000, bool)
 _STOPS[[ord(c) for c in ".!?\n"]] = True
 _POWERS = np.array([pow(0x01000193, i, 1 << 32) for i in range(64)], np.uint32)
@@ -122,7 +125,7 @@ def learn(texts: list[str], labels: np.ndarray) -> np.ndarray:
     b = np.bincount(seen[~toxic] % BUCKETS, minlength=BUCKETS)
     share = (labels == 1).mean()
     z = (a - (a + b) * share) / np.sqrt(np.maximum((a + b) * share * (1 - share), 1e-9))
-    use = (a + b >= 2) & (np.abs(z) >= 2)
+    use = (a + b >= 2) & (np.abs(z) >= LEAST_Z)
     ok = use[bucket]
     sent, bucket = sent[ok], bucket[ok]
     active, at = np.unique(bucket, return_inverse=True)
