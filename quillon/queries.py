@@ -289,11 +289,11 @@ def feature_stats(spark, sf_dir):
     return scaling.fit_transformer(_vectors(spark, sf_dir))
 
 
-@query(f"WITH {STATS} SELECT vec_id AS compound_id, round(sum(round(CAST((x - m) / s AS FLOAT)::DOUBLE, 4)), 1) AS total FROM e JOIN f USING (pos) GROUP BY 1")
+@query(f"WITH {STATS} SELECT vec_id AS compound_id, round(sum(abs(CAST((x - m) / s AS FLOAT)::DOUBLE)), 3) AS total FROM e JOIN f USING (pos) GROUP BY 1")
 def scale_features(spark, sf_dir):
     v = _vectors(spark, sf_dir)
     out = scaling.apply_transformer(v, scaling.fit_transformer(v))
-    return out.select("compound_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.round(x.cast("double"), 4)), 1).alias("total"))
+    return out.select("compound_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 3).alias("total"))
 
 
 # Splits
