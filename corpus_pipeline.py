@@ -1,8 +1,9 @@
 """The corpus pipeline: five stages, each on all that its predecessor kept.
 
 Stages but the last return the columns of documents. Language identification drops what it rejects; near-duplicate
-detection keeps the least doc_id of each class; decontamination drops documents with an occurring benchmark window; the
+detection keeps one row of each class, that of the least doc_id; decontamination drops documents with an occurring benchmark window; the
 secret scan replaces every span by a mark; the last stage encodes and decodes what is left.
+Rows are told apart by id (null-safe) and text digest, so null, repeated and shared ids are decided row by row.
 """
 
 from __future__ import annotations
@@ -26,10 +27,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate class."""
-    classes = stored(near_dedup.near_duplicates(docs), "classes")
-    dropped = classes.filter(F.col("doc_id").isNotNull() & (F.col("class_id") != F.col("doc_id"))).select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["_drop"], "left_anti")
+    """Keep one row of each near-duplicate class: the one with the least doc_id (null last), then the least text digest.
+
+    Of rows equal in both the one with the least other columns stays; texts without words are equal to copies only."""
+    classes = near_dedup.row_classes(docs).groupBy("doc_id", "digest").agg(F.min("class_id").alias("class_id"), F.min("class_digest").alias("class_digest"), F.count("*").alias("n"))
+    least = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    marked = classes.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), least.alias("_least"), "n")
+    marked = stored(marked.filter(~F.col("_least") | (F.col("n") > 1)).drop("n"), "classes")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest"))
+    single = docs.join(marked, same, "left_anti")
+    repeated = stored(marked.filter("_least"), "repeated")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.min(F.struct(*others, "text")).alias("row")
+    one = docs.join(repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("digest")).agg(row)
+    return single.unionByName(one.select("doc_id", "row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

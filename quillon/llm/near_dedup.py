@@ -19,7 +19,8 @@ texts). Texts of at most 32 shingles have keys of 2 shingles as well, for there
 
 Results for odd input: null texts and texts without words are classes of their own; equal texts are one class; rows
 without an id have no class (null); repeated rows each give a row; a class is named by its least doc_id, which is the one
-to keep; an empty table gives no rows; further columns are ignored.
+to keep; an empty table gives no rows; further columns are ignored. Where ids are null, shared or repeated, `row_classes`
+tells the rows apart by id and text digest, and rows without an id take part.
 """
 
 from __future__ import annotations
@@ -234,15 +235,19 @@ def _resolve(least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class) of every row."""
+def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, unnamed: bool = True) -> DataFrame:
+    """doc_id, digest, class_id, class_digest of every row: its key and the key of the row that its class keeps.
+
+    The kept key is the least, null ids last; a text without words has its own. Rows without an id take part in the
+    classes only if `unnamed`."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("node", F.xxhash64("text"))
     sketched = stored(rows.select("node", "text", "doc_id").mapInArrow(_sketches, "node long, doc_id long, size long, keys array<long>"), "sketches")
-    keys = sketched.filter(F.col("doc_id").isNotNull()).select("node", F.explode("keys").alias("key"))
+    taking_part = sketched if unnamed else sketched.filter(F.col("doc_id").isNotNull())
+    keys = taking_part.select("node", F.explode("keys").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w").select("key", "v")
     stars = keys.join(buckets, "key").filter("node <> v").select(F.col("node").alias("u"), "v")
     groups = components(stars)
-    reps = sketched.filter(F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
+    reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
     placed = groups.join(reps, "node")
     sized = placed.join(placed.groupBy("label").agg(F.sum("size").alias("n")), "label")
     parts = F.ceil(F.col("n") / block).cast("int")
@@ -251,8 +256,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # before texts are shuffled, most that are in no component are left out by a hash of their node: at most SLOTS numbers
     slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int").alias("slot")
     slots = placed.select(slot(F.col("node"))).distinct()
-    likely = rows.select(F.col("doc_id").alias("rep"), "node", "text", slot(F.col("node"))).join(F.broadcast(slots), "slot", "left_semi")
-    texts = likely.drop("slot").join(placed, ["rep", "node"])
+    likely = rows.select("doc_id", "node", "text", slot(F.col("node"))).join(F.broadcast(slots), "slot", "left_semi")
+    texts = likely.drop("slot").withColumnRenamed("node", "_node").join(placed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")))
     met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "node", "text")
     dealt = pairs.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "side", "node")
@@ -260,11 +265,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     linked = components(found)
     # a linked node is not alone; its class is named by the least document of all its nodes
     classes = reps.drop("size").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = classes.groupBy("label").agg(F.min("rep").alias("class_id"))
-    by_node = classes.join(named, "label").select("node", "class_id")
-    has_words = F.col("size") > 0
-    out = sketched.select("doc_id", "node", has_words.alias("worded")).join(by_node, "node", "left")
-    return out.select("doc_id", F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id")).withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
+    named = classes.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("unnamed"), "rep", "node")).alias("least"))
+    by_node = classes.join(named, "label").select("node", F.col("least.rep").alias("class_id"), F.col("least.node").alias("class_digest"))
+    out = sketched.select("doc_id", "node", (F.col("size") > 0).alias("worded")).join(by_node, "node", "left")
+    kept = lambda found, own: F.when(F.col("worded"), F.col(found)).otherwise(F.col(own)).alias(found)
+    return out.select("doc_id", F.col("node").alias("digest"), kept("class_id", "doc_id"), kept("class_digest", "node"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class) of every row."""
+    out = row_classes(docs, id_col=id_col, text_col=text_col, least=least, block=block, unnamed=False)
+    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

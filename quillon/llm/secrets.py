@@ -62,7 +62,7 @@ for _i, (_alphabet, _) in enumerate(ENCODINGS.values()):
 
 SPAN = "struct<start:int,kind:int,end:int>"
 TOKENS = "array<struct<start:int,end:int,length_class:int,bin:int>>"
-SCANNED = f"doc_id long, base array<{SPAN}>, tokens {TOKENS}, tests array<long>"
+SCANNED = f"doc_id long, digest long, base array<{SPAN}>, tokens {TOKENS}, tests array<long>"
 
 
 def base_spans(text: str, long_runs: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int]]:
@@ -158,7 +158,7 @@ def _scan(batches):
                 kept[owner[x]].append({"start": spans[x][0], "end": spans[x][1], "length_class": int(length[x]), "bin": int(level[x])})
         span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
         token = pa.struct([(c, pa.int32()) for c in ("start", "end", "length_class", "bin")])
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(base, pa.list_(span)), pa.array(kept, pa.list_(token)), pa.array(tested.tolist(), pa.list_(pa.int64()))], ["doc_id", "base", "tokens", "tests"])
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(base, pa.list_(span)), pa.array(kept, pa.list_(token)), pa.array(tested.tolist(), pa.list_(pa.int64()))], ["doc_id", "digest", "base", "tokens", "tests"])
 
 
 def discovery_bins(scanned: DataFrame, level: float) -> list[int]:
@@ -177,13 +177,14 @@ def discovery_bins(scanned: DataFrame, level: float) -> list[int]:
 
 
 def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", level: float = LEVEL) -> DataFrame:
-    """doc_id, base and spans (arrays of start, kind number, end in code points, end exclusive, in order) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, digest (of the text), base and spans (arrays of start, kind number, end in code points, end exclusive, in
+    order) of every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("digest"))
     scanned = stored(rows.mapInArrow(_scan, SCANNED), "secrets")
     least = discovery_bins(scanned, level)
     bar = F.array(*map(F.lit, least))
     added = F.transform(F.filter("tokens", lambda t: t["bin"] >= F.get(bar, t["length_class"])), lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
-    return scanned.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return scanned.select("doc_id", "digest", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
@@ -193,8 +194,8 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, spans: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
-    """docs (columns doc_id, text and any others) with every span replaced by the mark; spans has doc_id and spans, and
-    only documents with spans change. n_chars, where present, follows the text."""
+    """docs (columns doc_id, text and any others) with every span replaced by the mark; spans has doc_id, digest and
+    spans, and only rows whose id (null-safe) and text digest have spans change. n_chars, where present, follows the text."""
 
     def cut(batches):
         for b in sliced(batches, 512):
@@ -211,8 +212,9 @@ def redact(docs: DataFrame, spans: DataFrame, *, mark: str = "[SECRET]") -> Data
             yield pa.RecordBatch.from_arrays([*b.select(columns).columns, pa.array(out, pa.string())], [*columns, "text"])
 
     columns = [c for c in docs.columns if c != "text"]
-    with_spans = spans.filter(F.size("spans") > 0).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_doc"), "spans")
-    joined = docs.join(with_spans, docs["doc_id"].eqNullSafe(with_spans["_doc"]), "left").drop("_doc")
+    with_spans = spans.filter(F.size("spans") > 0).dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "spans")
+    same = docs["doc_id"].eqNullSafe(with_spans["_doc"]) & (F.xxhash64(docs["text"]) == with_spans["_digest"])
+    joined = docs.join(with_spans, same, "left").drop("_doc", "_digest")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", text string"
     done = joined.mapInArrow(cut, schema)
     if "n_chars" in columns:

@@ -1,8 +1,10 @@
 import hashlib
+import random
 import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -121,3 +123,33 @@ def test_token_file_query_by_brute_force(spark, sf_dir):
         r = got[d.doc_id]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
         start += len(ids)
+
+
+def test_stages_tell_rows_with_null_repeated_and_shared_ids_apart(spark, sf_dir):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(500)]
+    x, y, z = ([*rng.choices(vocabulary, k=120)] for _ in range(3))
+    near = lambda words: " ".join([*words, "more"])
+    x, y, z, x2, y2, z2 = *map(" ".join, (x, y, z)), near(x), near(y), near(z)
+    rows = [(1, x, "a"), (5, x2, "a"), (5, y, "b"), (5, y, "a"), (9, y2, "a"), (None, z, "a"), (None, z, "a"), (None, z2, "a"), (None, x2, "a"), (5, None, "a"), (5, None, "a"), (6, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, docs, sf_dir).collect()]
+    of_z = [r for r in kept if r[0] is None]
+    assert len(of_z) == 1 and of_z[0] in [(None, z, "a"), (None, z2, "a")]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, x, "a"), (5, y, "a"), (5, None, "a"), (6, None, "a"), *of_z]))
+
+    item = read(spark, sf_dir, "benchmark").filter("text is not null").first().text
+    texts = [item, "clean words only", "hold password=abcdefgh1 here", "a much longer head, then token: zyxwvut98 here", "clean text that has no such thing, long enough"]
+    rows = [(k, t, "a") for k in (None, 4) for t in texts] + [(4, texts[2], "a"), (None, texts[3], "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clean = [tuple(r) for r in corpus_pipeline.decontamination_stage(spark, docs, sf_dir).collect()]
+    assert sorted(map(str, clean)) == sorted(str(r) for r in rows if r[1] != item)
+    masked = {texts[2]: "hold [SECRET] here", texts[3]: "a much longer head, then [SECRET] here"}
+    got = [tuple(r) for r in corpus_pipeline.secrets_stage(spark, docs, sf_dir).collect()]
+    assert sorted(map(str, got)) == sorted(str((k, masked.get(t, t), s)) for k, t, s in rows)
+    named = read(spark, sf_dir, "documents")
+    nameless = named.withColumn("doc_id", F.lit(None).cast("long"))
+    found = corpus_pipeline.language_stage(spark, named.union(nameless).union(nameless), sf_dir).collect()
+    ours = sorted(r.text for r in found if r.doc_id is not None)
+    assert ours and sorted(r.text for r in found if r.doc_id is None) == sorted(ours + ours)
+    assert corpus_pipeline.encoding_stage(spark, docs, sf_dir).count() == len(rows)
