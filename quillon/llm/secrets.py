@@ -2,8 +2,9 @@
 
 Patterns (kinds `assign`, `access`, `hex`) are matched leftmost and without overlap in the whole text.
 
-Tokens are the longest runs of 16 or more characters of [A-Za-z0-9+/_=-] that no pattern covers and that are not digits
-alone. The encoding is inferred from the characters that occur. A token must look random by three tests for that alphabet:
+Tokens are the longest runs of 16 or more characters of [A-Za-z0-9+/_-] with trailing padding (up to six '=') that are not
+digits alone. Any other '=' parts two runs, so the value of NAME=VALUE is tested by itself, whatever its name. Of a run that
+a pattern covers in part the uncovered parts of 16 or more characters are tokens; shorter parts are not tested. The encoding is inferred from the characters that occur. A token must look random by three tests for that alphabet:
 chi-squared uniformity, Wald-Wolfowitz runs around the middle symbol and lag-1 serial correlation (each p at least ALPHA).
 Its own p-value is the chance that ordinary text of its length looks as uniform: the lower tail of the non-central
 chi-squared with the encoding's DIVERGENCE a character. So short tokens need a better fit than long ones. Benjamini-Hochberg
@@ -30,7 +31,8 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{10,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")
+SHORTEST = 16
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 ALPHA = 0.001
@@ -78,6 +80,16 @@ def base_spans(text: str, long_runs: list[tuple[int, int]] | None = None) -> lis
     return sorted(out)
 
 
+def uncovered(run: tuple[int, int], found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a run, of SHORTEST characters at least, that none of the spans covers."""
+    out, at = [], run[0]
+    for s, _, e in found:
+        if e > at and s < run[1]:
+            out.append((at, s))
+            at = e
+    return [(i, j) for i, j in [*out, (at, run[1])] if j - i >= SHORTEST]
+
+
 def encoding_of(token: str) -> str | None:
     """The smallest known alphabet that holds the token; none for digits alone."""
     body = token.rstrip("=")
@@ -141,11 +153,11 @@ def _scan(batches):
         base, owner, spans, tokens, encodings = [], [], [], [], []
         for d, text in enumerate(texts):
             text = text or ""
-            runs = [m.span() for m in TOKEN.finditer(text)]
+            runs = [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= SHORTEST]
             found = base_spans(text, runs)
             base.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
-            for i, j in runs:
-                if not any(s < j and i < e for s, _, e in found) and (e := encoding_of(text[i:j])):
+            for i, j in [part for run in runs for part in (uncovered(run, found) if found else [run])]:
+                if e := encoding_of(text[i:j]):
                     owner.append(d), spans.append((i, j)), tokens.append(text[i:j]), encodings.append(e)
         tested, kept = np.zeros((len(docs), len(LENGTHS)), int), [[] for _ in docs]
         if tokens:

@@ -184,6 +184,21 @@ def test_patterns_and_random_tokens(spark):
     assert secrets.find_secrets(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_random_values_after_a_name_and_beside_a_pattern(spark):
+    rng = random.Random(61)
+    draw = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    values = [draw(44) for _ in range(6)]
+    padded, rest, hexa = draw(42) + "==", "Z" + draw(43), "0123456789abcdef" * 2
+    texts = [f"AUTH={values[0]} DB_PASS={values[1]}\nclient_id={values[2]} http://h/p?sig={values[3]}&a_rather_long_parameter_name={values[4]}", f"x={padded}; y={padded}={values[5]}", f"{rest}-{hexa}"]
+    texts += ["a_plain_parameter_name=another_plain_value_here", "=" * 60 + "ordinary"]
+    got = {r.doc_id: r for r in secrets.find_secrets(docs_of(spark, list(enumerate(texts)))).collect()}
+    found = lambda k: [(texts[k][s["start"] : s["end"]], secrets.KINDS[s["kind"]]) for s in got[k].spans]
+    assert found(0) == [(v, "random") for v in values[:5]]
+    assert [t.rstrip("=") for t, _ in found(1)] == [padded[:-2], padded[:-2], values[5]]
+    assert found(2) == [(rest + "-", "random"), (hexa, "hex")]
+    assert found(3) == found(4) == []
+
+
 # op 7
 
 
