@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: only documents have labels, only sentences have scores.
 
 A sentence's score is a logistic function of its words and of the words' first letters (both hashed). A document's is the
-noisy-or of its sentences': 1 - prod(1 - p). The weights maximise the likelihood of the documents' labels, so what offends
+noisy-or of its sentences': 1 - prod(1 - p), in which a sentence counts only by what exceeds the background, the p of a
+sentence without weights. One without a weighted feature, or whose weights sum to 0 or less, adds exactly 0, however many there
+are. The weights maximise the likelihood of the documents' labels, so what offends
 is learned without a labelled sentence; `locate` returns the sentences that score at least one half.
 
 Weights are fitted on at most `sample` labelled texts of each class (those with the least hash of their id); the fit runs
@@ -31,15 +33,20 @@ STEM = 4
 SAMPLE = 2_000
 CELL = 1 << 18
 ROUNDS, RATE, DECAY = 250, 0.25, 2e-4
-#: A sentence without known words has this logit: long documents must not add up to toxic.
-BIAS = -8.5
 #: How far from chance, in deviations, the share of toxic documents with a feature must be for it to have a weight.
 LEAST_Z = 3.5
+#: The background: the logit of a sentence without weights. It is taken off, so long documents do not add up to toxic.
+BIAS = -8.5
 _STOPS = np.zeros(0x110000, bool)
 _STOPS[[ord(c) for c in ".!?\n"]] = True
 _POWERS = np.array([pow(0x01000193, i, 1 << 32) for i in range(64)], np.uint32)
 
 
+def _excess(z: np.ndarray) -> np.ndarray:
+    """-ln(1 - p) of sentences whose weights sum to z, beyond the background's."""
+    return np.logaddexp(0, np.maximum(z, 0) + BIAS) - np.logaddexp(0, BIAS)
+
+
 def _cells(text: str):
     """Parts of at most CELL characters, cut after a sentence's end, else at a blank, where there is one."""
     at = 0
@@ -83,7 +90,7 @@ def sentence_scores(text: str, weights: np.ndarray) -> list[tuple[int, int, floa
         z = np.bincount(sentence, weights[bucket], len(ends))
         has = np.bincount(sentence, minlength=len(ends)) > 0
         begins = np.concatenate([[0], ends[:-1]])
-        p = 1 / (1 + np.exp(-(z + BIAS)))
+        p = -np.expm1(-_excess(z))
         out += [(int(at + i), int(at + j), float(x)) for i, j, x in zip(begins[has], ends[has], p[has])]
     return out
 
@@ -95,9 +102,7 @@ def noisy_or(text: str | None, weights: np.ndarray | None) -> float:
     for _, part in _cells(text):
         sentence, bucket, ends = features(part)
         if len(sentence):
-            z = np.bincount(sentence, weights[bucket], len(ends)) + BIAS
-            z = z[np.bincount(sentence, minlength=len(ends)) > 0]
-            log -= float(np.logaddexp(0, z).sum())  # ln(1 - p) of a logistic p
+            log -= float(_excess(np.bincount(sentence, weights[bucket], len(ends))).sum())
     return float(-np.expm1(log))
 
 

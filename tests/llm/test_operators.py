@@ -65,6 +65,16 @@ def test_toxicity_learns_words_from_documents_and_finds_sentences(spark):
     assert toxicity.fit(docs_of(spark, [(1, "a")]), spark.createDataFrame([(1, 1)], "doc_id long, toxic int")) is None
 
 
+def test_clean_sentences_do_not_add_up():
+    weights = np.zeros(toxicity.BUCKETS, np.float32)
+    for word, w in (("vilefool", 20.0), ("kindly", -3.0)):
+        weights[toxicity.features(word)[1]] = w
+    text = "The river runs by a green house. We walk kindly there. " * 50_000
+    assert toxicity.noisy_or(text, weights) == 0
+    assert toxicity.noisy_or(text + "A vilefool!", weights) > 0.5
+    assert [p >= 0.5 for _, _, p in toxicity.sentence_scores("We walk. A vilefool!", weights)] == [False, True]
+
+
 # op 3
 
 
