@@ -1,21 +1,23 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
-Each vector is cut into slices of its dimensions; a slice is a list that scores every candidate for every query, and a
-candidate's score is the sum over slices. No slice alone knows the winners, and no full score list is ever made:
+Each vector is cut into slices of its dimensions. A slice is a list of partial scores of every candidate for every query; a
+score is the sum over the slices, whose rows lie in different blocks and are worked on apart.
 
-1. Gather each slice's k best candidates a query, in every block of vectors; sum these candidates' scores exactly. The
-   query's k-th best sum is a bound that the answer reaches.
-2. The bound divided by the number of slices is the uniform cutoff: a candidate below it in all slices cannot reach the
-   bound. Queries and cutoffs go to every block; a block keeps the candidates that reach the cutoff in some slice and whose
-   upper bound (scores seen plus the cutoff for slices not seen) reaches the query's bound.
-3. The scores of those kept are resolved exactly and the k best taken.
+1. Gather: each block of each slice reports its k + 1 best partial scores a query. The candidates best in some slice are
+   scored exactly, and the (k + 1)-th best of their different ids is a bound that the answer reaches whichever id is the query's.
+2. The bound divided by the number of slices is the uniform cutoff, which goes out with the queries: a candidate below it
+   in all slices cannot reach the bound. A block reports the entries that reach it. Its rows are sorted by length, and those too
+   short to reach the cutoff (Cauchy-Schwarz) are not multiplied at all.
+3. A candidate's reported scores are added up; one whose upper bound (the cutoff for slices not reported) stays below the
+   bound goes, for the others the missing slices' scores alone are fetched and added. The k best are taken.
 
-Cutoffs are safe for scores of any sign. Queries are packed into blocks of bounded size and dealt to the blocks of vectors
-by equality; equal vectors share one row and are expanded only for the k + 1 smallest ids, which are all that ties can need.
+Cutoffs are safe for scores of any sign. Equal vectors share one row, as query and as candidate, and are expanded only for
+the k + 1 smallest ids, which are all that ties can need. Query blocks are dealt to the blocks of vectors by number.
 
 Results for odd input: vectors that are null, empty, or hold null or non-finite values take no part, nor do rows without an
-id; vectors of another length than the query's are not its candidates; of rows that repeat an id the least vector counts;
-fewer candidates than k give fewer rows; an empty table gives no rows; further columns are ignored.
+id; vectors of another length than the query's are not its candidates; rows that repeat an id are candidates each, and rows
+with the query's id are its own; queries with equal id and vector are answered once; fewer candidates than k give fewer
+rows; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from quillon.llm._common import read, stored
 
 K, SLICES = 5, 2
 ROWS_A_BLOCK, QUERIES_A_BLOCK = 8_192, 512
+#: The bound of a query with so few candidates that all are its answer.
+LOWEST = -(2**60)
 
 
 def integer_vector(c: Column, scale: int = 256) -> Column:
@@ -52,114 +56,137 @@ def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return q @ v.T
 
 
-def _slices(width: int) -> list[slice]:
-    at = np.linspace(0, width, min(SLICES, width) + 1).astype(int)
-    return [slice(i, j) for i, j in zip(at, at[1:])]
+def _cuts(width: int) -> list[int]:
+    return np.linspace(0, width, min(SLICES, width) + 1).astype(int).tolist()
 
 
-def _unpack(content: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(content, "<i8").reshape(-1, width)
+def _pack(key: tuple, table: pa.Table) -> pa.Table:
+    """One row for a block of a slice: ids and parts as bytes, the longest parts first; limits (where present) in that order."""
+    parts = np.array(table.column("part").to_pylist(), "<i8")
+    order = np.argsort(-(parts.astype(float) ** 2).sum(1), kind="stable")
+    out = {"width": key[0], "slice": key[1], "block": key[2]}
+    columns = [pa.array([x.as_py()], t) for x, t in zip(key, (pa.int32(), pa.int32(), pa.int64()))]
+    columns += [pa.array([x[order].tobytes()], pa.binary()) for x in (table.column("key").to_numpy().astype("<i8"), parts, table.column("cutoff").to_numpy().astype("<i8"))]
+    return pa.table(columns, [*out, "keys", "parts", "cutoffs"])
 
 
-def _pack(key: tuple, table: pa.Table) -> pa.Table:
-    order = np.argsort(np.array(table.column("id").to_pylist(), np.int64), kind="stable")
-    ids = np.array(table.column("id").to_pylist(), "<i8")[order]
-    vectors = np.array(table.column("v").to_pylist(), "<i8")[order]
-    return pa.table({"width": pa.array([vectors.shape[1]], pa.int32()), "block": pa.array([key[1].as_py()], pa.int64()), "ids": [ids.tobytes()], "vectors": [vectors.tobytes()]})
+def _packed(parts: DataFrame, cells: int) -> DataFrame:
+    """width, slice, block, keys, parts, cutoffs of (width, slice, key, part, cutoff)."""
+    keyed = parts.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(cells)))
+    return keyed.groupBy("width", "slice", "block").applyInArrow(_pack, "width int, slice int, block long, keys binary, parts binary, cutoffs binary")
+
+
+def _blocks(batches, names: tuple[str, ...]):
+    """slice, query keys, parts and cutoffs, candidate keys and parts of each pair of blocks."""
+    for b in batches:
+        for r in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in names)):
+            q, cutoffs, c = (np.frombuffer(x, "<i8") for x in (r[1], r[3], r[4]))
+            yield r[0], q, np.frombuffer(r[2], "<i8").reshape(len(q), -1), cutoffs, c, np.frombuffer(r[5], "<i8").reshape(len(c), -1)
 
 
-def _packed(df: DataFrame, rows: int) -> DataFrame:
-    """Blocks of about `rows` vectors of one width: width, block, ids, vectors (both binary)."""
-    n = df.count()
-    cells = max(1, -(-n // rows))
-    keyed = df.select("id", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("id"), F.lit(cells)).alias("block"))
-    return keyed.groupBy("width", "block").applyInArrow(_pack, "width int, block long, ids binary, vectors binary")
+_PAIRED = ("slice", "q_keys", "q_parts", "q_cutoffs", "keys", "parts")
+
+
+def _entries(number: int, q: np.ndarray, c: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64()), pa.array(np.full(len(q), number), pa.int32()), pa.array(part, pa.int64())], ["query", "class", "slice", "part"])
 
 
 def _gather(k: int):
-    """Phase 1, for a block of queries and one of vectors: the candidates best in some slice, with their whole scores."""
+    """Phase 1: each query's k + 1 best entries of the block."""
 
     def run(batches):
-        for b in batches:
-            for width, q_ids, q, ids, v in zip(*(c.to_pylist() for c in b.columns)):
-                q_ids, q, ids, v = np.frombuffer(q_ids, "<i8"), _unpack(q, width), np.frombuffer(ids, "<i8"), _unpack(v, width)
-                found = []
-                parts = [_scores(q[:, s], v[:, s]) for s in _slices(width)]
-                for part in parts:
-                    m = min(k + 1, part.shape[1])  # one more: the query itself may be among them
-                    found.append(np.argpartition(-part, m - 1, axis=1)[:, :m])
-                best = np.concatenate(found, axis=1)
-                row = np.repeat(np.arange(len(q)), best.shape[1])
-                pair = np.unique(row * len(ids) + best.ravel())
-                row, col = pair // len(ids), pair % len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (q_ids[row], ids[col], sum(p[row, col] for p in parts))], ["query_id", "class_id", "score"])
+        for number, q, q_parts, _, c, parts in _blocks(batches, _PAIRED):
+            score = _scores(q_parts, parts)
+            m = min(k + 1, len(c))
+            best = np.argpartition(-score, m - 1, axis=1)[:, :m]
+            row, col = np.repeat(np.arange(len(q)), m), best.ravel()
+            yield _entries(number, q[row], c[col], score[row, col])
 
     return run
 
 
 def _collect():
-    """Phases 2 and 3: candidates that reach the cutoff in some slice and may reach the bound, with their exact scores."""
+    """Phase 2: the entries of the block that reach their query's cutoff."""
 
     def run(batches):
-        for b in batches:
-            for width, q_ids, q, bounds, ids, v in zip(*(c.to_pylist() for c in b.columns)):
-                q_ids, q, ids, v, bound = np.frombuffer(q_ids, "<i8"), _unpack(q, width), np.frombuffer(ids, "<i8"), _unpack(v, width), np.frombuffer(bounds, "<i8")[:, None]
-                parts = [_scores(q[:, s], v[:, s]) for s in _slices(width)]
-                cutoff = -(-bound // len(parts))  # a sum of at least the bound has a part of at least this
-                seen = [p >= cutoff for p in parts]
-                upper = sum(np.where(s, p, cutoff - 1) for s, p in zip(seen, parts))
-                row, col = np.nonzero(np.logical_or.reduce(seen) & (upper >= bound))
-                score = sum(p[row, col] for p in parts)
-                ok = score >= bound[row, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (q_ids[row[ok]], ids[col[ok]], score[ok])], ["query_id", "class_id", "score"])
+        for number, q, q_parts, cutoff, c, parts in _blocks(batches, _PAIRED):
+            length = np.sqrt((parts.astype(float) ** 2).sum(1))
+            own = np.sqrt((q_parts.astype(float) ** 2).sum(1))
+            need = np.where(cutoff > 0, cutoff / np.maximum(own, 1e-9), 0).min()
+            n = int(np.searchsorted(-length, -need * (1 - 1e-9), "right"))  # the rest is too short for any of these queries
+            score = _scores(q_parts, parts[:n])
+            row, col = np.nonzero(score >= cutoff[:, None])
+            yield _entries(number, q[row], c[col], score[row, col])
 
     return run
 
 
+_ENTRY = "query long, class long, slice int, part long"
+
+
 def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, scale: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k highest integer inner products, ties to smaller ids."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("x"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("x"))).select("vec_id", "is_query", integer_vector(F.col("x"), scale).alias("v"))
-    rows = stored(rows.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query")), "vectors")
-    # a class for each different vector, named by its least id; of its ids only the k + 1 smallest can be in an answer
+    rows = stored(rows.groupBy("v", "vec_id").agg(F.count("*").alias("n"), F.max("is_query").alias("is_query")), "vectors")
+    # a class for each different vector; of its ids only the k + 1 smallest can be in an answer
     order = Window.partitionBy("v").orderBy("vec_id")
-    members = rows.select("vec_id", "v").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
-    members = stored(members.groupBy("v").agg(F.min("vec_id").alias("class_id"), F.array_sort(F.collect_list("vec_id")).alias("ids")), "classes")
-    classes = members.select(F.col("class_id").alias("id"), "v")
-    queries = rows.filter("is_query").select(F.col("vec_id").alias("id"), "v")
-    v_blocks = stored(_packed(classes, ROWS_A_BLOCK), "vector-blocks")
-    q_blocks = stored(_packed(queries, QUERIES_A_BLOCK), "query-blocks").select("width", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"))
-    v_side = v_blocks.select("width", "block", "ids", "vectors")
-    # every query block meets every vector block of its width: block pairs, dealt out by equality of the width and block
-    places = v_side.select("width", "block")
-    met = q_blocks.join(places, "width").repartition("width", "block", "q_block").join(v_side, ["width", "block"])
-    first = met.select("width", "q_ids", "q", "ids", "vectors").mapInArrow(_gather(k), "query_id long, class_id long, score long")
-    # the bound comes from different vectors, none the query's own class unless it has other members
-    sizes = members.select("class_id", F.size("ids").alias("size"), F.get("ids", F.lit(0)).alias("_"))
-    own = rows.filter("is_query").join(members.select("v", F.col("class_id").alias("own")), "v").select(F.col("vec_id").alias("query_id"), "own")
-    ranked = first.join(own, "query_id").join(sizes, "class_id").filter((F.col("class_id") != F.col("own")) | (F.col("size") > 1))
-    copies = F.when(F.col("class_id") == F.col("own"), F.col("size") - 1).otherwise(F.col("size"))
-    down = Window.partitionBy("query_id").orderBy(F.desc("score"), "class_id")
-    summed = ranked.withColumn("upto", F.sum(copies).over(down))
-    enough = summed.filter(F.col("upto") >= k).groupBy("query_id").agg(F.max("score").alias("bound"))
-    bounds = stored(enough, "bounds")
-    lowest = -(2**62)
-    bounded = queries.join(bounds.withColumnRenamed("query_id", "id"), "id", "left").select("id", "v", F.coalesce("bound", F.lit(lowest)).alias("bound"))
-
-    def pack(key, table):
-        order = np.argsort(table.column("id").to_numpy(), kind="stable")
-        base = _pack(key, table)
-        return base.append_column("bounds", pa.array([table.column("bound").to_numpy()[order].astype("<i8").tobytes()], pa.binary()))
-
-    cells = max(1, -(-queries.count() // QUERIES_A_BLOCK))
-    keyed = bounded.withColumns({"width": F.size("v"), "block": F.pmod(F.xxhash64("id"), F.lit(cells))})
-    q_blocks = stored(keyed.groupBy("width", "block").applyInArrow(pack, "width int, block long, ids binary, vectors binary, bounds binary"), "bounded-queries")
-    q_blocks = q_blocks.select("width", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), "bounds")
-    met = q_blocks.join(places, "width").repartition("width", "block", "q_block").join(v_side, ["width", "block"])
-    final = met.select("width", "q_ids", "q", "bounds", "ids", "vectors").mapInArrow(_collect(), "query_id long, class_id long, score long")
-    expanded = final.join(members.select("class_id", "ids"), "class_id").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return expanded.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    members = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
+    members = members.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("vec_id", "n"))).alias("ids"))
+    classes = stored(members.withColumn("class", F.monotonically_increasing_id()), "classes")
+    queries = stored(rows.filter("is_query").select("v", F.col("vec_id").alias("query_id")).join(classes.select("v", "class"), "v").select("class", "query_id"), "queries")
+
+    widths = [r.w for r in classes.select(F.size("v").alias("w")).distinct().collect()]  # a row for each length of vector
+    if not widths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    cuts = F.create_map(*(x for w in widths for x in (F.lit(w), F.array(*map(F.lit, _cuts(w))))))
+    at = F.element_at(cuts, F.size("v"))
+    pieces = F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda i: F.struct((i - 1).cast("int").alias("slice"), F.slice("v", F.get(at, i - 1) + 1, F.get(at, i) - F.get(at, i - 1)).alias("part")))
+    parts = stored(classes.select("class", F.size("v").alias("width"), F.inline(pieces)), "parts")
+    v_parts = parts.withColumnRenamed("class", "key").withColumn("cutoff", F.lit(0).cast("long"))
+    n, n_queries = classes.count(), queries.select("class").distinct().count()
+    cells, q_cells = max(1, -(-n // ROWS_A_BLOCK)), max(1, -(-n_queries // QUERIES_A_BLOCK))
+    v_blocks = stored(_packed(v_parts, cells).drop("cutoffs"), "vector-blocks")
+    q_parts = v_parts.join(queries.select(F.col("class").alias("key")).distinct(), "key", "left_semi")
+
+    def met(q: DataFrame) -> DataFrame:
+        """Every query block with every block of its slice, dealt out by slice and block."""
+        packed = stored(_packed(q, q_cells), "query-blocks").select("width", "slice", F.col("block").alias("q_block"), *(F.col(c).alias(f"q_{c}") for c in ("keys", "parts", "cutoffs")))
+        dealt = packed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
+        return dealt.repartition("width", "slice", "block", "q_block").join(v_blocks, ["width", "slice", "block"]).select(*_PAIRED)
+
+    # phase 1
+    gathered = met(q_parts).mapInArrow(_gather(k), _ENTRY)
+    down = Window.partitionBy("query", "slice").orderBy(F.desc("part"), "class")
+    best = gathered.withColumn("place", F.row_number().over(down)).filter(F.col("place") <= k + 1).select("query", "class").distinct()
+    whole = best.join(classes.select("class", "v", "ids"), "class").join(classes.select(F.col("class").alias("query"), F.col("v").alias("q")), "query")
+    score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    by_id = whole.select("query", score.alias("score"), F.explode("ids.vec_id").alias("vec_id")).groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    bounds = stored(by_id.withColumn("place", place).filter(F.col("place") == k + 1).select("query", F.col("score").alias("bound")), "bounds")
+    # phase 2
+    slices = F.array_min(F.array("width", F.lit(SLICES)))
+    limited = q_parts.drop("cutoff").join(bounds.withColumnRenamed("query", "key"), "key", "left").withColumn("bound", F.coalesce("bound", F.lit(LOWEST)))
+    limited = limited.withColumn("slices", slices).withColumn("cutoff", F.expr("IF(bound > 0, bound + slices - 1, bound) div slices"))
+    entries = stored(met(limited.drop("bound", "slices")).mapInArrow(_collect(), _ENTRY), "entries")
+    # phase 3
+    limits = limited.filter("slice = 0").select(F.col("key").alias("query"), "bound", "cutoff", "slices")
+    seen = entries.groupBy("query", "class").agg(F.sum("part").alias("sum"), F.array_sort(F.collect_list("slice")).alias("seen")).join(limits, "query")
+    open_ = F.col("slices") - F.size("seen")
+    likely = stored(seen.filter(F.col("sum") + open_ * (F.col("cutoff") - 1) >= F.col("bound")), "survivors")
+    missing = likely.filter(open_ > 0).select("query", "class", F.explode(F.array_except(F.sequence(F.lit(0), F.col("slices") - 1), "seen")).alias("slice"))
+    a, b = parts.select(F.col("class").alias("query"), "slice", F.col("part").alias("q")), parts.select("class", "slice", F.col("part").alias("v"))
+    fetched = missing.join(b, ["class", "slice"]).join(a, ["query", "slice"]).groupBy("query", "class").agg(F.sum(score).alias("rest"))
+    exact = likely.join(fetched, ["query", "class"], "left").withColumn("score", F.col("sum") + F.coalesce("rest", F.lit(0))).filter(F.col("score") >= F.col("bound"))
+    # of an id's rows k are enough, and 2 k rows hold k of other ids than any one
+    expanded = exact.join(classes.select("class", "ids"), "class").select("query", "score", F.inline("ids"))
+    in_id = F.row_number().over(Window.partitionBy("query", "vec_id").orderBy(F.desc("score")))
+    in_all = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    top = expanded.withColumn("place", in_id).filter(F.col("place") <= k).withColumn("place", in_all).filter(F.col("place") <= 2 * k).drop("place")
+    answers = queries.withColumnRenamed("class", "query").join(top, "query").filter("vec_id <> query_id")
+    copies = answers.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
+    return copies.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,8 +197,9 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-      FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, q.e, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM q, v c WHERE len(q.e) = len(c.e) AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 5
 """

@@ -121,18 +121,27 @@ def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     vectors = [(int(i), rng.normal(size=6).round(2).tolist()) for i in range(60)]
     vectors += [(100 + i, [0.5] * 6) for i in range(9)] + [(120, None), (121, [1.0, None] * 3), (122, [float("nan")] * 6), (123, [1.0, 2.0]), (None, [9.0] * 6), (124, [])]
+    # repeated ids: each row is a candidate, also where ids and vectors repeat
+    vectors += [(7, [2.0] * 6), (7, [1.0] * 6), (7, [1.0] * 6), (10, [3.0] * 6), (3, [0.5] * 6), (3, [0.5] * 6)]
     df = spark.createDataFrame([(i, v, "x") for i, v in vectors], "vec_id long, embedding array<double>, score string")
-    ok = {i: np.floor(256 * np.array(v)).astype(int) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all()}
+    ok = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in vectors if i is not None and v and None not in v and np.isfinite(v).all()]
     for queries in (F.col("vec_id") % 5 == 0, F.lit(True)):
-        got = {}
-        for r in topk_search.top_k(df, queries).collect():
-            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-        for q in [i for i in ok if i % 5 == 0]:
-            scored = sorted((-int(ok[q] @ ok[i]), i) for i in ok if i != q and len(ok[i]) == len(ok[q]))[:5]
-            assert sorted(got.get(q, [])) == [(n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+        got = sorted(map(tuple, topk_search.top_k(df, queries).collect()))
+        asked = {(i, tuple(v)) for i, v in ok if queries is not None and (i % 5 == 0 or "%" not in str(queries))}
+        want = []
+        for q, v in asked:
+            scored = sorted((-int(np.array(v) @ w), i) for i, w in ok if i != q and len(w) == len(v))[:5]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+        assert got == sorted(want)
     assert topk_search.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_counts_every_row_of_a_repeated_id(spark):
+    df = spark.createDataFrame([(7, [1.0, 1.0]), (7, [2.0, 0.0]), (50, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk_search.top_k(df, F.col("vec_id") == 50).orderBy("rank").collect()]
+    assert got == [(50, 1, 7, 131072), (50, 2, 7, 65536)]
+
+
 # op 5
 
 
