@@ -6,12 +6,14 @@ the leading frame, decodes frame by frame and checks each record: version line,
 length against the block, the closing blank lines, and payload digests of responses.
 
 Of pages with equal payloads of at least `least` bytes the one with the largest page_id is the response and the others
-are revisits that refer to it. Digests are grouped with a partial maximum before the shuffle, and only digests that occur
-more than once are joined back, so a payload shared by a third of all pages costs no more than its rows.
-
-Results for odd input: null html is an empty payload; pages without an id are written with an empty id and stay null;
-rows that repeat an id: equal ones are one response and its revisits refer to that id; null urls are written as
-`urn:page:<id>`; an empty table gives no archives and no rows; further columns are ignored.
+are revisits that refer to it. Digests are grouped with a partial maximum before the shuffle; only digests that occur more
+than once are joined back, each SALTS times, so the rows of a payload shared by a third of all pages go to many tasks.
+
+Results for odd input: null html is an empty payload; pages without an id are written with an empty id and stay null, and
+they are revisits where a page of the same payload has an id; of rows that repeat the largest id of a payload the one with
+the least url is the response and the others revisit it, so each payload has one response; where no page of a payload has an
+id, one is the response and the others revisit it with a null reference; null urls are written as `urn:page:<id>`; an empty
+table gives no archives and no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from quillon.llm.files import attempt_name, make_folder, write_bytes
 MAGIC = struct.pack("<I", 0x184D2A5D)
 ARCHIVE_BYTES = 16 << 20
 DICTIONARY_BYTES, DICTIONARY_SAMPLE = 64 << 10, 400
+#: Bytes given to the decoder at once, and the parts into which the rows of each repeated payload are dealt.
+STEP, SALTS = 8 << 10, 32
 DATE = "2024-01-01T00:00:00Z"
 _HEADER = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+):[ \t]*(.*)")
 REQUIRED = ("WARC-Record-ID", "WARC-Type", "WARC-Date", "Content-Length")
@@ -92,21 +96,25 @@ def read_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     if body[:4] == b"\x28\xb5\x2f\xfd":
         body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
     frames = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(body) if body else None)
-    rest = memoryview(content)[8 + size :]
-    while len(rest):
-        one = frames.decompressobj()
+    view, at = memoryview(content), 8 + size
+    while at < len(view):
+        # fed in steps, so that what follows a frame is copied a step at most
+        one, parts = frames.decompressobj(), []
         try:
-            raw = one.decompress(rest)
+            while not one.eof and at < len(view):
+                parts.append(one.decompress(view[at : at + STEP]))
+                at += min(STEP, len(view) - at)
         except zstandard.ZstdError as e:
             raise WarcError(f"bad frame: {e}") from e
         if not one.eof:
             raise WarcError("the last frame is cut off")
-        yield parse_record(raw)
-        rest = memoryview(one.unused_data)
+        at -= len(one.unused_data)
+        yield parse_record(b"".join(parts))
 
 
 def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
-    """A dictionary from at most DICTIONARY_SAMPLE payloads, trained in one task; empty if there are too few."""
+    """A dictionary from at most DICTIONARY_SAMPLE different payloads (those with the least hash, 64 KB of each), trained in
+    one task; empty if there are too few. It changes how well records compress and nothing else."""
 
     def run(table):
         import zstandard
@@ -118,8 +126,13 @@ def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
             trained = b""
         return pa.table({"dictionary": pa.array([trained], pa.binary())})
 
-    drawn = pages.filter(F.length(html_col) > 0).select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("h")).orderBy("h").limit(DICTIONARY_SAMPLE)
-    got = drawn.select("html").groupBy().applyInArrow(run, "dictionary binary").first()
+    hashed = pages.filter(F.length(html_col) > 0).select(F.xxhash64(html_col).alias("h"), F.substring(html_col, 1, 64 << 10).alias("html"))
+    # the hashes alone are ordered; then the texts that have them are fetched, one a hash
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(DICTIONARY_SAMPLE).collect()]
+    if not least:
+        return b""
+    drawn = hashed.filter(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    got = drawn.orderBy("h").select("html").groupBy().applyInArrow(run, "dictionary binary").first()
     return bytes(got.dictionary) if got else b""
 
 
@@ -127,7 +140,8 @@ def _headers(page_id, url, kind: str, digest: str, refers) -> list[tuple[str, st
     name = "" if page_id is None else str(page_id)
     clean = re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url is not None else f"urn:page:{name}"
     out = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{name}:{kind}>"), ("WARC-Date", DATE), ("WARC-Target-URI", clean), ("X-Page-ID", name), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "text/html")]
-    if refers is not None:
+    if kind == "revisit":
+        refers = "" if refers is None else refers
         out += [("WARC-Refers-To", f"<urn:page:{refers}:response>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
     return out
 
@@ -166,14 +180,30 @@ def _write(folder: str, dictionary: bytes, archive_bytes: int):
     return run
 
 
-def described(pages: DataFrame, *, id_col: str, html_col: str, least: int) -> DataFrame:
-    """page_id, payload (binary), payload_digest, record_type and refers_to of every page."""
+def described(pages: DataFrame, *, id_col: str, html_col: str, url_col: str = "url", least: int) -> DataFrame:
+    """page_id, url, payload (binary), sha1, record_type and refers_to of every page."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
-    shared = rows.filter(F.octet_length("payload") >= least).groupBy("sha1").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).filter("n > 1").select("sha1", "top")
-    joined = rows.join(shared, "sha1", "left")
-    is_revisit = F.coalesce((F.col("top") != F.col("page_id")) & (F.octet_length("payload") >= least), F.lit(False))
-    return joined.withColumns({"record_type": F.when(is_revisit, "revisit").otherwise("response"), "refers_to": F.when(is_revisit, F.col("top"))})
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    slim = rows.filter(F.octet_length("payload") >= least).groupBy("sha1", "page_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("url").isNotNull(), "url")).alias("first"))
+    # nulls are the least in a struct, so the largest id wins over none
+    top = F.max(F.struct("page_id", "n", "first")).alias("top")
+    shared = slim.groupBy("sha1").agg(F.sum("n").alias("copies"), top).filter("copies > 1").select("sha1", F.col("top.page_id").alias("top"), (F.col("top.n") > 1).alias("repeated"), F.col("top.first.url").alias("first"))
+    shared = stored(shared, "repeated-payloads")
+    salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["sha1", "salt"], "left")
+    is_shared = F.col("repeated").isNotNull() & (F.octet_length("payload") >= least)
+    leads = F.col("page_id").eqNullSafe(F.col("top"))
+    kind = F.when(is_shared & ~leads, "revisit").when(is_shared & F.col("repeated") & ~F.col("url").eqNullSafe(F.col("first")), "revisit").otherwise("response")
+    names = ["page_id", "url", "payload", "sha1", "record_type", "refers_to"]
+    marked = joined.withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("top")))
+    if shared.filter("repeated").isEmpty():
+        return marked.select(*names)
+    # rows equal in payload, id and url: the first is the response, the rest revisit it
+    twins = is_shared & F.col("repeated") & (F.col("record_type") == "response")
+    marked = marked.withColumn("twins", F.coalesce(twins, F.lit(False)))
+    counted = marked.filter("twins").groupBy("page_id", "url", "payload", "sha1").agg(F.count("*").alias("n")).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    again = counted.withColumn("record_type", F.when(F.col("i") == 1, "response").otherwise("revisit")).withColumn("refers_to", F.when(F.col("i") > 1, F.col("page_id")))
+    return marked.filter(~F.col("twins")).select(*names).unionByName(again.select(*names))
 
 
 def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", html_col: str = "html", least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -186,7 +216,7 @@ def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", ht
             text = pa.array([base64.b32encode(bytes.fromhex(x)).decode() for x in b.column(3).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns[:3], text, *b.columns[4:]], [*b.schema.names[:3], "payload_digest", *b.schema.names[4:]])
 
-    rows = described(pages, id_col=id_col, html_col=html_col, least=least).select("page_id", "url", "payload", "sha1", "record_type", "refers_to")
+    rows = described(pages, id_col=id_col, html_col=html_col, least=least)
     rows = rows.mapInArrow(digest, "page_id long, url string, payload binary, payload_digest string, record_type string, refers_to long")
     return stored(rows.mapInArrow(_write(folder, dictionary, archive_bytes), "name string, records long"), "archives")
 

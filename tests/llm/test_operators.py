@@ -161,6 +161,46 @@ def test_warc_round_trip_and_revisits(spark, tmp_path):
     assert warc.read_archives(spark, folder + "0", empty).count() == 0
 
 
+def test_each_payload_has_one_response(spark, tmp_path):
+    rows = [(5, "a", "abc"), (5, "a", "abc"), (5, "b", "abc"), (3, "a", "abc"), (None, "a", "abc"), (None, None, "xyz"), (None, None, "xyz"), (8, "u", "own"), (8, "u", "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    got = warc.read_archives(spark, folder, warc.write_archives(pages, folder)).collect()
+    digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    seen = sorted((r.payload_digest == digest("abc"), str(r.page_id), r.record_type, str(r.refers_to)) for r in got if r.payload_digest in (digest("abc"), digest("xyz")))
+    assert seen == sorted(
+        [(True, "5", "response", "None"), (True, "5", "revisit", "5"), (True, "5", "revisit", "5"), (True, "3", "revisit", "5"), (True, "None", "revisit", "5"), (False, "None", "response", "None"), (False, "None", "revisit", "None")]
+    )
+    assert [r.record_type for r in got if r.page_id == 8] == ["response"] * 2
+
+
+def test_warc_query_by_brute_force(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    top = {}
+    for p in pages:
+        top[p.html or ""] = max(p.page_id, top.get(p.html or "", p.page_id))
+    want = []
+    for p in pages:
+        body, first = (p.html or "").encode(), top[p.html or ""]
+        want.append((p.page_id, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "response" if first == p.page_id else "revisit", None if first == p.page_id else first))
+    assert sorted(map(str, map(tuple, warc.op5_warc(spark, sf_dir).collect()))) == sorted(map(str, want))
+
+
+def test_reading_an_archive_is_linear():
+    import time
+
+    import zstandard
+
+    def took(n):
+        record = warc.record_bytes([("WARC-Type", "response"), ("WARC-Record-ID", "<x>"), ("WARC-Date", warc.DATE)], random.Random(1).randbytes(2000))
+        archive = warc.dictionary_frame(b"") + zstandard.ZstdCompressor().compress(record) * n
+        began = time.perf_counter()
+        assert sum(1 for _ in warc.read_archive(archive)) == n
+        return time.perf_counter() - began
+
+    assert took(8000) < 8 * max(took(2000), 0.02)
+
+
 def test_warc_refuses_damage():
     import zstandard
 
