@@ -4,15 +4,18 @@ Patterns (kinds `assign`, `access`, `hex`) are matched leftmost and without over
 
 Tokens are the longest runs of 16 or more characters of [A-Za-z0-9+/_-] with trailing padding (up to six '=') that are not
 digits alone. Any other '=' parts two runs, so the value of NAME=VALUE is tested by itself, whatever its name. Of a run that
-a pattern covers in part the uncovered parts of 16 or more characters are tokens; shorter parts are not tested. The encoding is inferred from the characters that occur. A token must look random by three tests for that alphabet:
-chi-squared uniformity, Wald-Wolfowitz runs around the middle symbol and lag-1 serial correlation (each p at least ALPHA).
-Its own p-value is the chance that ordinary text of its length looks as uniform: the lower tail of the non-central
-chi-squared with the encoding's DIVERGENCE a character. So short tokens need a better fit than long ones. Benjamini-Hochberg
-at level q holds the false discoveries within each length class, over all tokens of all documents; its input is a count
-for each class and p-value bin, so nothing that grows with the corpus reaches the driver.
+a pattern covers in part the uncovered parts of 16 or more characters are tokens; shorter parts are not tested. The encoding
+is inferred from the characters that occur. The battery is chi-squared uniformity over that alphabet, Wald-Wolfowitz runs
+around the middle symbol and lag-1 serial correlation. For a random token the chi-squared statistic and the squares of the
+other two's deviations add up to a chi-squared of k + 1 degrees; a token passes if the sum's upper tail is at least ALPHA.
+Its p-value as a discovery is the chance that ordinary text of its length scores a sum so low: the lower tail of the
+non-central chi-squared with the encoding's DIVERGENCE a character, so short tokens need a better fit than long ones.
+Benjamini-Hochberg at level q holds the false discoveries within each length class, over all tokens of all documents; its
+input is a count for each class and p-value bin, so nothing that grows with the corpus reaches the driver.
 
 Results for odd input: null and empty texts have no spans and the digest of no text; repeated rows and null or repeated
-ids each give a row; an empty table gives no rows; further columns are ignored.
+ids each give a row; an empty table gives no rows; further columns are ignored by `find_secrets` and kept by `redact`, which
+scans and cuts each row by itself, whatever its id.
 """
 
 from __future__ import annotations
@@ -114,8 +117,8 @@ def _phi(z: np.ndarray) -> np.ndarray:
 
 
 def battery(tokens: list[str], encodings: list[str]) -> dict[str, np.ndarray]:
-    """For each token: p-values of uniformity, runs and serial correlation if it is random, and `ordinary`: the chance
-    that ordinary text of its length looks as uniform."""
+    """For each token the statistics `chi` (of k - 1 degrees), `runs` and `serial` (deviations), and the p-values of their
+    combination: `random` that of a random token, `ordinary` that of ordinary text of its length."""
     bodies = [t.rstrip("=") for t in tokens]
     n = np.array(list(map(len, bodies)))
     kind = np.array([NAMES_OF.index(e) for e in encodings])
@@ -125,14 +128,9 @@ def battery(tokens: list[str], encodings: list[str]) -> dict[str, np.ndarray]:
     symbols = _TABLES[kind[which], np.frombuffer("".join(bodies).encode("ascii"), np.uint8)]
     counts = np.bincount(which * 80 + symbols, minlength=80 * len(n)).reshape(len(n), 80)
     chi = (counts.astype(float) ** 2).sum(1) * k / n - n
-    # Wilson and Hilferty's cube root makes the statistic nearly normal
-    dof = k - 1
-    uniform = 1 - _phi(((chi / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / np.sqrt(2 / (9 * dof)))
-    shift = divergence * n
-    ordinary = _phi((chi - dof - shift) / np.sqrt(2 * (dof + 2 * shift)))
     high = symbols >= (k / 2)[which]
-    edge = np.concatenate([[True], which[1:] != which[:-1]]) if len(which) else np.zeros(0, bool)
-    change = np.concatenate([[False], high[1:] != high[:-1]]) & ~edge if len(which) else edge
+    edge = np.concatenate([[True], which[1:] != which[:-1]])
+    change = np.concatenate([[False], high[1:] != high[:-1]]) & ~edge
     runs = 1 + np.bincount(which, change, len(n))
     up = np.bincount(which, high, len(n))
     down = n - up
@@ -141,48 +139,75 @@ def battery(tokens: list[str], encodings: list[str]) -> dict[str, np.ndarray]:
     z = np.where((up == 0) | (down == 0), 9.0, (runs - mean) / np.sqrt(var))
     x = symbols - (np.bincount(which, symbols, len(n)) / n)[which]
     square = np.bincount(which, x * x, len(n))
-    product = np.bincount(which[1:], np.where(edge[1:], 0, x[1:] * x[:-1]), len(n)) if len(which) else square
+    product = np.bincount(which[1:], np.where(edge[1:], 0, x[1:] * x[:-1]), len(n))
     r = np.where(square > 0, product / np.maximum(square, 1e-9), 1.0)
     serial = (r + 1 / n) * np.sqrt(n)
-    return {"uniform": uniform, "runs": 2 * _phi(-np.abs(z)), "serial": 2 * _phi(-np.abs(serial)), "ordinary": ordinary}
+    total, degrees, shift = chi + z * z + serial * serial, k + 1, divergence * n
+    # Wilson and Hilferty's cube root makes the sum nearly normal
+    random = 1 - _phi(((total / degrees) ** (1 / 3) - (1 - 2 / (9 * degrees))) / np.sqrt(2 / (9 * degrees)))
+    ordinary = _phi((total - degrees - shift) / np.sqrt(2 * (degrees + 2 * shift)))
+    return {"chi": chi, "runs": z, "serial": serial, "random": random, "ordinary": ordinary}
+
+
+_TOKEN = pa.struct([(c, pa.int32()) for c in ("start", "end", "length_class", "bin")])
+_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
+
+
+def scan(texts: list[str | None]) -> tuple[list, list, np.ndarray]:
+    """For each text its base spans (start, kind, end) and its likely tokens (start, end, length class, bin); and the number
+    of tokens tested in each (text, length class)."""
+    base, owner, spans, tokens, encodings = [], [], [], [], []
+    for d, text in enumerate(texts):
+        text = text or ""
+        runs = [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= SHORTEST]
+        found = base_spans(text, runs)
+        base.append(found)
+        for i, j in [part for run in runs for part in (uncovered(run, found) if found else [run])]:
+            if e := encoding_of(text[i:j]):
+                owner.append(d), spans.append((i, j)), tokens.append(text[i:j]), encodings.append(e)
+    tested, likely = np.zeros((len(texts), len(LENGTHS)), int), [[] for _ in texts]
+    if tokens:
+        p = battery(tokens, encodings)
+        level = np.where(p["random"] >= ALPHA, np.minimum(-np.log10(np.maximum(p["ordinary"], 1e-300)) * BINS_A_DECADE, LAST_BIN), 0).astype(int)
+        length = np.searchsorted(LENGTHS, [j - i for i, j in spans], "right") - 1
+        np.add.at(tested, (owner, length), 1)
+        for x in np.flatnonzero(level >= KEPT_BIN):
+            likely[owner[x]].append((*spans[x], int(length[x]), int(level[x])))
+    return base, likely, tested
 
 
 def _scan(batches):
     for b in sliced(batches, 512):
-        docs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        base, owner, spans, tokens, encodings = [], [], [], [], []
-        for d, text in enumerate(texts):
-            text = text or ""
-            runs = [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= SHORTEST]
-            found = base_spans(text, runs)
-            base.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
-            for i, j in [part for run in runs for part in (uncovered(run, found) if found else [run])]:
-                if e := encoding_of(text[i:j]):
-                    owner.append(d), spans.append((i, j)), tokens.append(text[i:j]), encodings.append(e)
-        tested, kept = np.zeros((len(docs), len(LENGTHS)), int), [[] for _ in docs]
-        if tokens:
-            p = battery(tokens, encodings)
-            random = (p["uniform"] >= ALPHA) & (p["runs"] >= ALPHA) & (p["serial"] >= ALPHA)
-            level = np.where(random, np.minimum(-np.log10(np.maximum(p["ordinary"], 1e-300)) * BINS_A_DECADE, LAST_BIN), 0).astype(int)
-            length = np.searchsorted(LENGTHS, [j - i for i, j in spans], "right") - 1
-            np.add.at(tested, (owner, length), 1)
-            for x in np.flatnonzero(level >= KEPT_BIN):
-                kept[owner[x]].append({"start": spans[x][0], "end": spans[x][1], "length_class": int(length[x]), "bin": int(level[x])})
-        span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-        token = pa.struct([(c, pa.int32()) for c in ("start", "end", "length_class", "bin")])
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(base, pa.list_(span)), pa.array(kept, pa.list_(token)), pa.array(tested.tolist(), pa.list_(pa.int64()))], ["doc_id", "digest", "base", "tokens", "tests"])
-
-
-def discovery_bins(scanned: DataFrame, level: float) -> list[int]:
-    """For each length class the least bin whose tokens are discoveries by Benjamini-Hochberg at this level."""
-    tests = scanned.agg(*(F.coalesce(F.sum(F.col("tests")[i]), F.lit(0)) for i in range(len(LENGTHS)))).first()
-    counts = scanned.select(F.explode("tokens").alias("t")).groupBy("t.length_class", "t.bin").count().collect()  # at most 5 * 400 rows
+        base, likely, tested = scan(b.column(1).to_pylist())
+        spans = [[dict(zip(("start", "kind", "end"), x)) for x in found] for found in base]
+        tokens = [[dict(zip(("start", "end", "length_class", "bin"), x)) for x in found] for found in likely]
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(spans, pa.list_(_SPAN)), pa.array(tokens, pa.list_(_TOKEN)), pa.array(tested.tolist(), pa.list_(pa.int64()))], ["doc_id", "digest", "base", "tokens", "tests"])
+
+
+def _tally(batches):
+    """tests and likely tokens of a task, counted by length class and bin (-1: all tests)."""
+    counts: dict[tuple[int, int], int] = {}
+    for b in sliced(batches, 512):
+        _, likely, tested = scan(b.column(0).to_pylist())
+        for found in likely:
+            for _, _, c, level in found:
+                counts[c, level] = counts.get((c, level), 0) + 1
+        for c, n in enumerate(tested.sum(0).tolist()):
+            counts[c, -1] = counts.get((c, -1), 0) + n
+    rows = [(*k, n) for k, n in counts.items()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64()))], ["length_class", "bin", "n"])
+
+
+def discovery_bins(counts: DataFrame, level: float) -> list[int]:
+    """For each length class the least bin whose tokens are discoveries by Benjamini-Hochberg at this level; from columns
+    length_class, bin (-1: the tests made) and n."""
+    rows = {(r.length_class, r.bin): r.n for r in counts.groupBy("length_class", "bin").agg(F.sum("n").alias("n")).collect()}  # at most 5 * 401 rows
     out = []
-    for c, m in enumerate(tests):
+    for c in range(len(LENGTHS)):
         least, above = LAST_BIN + 1, 0
         for b in range(LAST_BIN, KEPT_BIN - 1, -1):
-            above += sum(r["count"] for r in counts if (r.length_class, r.bin) == (c, b))
-            if above and m * 10 ** (-b / BINS_A_DECADE) / above <= level:
+            above += rows.get((c, b), 0)
+            if above and rows.get((c, -1), 0) * 10 ** (-b / BINS_A_DECADE) / above <= level:
                 least = b
         out.append(least)
     return out
@@ -193,7 +218,9 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     order) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("digest"))
     scanned = stored(rows.mapInArrow(_scan, SCANNED), "secrets")
-    least = discovery_bins(scanned, level)
+    tests = scanned.select(F.posexplode("tests").alias("length_class", "n")).groupBy("length_class").agg(F.sum("n").alias("n")).select("length_class", F.lit(-1).alias("bin"), "n")
+    found = scanned.select(F.explode("tokens").alias("t")).groupBy("t.length_class", "t.bin").agg(F.count("*").alias("n"))
+    least = discovery_bins(tests.unionByName(found), level)
     bar = F.array(*map(F.lit, least))
     added = F.transform(F.filter("tokens", lambda t: t["bin"] >= F.get(bar, t["length_class"])), lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     return scanned.select("doc_id", "digest", "base", F.array_sort(F.concat("base", added)).alias("spans"))
@@ -205,33 +232,34 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, spans: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
-    """docs (columns doc_id, text and any others) with every span replaced by the mark; spans has doc_id, digest and
-    spans, and only rows whose id (null-safe) and text digest have spans change. n_chars, where present, follows the text."""
+def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", level: float = LEVEL) -> DataFrame:
+    """docs with every span of each row's own text replaced by the mark; all columns stay, and n_chars, where present,
+    follows the text. One pass counts for the discovery bins, a second scans again and cuts; no row is shuffled."""
+    counts = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_tally, "length_class int, bin int, n long")
+    least = discovery_bins(counts, level)
+    at, columns = docs.columns.index(text_col), docs.columns
+    length = columns.index("n_chars") if "n_chars" in columns else None
 
     def cut(batches):
         for b in sliced(batches, 512):
-            out = []
-            for text, found in zip(b.column(b.schema.get_field_index("text")).to_pylist(), b.column(b.schema.get_field_index("spans")).to_pylist()):
-                if text and found:
-                    parts, at = [], 0
-                    for s in found:
-                        if s["start"] >= at:
-                            parts += [text[at : s["start"]], mark]
-                        at = max(at, s["end"])
-                    text = "".join(parts) + text[at:]
-                out.append(text)
-            yield pa.RecordBatch.from_arrays([*b.select(columns).columns, pa.array(out, pa.string())], [*columns, "text"])
-
-    columns = [c for c in docs.columns if c != "text"]
-    with_spans = spans.filter(F.size("spans") > 0).dropDuplicates(["doc_id", "digest"]).select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"), "spans")
-    same = docs["doc_id"].eqNullSafe(with_spans["_doc"]) & (F.xxhash64(docs["text"]) == with_spans["_digest"])
-    joined = docs.join(with_spans, same, "left").drop("_doc", "_digest")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text") + ", text string"
-    done = joined.mapInArrow(cut, schema)
-    if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+            texts = b.column(at).to_pylist()
+            base, likely, _ = scan(texts)
+            for k, (found, tokens) in enumerate(zip(base, likely)):
+                spans = sorted([*found, *((i, 3, j) for i, j, c, x in tokens if x >= least[c])])
+                if spans:
+                    parts, end = [], 0
+                    for i, _, j in spans:
+                        if i >= end:
+                            parts += [texts[k][end:i], mark]
+                        end = max(end, j)
+                    texts[k] = "".join(parts) + texts[k][end:]
+            out = list(b.columns)
+            out[at] = pa.array(texts, pa.string())
+            if length is not None:
+                out[length] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(b.column(length).type)
+            yield pa.RecordBatch.from_arrays(out, columns)
+
+    return docs.mapInArrow(cut, docs.schema)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

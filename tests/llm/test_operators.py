@@ -1,6 +1,8 @@
 import base64
 import hashlib
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -238,7 +240,7 @@ def test_patterns_and_random_tokens(spark):
     assert kinds(2) == [("0123456789abcdef" * 2, "hex")]
     assert kinds(3) == [(token, "random")]
     assert [kinds(k) if texts[k] else list(got[k].spans) for k in (4, 5, 6, 7)] == [[], [], [], []]
-    redacted = {r.doc_id: r.text for r in secrets.redact(docs_of(spark, list(enumerate(texts))), secrets.find_secrets(docs_of(spark, list(enumerate(texts))))).collect()}
+    redacted = {r.doc_id: r.text for r in secrets.redact(docs_of(spark, list(enumerate(texts)))).collect()}
     assert redacted[3] == "see [SECRET] there" and redacted[4] == texts[4] and redacted[6] is None
     assert secrets.find_secrets(docs_of(spark, []).limit(0)).count() == 0
 
@@ -258,6 +260,78 @@ def test_random_values_after_a_name_and_beside_a_pattern(spark):
     assert found(3) == found(4) == []
 
 
+def test_redaction_goes_by_row(spark):
+    rows = [(1, "password: hunter2secret", 0, "a"), (1, "a longer text, then password: hunter2secret", 0, "b"), (None, "token=abcdefgh1", 0, "c"), (None, "clean", 0, "d"), (None, None, 0, "e"), (2, "", 0, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, spans string").selectExpr("*", "spans AS tokens", "spans AS base", "1 AS bin")
+    got = secrets.redact(docs)
+    assert got.columns == docs.columns
+    want = ["[SECRET]", "a longer text, then [SECRET]", "[SECRET]", "clean", None, ""]
+    assert [(r.text, r.n_chars) for r in got.orderBy("spans").collect()] == [(t, None if t is None else len(t)) for t in want]
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+def _random_p(token, name):
+    """The battery's two p-values, one symbol at a time."""
+    alphabet, divergence = secrets.ENCODINGS[name]
+    x = [alphabet.index(c) for c in token.rstrip("=")]
+    n, k = len(x), len(alphabet)
+    chi = sum((x.count(i) - n / k) ** 2 / (n / k) for i in range(k))
+    high = [v >= k / 2 for v in x]
+    runs, up = 1 + sum(a != b for a, b in zip(high, high[1:])), sum(high)
+    mean = 1 + 2 * up * (n - up) / n
+    z = 9.0 if up in (0, n) else (runs - mean) / max((mean - 1) * (mean - 2) / max(n - 1, 1), 1e-9) ** 0.5
+    m = sum(x) / n
+    square = sum((v - m) ** 2 for v in x)
+    r = sum((a - m) * (b - m) for a, b in zip(x, x[1:])) / square if square > 0 else 1.0
+    total = chi + z * z + (r + 1 / n) ** 2 * n
+    phi = lambda v: math.erfc(-v / math.sqrt(2)) / 2
+    random_p = 1 - phi(((total / (k + 1)) ** (1 / 3) - (1 - 2 / (9 * (k + 1)))) / math.sqrt(2 / (9 * (k + 1))))
+    return random_p, phi((total - (k + 1) - divergence * n) / math.sqrt(2 * (k + 1 + 2 * divergence * n)))
+
+
+def test_secret_query_by_brute_force(spark, sf_dir, tmp_path):
+    """Patterns, tokens, tests and the false-discovery bound written again, row by row; the given rows and planted tokens."""
+    rng = random.Random(66)
+    draw = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    planted = [f"see {draw(secrets.ENCODINGS[e][0], n)} and key={draw(secrets.ENCODINGS[e][0], n)}" for e in ("base62", "base64", "base32", "lower36") for n in (16, 24, 44, 90)]
+    planted += [f"{draw('0123456789abcdef', 40)}-{draw(secrets.ENCODINGS['base62'][0], 40)}", "anextraordinarilylongwordthatisnotsecret " * 3]
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    given.unionByName(spark.createDataFrame([(10_000 + k, t) for k, t in enumerate(planted)], "doc_id long, text string")).write.parquet(f"{tmp_path}/documents.parquet")
+    sf_dir = str(tmp_path)
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assign = re.compile("""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)""")
+    base, tokens = {}, []
+    for d, t in docs:
+        found = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[1]) >= 8]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        base[d] = sorted(found)
+        for m in re.finditer("[A-Za-z0-9+/_-]{10,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?", t):
+            free = [i for i in range(*m.span()) if not any(s <= i < e for s, _, e in base[d])] if m.end() - m.start() >= 16 else []
+            at = 0
+            for i in range(1, len(free) + 1):
+                if i == len(free) or free[i] != free[i - 1] + 1:
+                    if i - at >= 16 and (name := secrets.encoding_of(t[free[at] : free[i - 1] + 1])):
+                        tokens.append((d, free[at], free[i - 1] + 1, *_random_p(t[free[at] : free[i - 1] + 1], name)))
+                    at = i
+    classes = [[x for x in tokens if low <= x[2] - x[1] < high] for low, high in zip(secrets.LENGTHS, (*secrets.LENGTHS[1:], 10**9))]
+    added = {d: [] for d, _ in docs}
+    for own in classes:
+        floor = lambda p: int(min(-math.log10(max(p, 1e-300)) * secrets.BINS_A_DECADE, secrets.LAST_BIN))
+        binned = [(floor(x[4]) if x[3] >= secrets.ALPHA else 0, x) for x in own]
+        bars = [b for b in {b for b, _ in binned} if b >= secrets.KEPT_BIN and len(own) * 10 ** (-b / secrets.BINS_A_DECADE) <= secrets.LEVEL * sum(c >= b for c, _ in binned)]
+        for b, x in binned:
+            if bars and b >= min(bars):
+                added[x[0]].append((x[1], 3, x[2]))
+    text = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'random')[k]}:{i}:{j}" for i, k, j in sorted(spans))
+    got = {r.doc_id: r for r in secrets.op6_secret_scan(spark, sf_dir).collect()}
+    assert len(got) == len(docs) and any(added.values())
+    for d, _ in docs:
+        r = got[d]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, k, _ in base[d]) for x in range(3)]
+        assert r.base_sha256 == hashlib.sha256(text(base[d]).encode()).hexdigest() and r.spans == text(base[d] + added[d])
+
+
 # op 7
 
 

@@ -13,7 +13,6 @@ from quillon.llm._common import read, stored
 from quillon.llm.language import op1_language_id
 from quillon.llm.token_files import op8_token_files
 from quillon.llm.toxicity import op2_toxicity
-from quillon.llm.secrets import op6_secret_scan
 from quillon.llm.tokens import definition_of, vocabulary_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -104,16 +103,6 @@ def test_toxicity_query_on_held_out_rows(spark):
     assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
-def test_secret_query_by_brute_force(spark, sf_dir):
-    got = {r.doc_id: r for r in op6_secret_scan(spark, sf_dir).collect()}
-    for d in read(spark, sf_dir, "documents").collect():
-        found = secrets.base_spans(d.text)
-        text = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in found)
-        r = got[d.doc_id]
-        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for _, k, _ in found) for x in range(3))
-        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and set(text.split(",")) <= set(r.spans.split(","))
-
-
 def test_token_file_query_by_brute_force(spark, sf_dir):
     library = Tokenizer.from_str(definition_of(vocabulary_path("byte_bpe_50k.json")))
     start = 0
