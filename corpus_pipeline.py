@@ -3,7 +3,12 @@
 Stages but the last return the columns of documents. Language identification drops what it rejects; near-duplicate
 detection keeps one row of each class, that of the least doc_id; decontamination drops documents with an occurring benchmark window; the
 secret scan replaces every span by a mark; the last stage encodes and decodes what is left.
-Rows are told apart by id (null-safe) and text digest, so null, repeated and shared ids are decided row by row.
+
+Results for odd input, for every stage: rows are told apart by id (null-safe) and text digest, so null, repeated and shared
+ids are decided row by row; an empty table gives an empty table; further columns, whatever their names, are kept as they
+are. Null and empty texts: language identification drops them (no letters); the other stages keep them, near-duplicate
+detection one row of those equal in id and text. Very long texts are treated whole. Ties: of rows equal in id and text the
+one with the least other columns stays; nothing else depends on order.
 """
 
 from __future__ import annotations
@@ -21,9 +26,8 @@ ORACLE_SQL = None
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that language identification rejects; it learns from the same rows as the query does."""
     model = language.fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = language.predict(docs.withColumn("_copy", F.col("text")), model, keep=(*others, "_copy"))
-    return found.filter(~F.col("rejected")).withColumnRenamed("_copy", "text").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return language.predict(rows, model, keep=("row",)).filter(~F.col("rejected")).select("row.*")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +41,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest"))
     single = docs.join(marked, same, "left_anti")
     repeated = stored(marked.filter("_least"), "repeated")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.min(F.struct(*others, "text")).alias("row")
+    others = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.min(F.struct(*others, "text")).alias("row")  # of types that have an order
     one = docs.join(repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("digest")).agg(row)
-    return single.unionByName(one.select("doc_id", "row.*"))
+    return single.unionByName(one.select("doc_id", "row.*").select(*single.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +57,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; n_chars follows."""
-    return secrets.redact(docs, secrets.find_secrets(docs))
+    return secrets.redact(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
