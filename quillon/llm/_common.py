@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -60,6 +60,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def drawn(df: DataFrame, group: str, place: DataFrame, sample: int, hash_col: str) -> DataFrame:
+    """At most `sample` rows of each group, those with the least hash_col (a long, different for different rows).
+
+    place: group and n, the rows a group has (a few rows). Hashes above what about twice the sample lie below are left
+    out first, so that no task orders more than that of a group.
+    """
+    share = F.least(F.lit(1.0), F.lit(2.0 * sample + 40) / F.col("n"))
+    bars = place.select(F.col(group).alias("_group"), (share * 2.0**64 - 2.0**63).alias("_bar"))
+    near = df.join(F.broadcast(bars), (F.col(group) == F.col("_group")) & (F.col(hash_col).cast("double") <= F.col("_bar"))).drop("_group", "_bar")
+    order = Window.partitionBy(group).orderBy(hash_col)
+    return near.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).drop("_place")
+
+
 def held_out(doc_id: str = "doc_id"):
     """True where crc32 of the id as text leaves no remainder modulo 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

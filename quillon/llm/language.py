@@ -7,7 +7,7 @@ text is rejected when it has no letter, or when its cosine is below what windows
 reach: distance-based rejection, since short texts lie farther from any centroid.
 
 Document frequencies are counted over all training texts. The sample for k-means is at most `sample` texts a language
-(those with the least hash of their id); only centroids and frequencies, of fixed size, reach the driver.
+(of the 2 * `sample` with the least hash of id and text the first with letters); only centroids and frequencies, of fixed size, reach the driver.
 
 Results for odd input: null text and text without letters are `und`, score 0 and rejected; without any training text all
 are; ties go to the first language by name; repeated rows and null ids each give a row; further columns are ignored.
@@ -21,9 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from quillon.llm._common import held_out, read, sliced
+from quillon.llm._common import drawn, held_out, read, sliced, stored
 
 BUCKETS = 8_192
 SAMPLE = 400
@@ -131,13 +130,14 @@ def fit(train: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS, i
     """Learn from the columns text and lang (and an id to draw the sample by); null languages and texts are left out."""
     train = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     idf = inverse_frequencies(train)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
-    drawn = train.select(id_col, "lang").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
-    sampled = train.join(F.broadcast(drawn.select(F.col(id_col).alias("_id")).distinct()), F.col(id_col) == F.col("_id"), "left_semi").select("lang", "text")
+    # equal rows count once; the sizes of the languages bound what the draw has to order
+    hashed = train.select("lang", "text", F.xxhash64(F.col(id_col).cast("string"), "text").alias("h"))
+    sampled = drawn(hashed, "lang", stored(hashed.groupBy("lang").agg(F.count("*").alias("n")), "languages"), 2 * sample, "h")
+    sampled = sampled.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def learn(key, table):
-        texts = table.column("text").to_pylist()
-        texts = [t for t in texts if len(grams(t))][: 2 * sample]
+        texts = table.sort_by("h").column("text").to_pylist()
+        texts = [t for t in texts if len(grams(t))][:sample]
         if not texts:
             return pa.table({"lang": pa.array([], pa.string()), "centre": pa.array([], pa.list_(pa.float32())), "bars": pa.array([], pa.list_(pa.float64()))})
         centres = spherical_kmeans(vectors(counts(texts), idf), centroids)

@@ -4,10 +4,11 @@ A sentence's score is a logistic function of its words and of the words' first l
 noisy-or of its sentences': 1 - prod(1 - p), in which a sentence counts only by what exceeds the background, the p of a
 sentence without weights. One without a weighted feature, or whose weights sum to 0 or less, adds exactly 0, however many there
 are. The weights maximise the likelihood of the documents' labels, so what offends
-is learned without a labelled sentence; `locate` returns the sentences that score at least one half.
+is learned without a labelled sentence; the background is fitted with them, and how far from chance a feature must be to have
+a weight is chosen by cross-validation within the training rows. `locate` returns the sentences that score at least one half.
 
-Weights are fitted on at most `sample` labelled texts of each class (those with the least hash of their id); the fit runs
-in one task, whose input that bound limits. Every document is scored whole, by the sentence; a sentence of more than CELL
+Weights are fitted on at most `sample` labelled texts of each class (those with the least hash of their id; of several
+texts of an id the one with the least hash); the fit runs in one task, whose input that bound limits. Every document is scored whole, by the sentence; a sentence of more than CELL
 characters is scored in parts.
 
 Results for odd input: null and empty texts and texts without words score 0; if the training rows lack a class all scores
@@ -22,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from quillon.llm._common import held_out, read, sliced
+from quillon.llm._common import drawn, held_out, read, sliced
 from quillon.llm.language import _letters
 
 BITS = 18
@@ -33,18 +33,20 @@ STEM = 4
 SAMPLE = 2_000
 CELL = 1 << 18
 ROUNDS, RATE, DECAY = 250, 0.25, 2e-4
-#: How far from chance, in deviations, the share of toxic documents with a feature must be for it to have a weight.
-LEAST_Z = 3.5
-#: The background: the logit of a sentence without weights. It is taken off, so long documents do not add up to toxic.
-BIAS = -8.5
+#: How far from chance, in deviations, the share of toxic documents with a feature must be for it to have a weight: the
+#: choice among these is made by cross-validation within the training rows, in so many parts.
+LEAST_Z, PARTS = (2.0, 2.75, 3.5), 3
+#: Where the fit of the background begins.
+BIAS = -6.0
 _STOPS = np.zeros(0x110000, bool)
 _STOPS[[ord(c) for c in ".!?\n"]] = True
 _POWERS = np.array([pow(0x01000193, i, 1 << 32) for i in range(64)], np.uint32)
 
 
-def _excess(z: np.ndarray) -> np.ndarray:
+def _excess(z: np.ndarray, bias: float) -> np.ndarray:
     """-ln(1 - p) of sentences whose weights sum to z, beyond the background's."""
-    return np.logaddexp(0, np.maximum(z, 0) + BIAS) - np.logaddexp(0, BIAS)
+    bias = float(bias)
+    return np.logaddexp(0, np.maximum(z, 0) + bias) - np.logaddexp(0, bias)
 
 
 def _cells(text: str):
@@ -90,7 +92,7 @@ def sentence_scores(text: str, weights: np.ndarray) -> list[tuple[int, int, floa
         z = np.bincount(sentence, weights[bucket], len(ends))
         has = np.bincount(sentence, minlength=len(ends)) > 0
         begins = np.concatenate([[0], ends[:-1]])
-        p = -np.expm1(-_excess(z))
+        p = -np.expm1(-_excess(z, weights[-1]))
         out += [(int(at + i), int(at + j), float(x)) for i, j, x in zip(begins[has], ends[has], p[has])]
     return out
 
@@ -102,13 +104,13 @@ def noisy_or(text: str | None, weights: np.ndarray | None) -> float:
     for _, part in _cells(text):
         sentence, bucket, ends = features(part)
         if len(sentence):
-            log -= float(_excess(np.bincount(sentence, weights[bucket], len(ends))).sum())
+            log -= float(_excess(np.bincount(sentence, weights[bucket], len(ends)), weights[-1]).sum())
     return float(-np.expm1(log))
 
 
-def learn(texts: list[str], labels: np.ndarray) -> np.ndarray:
-    """Weights for each bucket (most are 0) that maximise the noisy-or likelihood of the documents' labels."""
-    docs, sents, buckets, n = [], [], [], 0
+def _instances(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text of each sentence; and the sentence and bucket of each feature, once a sentence."""
+    docs, sents, buckets, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for d, t in enumerate(texts):
         for _, part in _cells(t or ""):
             s, b, _ = features(part)
@@ -119,43 +121,74 @@ def learn(texts: list[str], labels: np.ndarray) -> np.ndarray:
                 buckets.append(pair % BUCKETS)
                 docs.append(np.full(len(own), d))
                 n += len(own)
-    weights = np.zeros(BUCKETS)
-    if not docs:
-        return weights
-    doc_of, sent, bucket = np.concatenate(docs), np.concatenate(sents), np.concatenate(buckets)
+    return np.concatenate(docs), np.concatenate(sents), np.concatenate(buckets)
+
+
+def _maximise(doc_of: np.ndarray, sent: np.ndarray, bucket: np.ndarray, labels: np.ndarray, use_doc: np.ndarray, least_z: float) -> np.ndarray:
+    """Weights and, last, the background that maximise the likelihood of the labels of the texts in use."""
+    weights = np.zeros(BUCKETS + 1)
+    weights[-1] = BIAS
     # features that occur in several documents and more often in one class than chance allows
-    seen = np.unique(doc_of[sent] * BUCKETS + bucket)
+    held = use_doc[doc_of[sent]]
+    seen = np.unique(doc_of[sent[held]] * BUCKETS + bucket[held])
     toxic = labels[seen // BUCKETS] == 1
     a = np.bincount(seen[toxic] % BUCKETS, minlength=BUCKETS)
     b = np.bincount(seen[~toxic] % BUCKETS, minlength=BUCKETS)
-    share = (labels == 1).mean()
+    share = (labels[use_doc] == 1).mean()
     z = (a - (a + b) * share) / np.sqrt(np.maximum((a + b) * share * (1 - share), 1e-9))
-    use = (a + b >= 2) & (np.abs(z) >= LEAST_Z)
-    ok = use[bucket]
+    ok = held & ((a + b >= 2) & (np.abs(z) >= least_z))[bucket]
     sent, bucket = sent[ok], bucket[ok]
     active, at = np.unique(bucket, return_inverse=True)
-    w, g2 = np.zeros(len(active)), np.full(len(active), 1e-8)
+    w, g2, bias, b2 = np.zeros(len(active)), np.full(len(active), 1e-8), BIAS, 1e-8
     y = labels.astype(float)
-    # each class weighs the same
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    # each class weighs the same, and texts not in use nothing
+    weight = np.where(y == 1, 0.5 / max((y * use_doc).sum(), 1), 0.5 / max(((1 - y) * use_doc).sum(), 1)) * use_doc
+    # sentences without such a feature have the background's score, so it is enough to count them
+    used, sent = np.unique(sent, return_inverse=True)
+    plain = np.bincount(doc_of, minlength=len(y)) - np.bincount(doc_of[used], minlength=len(y))
+    own = doc_of[used]
     for _ in range(ROUNDS):
-        score = np.bincount(sent, w[at], n) + BIAS
-        p = 1 / (1 + np.exp(-score))
-        keep = np.exp(-np.bincount(doc_of, np.logaddexp(0, score), len(y)))  # prod(1 - p)
-        grad = np.where(y[doc_of] == 1, (keep / np.maximum(1 - keep, 1e-12))[doc_of] * p, -p) * weight[doc_of]
-        step = np.bincount(at, grad[sent], len(active)) / len(y) - DECAY * w
+        score = np.bincount(sent, w[at], len(used)) + bias
+        p, base = 1 / (1 + np.exp(-score)), 1 / (1 + np.exp(-bias))
+        keep = np.exp(-np.bincount(own, np.logaddexp(0, score), len(y)) - plain * np.logaddexp(0, bias))  # prod(1 - p)
+        pull = np.where(y == 1, keep / np.maximum(1 - keep, 1e-12), -1.0) * weight
+        grad = pull[own] * p
+        step = np.bincount(at, grad[sent], len(active)) - DECAY * w
         g2 += step * step
         w += RATE * step / np.sqrt(g2)
-    weights[active] = w
+        slope = grad.sum() + (pull * plain).sum() * base
+        b2 += slope * slope
+        bias += RATE * slope / np.sqrt(b2)
+    weights[active], weights[-1] = w, bias
     return weights
 
 
+def learn(texts: list[str], labels: np.ndarray) -> np.ndarray:
+    """Weights for each bucket (most are 0) and, last, the background. The least deviation of a feature is the one of LEAST_Z
+    with the best mean share of right answers a class on the parts left out, of equals the smallest."""
+    found = _instances(texts)
+    doc_of, sent, bucket = found
+    part = np.arange(len(labels)) % PARTS
+    best, cut = -1.0, LEAST_Z[0]
+    for least_z in LEAST_Z if len(labels) >= 10 * PARTS else ():
+        said = np.zeros(len(labels), bool)
+        for k in range(PARTS):
+            w = _maximise(*found, labels, part != k, least_z)
+            excess = np.bincount(doc_of, _excess(np.bincount(sent, w[bucket], len(doc_of)), w[-1]), len(labels))
+            said |= (part == k) & (excess >= np.log(2))
+        right = sum((said == labels)[labels == c].mean() for c in (0, 1))
+        if right > best + 1e-9:
+            best, cut = right, least_z
+    return _maximise(*found, labels, np.ones(len(labels), bool), cut)
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, label: str = "toxic") -> np.ndarray | None:
-    """Weights from docs (doc_id, text) and labels (doc_id and a 0/1 column); None if a class has no row."""
+    """Weights and the background from docs (doc_id, text) and labels (doc_id and a 0/1 column); None if a class has no row."""
     truth = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    order = Window.partitionBy("y").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    drawn = truth.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample).select(F.col("doc_id").alias("_id"), "y")
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    truth = truth.withColumn("h", F.xxhash64(F.col("doc_id").cast("string")))
+    picked = drawn(truth, "y", truth.groupBy("y").agg(F.count("*").alias("n")), sample, "h").select(F.col("doc_id").alias("_id"), "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one text an id
 
     def run(table):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -166,10 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, label: str
         at = np.flatnonzero(w)
         return pa.table({"bucket": pa.array(at, pa.int32()), "weight": w[at]})
 
-    got = rows.groupBy().applyInArrow(run, "bucket int, weight double").toPandas()  # at most BUCKETS rows
+    got = rows.groupBy().applyInArrow(run, "bucket int, weight double").toPandas()  # at most BUCKETS + 1 rows
     if not len(got):
         return None
-    weights = np.zeros(BUCKETS, np.float32)
+    weights = np.zeros(BUCKETS + 1, np.float32)
     weights[got["bucket"].to_numpy()] = got["weight"].to_numpy()
     return weights
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.llm import decontamination, language, near_dedup, secrets, topk_search, toxicity, warc, word_bpe
+from quillon.llm._common import drawn
 from quillon.llm.tokens import definition_of, vocabulary_path
 
 DOC = "doc_id long, text string, score string, n_words string"
@@ -37,6 +38,26 @@ def test_language_rejects_what_is_far(spark):
     assert [r.lang_pred for r in language.predict(docs_of(spark, [(1, "mar")]), None).collect()] == ["und"]
 
 
+def test_equal_cosines_go_to_the_first_language_and_names_may_clash(spark):
+    rows = [(k, "sol luna mar", lang) for k, lang in enumerate(["bb", "aa"] * 20)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame([(1, "sol luna mar " * 30_000, "x", "y", True), (1, "sol luna mar " * 30_000, "x", "y", True)], "doc_id long, text string, score string, lang_pred string, rejected boolean")
+    got = language.predict(docs, model).collect()
+    assert [(r.lang_pred, r.rejected) for r in got] == [("aa", False)] * 2
+    packed = language.predict(docs.select("doc_id", "text", F.struct("*").alias("row")), model, keep=("row",)).select("row.*")
+    assert packed.columns == docs.columns and packed.count() == 2
+    assert language.predict(docs.limit(0), model).count() == 0
+
+
+def test_the_sample_is_drawn_whatever_repeats(spark):
+    rows = [(7, "one text and no other", "aa")] * 300 + [(k, f"text number {k}", "bb") for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("h"))
+    sizes = frame.groupBy("lang").agg(F.count("*").alias("n"))
+    got = drawn(frame, "lang", sizes, 20, "h").collect()
+    lowest = sorted(r.h for r in frame.filter("lang = 'bb'").collect())[:20]
+    assert sorted(r.h for r in got if r.lang == "bb") == lowest and sum(r.lang == "aa" for r in got) <= 20
+
+
 def test_long_texts_have_the_grams_of_their_parts():
     text = "alpha beta " * 40_000
     whole = np.bincount(language.grams(text), minlength=language.BUCKETS)
@@ -67,8 +88,23 @@ def test_toxicity_learns_words_from_documents_and_finds_sentences(spark):
     assert toxicity.fit(docs_of(spark, [(1, "a")]), spark.createDataFrame([(1, 1)], "doc_id long, toxic int")) is None
 
 
+def test_toxicity_of_empty_tables_and_very_long_texts(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert toxicity.fit(empty, spark.createDataFrame([], "doc_id long, toxic int")) is None
+    weights = np.zeros(toxicity.BUCKETS + 1)
+    weights[-1] = -6.0
+    assert toxicity.score(empty, weights).count() == 0
+    _, bucket, _ = toxicity.features("vilefool")
+    weights[bucket] = 5.0
+    long = "plain words " * 60_000
+    docs = spark.createDataFrame([(1, long, 0.0), (1, long + "vilefool", 0.0), (None, None, 0.0)], "doc_id long, text string, score double")
+    got = [r.score for r in toxicity.score(docs, weights).collect()]
+    assert got[0] == 0 and got[1] > 0.5 and got[2] == 0
+
+
 def test_clean_sentences_do_not_add_up():
-    weights = np.zeros(toxicity.BUCKETS, np.float32)
+    weights = np.zeros(toxicity.BUCKETS + 1, np.float32)
+    weights[-1] = -8.5
     for word, w in (("vilefool", 20.0), ("kindly", -3.0)):
         weights[toxicity.features(word)[1]] = w
     text = "The river runs by a green house. We walk kindly there. " * 50_000
