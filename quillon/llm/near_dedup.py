@@ -1,26 +1,30 @@
 """Near-duplicate classes by order MinHash, verified by banded alignment.
 
-Similarity. A text is the sequence of its 5-word shingles (words are lower-cased runs of letters and digits; a text of
-fewer words is one shingle); equal shingles are told apart by their occurrence number. Two texts are linked if m of their
-shingles align in order, inside a band, and m / (n1 + n2 - m) >= 0.8. The band is as wide as the unmatched shingles that
-this similarity allows. Classes are the connected components of links.
-
-Candidates. For each of 48 hash functions a text's key is its 6 least occurrence-labelled shingles in text order, so both
-what is shared and its order count. At similarity 0.8 a link shares no key with probability below 1e-5 (about 5e-7 for long
-texts). Texts of at most 32 shingles have keys of 2 shingles as well, for there 6 are too many of all.
-
-1. Texts that share a key form candidate components: every text is joined with the least of each of its buckets (no pairs
-   within a bucket are made), and the stars are contracted until the labels stand.
-2. A component of up to `block` shingles is resolved in one group. A larger one is cut into blocks, and each pair of
-   blocks is a group, so that every pair of texts meets somewhere whatever the component's size. Inside a group exact shingle
-   intersections come from an inverted index in numpy, and only pairs not linked already are aligned; a group returns a
-   spanning forest of its links, never all pairs.
-3. The components of these links are the classes.
+Similarity. A text is the sequence of its words (lower-cased runs of letters and digits). Two texts are linked if m of their
+words align in order and m / (n1 + n2 - m) >= 0.8: edit similarity, so one changed word costs one word and not five
+shingles. The alignment begins with the longest chain of common 5-word shingles (equal ones told apart by their occurrence
+number) inside a band as wide as the unmatched words that this similarity allows; between two links of the chain words are
+aligned one by one if the gap is at most GAP words on both sides, for a longer gap without a common shingle has nothing in
+common. Classes are the connected components of links.
+
+Candidates. For each of 48 hash functions a text's key is its 4 least occurrence-labelled shingles in text order, so both
+what is shared and its order count; texts of at most 32 shingles have keys of 2 shingles as well, for there 4 are too many of
+all. Texts that share a key are candidates.
+
+1. Each text is compared with one pivot, the least of all its buckets. What is linked gets a common label (components).
+2. In each bucket that still holds several labels, each text is compared with the bucket's least text, unless both have one
+   label. A large group of copies is one label by then, so it costs a comparison for each text and no pairs.
+3. What is still open, texts of a bucket with different labels and no failed comparison, is compared in blocks of
+   bounded size, each pair of blocks a group of its own.
+
+A pivot's texts are dealt in blocks, to which the pivot is copied, so a pivot of a third of all rows is not one task.
 
 Results for odd input: null texts and texts without words are classes of their own; equal texts are one class; rows
 without an id have no class (null); repeated rows each give a row; a class is named by its least doc_id, which is the one
-to keep; an empty table gives no rows; further columns are ignored. Where ids are null, shared or repeated, `row_classes`
-tells the rows apart by id and text digest, and rows without an id take part.
+to keep; an empty table gives no rows; very long texts are compared whole; further columns are ignored. Where ids are null,
+shared or repeated, `row_classes` tells the rows apart by id and text digest, and rows without an id take part. Texts are
+told apart by a digest of 64 bits and a check of 64 more; of different texts with one digest only those with the least
+check are compared with others.
 """
 
 from __future__ import annotations
@@ -36,8 +40,9 @@ from pyspark.sql import functions as F
 from quillon.llm._common import U64, mix, read, sliced, stored
 
 WORDS, LEAST = 5, 0.8
-KEYS, SIZE, SHORT_SIZE, SHORT = 48, 6, 2, 32
-BLOCK = 1_000_000
+KEYS, SIZE, SHORT_SIZE, SHORT = 48, 4, 2, 32
+#: Longest gap that is aligned word by word; texts compared with one copy of a pivot; texts of a block in step 3.
+GAP, BLOCK, PAIRED = 64, 512, 256
 SLOTS = 1 << 19
 _RNG = np.random.default_rng(20240601)
 _ODD = _RNG.integers(0, 2**63, 2 * KEYS, dtype=np.uint64) * U64(2) + U64(1)
@@ -74,7 +79,10 @@ def word_hashes(text: str) -> np.ndarray:
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Hashes of the occurrence-labelled shingles of a text, in order; all differ."""
-    w = word_hashes(text) if text else np.zeros(0, U64)
+    return labelled_shingles(word_hashes(text) if text else np.zeros(0, U64), words)
+
+
+def labelled_shingles(w: np.ndarray, words: int = WORDS) -> np.ndarray:
     if not len(w):
         return w
     k = min(words, len(w))
@@ -117,62 +125,82 @@ def sketch(labelled: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def aligned(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
-    """Whether so many shingles of a and b align in order within the band that the similarity is reached."""
-    n = len(a) + len(b)
-    need = least * n / (1 + least)
-    _, at, bt = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = n - 2 * need + 1
-    near = np.abs(at - bt) <= band
-    at, bt = at[near], bt[near]
-    if len(at) < need - 1e-9:
-        return False
-    path = bt[np.argsort(at)]
+def _chain(path: np.ndarray) -> np.ndarray:
+    """Places of a longest increasing subsequence."""
     if (np.diff(path) > 0).all():
-        return True
-    tails: list[int] = []  # longest increasing subsequence: the longest alignment of labelled shingles
-    for x in path.tolist():
-        i = bisect_left(tails, x)
-        tails[i : i + 1] = [x]
-    return len(tails) >= need - 1e-9
-
-
-def links(nodes: list[int], texts: list[np.ndarray], side: np.ndarray | None, least: float = LEAST) -> list[tuple[int, int]]:
-    """A spanning forest of the links among these texts (shingle arrays); side keeps apart two blocks, whose own links
-    other groups find (None: one block)."""
-    size = np.array(list(map(len, texts)))
-    owner = np.repeat(np.arange(len(texts)), size)
-    _, ids = np.unique(np.concatenate(texts), return_inverse=True)
-    order = np.argsort(ids, kind="stable")
-    posting, count = owner[order], np.bincount(ids)
-    begin = np.cumsum(count) - count
-    ends = np.cumsum(size)
-    parent = list(range(len(texts)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out = []
-    for a in range(len(texts)):
-        if side is not None and side[a]:
-            break  # blocks come in order: rows of the first meet those of the second
-        own = ids[ends[a] - size[a] : ends[a]]
-        n = count[own]
-        total = np.cumsum(n)
-        shared = np.bincount(posting[np.repeat(begin[own] - total + n, n) + np.arange(total[-1])], minlength=len(texts))
-        ratio = shared / (size[a] + size - shared)
-        ratio[: a + 1] = 0
-        if side is not None:
-            ratio[: int(np.argmax(side))] = 0
-        for b in sorted(np.flatnonzero(ratio >= least - 1e-9).tolist(), key=lambda b: -ratio[b]):
-            i, j = root(a), root(b)
-            if i != j and aligned(texts[a], texts[b], least):
-                parent[max(i, j)] = min(i, j)
-                out.append((nodes[a], nodes[b]))
-    return out
+        return np.arange(len(path))
+    tails: list[int] = []
+    ends: list[int] = []
+    before = [-1] * len(path)
+    for i, x in enumerate(path.tolist()):
+        k = bisect_left(tails, x)
+        before[i] = ends[k - 1] if k else -1
+        tails[k : k + 1], ends[k : k + 1] = [x], [i]
+    out, i = [], ends[-1]
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return np.array(out[::-1])
+
+
+def _common(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence of two short sequences (by bits of an integer)."""
+    where: dict[int, int] = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for x in b:
+        u = v & where.get(x, 0)
+        v = (v + u | v - u) & full
+    return len(a) - v.bit_count()
+
+
+class Text:
+    """Words and shingles of a text; at is the shingles' order by value."""
+
+    def __init__(self, text: str | None):
+        self.words = word_hashes(text) if text else np.zeros(0, U64)
+        self.shingles = labelled_shingles(self.words)
+        self.order = np.argsort(self.shingles)
+        self.sorted = self.shingles[self.order]
+
+
+def aligned_words(a: Text, b: Text, need: float = 0.0) -> int:
+    """How many words of a and b align; 0 if it cannot be `need`."""
+    n1, n2, k = len(a.words), len(b.words), min(WORDS, len(a.words), len(b.words))
+    if not k or min(n1, n2) < need:
+        return 0
+    if (n1 < WORDS or n2 < WORDS) and n1 != n2:
+        return 0  # a shorter text is one shingle
+    at = np.searchsorted(a.sorted, b.sorted)
+    at[at == len(a.sorted)] = 0
+    same = np.flatnonzero(a.sorted[at] == b.sorted)
+    i, j = a.order[at[same]], b.order[same]
+    near = np.abs(i - j) <= n1 + n2 - 2 * need + 1
+    i, j = i[near], j[near]
+    if not len(i):
+        return 0
+    by = np.argsort(i)
+    i, j = i[by], j[by]
+    take = _chain(j)
+    i, j = i[take], j[take]
+    # each shingle adds the words beyond those the chain has covered in both texts; what lies between is a gap
+    end_a, end_b = np.concatenate([[0], i[:-1] + k]), np.concatenate([[0], j[:-1] + k])
+    gap_a, gap_b = i - end_a, j - end_b
+    m = int(k * len(i) + np.minimum(np.minimum(gap_a, gap_b), 0).sum())
+    gaps = [(x, i[t], y, j[t]) for t, x, y in zip(np.flatnonzero((gap_a > 0) & (gap_b > 0)).tolist(), end_a[(gap_a > 0) & (gap_b > 0)], end_b[(gap_a > 0) & (gap_b > 0)])]
+    gaps.append((i[-1] + k, n1, j[-1] + k, n2))
+    gaps = [(p, q, r, t) for p, q, r, t in gaps if 0 < q - p <= GAP and 0 < t - r <= GAP]
+    if m + sum(min(q - p, t - r) for p, q, r, t in gaps) < need - 1e-9:
+        return 0
+    return m + sum(_common(a.words[p:q].tolist(), b.words[r:t].tolist()) for p, q, r, t in gaps)
+
+
+def aligned(a: Text, b: Text, least: float = LEAST) -> bool:
+    """Whether so many words of a and b align that the similarity is reached."""
+    need = least * (len(a.words) + len(b.words)) / (1 + least)
+    return aligned_words(a, b, need) >= need - 1e-9 if need else False
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,77 +232,155 @@ def _sketches(batches):
         keys = [sketch(x) for x in labelled]
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).astype(np.int32)
         size = pa.array(list(map(len, labelled)), pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), size, pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "size", "keys"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), size, pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "check", "size", "keys"])
 
 
-def _resolve(least: float):
-    def run(batches):
-        key, nodes, texts, sides = None, [], [], []
+_LINKS = "u long, v long"
 
-        def done():
-            if len(nodes) > 1:
-                side = np.array(sides) if key[1] != key[2] else None
-                return links(nodes, texts, side, least)
-            return []
 
-        out: list[tuple[int, int]] = []
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["u", "v"])
+
+
+def _against_pivots(least: float):
+    """Of rows (v, block, side, node, text) in order, the nodes linked with the pivot v that leads their block."""
+
+    def run(batches):
+        at, pivot = None, None
         for b in sliced(batches, 256):
-            for group, i, j, side, node, text in zip(*(c.to_pylist() for c in b.columns)):
-                if (group, i, j) != key:
-                    out += done()
-                    key, nodes, texts, sides = (group, i, j), [], [], []
-                if not nodes or nodes[-1] != node:  # copies of a text follow each other
-                    nodes.append(node), texts.append(shingles(text)), sides.append(side)
+            out = []
+            for v, block, side, node, text in zip(*(c.to_pylist() for c in b.columns)):
+                if side == 0:
+                    at, pivot = (v, block), Text(text)
+                elif (v, block) == at and aligned(pivot, Text(text), least):
+                    out.append((node, v))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v"])
-                out = []
-        out += done()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v"])
+                yield _links(out)
+
+    return run
+
+
+def _within_blocks(least: float):
+    """Of rows (key, i, j, side, node, label, text) in order, links between texts of different labels, a spanning forest."""
+
+    def resolve(rows: list[tuple]):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        two = any(r[0] for r in rows)
+        texts = [Text(r[3]) for r in rows]
+        for x, (side, node, label, _) in enumerate(rows):
+            for y in range(x + 1, len(rows)):
+                if (not two or side != rows[y][0]) and root(label) != root(rows[y][2]) and aligned(texts[x], texts[y], least):
+                    parent[root(label)] = root(rows[y][2])
+                    yield node, rows[y][1]
+
+    def run(batches):
+        key, rows = None, []
+        for b in sliced(batches, 256):
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if r[:3] != key:
+                    if found := list(resolve(rows)):
+                        yield _links(found)
+                    key, rows = r[:3], []
+                rows.append(r[3:])
+        if found := list(resolve(rows)):
+            yield _links(found)
 
     return run
 
 
-def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, unnamed: bool = True) -> DataFrame:
+def _compare(pairs: DataFrame, texts: DataFrame, least: float, block: int) -> DataFrame:
+    """The linked ones of different pairs (u, v): texts u dealt in blocks, each led by a copy of its pivot v."""
+    sizes = pairs.groupBy("v").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = F.pmod(F.xxhash64("u", F.lit(3)), F.col("blocks")).cast("int")
+    members = pairs.join(sizes, "v").select("v", blocks.alias("block"), F.lit(1).alias("side"), F.col("u").alias("node"))
+    pivots = sizes.select("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), F.col("v").alias("node"))
+    rows = members.unionByName(pivots).join(texts, "node").select("v", "block", "side", "node", "text")
+    return stored(rows.repartition("v", "block").sortWithinPartitions("v", "block", "side").mapInArrow(_against_pivots(least), _LINKS), "links")
+
+
+def _compare_all(rows: DataFrame, texts: DataFrame, least: float, paired: int) -> DataFrame:
+    """Links between texts of one key and different labels, from rows (key, node, label): each pair of blocks is a group."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
+    met = rows.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
+    dealt = dealt.join(texts, "node").select("key", "i", "j", "side", "node", "label", "text")
+    return stored(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side").mapInArrow(_within_blocks(least), _LINKS), "links")
+
+
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node, label of the keys whose texts have several labels (a text without links is its own label)."""
+    rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("pivot"), F.count("*").alias("n")).filter("low <> high")
+    return stored(rows.join(split.select("key", "pivot", "n"), "key"), "open")
+
+
+def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, paired: int = PAIRED, unnamed: bool = True) -> DataFrame:
     """doc_id, digest, class_id, class_digest of every row: its key and the key of the row that its class keeps.
 
     The kept key is the least, null ids last; a text without words has its own. Rows without an id take part in the
     classes only if `unnamed`."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("node", F.xxhash64("text"))
-    sketched = stored(rows.select("node", "text", "doc_id").mapInArrow(_sketches, "node long, doc_id long, size long, keys array<long>"), "sketches")
+    check = F.xxhash64(F.lit(11), "text").alias("check")
+    sketched = rows.select("node", "text", "doc_id", check).mapInArrow(_sketches, "node long, doc_id long, check long, size long, keys array<long>")
+    sketched = stored(sketched, "sketches")
     taking_part = sketched if unnamed else sketched.filter(F.col("doc_id").isNotNull())
     keys = taking_part.select("node", F.explode("keys").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w").select("key", "v")
-    stars = keys.join(buckets, "key").filter("node <> v").select(F.col("node").alias("u"), "v")
-    groups = components(stars)
-    reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
-    placed = groups.join(reps, "node")
-    sized = placed.join(placed.groupBy("label").agg(F.sum("size").alias("n")), "label")
-    parts = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64(F.col("node"), F.lit(7)), parts).cast("int")
-    placed = stored(sized.select("node", "rep", "label", parts.alias("parts"), own.alias("own")), "groups")
-    # before texts are shuffled, most that are in no component are left out by a hash of their node: at most SLOTS numbers
+    buckets = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key", "low")
+    shared = stored(keys.join(buckets, "key").distinct(), "shared")
+    reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("check").alias("check"), F.max("check").alias("other"))
+
+    # texts that share a key, one row each; before they are shuffled, most others are left out by a hash of their node
     slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int").alias("slot")
-    slots = placed.select(slot(F.col("node"))).distinct()
-    likely = rows.select("doc_id", "node", "text", slot(F.col("node"))).join(F.broadcast(slots), "slot", "left_semi")
-    texts = likely.drop("slot").withColumnRenamed("node", "_node").join(placed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")))
-    met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "node", "text")
-    dealt = pairs.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "side", "node")
-    found = stored(dealt.mapInArrow(_resolve(least), "u long, v long"), "links")
-    linked = components(found)
+    wanted = stored(shared.select("node").distinct().join(reps, "node").select("node", "rep", "check"), "wanted")
+    likely = rows.select("doc_id", "node", "text", check, slot(F.xxhash64("node", "doc_id"))).join(F.broadcast(wanted.select(slot(F.xxhash64("node", "rep"))).distinct()), "slot", "left_semi")
+    likely = likely.select("doc_id", F.col("node").alias("_node"), F.col("check").alias("_check"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")) & (F.col("_check") == F.col("check"))
+    texts = stored(likely.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+    # 1: one pivot a text
+    pairs = shared.groupBy(F.col("node").alias("u")).agg(F.min("low").alias("v")).filter("u <> v")
+    links = _compare(stored(pairs, "pairs"), texts, least, block)
+    labels = components(links)
+    # 2: the pivots of buckets with several labels
+    open_ = _open(shared.select("key", "node"), labels)
+    if not open_.isEmpty():
+        pivot_labels = open_.filter("node = pivot").select("key", F.col("label").alias("pivot_label"))
+        again = open_.filter("node <> pivot").join(pivot_labels, "key").filter("label <> pivot_label").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        again = again.join(pairs, ["u", "v"], "left_anti")
+        links = links.unionByName(_compare(stored(again, "pairs"), texts, least, block))
+        labels = components(links)
+        # 3: what two texts of a bucket besides its pivot leave open
+        rest = _open(open_.filter("n > 2 AND node <> pivot").select("key", "node"), labels).select("key", "node", "label")
+        if not rest.isEmpty():
+            links = links.unionByName(_compare_all(rest, texts, least, paired))
+            labels = components(links)
+
     # a linked node is not alone; its class is named by the least document of all its nodes
-    classes = reps.drop("size").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classes = reps.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = classes.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("unnamed"), "rep", "node")).alias("least"))
     by_node = classes.join(named, "label").select("node", F.col("least.rep").alias("class_id"), F.col("least.node").alias("class_digest"))
-    out = sketched.select("doc_id", "node", (F.col("size") > 0).alias("worded")).join(by_node, "node", "left")
+    out = sketched.select("doc_id", "node", "check", (F.col("size") > 0).alias("worded")).join(by_node, "node", "left")
     kept = lambda found, own: F.when(F.col("worded"), F.col(found)).otherwise(F.col(own)).alias(found)
-    return out.select("doc_id", F.col("node").alias("digest"), kept("class_id", "doc_id"), kept("class_digest", "node"))
+    out = out.select("doc_id", F.col("node").alias("digest"), "check", kept("class_id", "doc_id"), kept("class_digest", "node"))
+    clash = stored(reps.filter("check <> other").select(F.col("node").alias("digest"), F.col("check").alias("first")), "clashes")
+    if not clash.isEmpty():
+        apart = out.join(F.broadcast(clash), "digest").filter("check <> first")
+        own = apart.groupBy("digest", "check").agg(F.min("doc_id").alias("own"))
+        out = out.join(F.broadcast(own), ["digest", "check"], "left").withColumn("class_id", F.when(F.col("own").isNotNull(), F.col("own")).otherwise(F.col("class_id")))
+    return out.select("doc_id", "digest", "class_id", "class_digest")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, paired: int = PAIRED) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) of every row."""
-    out = row_classes(docs, id_col=id_col, text_col=text_col, least=least, block=block, unnamed=False)
+    out = row_classes(docs, id_col=id_col, text_col=text_col, least=least, block=block, paired=paired, unnamed=False)
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ def test_near_duplicates_equal_all_pairs(spark):
     vocabulary = [f"w{i}" for i in range(400)]
     texts = []
     for _ in range(12):
-        base = rng.choices(vocabulary, k=rng.choice([4, 9, 20, 60, 200]))
+        base = rng.choices(vocabulary, k=rng.choice([4, 24, 40, 60, 200]))
         for _ in range(6):
             copy = list(base)
             for _ in range(rng.choice([0, 1, 1, 3])):
@@ -129,27 +130,62 @@ def test_near_duplicates_equal_all_pairs(spark):
             texts.append(" ".join(copy))
     base = rng.choices(vocabulary, k=120)
     texts += [" ".join(base), " ".join(base[60:] + base[:60]), " ".join(base * 3), texts[0].upper(), "", None, "...", "", "one", "one two"]
-    want = list(range(len(texts)))
-    sets = [near_dedup.shingles(t) for t in texts]
-    for i in range(len(texts)):
-        for j in range(i):
-            if len(sets[i]) and len(sets[j]) and near_dedup.aligned(sets[i], sets[j]):
-                old, new = max(want[i], want[j]), min(want[i], want[j])
-                want = [new if c == old else c for c in want]
+    want = brute.classes(len(texts), brute.links(texts))
     rows = list(enumerate(texts)) + [(None, texts[0]), (0, texts[0])]
-    for block in (1_000_000, 300):
-        got = near_dedup.near_duplicates(docs_of(spark, rows), block=block).collect()
+    for block, paired in ((512, 256), (2, 2)):
+        got = near_dedup.near_duplicates(docs_of(spark, rows), block=block, paired=paired).collect()
         assert len(got) == len(rows)
         assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == dict(enumerate(want))
         assert [r.class_id for r in got if r.doc_id is None] == [None]
     assert near_dedup.near_duplicates(docs_of(spark, rows[:1]).limit(0)).count() == 0
 
 
-def test_alignment_sees_order():
-    a = np.arange(100, dtype=np.uint64)
-    assert near_dedup.aligned(a, a[:85])
-    assert not near_dedup.aligned(a, np.concatenate([a[50:], a[:50]]))
-    assert not near_dedup.aligned(a, a[:79])
+def test_planted_edits_are_found(spark):
+    """Recall of links by the operator's own rule, over copies with one word in 12 to 60 changed, added or left out."""
+    rng = random.Random(33)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts, pairs = [], []
+    for k in range(600):
+        base = rng.choices(vocabulary, k=rng.choice([30, 80, 200, 500]))
+        copy = []
+        for w in base:
+            kind = rng.random() * rng.choice([12, 20, 30, 60])
+            copy += [w] if kind >= 1 else [rng.choice(vocabulary)] if kind < 0.7 else [w, rng.choice(vocabulary)] if kind < 0.85 else []
+        texts += [" ".join(base), " ".join(copy)]
+        if brute.similarity(base, copy) >= 0.8:
+            pairs.append((2 * k, 2 * k + 1))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert len(pairs) > 400 and sum(got[i] == got[j] for i, j in pairs) >= 0.95 * len(pairs)
+    assert all(i // 2 == j // 2 for i, j in got.items())
+
+
+def test_texts_of_one_bucket_are_all_compared(spark):
+    """A passage shared by texts that differ otherwise: they share buckets, and only the true copies are linked."""
+    rng = random.Random(35)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    passage = rng.choices(vocabulary, k=60)
+    texts = []
+    for _ in range(25):
+        own = rng.choices(vocabulary, k=15)
+        texts += [" ".join([*passage, *own]), " ".join([*passage, *own[:-1], "other"])]
+    want = brute.classes(len(texts), brute.links(texts))
+    for paired in (256, 7):
+        got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs_of(spark, list(enumerate(texts))), paired=paired).collect()}
+        assert got == dict(enumerate(want))
+
+
+def test_alignment_sees_order_and_counts_words():
+    words = [f"w{i}" for i in range(100)]
+    text = lambda w: near_dedup.Text(" ".join(w))
+    assert near_dedup.aligned(text(words), text(words[:85]))
+    assert not near_dedup.aligned(text(words), text(words[50:] + words[:50]))
+    assert not near_dedup.aligned(text(words), text(words[:79]))
+    rng = random.Random(34)
+    for _ in range(200):
+        other = [w if rng.random() > 0.05 else "x" for w in words if rng.random() > 0.02]
+        assert near_dedup.aligned_words(text(words), text(other)) in (near_dedup._common(words, other), near_dedup._common(words, other) - 1)
+    long = words * 3000
+    assert near_dedup.aligned(text(long), text(long[:150_000] + ["x"] + long[150_000:]))
 
 
 # op 4

@@ -3,12 +3,13 @@ import random
 import re
 import zlib
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillon.llm import near_dedup, secrets
+from quillon.llm import secrets
 from quillon.llm._common import read, stored
 from quillon.llm.language import op1_language_id
 from quillon.llm.token_files import op8_token_files
@@ -50,14 +51,8 @@ def test_language_stage_keeps_clean_documents(stages):
 
 def test_dedup_stage_keeps_the_least_of_each_class(stages):
     rows = sorted(stages[1], key=lambda r: r.doc_id)
-    sets = [near_dedup.shingles(r.text) for r in rows]
-    label = [r.doc_id for r in rows]
-    for i in range(len(rows)):
-        for j in range(i):
-            if label[i] != label[j] and len(sets[i]) and len(sets[j]) and near_dedup.aligned(sets[i], sets[j]):
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
-    assert {r.doc_id for r in stages[2]} == set(label)
+    label = brute.classes(len(rows), brute.links([r.text for r in rows]))
+    assert {r.doc_id for r in stages[2]} == {rows[k].doc_id for k in label}
 
 
 def test_decontamination_stage_drops_hit_documents(stages, spark, sf_dir):
