@@ -443,8 +443,23 @@ def test_phrases_and_proximity(spark):
         got = [(r.doc_id, r.n_words, [(s["start"], s["end"]) for s in r.spans], list(r["items"])) for r in decontamination.decontaminate(docs, bench, broadcast_windows=limit).collect()]
         want = [(0, 13, [(2, 11), (3, 12)], ["1"]), (1, 11, [(2, 11)], ["1"]), (2, 5, [(2, 3), (4, 5)], ["2", "5"]), (3, 2, [], []), (4, 0, [], []), (5, 0, [], []), (6, 3, [], []), (7, 3, [(2, 3)], ["2", "5"]), (0, 13, [(2, 11), (3, 12)], ["1"]), (None, 5, [(2, 3), (4, 5)], ["2", "5"])]
         assert sorted(map(str, got)) == sorted(map(str, want))
-    phrases = spark.createDataFrame([("short item", 2)], "phrase string, n int")
-    near = decontamination.phrase_matches(docs_of(spark, [(1, "item was very short"), (2, "item short")]), phrases, slop=1, longest=2).filter("phrase is not null")
-    assert {r.doc_id for r in near.collect()} == {2}
+    phrases = spark.createDataFrame([(1, "short item", 2), (2, "very", 1), (3, "was was", 2)], "phrase_id long, phrase string, n int")
+    near = docs_of(spark, [(1, "item was very short"), (2, "item short"), (3, "item x short y")])
+    postings, documents = decontamination.positional_index(near, spark.createDataFrame([("short",), ("item",), ("very",), ("was",)], "word string"))
+    found = {(r.doc_id, r.phrase_id) for r in decontamination.phrase_matches(postings, phrases, slop=1).collect()}
+    assert found == {(2, 1), (3, 1), (1, 2), (1, 3)} and {(r.doc_id, r.n_words) for r in documents.collect()} == {(1, 4), (2, 2), (3, 4)}
     assert decontamination.decontaminate(docs.limit(0), bench).count() == 0
     assert decontamination.decontaminate(docs, bench.limit(0)).filter(F.size("spans") > 0).count() == 0
+
+
+def test_many_windows_without_a_broadcast(spark):
+    """200,000 windows, beyond the size that is broadcast; a very long text and one repeated word."""
+    rng = random.Random(10)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [" ".join(rng.choices(vocabulary, k=1009)) for _ in range(200)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    planted = items[7].split()[100:130]
+    texts = [" ".join([*rng.choices(vocabulary, k=20_000), *planted, *rng.choices(vocabulary, k=20_000)]), "w1 " * 30_000, " ".join(planted[:9]), "none"]
+    got = {r.doc_id: r for r in decontamination.decontaminate(docs_of(spark, list(enumerate(texts))), bench).collect()}
+    assert [(s["start"], s["end"]) for s in got[0].spans] == [(20_001 + k, 20_010 + k) for k in range(21)] and list(got[0]["items"]) == ["7"]
+    assert [(r.n_words, list(r.spans)) for k, r in sorted(got.items()) if k] == [(30_000, []), (9, []), (1, [])]
