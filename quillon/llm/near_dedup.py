@@ -5,17 +5,18 @@ words align in order and m / (n1 + n2 - m) >= 0.8: edit similarity, so one chang
 shingles. The alignment begins with the longest chain of common 5-word shingles (equal ones told apart by their occurrence
 number) inside a band as wide as the unmatched words that this similarity allows; between two links of the chain words are
 aligned one by one if the gap is at most GAP words on both sides, for a longer gap without a common shingle has nothing in
-common. Classes are the connected components of links.
+common. Texts of which less than SHARED of all shingles are common are not similar. Classes are the connected components of
+links.
 
-Candidates. For each of 48 hash functions a text's key is its 4 least occurrence-labelled shingles in text order, so both
-what is shared and its order count; texts of at most 32 shingles have keys of 2 shingles as well, for there 4 are too many of
-all. Texts that share a key are candidates.
+Candidates. For each of 48 hash functions a text's key is its 5 least occurrence-labelled shingles in text order, so both
+what is shared and its order count; texts of at most 32 shingles have keys of 2 shingles as well, for there 5 are too many of
+all. Texts that share a key are candidates. Of links with a share s of common shingles about 1 - (1 - s^5)^48 share a key.
 
 1. Each text is compared with one pivot, the least of all its buckets. What is linked gets a common label (components).
 2. In each bucket that still holds several labels, each text is compared with the bucket's least text, unless both have one
    label. A large group of copies is one label by then, so it costs a comparison for each text and no pairs.
 3. What is still open, texts of a bucket with different labels and no failed comparison, is compared in blocks of
-   bounded size, each pair of blocks a group of its own.
+   bounded size, each pair of blocks a group of its own; an inverted index of shingles leaves few pairs to be aligned.
 
 A pivot's texts are dealt in blocks, to which the pivot is copied, so a pivot of a third of all rows is not one task.
 
@@ -40,9 +41,11 @@ from pyspark.sql import functions as F
 from quillon.llm._common import U64, mix, read, sliced, stored
 
 WORDS, LEAST = 5, 0.8
-KEYS, SIZE, SHORT_SIZE, SHORT = 48, 4, 2, 32
-#: Longest gap that is aligned word by word; texts compared with one copy of a pivot; texts of a block in step 3.
-GAP, BLOCK, PAIRED = 64, 512, 256
+KEYS, SIZE, SHORT_SIZE, SHORT = 48, 5, 2, 32
+#: Longest gap that is aligned word by word, and the least share of common shingles.
+GAP, SHARED = 64, 0.2
+#: Texts compared with one copy of a pivot, and texts of a block in step 3.
+BLOCK, PAIRED = 512, 256
 SLOTS = 1 << 19
 _RNG = np.random.default_rng(20240601)
 _ODD = _RNG.integers(0, 2**63, 2 * KEYS, dtype=np.uint64) * U64(2) + U64(1)
@@ -176,6 +179,8 @@ def aligned_words(a: Text, b: Text, need: float = 0.0) -> int:
     at = np.searchsorted(a.sorted, b.sorted)
     at[at == len(a.sorted)] = 0
     same = np.flatnonzero(a.sorted[at] == b.sorted)
+    if need and len(same) < SHARED * (len(a.sorted) + len(b.sorted) - len(same)):
+        return 0
     i, j = a.order[at[same]], b.order[same]
     near = np.abs(i - j) <= n1 + n2 - 2 * need + 1
     i, j = i[near], j[near]
@@ -203,27 +208,34 @@ def aligned(a: Text, b: Text, least: float = LEAST) -> bool:
     return aligned_words(a, b, need) >= need - 1e-9 if need else False
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, label (the least node of its component) of every node that has an edge (columns u, v).
+def _roots(hooks: DataFrame) -> DataFrame:
+    """node and label, the root its chain of hooks (node, label, each label less than its node) ends in: by jumps."""
+    while True:
+        onward = hooks.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        jumped = stored(hooks.join(onward, "label", "left").select("node", F.coalesce("further", "label").alias("label"), F.col("further").isNotNull().alias("moved")), "hooks")
+        hooks = jumped.select("node", "label")
+        if jumped.filter("moved").isEmpty():
+            return hooks
+
 
-    Stars are contracted in turn (large and small) until nothing changes; each round is written to the shared folder.
-    """
-    edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """node, label (the least node of its component) of every node but those least ones, after edges (u, v) are added to what
+    labels hold. In each round every component hooks itself to its least neighbour and chains of hooks are shortened; each
+    is written to the shared folder."""
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        edges = stored(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            break
-        before = state
-    roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("label"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+        if labels is not None:
+            of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+            joined = edges.join(of("u"), "u", "left").join(of("v"), "v", "left")
+            edges = joined.select(F.coalesce("u_label", "u").alias("u"), F.coalesce("v_label", "v").alias("v"))
+        edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+        if labels is not None and edges.isEmpty():
+            return labels
+        roots = _roots(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")))
+        if labels is None:
+            labels = roots
+        else:
+            onward = roots.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            labels = stored(labels.join(onward, "label", "left").select("node", F.coalesce("further", "label").alias("label")).unionByName(roots), "labels")
 
 
 def _sketches(batches):
@@ -260,10 +272,33 @@ def _against_pivots(least: float):
     return run
 
 
+def _sharing(texts: list[Text], side: np.ndarray | None):
+    """Each place and the later ones (of the other side, if there are two) with SHARED common shingles, by an inverted index."""
+    size = np.array([len(t.shingles) for t in texts])
+    owner = np.repeat(np.arange(len(texts)), size)
+    _, ids = np.unique(np.concatenate([t.shingles for t in texts]), return_inverse=True)
+    posting, count = owner[np.argsort(ids, kind="stable")], np.bincount(ids)
+    begin, ends = np.cumsum(count) - count, np.cumsum(size)
+    for x in range(len(texts)):
+        own = ids[ends[x] - size[x] : ends[x]]
+        n = count[own]
+        total = np.cumsum(n)
+        if not len(total):
+            continue
+        shared = np.bincount(posting[np.repeat(begin[own] - total + n, n) + np.arange(total[-1])], minlength=len(texts))
+        ok = shared >= SHARED * (size[x] + size - shared)
+        ok[: x + 1] = False
+        if side is not None:
+            ok &= side != side[x]
+        yield x, np.flatnonzero(ok)
+
+
 def _within_blocks(least: float):
     """Of rows (key, i, j, side, node, label, text) in order, links between texts of different labels, a spanning forest."""
 
     def resolve(rows: list[tuple]):
+        if len(rows) < 2:
+            return
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -272,13 +307,13 @@ def _within_blocks(least: float):
                 x = parent[x]
             return x
 
-        two = any(r[0] for r in rows)
         texts = [Text(r[3]) for r in rows]
-        for x, (side, node, label, _) in enumerate(rows):
-            for y in range(x + 1, len(rows)):
-                if (not two or side != rows[y][0]) and root(label) != root(rows[y][2]) and aligned(texts[x], texts[y], least):
-                    parent[root(label)] = root(rows[y][2])
-                    yield node, rows[y][1]
+        side, labels = np.array([r[0] for r in rows]), [r[2] for r in rows]
+        for x, others in _sharing(texts, side if side.any() else None):
+            for y in others.tolist():
+                if root(labels[x]) != root(labels[y]) and aligned(texts[x], texts[y], least):
+                    parent[root(labels[x])] = root(labels[y])
+                    yield rows[x][1], rows[y][1]
 
     def run(batches):
         key, rows = None, []
@@ -295,13 +330,23 @@ def _within_blocks(least: float):
     return run
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, least: float, block: int) -> DataFrame:
-    """The linked ones of different pairs (u, v): texts u dealt in blocks, each led by a copy of its pivot v."""
+def _slots(df: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows of df whose node is needed, and a few others: at most SLOTS numbers are broadcast."""
+    slot = F.pmod("node", F.lit(SLOTS)).cast("int").alias("slot")
+    return df.withColumn("slot", slot).join(F.broadcast(needed.select(slot).distinct()), "slot", "left_semi").drop("slot")
+
+
+def _dealt(pairs: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (u, v) with the block of u, and (v, blocks) of each pivot."""
     sizes = pairs.groupBy("v").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    blocks = F.pmod(F.xxhash64("u", F.lit(3)), F.col("blocks")).cast("int")
-    members = pairs.join(sizes, "v").select("v", blocks.alias("block"), F.lit(1).alias("side"), F.col("u").alias("node"))
-    pivots = sizes.select("v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), F.col("v").alias("node"))
-    rows = members.unionByName(pivots).join(texts, "node").select("v", "block", "side", "node", "text")
+    return pairs.join(sizes, "v").select("u", "v", F.pmod(F.xxhash64("u", F.lit(3)), F.col("blocks")).cast("int").alias("block")), sizes
+
+
+def _compare(members: DataFrame, sizes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The linked ones among members (v, block, node, text) and their pivots v, a copy of which leads each block."""
+    pivots = sizes.select(F.col("v").alias("node"), "blocks")
+    led = _slots(texts, pivots).join(pivots, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = members.select("v", "block", F.lit(1).alias("side"), "node", "text").unionByName(led.select(F.col("node").alias("v"), "block", F.lit(0).alias("side"), "node", "text"))
     return stored(rows.repartition("v", "block").sortWithinPartitions("v", "block", "side").mapInArrow(_against_pivots(least), _LINKS), "links")
 
 
@@ -311,7 +356,7 @@ def _compare_all(rows: DataFrame, texts: DataFrame, least: float, paired: int) -
     own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
     met = rows.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
-    dealt = dealt.join(texts, "node").select("key", "i", "j", "side", "node", "label", "text")
+    dealt = _slots(texts, rows).join(dealt, "node").select("key", "i", "j", "side", "node", "label", "text")
     return stored(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side").mapInArrow(_within_blocks(least), _LINKS), "links")
 
 
@@ -337,31 +382,34 @@ def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     shared = stored(keys.join(buckets, "key").distinct(), "shared")
     reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("check").alias("check"), F.max("check").alias("other"))
 
-    # texts that share a key, one row each; before they are shuffled, most others are left out by a hash of their node
-    slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int").alias("slot")
-    wanted = stored(shared.select("node").distinct().join(reps, "node").select("node", "rep", "check"), "wanted")
-    likely = rows.select("doc_id", "node", "text", check, slot(F.xxhash64("node", "doc_id"))).join(F.broadcast(wanted.select(slot(F.xxhash64("node", "rep"))).distinct()), "slot", "left_semi")
+    # texts that share a key, one row each, with their first pivot; before they are shuffled, most others are left out by a
+    # hash of node and id
+    pairs = shared.groupBy(F.col("node").alias("u")).agg(F.min("low").alias("v"))
+    first, sizes = _dealt(stored(pairs, "pairs"), block)
+    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).cast("int").alias("slot")
+    wanted = stored(first.withColumnRenamed("u", "node").join(reps, "node").select("node", "v", "block", "rep", "check"), "wanted")
+    likely = rows.select("doc_id", "node", "text", check, slot("node", "doc_id")).join(F.broadcast(wanted.select(slot("node", "rep")).distinct()), "slot", "left_semi")
     likely = likely.select("doc_id", F.col("node").alias("_node"), F.col("check").alias("_check"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")) & (F.col("_check") == F.col("check"))
-    texts = stored(likely.join(wanted, same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = stored(likely.join(wanted, same).dropDuplicates(["node"]).select("node", "v", "block", "text"), "texts")
 
     # 1: one pivot a text
-    pairs = shared.groupBy(F.col("node").alias("u")).agg(F.min("low").alias("v")).filter("u <> v")
-    links = _compare(stored(pairs, "pairs"), texts, least, block)
+    links = _compare(texts.filter("node <> v"), sizes, texts.select("node", "text"), least)
     labels = components(links)
+    texts = texts.select("node", "text")
     # 2: the pivots of buckets with several labels
     open_ = _open(shared.select("key", "node"), labels)
     if not open_.isEmpty():
         pivot_labels = open_.filter("node = pivot").select("key", F.col("label").alias("pivot_label"))
         again = open_.filter("node <> pivot").join(pivot_labels, "key").filter("label <> pivot_label").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-        again = again.join(pairs, ["u", "v"], "left_anti")
-        links = links.unionByName(_compare(stored(again, "pairs"), texts, least, block))
-        labels = components(links)
+        again = stored(again.join(first.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+        members, sizes = _dealt(again, block)
+        members = members.withColumnRenamed("u", "node")
+        labels = components(_compare(_slots(texts, members).join(members, "node"), sizes, texts, least), labels)
         # 3: what two texts of a bucket besides its pivot leave open
         rest = _open(open_.filter("n > 2 AND node <> pivot").select("key", "node"), labels).select("key", "node", "label")
         if not rest.isEmpty():
-            links = links.unionByName(_compare_all(rest, texts, least, paired))
-            labels = components(links)
+            labels = components(_compare_all(rest, texts, least, paired), labels)
 
     # a linked node is not alone; its class is named by the least document of all its nodes
     classes = reps.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
