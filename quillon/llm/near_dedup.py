@@ -8,24 +8,24 @@ aligned one by one if the gap is at most GAP words on both sides, for a longer g
 common. Texts of which less than SHARED of all shingles are common are not similar. Classes are the connected components of
 links.
 
-Candidates. For each of 48 hash functions a text's key is its 5 least occurrence-labelled shingles in text order, so both
-what is shared and its order count; texts of at most 32 shingles have keys of 2 shingles as well, for there 5 are too many of
-all. Texts that share a key are candidates. Of links with a share s of common shingles about 1 - (1 - s^5)^48 share a key.
-
-1. Each text is compared with one pivot, the least of all its buckets. What is linked gets a common label (components).
-2. In each bucket that still holds several labels, each text is compared with the bucket's least text, unless both have one
-   label. A large group of copies is one label by then, so it costs a comparison for each text and no pairs.
-3. What is still open, texts of a bucket with different labels and no failed comparison, is compared in blocks of
-   bounded size, each pair of blocks a group of its own; an inverted index of shingles leaves few pairs to be aligned.
-
-A pivot's texts are dealt in blocks, to which the pivot is copied, so a pivot of a third of all rows is not one task.
+Candidates. For each of 48 hash functions a text's key is its 6 least occurrence-labelled shingles in text order, so both
+what is shared and its order count; texts of at most 32 shingles have keys of 3 shingles as well, for there 6 are too many of
+all. Texts that share a key are candidates: with a share s of common shingles about 1 - (1 - s^6)^48 of the links share one,
+and links reach each other through third texts.
+
+1. Texts that share a key form candidate components: every text is joined with the least of each of its buckets (no pairs
+   within a bucket are made), and the stars are contracted until the labels stand.
+2. A component of up to `block` shingles is resolved in one group. A larger one is cut into blocks, and each pair of
+   blocks is a group, so that every pair of texts meets somewhere whatever the component's size. Inside a group exact shingle
+   intersections come from an inverted index in numpy; the most alike pairs are aligned first and pairs linked already not
+   at all; a group returns a spanning forest of its links, never all pairs.
+3. The components of these links are the classes.
 
 Results for odd input: null texts and texts without words are classes of their own; equal texts are one class; rows
 without an id have no class (null); repeated rows each give a row; a class is named by its least doc_id, which is the one
 to keep; an empty table gives no rows; very long texts are compared whole; further columns are ignored. Where ids are null,
 shared or repeated, `row_classes` tells the rows apart by id and text digest, and rows without an id take part. Texts are
-told apart by a digest of 64 bits and a check of 64 more; of different texts with one digest only those with the least
-check are compared with others.
+told apart by a digest of 64 bits.
 """
 
 from __future__ import annotations
@@ -41,11 +41,10 @@ from pyspark.sql import functions as F
 from quillon.llm._common import U64, mix, read, sliced, stored
 
 WORDS, LEAST = 5, 0.8
-KEYS, SIZE, SHORT_SIZE, SHORT = 48, 5, 2, 32
+KEYS, SIZE, SHORT_SIZE, SHORT = 48, 6, 3, 32
 #: Longest gap that is aligned word by word, and the least share of common shingles.
-GAP, SHARED = 64, 0.2
-#: Texts compared with one copy of a pivot, and texts of a block in step 3.
-BLOCK, PAIRED = 512, 256
+GAP, SHARED = 64, 0.3
+BLOCK = 200_000
 SLOTS = 1 << 19
 _RNG = np.random.default_rng(20240601)
 _ODD = _RNG.integers(0, 2**63, 2 * KEYS, dtype=np.uint64) * U64(2) + U64(1)
@@ -208,6 +207,59 @@ def aligned(a: Text, b: Text, least: float = LEAST) -> bool:
     return aligned_words(a, b, need) >= need - 1e-9 if need else False
 
 
+def links(nodes: list[int], texts: list[Text], side: np.ndarray | None, least: float = LEAST) -> list[tuple[int, int]]:
+    """A spanning forest of the links among these texts; side keeps apart two blocks, whose own links other groups find
+    (None: one block)."""
+    size = np.array([len(t.shingles) for t in texts])
+    owner = np.repeat(np.arange(len(texts)), size)
+    _, ids = np.unique(np.concatenate([t.shingles for t in texts]), return_inverse=True)
+    order = np.argsort(ids, kind="stable")
+    posting, count = owner[order], np.bincount(ids)
+    begin = np.cumsum(count) - count
+    ends = np.cumsum(size)
+    parent = list(range(len(texts)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    members, done = [1] * len(texts), [False] * len(texts)
+
+    def compare(a: int):
+        own = ids[ends[a] - size[a] : ends[a]]
+        n = count[own]
+        total = np.cumsum(n)
+        if not len(total):
+            return
+        shared = np.bincount(posting[np.repeat(begin[own] - total + n, n) + np.arange(total[-1])], minlength=len(texts))
+        ratio = shared / (size[a] + size - shared)
+        ratio[a] = 0
+        if side is not None:
+            ratio[side == side[a]] = 0
+        alike = np.flatnonzero(ratio >= SHARED)
+        for b in alike[np.argsort(-ratio[alike], kind="stable")].tolist():
+            i, j = root(a), root(b)
+            if i != j and aligned(texts[a], texts[b], least):
+                parent[max(i, j)] = min(i, j)
+                members[min(i, j)] += members[max(i, j)]
+                yield nodes[a], nodes[b]
+
+    # each text that is not in the largest component is compared with all; two texts of that component need not be
+    out, largest, changed = [], 0, True
+    while changed:
+        changed = False
+        for a in range(len(texts)):
+            if not done[a] and (members[largest] == 1 or root(a) != root(largest)):
+                done[a] = changed = True
+                out += compare(a)
+                if members[root(a)] > members[root(largest)]:
+                    largest = root(a)
+                largest = root(largest)
+    return out
+
+
 def _roots(hooks: DataFrame) -> DataFrame:
     """node and label, the root its chain of hooks (node, label, each label less than its node) ends in: by jumps."""
     while True:
@@ -227,7 +279,8 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
             joined = edges.join(of("u"), "u", "left").join(of("v"), "v", "left")
             edges = joined.select(F.coalesce("u_label", "u").alias("u"), F.coalesce("v_label", "v").alias("v"))
-        edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+        edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
+        edges = edges if labels is None else stored(edges.distinct(), "edges")
         if labels is not None and edges.isEmpty():
             return labels
         roots = _roots(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")))
@@ -244,191 +297,78 @@ def _sketches(batches):
         keys = [sketch(x) for x in labelled]
         at = np.concatenate([[0], np.cumsum(list(map(len, keys)))]).astype(np.int32)
         size = pa.array(list(map(len, labelled)), pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), size, pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "check", "size", "keys"])
-
-
-_LINKS = "u long, v long"
-
-
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["u", "v"])
-
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), size, pa.ListArray.from_arrays(at, np.concatenate([np.zeros(0, np.int64), *keys]))], ["node", "doc_id", "size", "keys"])
 
-def _against_pivots(least: float):
-    """Of rows (v, block, side, node, text) in order, the nodes linked with the pivot v that leads their block."""
 
+def _resolve(least: float):
     def run(batches):
-        at, pivot = None, None
-        for b in sliced(batches, 256):
-            out = []
-            for v, block, side, node, text in zip(*(c.to_pylist() for c in b.columns)):
-                if side == 0:
-                    at, pivot = (v, block), Text(text)
-                elif (v, block) == at and aligned(pivot, Text(text), least):
-                    out.append((node, v))
-            if out:
-                yield _links(out)
-
-    return run
-
-
-def _sharing(texts: list[Text], side: np.ndarray | None):
-    """Each place and the later ones (of the other side, if there are two) with SHARED common shingles, by an inverted index."""
-    size = np.array([len(t.shingles) for t in texts])
-    owner = np.repeat(np.arange(len(texts)), size)
-    _, ids = np.unique(np.concatenate([t.shingles for t in texts]), return_inverse=True)
-    posting, count = owner[np.argsort(ids, kind="stable")], np.bincount(ids)
-    begin, ends = np.cumsum(count) - count, np.cumsum(size)
-    for x in range(len(texts)):
-        own = ids[ends[x] - size[x] : ends[x]]
-        n = count[own]
-        total = np.cumsum(n)
-        if not len(total):
-            continue
-        shared = np.bincount(posting[np.repeat(begin[own] - total + n, n) + np.arange(total[-1])], minlength=len(texts))
-        ok = shared >= SHARED * (size[x] + size - shared)
-        ok[: x + 1] = False
-        if side is not None:
-            ok &= side != side[x]
-        yield x, np.flatnonzero(ok)
-
+        key, nodes, texts, sides = None, [], [], []
 
-def _within_blocks(least: float):
-    """Of rows (key, i, j, side, node, label, text) in order, links between texts of different labels, a spanning forest."""
+        def done():
+            if len(nodes) > 1:
+                side = np.array(sides) if key[1] != key[2] else None
+                return links(nodes, texts, side, least)
+            return []
 
-    def resolve(rows: list[tuple]):
-        if len(rows) < 2:
-            return
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        texts = [Text(r[3]) for r in rows]
-        side, labels = np.array([r[0] for r in rows]), [r[2] for r in rows]
-        for x, others in _sharing(texts, side if side.any() else None):
-            for y in others.tolist():
-                if root(labels[x]) != root(labels[y]) and aligned(texts[x], texts[y], least):
-                    parent[root(labels[x])] = root(labels[y])
-                    yield rows[x][1], rows[y][1]
-
-    def run(batches):
-        key, rows = None, []
+        out: list[tuple[int, int]] = []
         for b in sliced(batches, 256):
-            for r in zip(*(c.to_pylist() for c in b.columns)):
-                if r[:3] != key:
-                    if found := list(resolve(rows)):
-                        yield _links(found)
-                    key, rows = r[:3], []
-                rows.append(r[3:])
-        if found := list(resolve(rows)):
-            yield _links(found)
+            for group, i, j, side, node, text in zip(*(c.to_pylist() for c in b.columns)):
+                if (group, i, j) != key:
+                    out += done()
+                    key, nodes, texts, sides = (group, i, j), [], [], []
+                if not nodes or nodes[-1] != node:  # copies of a text follow each other
+                    nodes.append(node), texts.append(Text(text)), sides.append(side)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v"])
+                out = []
+        out += done()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v"])
 
     return run
 
 
-def _slots(df: DataFrame, needed: DataFrame) -> DataFrame:
-    """The rows of df whose node is needed, and a few others: at most SLOTS numbers are broadcast."""
-    slot = F.pmod("node", F.lit(SLOTS)).cast("int").alias("slot")
-    return df.withColumn("slot", slot).join(F.broadcast(needed.select(slot).distinct()), "slot", "left_semi").drop("slot")
-
-
-def _dealt(pairs: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (u, v) with the block of u, and (v, blocks) of each pivot."""
-    sizes = pairs.groupBy("v").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    return pairs.join(sizes, "v").select("u", "v", F.pmod(F.xxhash64("u", F.lit(3)), F.col("blocks")).cast("int").alias("block")), sizes
-
-
-def _compare(members: DataFrame, sizes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The linked ones among members (v, block, node, text) and their pivots v, a copy of which leads each block."""
-    pivots = sizes.select(F.col("v").alias("node"), "blocks")
-    led = _slots(texts, pivots).join(pivots, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = members.select("v", "block", F.lit(1).alias("side"), "node", "text").unionByName(led.select(F.col("node").alias("v"), "block", F.lit(0).alias("side"), "node", "text"))
-    return stored(rows.repartition("v", "block").sortWithinPartitions("v", "block", "side").mapInArrow(_against_pivots(least), _LINKS), "links")
-
-
-def _compare_all(rows: DataFrame, texts: DataFrame, least: float, paired: int) -> DataFrame:
-    """Links between texts of one key and different labels, from rows (key, node, label): each pair of blocks is a group."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int")
-    met = rows.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "label")
-    dealt = _slots(texts, rows).join(dealt, "node").select("key", "i", "j", "side", "node", "label", "text")
-    return stored(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side").mapInArrow(_within_blocks(least), _LINKS), "links")
-
-
-def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, label of the keys whose texts have several labels (a text without links is its own label)."""
-    rows = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    split = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("pivot"), F.count("*").alias("n")).filter("low <> high")
-    return stored(rows.join(split.select("key", "pivot", "n"), "key"), "open")
-
-
-def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, paired: int = PAIRED, unnamed: bool = True) -> DataFrame:
+def row_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, unnamed: bool = True) -> DataFrame:
     """doc_id, digest, class_id, class_digest of every row: its key and the key of the row that its class keeps.
 
     The kept key is the least, null ids last; a text without words has its own. Rows without an id take part in the
     classes only if `unnamed`."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("node", F.xxhash64("text"))
-    check = F.xxhash64(F.lit(11), "text").alias("check")
-    sketched = rows.select("node", "text", "doc_id", check).mapInArrow(_sketches, "node long, doc_id long, check long, size long, keys array<long>")
-    sketched = stored(sketched, "sketches")
+    sketched = stored(rows.select("node", "text", "doc_id").mapInArrow(_sketches, "node long, doc_id long, size long, keys array<long>"), "sketches")
     taking_part = sketched if unnamed else sketched.filter(F.col("doc_id").isNotNull())
     keys = taking_part.select("node", F.explode("keys").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("key", "low")
-    shared = stored(keys.join(buckets, "key").distinct(), "shared")
-    reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("check").alias("check"), F.max("check").alias("other"))
-
-    # texts that share a key, one row each, with their first pivot; before they are shuffled, most others are left out by a
-    # hash of node and id
-    pairs = shared.groupBy(F.col("node").alias("u")).agg(F.min("low").alias("v"))
-    first, sizes = _dealt(stored(pairs, "pairs"), block)
-    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).cast("int").alias("slot")
-    wanted = stored(first.withColumnRenamed("u", "node").join(reps, "node").select("node", "v", "block", "rep", "check"), "wanted")
-    likely = rows.select("doc_id", "node", "text", check, slot("node", "doc_id")).join(F.broadcast(wanted.select(slot("node", "rep")).distinct()), "slot", "left_semi")
-    likely = likely.select("doc_id", F.col("node").alias("_node"), F.col("check").alias("_check"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")) & (F.col("_check") == F.col("check"))
-    texts = stored(likely.join(wanted, same).dropDuplicates(["node"]).select("node", "v", "block", "text"), "texts")
-
-    # 1: one pivot a text
-    links = _compare(texts.filter("node <> v"), sizes, texts.select("node", "text"), least)
-    labels = components(links)
-    texts = texts.select("node", "text")
-    # 2: the pivots of buckets with several labels
-    open_ = _open(shared.select("key", "node"), labels)
-    if not open_.isEmpty():
-        pivot_labels = open_.filter("node = pivot").select("key", F.col("label").alias("pivot_label"))
-        again = open_.filter("node <> pivot").join(pivot_labels, "key").filter("label <> pivot_label").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-        again = stored(again.join(first.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
-        members, sizes = _dealt(again, block)
-        members = members.withColumnRenamed("u", "node")
-        labels = components(_compare(_slots(texts, members).join(members, "node"), sizes, texts, least), labels)
-        # 3: what two texts of a bucket besides its pivot leave open
-        rest = _open(open_.filter("n > 2 AND node <> pivot").select("key", "node"), labels).select("key", "node", "label")
-        if not rest.isEmpty():
-            labels = components(_compare_all(rest, texts, least, paired), labels)
-
+    buckets = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v <> w").select("key", "v")
+    stars = keys.join(buckets, "key").filter("node <> v").select(F.col("node").alias("u"), "v")
+    groups = components(stars)
+    groups = groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct())
+    reps = taking_part.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("size").alias("size"))
+    placed = groups.join(reps, "node")
+    sized = placed.join(placed.groupBy("label").agg(F.sum("size").alias("n")), "label")
+    parts = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64(F.col("node"), F.lit(7)), parts).cast("int")
+    placed = stored(sized.select("node", "rep", "label", parts.alias("parts"), own.alias("own")), "groups")
+    # before texts are shuffled, most that are in no component are left out by a hash of their node: at most SLOTS numbers
+    slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int").alias("slot")
+    slots = placed.select(slot(F.xxhash64("node", "rep"))).distinct()
+    likely = rows.select("doc_id", "node", "text", slot(F.xxhash64("node", "doc_id"))).join(F.broadcast(slots), "slot", "left_semi")
+    texts = likely.drop("slot").withColumnRenamed("node", "_node").join(placed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("_node") == F.col("node")))
+    met = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("side"), "node", "text")
+    dealt = pairs.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "side", "node")
+    found = stored(dealt.mapInArrow(_resolve(least), "u long, v long"), "links")
+    linked = components(found)
     # a linked node is not alone; its class is named by the least document of all its nodes
-    classes = reps.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    classes = reps.drop("size").join(linked, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = classes.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("unnamed"), "rep", "node")).alias("least"))
     by_node = classes.join(named, "label").select("node", F.col("least.rep").alias("class_id"), F.col("least.node").alias("class_digest"))
-    out = sketched.select("doc_id", "node", "check", (F.col("size") > 0).alias("worded")).join(by_node, "node", "left")
+    out = sketched.select("doc_id", "node", (F.col("size") > 0).alias("worded")).join(by_node, "node", "left")
     kept = lambda found, own: F.when(F.col("worded"), F.col(found)).otherwise(F.col(own)).alias(found)
-    out = out.select("doc_id", F.col("node").alias("digest"), "check", kept("class_id", "doc_id"), kept("class_digest", "node"))
-    clash = stored(reps.filter("check <> other").select(F.col("node").alias("digest"), F.col("check").alias("first")), "clashes")
-    if not clash.isEmpty():
-        apart = out.join(F.broadcast(clash), "digest").filter("check <> first")
-        own = apart.groupBy("digest", "check").agg(F.min("doc_id").alias("own"))
-        out = out.join(F.broadcast(own), ["digest", "check"], "left").withColumn("class_id", F.when(F.col("own").isNotNull(), F.col("own")).otherwise(F.col("class_id")))
-    return out.select("doc_id", "digest", "class_id", "class_digest")
+    return out.select("doc_id", F.col("node").alias("digest"), kept("class_id", "doc_id"), kept("class_digest", "node"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK, paired: int = PAIRED) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) of every row."""
-    out = row_classes(docs, id_col=id_col, text_col=text_col, least=least, block=block, paired=paired, unnamed=False)
+    out = row_classes(docs, id_col=id_col, text_col=text_col, least=least, block=block, unnamed=False)
     return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
