@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.functions.shared import kept
+
 
 def bounds_of(df: DataFrame, column: str, buckets: int) -> list[float]:
     shares = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
@@ -24,11 +26,14 @@ def bucket_of(column: Column, bounds: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < column.cast("double")))
 
 
-def running(df: DataFrame, by: list[str], order: str, values: list[str], *, ties: str | None = None, descending: bool = False, buckets: int = 32) -> DataFrame:
+def running(df: DataFrame, by: list[str], order: str, values: list[str], *, ties: str | None = None, descending: bool = False, buckets: int = 32, keep: bool = True) -> DataFrame:
     """df with cum_<v> for each value: its sum over rows of the same group up to and with this one, in order.
 
     `order` must be numeric; rows that are equal in it are ordered by `ties`. Without ties they should be unique in a group.
+    df is written once, for bounds, totals and rows are each read from it (keep=False: it is a stored table already);
+    callers pass the columns they need.
     """
+    df = kept(df, "ordered") if keep else df
     bucket = bucket_of(F.col(order), bounds_of(df, order, buckets))
     down = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     dealt = df.withColumn("_bucket", bucket)
@@ -46,7 +51,7 @@ def running(df: DataFrame, by: list[str], order: str, values: list[str], *, ties
     return joined.select(*df.columns, *(f"cum_{v}" for v in values))
 
 
-def numbered(df: DataFrame, by: list[str], order: str, ties: str, *, descending: bool = False, name: str = "row") -> DataFrame:
+def numbered(df: DataFrame, by: list[str], order: str, ties: str, *, descending: bool = False, name: str = "row", keep: bool = True) -> DataFrame:
     """df with the place (from 1) of each row in its group's order."""
-    out = running(df.withColumn("_one", F.lit(1)), by, order, ["_one"], ties=ties, descending=descending)
+    out = running(df.withColumn("_one", F.lit(1)), by, order, ["_one"], ties=ties, descending=descending, keep=keep)
     return out.withColumnRenamed("cum__one", name).drop("_one")

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=1)
-def _own() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="quillon-")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; only where that is unset (one machine) below a temporary folder."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or _own()
+    """A new path below spark.checkpoint.dir; where that is unset, below a temporary folder in local mode only."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        top = "file:///tmp/quillon-shared"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

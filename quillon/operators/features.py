@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillon.functions.text import store_key
 
 MAX_DESCRIPTORS, MAX_PROJECTIONS = 10, 3
+#: Type names that count as numeric.
 NUMERIC = ("int", "integer", "float", "float32", "float64", "numeric", "double")
 
 

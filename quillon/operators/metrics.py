@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.curves import clip
 from quillon.functions.ordered import numbered, running
+from quillon.functions.shared import kept
 
 CALIBRATION_EDGES = [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]
 TOP = (1, 5, 10, 50, 100)
@@ -38,9 +39,8 @@ def score_counts(df: DataFrame, by: list[str]) -> DataFrame:
 
 def _cumulated(df: DataFrame, by: list[str]) -> DataFrame:
     """score_counts with cum_n and cum_n1 from the highest score down, and the group's totals t and t1."""
-    counts = score_counts(df, by)
-    out = running(counts, by, "p", ["n", "n1"], descending=True)
-    totals = counts.groupBy(*by).agg(F.sum("n").alias("t"), F.sum("n1").alias("t1"))
+    out = kept(running(score_counts(df, by), by, "p", ["n", "n1"], descending=True), "cumulated")
+    totals = out.groupBy(*by).agg(F.sum("n").alias("t"), F.sum("n1").alias("t1"))
     return out.join(F.broadcast(totals), by) if by else out.join(F.broadcast(totals))
 
 
@@ -52,9 +52,9 @@ def roc_curve(df: DataFrame, by: list[str]) -> DataFrame:
     return zero.unionByName(points)
 
 
-def auroc(df: DataFrame, by: list[str]) -> DataFrame:
+def auroc(df: DataFrame, by: list[str], *, cumulated: DataFrame | None = None) -> DataFrame:
     """by, auroc: the share of positive-negative pairs in order, ties half; null for a single class."""
-    c = _cumulated(df, by)
+    c = cumulated or _cumulated(df, by)
     n0, above0 = F.col("n") - F.col("n1"), (F.col("cum_n") - F.col("cum_n1")) - (F.col("n") - F.col("n1"))
     below0 = (F.col("t") - F.col("t1")) - above0 - n0
     got = c.groupBy(*by).agg(F.sum(F.col("n1") * (below0 + n0 / 2)).alias("s"), F.first("t").alias("t"), F.first("t1").alias("t1"))
@@ -70,18 +70,18 @@ def pr_curve(df: DataFrame, by: list[str]) -> DataFrame:
     return end.unionByName(points)
 
 
-def aupr_trapezoid(df: DataFrame, by: list[str]) -> DataFrame:
+def aupr_trapezoid(df: DataFrame, by: list[str], *, cumulated: DataFrame | None = None) -> DataFrame:
     """by, aupr: area under precision over recall by trapezoids, from (0, 1)."""
-    c = _cumulated(df, by).filter("t1 > 0")
+    c = (cumulated or _cumulated(df, by)).filter("t1 > 0")
     prior_n, prior_n1 = F.col("cum_n") - F.col("n"), F.col("cum_n1") - F.col("n1")
     before = F.when(prior_n > 0, prior_n1 / F.when(prior_n > 0, prior_n)).otherwise(F.lit(1.0))
     area = (F.col("n1") / F.col("t1")) * (before + F.col("cum_n1") / F.col("cum_n")) / 2
     return c.groupBy(*by).agg(F.sum(area).alias("aupr"))
 
 
-def average_precision(df: DataFrame, by: list[str]) -> DataFrame:
+def average_precision(df: DataFrame, by: list[str], *, cumulated: DataFrame | None = None) -> DataFrame:
     """by, ap: sum of recall steps times precision over distinct scores."""
-    c = _cumulated(df, by).filter("t1 > 0")
+    c = (cumulated or _cumulated(df, by)).filter("t1 > 0")
     return c.groupBy(*by).agg(F.sum((F.col("n1") / F.col("t1")) * (F.col("cum_n1") / F.col("cum_n"))).alias("ap"))
 
 
@@ -237,7 +237,8 @@ def brier(df: DataFrame, by: list[str]) -> DataFrame:
 def ranked(df: DataFrame, by: list[str], id_col: str) -> DataFrame:
     """Labelled rows with k (place by score from the highest, ties by id), found (positives so far), n and n1."""
     rows = labelled(df).select(*by, id_col, "p", "y").withColumn("_one", F.lit(1))
-    out = running(rows, by, "p", ["_one", "y"], ties=id_col, descending=True)
+    rows = kept(rows, "ranked")
+    out = running(rows, by, "p", ["_one", "y"], ties=id_col, descending=True, keep=False)
     totals = rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum("y").alias("n1"))
     joined = out.join(F.broadcast(totals), by) if by else out.join(F.broadcast(totals))
     return joined.withColumnRenamed("cum__one", "k").withColumnRenamed("cum_y", "found").drop("_one")
@@ -258,7 +259,8 @@ def enrichment(df: DataFrame, by: list[str], id_col: str, floor: float = 0.005)
 
 def percentile_rank(df: DataFrame, by: list[str], column: str, id_col: str) -> DataFrame:
     """df with pct: place in stable order over max(1, n - 1)."""
-    placed = numbered(df, by, column, id_col, name="_place")
+    df = kept(df, "placed")
+    placed = numbered(df, by, column, id_col, name="_place", keep=False)
     n = df.groupBy(*by).agg(F.count("*").alias("_n"))
     joined = placed.join(F.broadcast(n), by) if by else placed.join(F.broadcast(n))
     return joined.withColumn("pct", (F.col("_place") - 1) / F.greatest(F.lit(1), F.col("_n") - 1)).drop("_place", "_n")
@@ -292,7 +294,8 @@ def regression_metrics(df: DataFrame, by: list[str]) -> DataFrame:
 def heldout_metrics(heldout: DataFrame, *, cutoff: float = 0.5) -> DataFrame:
     """strategy, fold, auroc, ap, mcc, f1 of (strategy, fold, y, p); single-class folds are left out."""
     by = ["strategy", "fold"]
-    a, b, c = auroc(heldout, by), average_precision(heldout, by), point_metrics(heldout, by, cutoff)
+    cumulated = _cumulated(heldout, by)
+    a, b, c = auroc(heldout, by, cumulated=cumulated), average_precision(heldout, by, cumulated=cumulated), point_metrics(heldout, by, cutoff)
     return a.filter(F.col("auroc").isNotNull()).join(b, by).join(c.select(*by, "mcc", "f1"), by)
 
 
@@ -308,10 +311,12 @@ def strategy_summary(metrics: DataFrame) -> DataFrame:
 def performance(df: DataFrame, by: list[str], id_col: str, cutoffs: DataFrame | float = 0.5) -> DataFrame:
     """The performance row of each group of labelled test scores; cutoffs: a number, or a table (by, cutoff)."""
     rows = df.withColumn("cutoff", F.lit(cutoffs)) if isinstance(cutoffs, float) else df.join(F.broadcast(cutoffs), by)
+    rows = kept(rows.select(*by, id_col, "y", "p", "cutoff"), "scored")
+    cumulated = _cumulated(rows, by)
     counts = class_counts(rows, by).select(*by, F.col("n").alias("num_test"), F.col("n0").alias("num_test_0"), F.col("n1").alias("num_test_1"))
     points = with_point_metrics(confusion(rows, [*by, "cutoff"], F.col("cutoff")))
     out = counts
-    for part in (auroc(rows, by), aupr_trapezoid(rows, by), points, precision_at_k(rows, by, id_col)):
+    for part in (auroc(rows, by, cumulated=cumulated), aupr_trapezoid(rows, by, cumulated=cumulated), points, precision_at_k(rows, by, id_col)):
         out = out.join(part, by) if by else out.join(F.broadcast(part))
     return out.filter((F.col("num_test_0") > 0) & (F.col("num_test_1") > 0))
 
@@ -319,7 +324,8 @@ def performance(df: DataFrame, by: list[str], id_col: str, cutoffs: DataFrame |
 def cv_table(df: DataFrame, train_auroc: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """descriptor, auroc (out of fold), ap, train_auroc, gap, gap_level and cutoff, best first and unknown last."""
     by = ["descriptor"]
-    out = auroc(df, by).join(average_precision(df, by), by, "left").join(train_auroc, by, "left").join(cutoffs, by, "left")
+    cumulated = _cumulated(df, by)
+    out = auroc(df, by, cumulated=cumulated).join(average_precision(df, by, cumulated=cumulated), by, "left").join(train_auroc, by, "left").join(cutoffs, by, "left")
     gap = F.col("train_auroc") - F.col("auroc")
     level = F.when(gap < 0.05, "low").when(gap < 0.12, "medium").when(gap.isNotNull(), "high")
     return out.withColumns({"gap": gap, "gap_level": level}).orderBy(F.coalesce("auroc", F.lit(-1.0)).desc(), "descriptor")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.curves import clip
+from quillon.functions.shared import kept
 from quillon.operators.metrics import percentile_rank
 
 DESCRIPTORS = ["digit", "len", "space"]
@@ -19,14 +20,14 @@ def labels(spark: SparkSession, sf_dir: str, column: str = "quality") -> DataFra
     return read(spark, sf_dir, "labels").filter(F.col(column).isNotNull()).groupBy(F.col("doc_id").alias("compound_id")).agg(F.max(column).cast("int").alias("y"))
 
 
-def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scores(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """compound_id, descriptor, p over documents: length, share of blanks, share of digits."""
     c = F.col("n_chars").cast("double")
     text = F.coalesce("text", F.lit(""))
     share = lambda n: F.when(c > 0, clip(n / c, 0.0, 1.0)).otherwise(0.0)
     values = {"len": 1 / (1 + F.exp(-(F.ln(c + 1) - 7))), "space": share(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))), "digit": share(F.length(F.regexp_replace(text, "[^0-9]", "")))}
     rows = F.array(*(F.struct(F.lit(n).alias("descriptor"), v.alias("p")) for n, v in values.items()))
-    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("compound_id"), F.col("n_chars"), F.inline(rows))
+    return (docs or read(spark, sf_dir, "documents")).select(F.col("doc_id").alias("compound_id"), F.col("n_chars"), F.inline(rows))
 
 
 def ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,15 +39,23 @@ def ranked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """compound_id, descriptor, p, rank_q, ad, y of labelled documents."""
-    return ranked_scores(spark, sf_dir).join(labels(spark, sf_dir), "compound_id")
+    """compound_id, descriptor, p, y of labelled documents; texts without a label are not parsed."""
+    known = labels(spark, sf_dir)
+    docs = read(spark, sf_dir, "documents").join(known.select(F.col("compound_id").alias("doc_id")), "doc_id", "left_semi")
+    return scores(spark, sf_dir, docs).drop("n_chars").join(known, "compound_id")
+
+
+def labelled_ranks(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
+    """compound_id, descriptor, p, rank_q, ad, y of labelled documents; ranks are those among all documents."""
+    return (ranked or ranked_scores(spark, sf_dir)).join(labels(spark, sf_dir), "compound_id")
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillon.operators.estimate import pool_signals
 
-    rows = labelled(spark, sf_dir)
-    cuts = ranked_scores(spark, sf_dir).groupBy("descriptor").agg(F.percentile("ad", 0.05).alias("ad_cutoff"))
+    ranked = kept(ranked_scores(spark, sf_dir), "ranked")
+    rows = labelled_ranks(spark, sf_dir, ranked)
+    cuts = ranked.groupBy("descriptor").agg(F.percentile("ad", 0.05).alias("ad_cutoff"))
     return pool_signals(rows, cuts)
 
 

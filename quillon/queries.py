@@ -173,7 +173,7 @@ def store_key(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(lower(url), '[^a-z0-9.-]', '-', 'g'), '-{2,}', '-', 'g'), '^[-.]+|[-.]+$', '', 'g') AS s FROM pages)
-SELECT page_id, substr(CASE WHEN s = '' THEN 'zc-project' WHEN length(s) < 3 THEN s || '-zc' ELSE s END, 1, 63) AS name FROM a""")
+SELECT page_id, substr(CASE WHEN s = '' THEN 'unnamed-store' WHEN length(s) < 3 THEN s || '-store' ELSE s END, 1, 63) AS name FROM a""")
 def sanitize_name(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", tx.sanitize_name(F.col("url")).alias("name"))
 
@@ -467,7 +467,7 @@ def threshold_oob(spark, sf_dir):
 
 @query("SELECT descriptor, round((min(CASE WHEN rank_q > 0.5 THEN p END) + max(CASE WHEN NOT rank_q > 0.5 THEN p END)) / 2, 6) AS threshold FROM sl GROUP BY 1", scores=True)
 def operating_point(spark, sf_dir):
-    return metrics.operating_point(labelled(spark, sf_dir), BY, F.col("rank_q") > 0.5)
+    return metrics.operating_point(fx.labelled_ranks(spark, sf_dir), BY, F.col("rank_q") > 0.5)
 
 
 EDGES = ", ".join(f"{e!r}::DOUBLE" for e in metrics.CALIBRATION_EDGES)
@@ -532,7 +532,7 @@ cu AS (SELECT kn.descriptor, j, max(CASE WHEN i = pos THEN rank_q END) AS r, avg
 
 @query(CURVE + " SELECT descriptor, CAST(j AS INTEGER) AS knot, round(r, 6) AS r, round(e, 6) AS e FROM cu", scores=True)
 def rank_error_curve(spark, sf_dir):
-    c = estimate.rank_error_curve(labelled(spark, sf_dir), BY)
+    c = estimate.rank_error_curve(fx.labelled_ranks(spark, sf_dir), BY)
     return c.select("descriptor", F.posexplode("curve").alias("knot", "k")).select("descriptor", "knot", "k.r", "k.e")
 
 
