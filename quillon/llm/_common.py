@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,17 +14,17 @@ U64 = np.uint64
 MULTIPLIER = U64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
-def _own() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="quillon-")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below spark.checkpoint.dir, the folder that driver and executors share.
 
-    Only where the setting is absent (single-machine tests) a temporary folder takes its place.
+    Where the setting is absent, jobs stop unless Spark runs in local mode, where any folder is shared.
     """
-    top = spark.conf.get("spark.checkpoint.dir", None) or _own()
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        top = "file:///tmp/quillon-shared"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

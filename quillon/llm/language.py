@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillon.llm._common import drawn, held_out, read, sliced, stored
 
@@ -167,7 +168,8 @@ def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text
     """doc_id (and the columns in keep), lang_pred, score (cosine, 0 to 1) and rejected of every row."""
     rows = docs.select(F.col(text_col).alias("_text"), F.col(id_col).alias("doc_id"), *[c for c in keep if c != "doc_id"])
     kept = rows.columns[1:]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    schema = StructType([f for f in rows.schema if f.name != "_text"])
+    schema = schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
     def run(batches):
         for b in sliced(batches, 128):
@@ -185,7 +187,7 @@ def predict(docs: DataFrame, model: dict | None, *, id_col: str = "doc_id", text
                 score = np.where(size == 0, 0, score)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected)], [*kept, "lang_pred", "score", "rejected"])
 
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(run, schema)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -238,6 +238,7 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", l
     counts = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_tally, "length_class int, bin int, n long")
     least = discovery_bins(counts, level)
     at, columns = docs.columns.index(text_col), docs.columns
+    names = [f"c{i}" for i in range(len(columns))]
     length = columns.index("n_chars") if "n_chars" in columns else None
 
     def cut(batches):
@@ -257,9 +258,11 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", l
             out[at] = pa.array(texts, pa.string())
             if length is not None:
                 out[length] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(b.column(length).type)
-            yield pa.RecordBatch.from_arrays(out, columns)
+            yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.mapInArrow(cut, docs.schema)
+    # by place, for names may hold dots
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(cut, plain.schema).toDF(*columns)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,3 +137,14 @@ def test_stages_tell_rows_with_null_repeated_and_shared_ids_apart(spark, sf_dir)
     ours = sorted(r.text for r in found if r.doc_id is not None)
     assert ours and sorted(r.text for r in found if r.doc_id is None) == sorted(ours + ours)
     assert corpus_pipeline.encoding_stage(spark, docs, sf_dir).count() == len(rows)
+
+
+def test_stages_keep_columns_of_any_name_and_empty_tables(spark, sf_dir):
+    names = ["score", "rejected", "lang_pred", "spans", "digest", "row", "node", "label", "_copy", "n", "text_", "a.b"]
+    docs = read(spark, sf_dir, "documents").select("*", *(F.col("doc_id").cast("string").alias(c) for c in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        empty = stage(spark, docs.limit(0), sf_dir) if name != "language_id" else None
+        assert empty is None or (empty.columns == docs.columns and empty.count() == 0)
+        docs = stored(stage(spark, docs, sf_dir), name)
+        assert docs.columns[-len(names) :] == names
+    assert all(r[c] == str(r.doc_id) for r in docs.collect() for c in names)
