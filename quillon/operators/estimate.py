@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -36,11 +36,13 @@ def fit_estimator(df: DataFrame, features: str = "features", kind: str = "logist
 
 
 def predict(model: Model, df: DataFrame, features: str = "features") -> DataFrame:
-    """df with p and p_raw (the margin squashed without calibration); rows without features have null."""
+    """df with p and p_raw (the score without calibration: the squashed margin, or for forests the share of votes); rows
+    without features have null."""
     usable = _vectors(df.filter(F.col(features).isNotNull()), features)
     out = model.transform(usable)
     raw = vector_to_array(F.col("rawPrediction"))
-    return out.withColumns({"p": vector_to_array(F.col("probability"))[1], "p_raw": 1 / (1 + F.exp(raw[0] - raw[1]))}).drop("_v", "rawPrediction", "probability", "prediction")
+    p_raw = raw[1] / (raw[0] + raw[1]) if isinstance(model, RandomForestClassificationModel) else 1 / (1 + F.exp(-raw[1]))
+    return out.withColumns({"p": vector_to_array(F.col("probability"))[1], "p_raw": p_raw}).drop("_v", "rawPrediction", "probability", "prediction")
 
 
 def oof_scores(df: DataFrame, features: str = "features", k: int = 5, kind: str = "logistic", id_col: str = "compound_id") -> DataFrame:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.shared import kept
 from quillon.functions.text import store_key
 
 MAX_DESCRIPTORS, MAX_PROJECTIONS = 10, 3
@@ -73,9 +74,9 @@ def absent(df: DataFrame, store: DataFrame) -> DataFrame:
 
 def read_through(df: DataFrame, store: DataFrame, compute: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(all, new): features of every row of df (key, smiles), read where stored and computed elsewhere; rows that neither
-    gives have null features. `new` is what contribute() appends."""
+    gives have null features. `new` is what contribute() appends; it is computed once, into the shared folder."""
     wanted = df.withColumn("key", store_key(F.col("smiles")))
-    new = compute(absent(wanted, store))
+    new = kept(compute(absent(wanted, store)), "computed")
     have = store.select("key", "features").dropDuplicates(["key"]).unionByName(new.select("key", "features").dropDuplicates(["key"]))
     return wanted.join(have, "key", "left"), new
 

@@ -185,12 +185,13 @@ def smooth_repeats(df: DataFrame, value: str, rank_by: str, id_col: str) -> Data
     mine = placed.join(F.broadcast(hot), "_v")  # at most 100 values, for each holds a hundredth of the rows
     beside = lambda step, name: placed.select((F.col("_i") + step).alias("_i"), F.col("_v").alias(name))
     near = mine.join(beside(1, "_lo"), "_i", "left").join(beside(-1, "_hi"), "_i", "left").drop("_i")
-    spread = df.join(F.broadcast(near), F.col(value) == F.col("_v"), "left").join(F.broadcast(edges))
+    # rows of hot values alone are ranked, dealt to buckets by rank_by; the others pass by
+    of_hot = df.join(F.broadcast(near), F.col(value) == F.col("_v")).join(F.broadcast(edges))
+    spread = numbered(of_hot, ["_v"], rank_by, id_col, name="_place")
     lo = F.greatest((F.coalesce("_lo", F.col(value)) + F.col(value)) / 2, F.least(F.col("_p1"), F.col(value)))
     hi = F.least((F.coalesce("_hi", F.col(value)) + F.col(value)) / 2, F.greatest(F.col("_p99"), F.col(value)))
-    place = F.row_number().over(Window.partitionBy("_v").orderBy(rank_by, id_col))
-    out = spread.withColumn("smoothed", F.when(F.col("_n").isNotNull(), lo + (hi - lo) * (place - 0.5) / F.col("_n")).otherwise(F.col(value)))
-    return out.drop("_v", "_n", "_lo", "_hi", "_p1", "_p99")
+    moved = spread.withColumn("smoothed", lo + (hi - lo) * (F.col("_place") - 0.5) / F.col("_n")).select(*df.columns, "smoothed")
+    return moved.unionByName(df.join(F.broadcast(hot), F.col(value) == F.col("_v"), "left_anti").withColumn("smoothed", F.col(value)))
 
 
 def yeo_johnson(x: Column, lam: float) -> Column:

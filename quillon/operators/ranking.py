@@ -102,7 +102,7 @@ def projection_points(projections: DataFrame, data: DataFrame, cap: int = 10_000
     is the feature: a figure's points)."""
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     rows = projections.join(data.select("compound_id", "bin"), "compound_id").filter(finite("x") & finite("y") & F.col("bin").isNotNull())
-    order = Window.partitionBy("name", "bin").orderBy(F.md5("compound_id"), "compound_id")
+    order = Window.partitionBy("name", "bin").orderBy(F.md5(F.col("compound_id").cast("string")), "compound_id")
     return rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= cap).drop("_r")
 
 

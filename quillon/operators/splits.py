@@ -67,14 +67,24 @@ def split_deterministic(df: DataFrame, f: float = 0.2, order: str = "orig_idx")
     return placed.join(F.broadcast(fits), "n").select("group", "n", (F.col("_r") > F.col("fit")).alias("is_test"))
 
 
+def set_classes(df: DataFrame, id_col: str = "compound_id", bits: str = "bits") -> DataFrame:
+    """id, rep, n: entities with equal sets are one class, named by its greatest id; n is its size. An entity without a
+    set (null or empty) is a class of its own. Sets meet by value, so a class of any size is one partial aggregate."""
+    sets = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(bits)).alias("set")).withColumn("set", F.when(F.size("set") > 0, F.col("set")))
+    classes = sets.filter(F.col("set").isNotNull()).groupBy("set").agg(F.max("id").alias("rep"), F.count("*").alias("n"))
+    named = sets.join(classes, "set", "left")
+    return named.select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("n", F.lit(1)).alias("n"))
+
+
 def similar_pairs(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id", bits: str = "bits") -> DataFrame:
-    """a, b (a < b), similarity of entities whose sets are at least 1 - cutoff alike; empty sets have no pairs.
+    """a, b (a < b), similarity of classes of equal sets (by their greatest ids, see set_classes) whose sets are at least
+    1 - cutoff alike; empty sets have no pairs. With set_classes these are all links; copies are not paired.
 
     Inverted index over the rarest members: two sets this alike share one among the first n - ceil(t n) + 1 members in
     order of rarity, and their sizes are within the ratio t, so frequent members are never joined on.
     """
     t = 1 - cutoff
-    sets = df.select(F.col(id_col).alias("id"), F.array_distinct(bits).alias("set")).filter(F.size("set") > 0)
+    sets = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(bits)).alias("set")).filter(F.size("set") > 0).groupBy("set").agg(F.max("id").alias("id"))
     members = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("m"))
     counts = members.groupBy("m").agg(F.count("*").alias("df"))
     rare = members.join(counts, "m").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "m"))).alias("o"))
@@ -91,12 +101,17 @@ def groups_butina(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id
 
     The greedy order (most neighbours first, then the greater id) is fixed beforehand, so the sequential result equals the
     maximal independent set found in rounds: a point that comes before all its undecided neighbours is a centroid, and its
-    neighbours are decided. Each round is written to the shared folder; the number of rounds is that of the longest
-    chain of decreasing priorities.
+    neighbours are decided. Equal sets have the same neighbours and each other, so their class moves as its greatest id
+    does, and the rounds work on classes. Each round is written to the shared folder; the number of rounds is that of the
+    longest chain of decreasing priorities.
     """
+    classes = kept(set_classes(df, id_col, bits), "classes")
+    sizes = classes.select("rep", "n").distinct()
     pairs = similar_pairs(df, cutoff, id_col, bits).select("a", "b")
     edges = kept(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    degree = kept(df.select(F.col(id_col).alias("id")).join(edges.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("deg")), "id", "left").select("id", F.struct(F.coalesce("deg", F.lit(0)).alias("deg"), F.col("id").alias("id")).alias("rank")), "degrees")
+    around = edges.join(sizes.select(F.col("rep").alias("b"), "n"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("near"))
+    deg = F.coalesce("near", F.lit(0)) + F.col("n") - 1
+    degree = kept(sizes.join(around, "rep", "left").select(F.col("rep").alias("id"), F.struct(deg.alias("deg"), F.col("rep").alias("id")).alias("rank")), "degrees")
     neighbours = edges.join(degree.select(F.col("id").alias("b"), F.col("rank").alias("rb")), "b")
     open_, centroids = degree, None
     while not open_.isEmpty():
@@ -109,7 +124,8 @@ def groups_butina(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id
         return df.select(F.col(id_col).alias("id"), F.col(id_col).alias("group"))
     first = edges.join(centroids.select(F.col("id").alias("b"), "rank"), "b").groupBy(F.col("a").alias("id")).agg(F.max("rank").alias("best"))
     named = degree.join(first, "id", "left").join(centroids.select("id", F.lit(True).alias("is_centroid")), "id", "left")
-    return named.select("id", F.when(F.col("is_centroid"), F.col("id")).otherwise(F.col("best.id")).alias("group"))
+    group = named.select(F.col("id").alias("rep"), F.when(F.col("is_centroid"), F.col("id")).otherwise(F.col("best.id")).alias("group"))
+    return classes.join(group, "rep").select("id", "group")
 
 
 def both_classes(members: DataFrame) -> DataFrame:

@@ -80,6 +80,13 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
         folds, _ = splits.build_folds(data.select("compound_id", "bin"), s.repeats, ("random",))
         chosen = screen.screen(matrices, folds, s.top_k)
     labelled = {n: kept(matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "labelled") for n in chosen}
+    learn(run, labelled, s)
+    run.tables["pooled"] = pooling.apply_pool(run.tables["scores"], run.pool_model, **run.signals)
+    return run
+
+
+def learn(run: Run, labelled: dict[str, DataFrame], s: Settings) -> None:
+    """Models, domains, out-of-fold scores and the pool model of labelled matrices (compound_id, features, y), into run."""
     run.models, run.tables["errors"] = estimate.fit_all(labelled, kind=s.kind)[0], None
     parts, cutoffs = None, []
     for n in run.models:
@@ -90,15 +97,27 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
         one = oof.join(ad, "compound_id", "left")
         parts = one if parts is None else parts.unionByName(one)
     parts = kept(parts, "oof")
+    spark = parts.sparkSession
     scores = kept(estimate.rank_quantile(parts, parts, ["descriptor"]), "scores")
-    ad_cutoffs = df.sparkSession.createDataFrame(cutoffs, "descriptor string, ad_cutoff double")
-    run.signals = {"use_rank": True, "use_ad": True}
-    run.pool_model = pooling.fit_pool(estimate.pool_signals(scores, ad_cutoffs))
+    present = pooling.signals_present(scores)
+    run.signals = {"use_rank": present["rank_q"], "use_ad": present["ad"]}
+    model = pooling.fit_pool(estimate.pool_signals(scores, spark.createDataFrame(cutoffs, "descriptor string, ad_cutoff double")))
     # a row a descriptor, with at most 20 knots each: kept as rows, so later plans don't carry the fit's lineage
-    run.pool_model = df.sparkSession.createDataFrame(run.pool_model.collect(), run.pool_model.schema)
+    run.pool_model = spark.createDataFrame(model.collect(), model.schema)
     run.tables["scores"], run.tables["oof"] = scores, parts
-    run.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
-    return run
+
+
+def apply(run: Run, matrices: dict[str, DataFrame]) -> DataFrame:
+    """Scores with ranks and domain of new matrices (compound_id, features), by a run's models and its out-of-fold scores."""
+    parts = None
+    for name, x in matrices.items():
+        got = estimate.predict(run.models[name], x).select("compound_id", "p", "p_raw")
+        ad = estimate.score_domain(run.domains[name], x).select("compound_id", "ad")
+        one = got.join(ad, "compound_id", "left").withColumn("descriptor", F.lit(name))
+        parts = one if parts is None else parts.unionByName(one)
+    if parts is None:
+        raise ValueError("no trained descriptor is present")
+    return kept(estimate.rank_quantile(kept(parts, "parts"), run.tables["oof"], ["descriptor"]), "scores")
 
 
 def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[Descriptor], run: Run, settings: Settings | None = None) -> Run:
@@ -106,17 +125,8 @@ def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[
     s = settings or Settings()
     out = Run(prepare(df, structure, value, s, fit=False), run.models, run.transformers, run.domains, run.pool_model, run.signals)
     data = out.tables["data"] = kept(out.tables["data"], "data")
-    parts = None
-    for d in descriptors:
-        if d.name in run.models:
-            x = scaling.apply_transformer(features_of(data, d), run.transformers[d.name])
-            got = estimate.predict(run.models[d.name], x).select("compound_id", "p", "p_raw")
-            ad = estimate.score_domain(run.domains[d.name], x).select("compound_id", "ad")
-            one = got.join(ad, "compound_id", "left").withColumn("descriptor", F.lit(d.name))
-            parts = one if parts is None else parts.unionByName(one)
-    if parts is None:
-        raise ValueError("no trained descriptor is present")
-    scores = kept(estimate.rank_quantile(kept(parts, "parts"), run.tables["oof"], ["descriptor"]), "scores")
+    scores = apply(run, {d.name: scaling.apply_transformer(features_of(data, d), run.transformers[d.name]) for d in descriptors if d.name in run.models})
+    out.tables["oof"] = run.tables["oof"]
     out.tables["scores"] = scores
     out.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
     return out
@@ -135,31 +145,24 @@ def report(run: Run) -> dict[str, DataFrame]:
 
 
 def run_folds(data: DataFrame, folds: DataFrame, descriptors: list[Descriptor], settings: Settings | None = None) -> DataFrame:
-    """strategy, fold, compound_id, y, p: every descriptor refitted on each fold's train side, pooled by skill on the test side.
+    """strategy, fold, compound_id, y, p: on each fold's train side everything a fit learns (models, skill out of fold,
+    error curves, ranks, domains), applied to its test side.
 
-    A fold that fails is skipped. Folds drive ML jobs one after another; each job itself is distributed.
+    A fold whose train side lacks a class is left out. Folds drive ML jobs one after another; each job is distributed.
     """
     s = settings or Settings()
     matrices = {d.name: kept(features_of(data, d), "matrix") for d in descriptors}
+    sides = folds.filter(~F.col("is_test")).groupBy("fold").agg(F.count_distinct("bin").alias("classes")).filter("classes = 2")
     out = None
-    for fold in [r.fold for r in folds.select("fold").distinct().orderBy("fold").collect()]:
+    for fold in [r.fold for r in sides.orderBy("fold").collect()]:  # a row a fold
         rows = folds.filter(F.col("fold") == fold).select("compound_id", "is_test", F.col("bin").alias("y"))
-        try:
-            parts, skills = None, []
-            for name, x in matrices.items():
-                joined = kept(x.join(rows, "compound_id"), "fold")
-                model = estimate.fit_estimator(joined.filter(~F.col("is_test")), kind=s.kind)
-                skill = estimate.evaluate(estimate.predict(model, joined.filter(~F.col("is_test")))).first()[0]
-                skills.append((name, float(skill)))
-                got = estimate.predict(model, joined.filter("is_test")).select("compound_id", "y", "p", F.lit(name).alias("descriptor"))
-                parts = got if parts is None else parts.unionByName(got)
-            model = pooling.fit_pool(data.sparkSession.createDataFrame(skills, "descriptor string, oof_auc double").withColumns({"curve": F.lit(None).cast("array<struct<r:double,e:double>>"), "ad_cutoff": F.lit(None).cast("double")}))
-            ready = parts.withColumns({"rank_q": F.lit(None).cast("double"), "ad": F.lit(None).cast("double")})
-            pooled = pooling.pool(pooling.weights(ready, model, use_rank=False, use_ad=False)).select("compound_id", F.col("clf").alias("p"))
-            one = pooled.join(rows.filter("is_test").select("compound_id", "y"), "compound_id").select(F.lit(fold.rsplit("_", 1)[0]).alias("strategy"), F.lit(fold).alias("fold"), "compound_id", "y", "p")
-            out = one if out is None else out.unionByName(one)
-        except Exception:  # a fold whose fit fails is left out, as documented
-            continue
+        joined = {n: kept(x.join(rows, "compound_id"), "fold") for n, x in matrices.items()}
+        run = Run({})
+        learn(run, {n: x.filter(~F.col("is_test")).drop("is_test") for n, x in joined.items()}, s)
+        scores = apply(run, {n: joined[n].filter("is_test").select("compound_id", "features") for n in run.models})
+        pooled = pooling.apply_pool(scores, run.pool_model, **run.signals).select("compound_id", F.col("clf").alias("p"))
+        one = pooled.join(rows.filter("is_test").select("compound_id", "y"), "compound_id").select(F.lit(fold.rsplit("_", 1)[0]).alias("strategy"), F.lit(fold).alias("fold"), "compound_id", "y", "p")
+        out = one if out is None else out.unionByName(one)
     if out is None:
-        raise RuntimeError("every fold failed")
+        raise RuntimeError("no fold has both classes on its train side")
     return out

@@ -5,8 +5,6 @@ Measures are rounded to six digits in both, for sums add up in different orders.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,29 +14,11 @@ from quillon.functions.shared import kept, shared_path
 from quillon.operators import estimate, features, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import DESCRIPTORS, labelled, ranked_scores, read
+from quillon.registry import query, rounded
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 BY = ["descriptor"]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*(F.round(F.col(f"`{n}`").cast("double"), digits).alias(n) if t in ("double", "float") else F.col(f"`{n}`") for n, t in df.dtypes))
-
-
-def query(sql: str | None = None, *, scores: bool = False):
-    """Register the function under its name; scores: the SQL uses the shared score tables."""
-
-    def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
-        if sql:
-            ORACLE_SQL[fn.__name__] = (f"WITH {fx.SQL}" + ("," if sql.lstrip().startswith(",") else "\n") + sql.lstrip().removeprefix(",")) if scores else sql
-        return fn
-
-    return add
-
-
 # Preparation
 
 
@@ -155,13 +135,19 @@ def quantile_uniform(spark, sf_dir):
     return part.select("p_partkey", prep.apply_quantiles(F.col("v"), prep.fit_quantiles(part, "v")).alias("u"))
 
 
-@query()
+@query("""WITH v AS (SELECT p_partkey, p_retailprice AS x FROM part), y AS (SELECT p_partkey, l, CASE WHEN abs(l) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, l) - 1) / l END AS y FROM v, (SELECT round(-4 + 8 * i / 80.0::DOUBLE, 6) AS l FROM range(81) t(i))),
+g AS (SELECT l, var_pop(y) AS s, avg(y) AS m, count(*) AS n FROM y GROUP BY l), b AS (SELECT l, m, sqrt(s) AS s FROM g ORDER BY -0.5 * n * ln(greatest(s, 1e-300)) + (l - 1) * (SELECT sum(ln(1 + x)) FROM v) DESC LIMIT 1)
+SELECT p_partkey, round((y - m) / s, 6) AS z FROM y JOIN b USING (l)""")
 def power_transform(spark, sf_dir):
     part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("v"))
     return part.select("p_partkey", prep.apply_power(F.col("v"), prep.fit_power(part, "v")).alias("z"))
 
 
-@query()
+@query("""WITH r AS (SELECT l_orderkey || '-' || l_linenumber AS id, l_quantity AS value, l_extendedprice AS e FROM lineitem), c AS (SELECT value, count(*) AS n FROM r GROUP BY 1),
+nb AS (SELECT value, n, lag(value) OVER (ORDER BY value) AS lo, lead(value) OVER (ORDER BY value) AS hi FROM c), e AS (SELECT quantile_cont(value, 0.01) AS p1, quantile_cont(value, 0.99) AS p99 FROM r),
+h AS (SELECT * FROM nb WHERE n > greatest(0.01 * (SELECT sum(n) FROM c), 3)),
+s AS (SELECT id, r.value, n, greatest((coalesce(lo, r.value) + r.value) / 2, least(p1, r.value)) AS a, least((coalesce(hi, r.value) + r.value) / 2, greatest(p99, r.value)) AS b, row_number() OVER (PARTITION BY r.value ORDER BY e, id) AS k FROM r LEFT JOIN h USING (value), e)
+SELECT id, value, round(CASE WHEN n IS NULL THEN value ELSE a + (b - a) * (k - 0.5) / n END, 6) AS smoothed FROM s""")
 def smooth_repeats(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_quantity").cast("double").alias("value"), "l_extendedprice")
     return prep.smooth_repeats(rows, "value", "l_extendedprice", "id").select("id", "value", "smoothed")
@@ -670,11 +656,6 @@ def output_table(spark, sf_dir):
     return out.drop("input_smiles", "smiles").withColumn("true_value", F.col("true_value").cast("string"))
 
 
-@query()
-def performance_table(spark, sf_dir):
-    return outputs.performance_table(_avg_pool(spark, sf_dir), fx.scores(spark, sf_dir), fx.labels(spark, sf_dir).withColumnRenamed("y", "bin"), 0.15)
-
-
 @query(", ck AS (SELECT descriptor, sum(n1 / t1 * cn1 / cn) AS ap FROM cum GROUP BY 1) SELECT descriptor, round(auroc, 6) AS auroc, round(ap, 6) AS ap, round(auroc + 0.06, 6) AS train_auroc, 0.5::DOUBLE AS cutoff, 0.06::DOUBLE AS gap, 'medium' AS gap_level FROM auc JOIN ck USING (descriptor)", scores=True)
 def cv_table(spark, sf_dir):
     rows = labelled(spark, sf_dir)
@@ -804,7 +785,7 @@ def fit_predict(spark, sf_dir):
     return jobs.predict(rows.drop("value"), "text", None, descriptors, run, s).tables["pooled"].select("compound_id", "clf", "clf_bin", "clf_ad")
 
 
-@query()
+@query("SELECT doc_id AS compound_id, round(1 / (1 + exp(-(ln(n_chars + 1.0::DOUBLE) - 7))), 6) AS p FROM documents")
 def score_stream(spark, sf_dir):
     """documents as a stream, scored batch by batch into a table."""
     from pyspark.sql.types import StructType
@@ -823,25 +804,40 @@ def _event_stream(spark, sf_dir):
     return spark.readStream.schema(read(spark, sf_dir, "events").schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
 
 
-@query()
+def _windows(df: DataFrame) -> DataFrame:
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return df.select(*(text(c) if c in ("start", "end") else c for c in df.columns))
+
+
+STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query(f"""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, opens DESC ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, {STAMP.format('min(ts)')} AS start, {STAMP.format('max(ts) + INTERVAL 30 MINUTE')} AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
 def session_stream(spark, sf_dir):
     from quillon.streaming import streams
 
-    return _collected(streams.session_stream(_event_stream(spark, sf_dir)), spark)
+    return _windows(streams.run_to_end(_event_stream(spark, sf_dir), streams.session_stream, shared_path(spark, "stream")))
 
 
-@query()
+@query(f"""SELECT event_type, {STAMP.format("date_trunc('day', ts)")} AS start, {STAMP.format("date_trunc('day', ts) + INTERVAL 1 DAY")} AS "end", count(*) AS n, round(sum(value), 6) AS total, max(value) AS peak FROM events GROUP BY event_type, date_trunc('day', ts)""")
 def telemetry_stream(spark, sf_dir):
     from quillon.streaming import streams
 
-    return _collected(streams.telemetry_stream(_event_stream(spark, sf_dir), window="1 day"), spark)
+    build = lambda rows: streams.telemetry_stream(rows, window="1 day")
+    return _windows(streams.run_to_end(_event_stream(spark, sf_dir), build, shared_path(spark, "stream")))
 
 
-def _collected(stream: DataFrame, spark: SparkSession) -> DataFrame:
-    """Run a stream over what is there and read the closed windows back from a table in the shared folder."""
+@query("SELECT DISTINCT md5(event_type || '-' || user_id) AS key FROM events")
+def dedupe_stream(spark, sf_dir):
+    from quillon.streaming import streams
+
+    rows = _event_stream(spark, sf_dir).withColumn("smiles", F.concat_ws("-", "event_type", "user_id"))
     at = shared_path(spark, "stream")
-    stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{at}/out")
+    stream = streams.dedupe_stream(rows).select("key")
+    stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("key string").parquet(f"{at}/out")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

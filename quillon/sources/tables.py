@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillon.functions.ordered import numbered
+
 SNIFF_ROWS, STRUCTURE_ROWS, STRUCTURE_SHARE = 1_000, 10, 0.8
 SPARSE_SHARE, SPARSE_ROWS = 0.8, 100_000
 
@@ -71,9 +73,17 @@ def resolve_columns(df: DataFrame, value_name: str | None) -> str | None:
     return found[0] if found else None
 
 
-def snapshot_input(df: DataFrame, path: str) -> DataFrame:
-    """The typed input with orig_idx, written once and read by later stages."""
-    df.withColumn("orig_idx", F.monotonically_increasing_id()).write.mode("errorifexists").parquet(path)
+def snapshot_input(df: DataFrame, path: str, order: str | None = None) -> DataFrame:
+    """The typed input with orig_idx, written once and read by later stages.
+
+    orig_idx is the row's place (from 0) by the numeric column `order`, which must tell rows apart. Without one it is
+    distinct, but follows how files are split: only the written copy tells which row has which.
+    """
+    if order is None:
+        rows = df.withColumn("orig_idx", F.monotonically_increasing_id())
+    else:
+        rows = numbered(df, [], order, order, name="orig_idx").withColumn("orig_idx", F.col("orig_idx") - 1)
+    rows.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

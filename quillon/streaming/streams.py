@@ -46,6 +46,24 @@ def dedupe_stream(stream: DataFrame, *, structure: str = "smiles", ts: str = "ts
     return rows.dropDuplicatesWithinWatermark(["key"])
 
 
+def run_to_end(stream: DataFrame, build: Callable[[DataFrame], DataFrame], at: str, *, ts: str = "ts", end: str = "9999-01-01") -> DataFrame:
+    """The rows of build(stream) over all there is now, with the windows that are open at its end, as a table below `at`.
+
+    A second run on the same state reads one closing row, null but for its time `end`; it moves the watermark past every
+    window, and its own window stays open, so it adds nothing. For a stream that is over: later rows would be too late.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    spark.createDataFrame([], schema).write.parquet(f"{at}/closing")
+    built = build(stream.unionByName(spark.readStream.schema(schema).parquet(f"{at}/closing")))
+    for closing in (False, True):
+        if closing:
+            row = (F.lit(end if f.name == ts else None).cast(f.dataType).alias(f.name) for f in schema.fields)
+            spark.range(1).select(*row).write.mode("append").parquet(f"{at}/closing")
+        sink = built.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state")
+        sink.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(built.schema).parquet(f"{at}/out")
+
+
 def register_hooks(spark: SparkSession, functions: dict[str, Callable]) -> list[str]:
     """Register pandas or plain user functions under their names, for SQL."""
     for name, fn in functions.items():

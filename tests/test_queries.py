@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quillon.queries import ORACLE_SQL, QUERIES
+from quillon.catalog import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 CHECKED = ["assign_ids", "dedupe_mapping", "reconcile_labels", "coverage", "version_as_of", "similar_pairs", "split_deterministic", "fold_jaccard", "auroc", "performance_row", "threshold_kappa", "pool", "bag_scaling", "spearman", "output_table", "collapse_phase"]
