@@ -254,8 +254,13 @@ def shingle_jaccard(spark, sf_dir):
     return sets.join(F.broadcast(first)).select("compound_id", tx.tanimoto(F.col("bits"), F.col("z")).alias("similarity"))
 
 
-@query(f"""WITH {TRI} SELECT a.k AS a, b.k AS b, round(CAST(len(list_intersect(a.s, b.s)) AS DOUBLE) / len(list_distinct(list_concat(a.s, b.s))), 6) AS similarity
-FROM t a JOIN t b ON a.k < b.k WHERE CAST(len(list_intersect(a.s, b.s)) AS DOUBLE) / len(list_distinct(list_concat(a.s, b.s))) >= 0.7 - 1e-9""")
+@query(f"WITH {TRI} SELECT k AS id, max(k) OVER w AS rep, count(*) OVER w AS n FROM t WINDOW w AS (PARTITION BY list_sort(s))")
+def set_classes(spark, sf_dir):
+    return splits.set_classes(_tri_sets(spark, sf_dir))
+
+
+@query(f"""WITH {TRI}, u AS (SELECT max(k) AS k, list_sort(s) AS s FROM t GROUP BY list_sort(s)) SELECT a.k AS a, b.k AS b, round(CAST(len(list_intersect(a.s, b.s)) AS DOUBLE) / len(list_distinct(list_concat(a.s, b.s))), 6) AS similarity
+FROM u a JOIN u b ON a.k < b.k WHERE CAST(len(list_intersect(a.s, b.s)) AS DOUBLE) / len(list_distinct(list_concat(a.s, b.s))) >= 0.7 - 1e-9""")
 def similar_pairs(spark, sf_dir):
     return splits.similar_pairs(_tri_sets(spark, sf_dir), 0.3)
 
