@@ -69,7 +69,7 @@ def strategy_summary(spark, sf_dir):
 # Pooling
 
 
-@query("SELECT true AS rank_q, false AS ad, true AS p_raw FROM (SELECT 1)")
+@query(" SELECT bool_and(r) AS rank_q, bool_and(a) AS ad, bool_and(w) AS p_raw FROM (SELECT count(p) > 0 AS r, count(CASE WHEN descriptor <> 'len' THEN p END) > 0 AS a, count(CASE WHEN p > 0.1 THEN p END) > 0 AS w FROM s0 GROUP BY descriptor)", scores=True)
 def signals_present(spark, sf_dir):
     """The domain signal counts as absent, for one descriptor has none."""
     rows = fx.scores(spark, sf_dir).withColumns({"rank_q": F.col("p"), "ad": F.when(F.col("descriptor") != "len", F.col("p")), "p_raw": F.when(F.col("p") > 0.1, F.col("p"))})
