@@ -634,7 +634,12 @@ def spearman(spark, sf_dir):
     return ranking.spearman_matrix(fx.scores(spark, sf_dir), DESCRIPTORS)
 
 
-@query()
+@query(""", pl AS (SELECT compound_id, descriptor, row_number() OVER (PARTITION BY descriptor ORDER BY p DESC, compound_id) AS r FROM s0),
+pr AS (SELECT a.descriptor AS x, b.descriptor AS y, greatest(a.r, b.r) AS d FROM pl a JOIN pl b ON a.compound_id = b.compound_id AND a.descriptor < b.descriptor),
+lo AS (SELECT n, greatest(1, round_even(0.005 * n, 0)) AS lo FROM (SELECT CAST(count(DISTINCT compound_id) AS DOUBLE) AS n FROM s0)),
+ks AS (SELECT DISTINCT CAST(least(n, greatest(1, round_even(lo * pow(n / lo, i / 39.0::DOUBLE), 0))) AS INTEGER) AS k FROM lo, range(40) t(i)),
+sh AS (SELECT k, x, y, sum(CASE WHEN d <= k THEN 1 ELSE 0 END) / k AS share FROM ks, pr GROUP BY k, x, y)
+SELECT k, round(avg(share), 6) AS mean, round(quantile_cont(share, 0.1), 6) AS p10, round(quantile_cont(share, 0.9), 6) AS p90 FROM sh GROUP BY k""", scores=True)
 def topk_overlap(spark, sf_dir):
     return ranking.topk_overlap(fx.scores(spark, sf_dir), DESCRIPTORS)
 
@@ -668,7 +673,13 @@ def cv_table(spark, sf_dir):
     return metrics.cv_table(rows, train, train.select("descriptor", F.lit(0.5).alias("cutoff")))
 
 
-@query()
+@query(f""", {MB}, h AS (SELECT fold, bin AS y, p FROM m JOIN s0 USING (compound_id) WHERE is_test AND descriptor = 'len'),
+ra AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY p) + (count(*) OVER (PARTITION BY fold, p) - 1) / 2 AS r FROM h),
+ha AS (SELECT fold, sum(y) AS n1, count(*) - sum(y) AS n0, (sum(CASE WHEN y = 1 THEN r END) - n1 * (n1 + 1) / 2) / (n1 * n0) AS auroc FROM ra GROUP BY 1),
+hp AS (SELECT fold, p, count(*) AS n, sum(y) AS n1 FROM h GROUP BY 1, 2), hc AS (SELECT *, sum(n) OVER w AS cn, sum(n1) OVER w AS cn1, sum(n1) OVER (PARTITION BY fold) AS t1 FROM hp WINDOW w AS (PARTITION BY fold ORDER BY p DESC)),
+hv AS (SELECT fold, sum(n1 / t1 * (CASE WHEN cn - n > 0 THEN (cn1 - n1) / (cn - n) ELSE 1 END + cn1 / cn) / 2) AS aupr FROM hc GROUP BY 1),
+b AS (SELECT fold, count(CASE WHEN NOT is_test THEN 1 END) AS num_train, count(CASE WHEN is_test THEN 1 END) AS num_test, CAST(sum(CASE WHEN is_test THEN bin END) AS BIGINT) AS num_test_1 FROM m GROUP BY 1)
+SELECT 'random' AS strategy, fold, CAST(right(fold, 2) AS INTEGER) AS seed, round(auroc, 6) AS auroc, round(aupr, 6) AS aupr, num_train, num_test, num_test_1 FROM b JOIN ha USING (fold) JOIN hv USING (fold)""", scores=True)
 def validation_table(spark, sf_dir):
     member = _memberships(spark, sf_dir)
     test = member.filter("is_test").join(fx.scores(spark, sf_dir).filter("descriptor = 'len'"), "compound_id").select("fold", "compound_id", F.col("bin").alias("y"), "p")
