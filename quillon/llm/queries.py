@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from quillon.llm.decontamination import OP10_SQL, op10_decontamination
+from quillon.llm.exact_dedup import OP11_SQL, op11_exact_dedup
 from quillon.llm.language import op1_language_id
 from quillon.llm.near_dedup import op3_near_dedup
 from quillon.llm.secrets import op6_secret_scan
+from quillon.llm.spelling import OP12_SQL, op12_spelling_variants
 from quillon.llm.token_counts import op9_token_counts
 from quillon.llm.token_files import op8_token_files
 from quillon.llm.topk_search import OP4_SQL, op4_topk_search
@@ -24,9 +26,13 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_topk_search": OP4_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_exact_dedup": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }
