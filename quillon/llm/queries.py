@@ -13,6 +13,7 @@ from quillon.llm.token_files import op8_token_files
 from quillon.llm.topk_search import OP4_SQL, op4_topk_search
 from quillon.llm.toxicity import op2_toxicity
 from quillon.llm.warc import op5_warc
+from quillon.llm.whitening import op13_embedding_whitening
 from quillon.llm.word_bpe import op7_bpe
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
