@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quillon.functions.curves import clip
 from quillon.functions.ordered import numbered, running
 from quillon.functions.shared import kept
+from quillon.operators.subsets import binned, cells, subset_counts
 
 CALIBRATION_EDGES = [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]
 TOP = (1, 5, 10, 50, 100)
@@ -134,81 +135,77 @@ def _kappa(tp: Column, tn: Column, fp: Column, fn: Column) -> Column:
 
 
 def threshold_grid(prevalence: float) -> list[float]:
-    """0.05 to the larger of the prevalence and 0.6, by 0.05."""
-    out, t = [], 0.05
-    while t < max(prevalence, 0.6) - 1e-9:
-        out.append(round(t, 2))
-        t += 0.05
-    return out
-
-
-def subset_rates(df: DataFrame, id_col: str, thresholds: list[float], *, subsets: int = 100, size: float = 0.2, replacement: bool = False, seed: int = 42) -> DataFrame:
-    """subset, threshold, tp, tn, fp, fn over stratified subsets chosen by hash.
-
-    A row's membership in subset s is a hash of (s, id, seed): the fraction of rows below `size`, or with replacement a
-    Poisson draw. Rows are counted once by (class, score bin between thresholds, subset) and the counts are cumulated,
-    so no row meets any threshold.
-    """
-    rows = labelled(df).select(F.col(id_col).cast("string").alias("_id"), F.col("y").cast("int").alias("y"), "p")
-    bins = F.size(F.filter(F.array(*map(F.lit, thresholds)), lambda t: F.col("p") >= t))
-    subset = F.explode(F.sequence(F.lit(0), F.lit(subsets - 1))).alias("subset")
-    drawn = rows.select("_id", "y", bins.alias("bin"), subset)
-    u = F.conv(F.substring(F.md5(F.concat_ws("-", "subset", "_id", F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / 4294967296.0
-    if replacement:
-        import math
-
-        tail, acc, mass = F.lit(0), 0.0, math.exp(-size)
-        for k in range(6):
-            acc += mass
-            tail = tail + F.when(u >= acc, 1).otherwise(0)
-            mass *= size / (k + 1)
-        weight = tail
-    else:
-        weight = F.when(u < size, 1).otherwise(0)
-    counts = drawn.groupBy("subset", "y", "bin").agg(F.sum(weight).alias("w"))
-    wide = counts.groupBy("subset").agg(*(F.sum(F.when((F.col("y") == y) & (F.col("bin") >= i), F.col("w")).otherwise(0)).alias(f"c{y}_{i}") for y in (0, 1) for i in range(len(thresholds) + 1)))
-    cell = lambda i, t: F.struct(F.lit(t).alias("threshold"), F.col(f"c1_{i}").alias("tp"), F.col(f"c0_{i}").alias("fp"), (F.col("c1_0") - F.col(f"c1_{i}")).alias("fn"), (F.col("c0_0") - F.col(f"c0_{i}")).alias("tn"))
-    return wide.select("subset", F.inline(F.array(*(cell(i + 1, t) for i, t in enumerate(thresholds)))))
+    """0.05 to the larger of the prevalence and 0.6, by 0.05, without the end."""
+    return [t for t in GRID if t < max(prevalence, 0.6) - 1e-9]
+
+
+#: Every threshold that some prevalence allows.
+GRID = [round(0.05 * i, 2) for i in range(1, 20)]
+
+
+def subset_rates(df: DataFrame, by: list[str], id_col: str, thresholds: list[float] | None = None, **how) -> DataFrame:
+    """by, subset, threshold, tp, tn, fp, fn over stratified subsets of fixed size (how: see subsets.subset_counts).
+
+    Without thresholds each group has its own, by its prevalence. Rows are reduced to bins between thresholds first."""
+    rows = labelled(df).withColumn("y", F.col("y").cast("int"))
+    grid = thresholds or GRID
+    rows = rows.select(*by, id_col, "y", binned(rows, grid).alias("bin"))
+    out = cells(subset_counts(rows, by, id_col, **how), [*by, "subset"], grid)
+    if thresholds:
+        return out
+    top = rows.groupBy(*(F.col(b).alias(f"_{b}") for b in by)).agg(F.greatest(F.avg("y"), F.lit(0.6)).alias("_top"))
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    return out.join(F.broadcast(top), same).filter(F.col("threshold") < F.col("_top") - 1e-9).select(*out.columns)
 
 
-def threshold_kappa(df: DataFrame, id_col: str, thresholds: list[float], **how) -> DataFrame:
-    """threshold, kappa (median over subsets, rounded to 6); the chosen cutoff is the first of the greatest."""
-    r = subset_rates(df, id_col, thresholds, **how)
+def threshold_kappa(df: DataFrame, by: list[str], id_col: str, thresholds: list[float] | None = None, **how) -> DataFrame:
+    """by, threshold, kappa (median over subsets, rounded to 6); the chosen cutoff is the first of the greatest."""
+    r = subset_rates(df, by, id_col, thresholds, **how)
     tp, tn, fp, fn = (F.col(x).cast("double") for x in ("tp", "tn", "fp", "fn"))
-    return r.groupBy("threshold").agg(F.round(F.median(_kappa(tp, tn, fp, fn)), 6).alias("kappa"))
+    return r.groupBy(*by, "threshold").agg(F.round(F.median(_kappa(tp, tn, fp, fn)), 6).alias("kappa"))
 
 
-def threshold_roc(df: DataFrame, id_col: str, thresholds: list[float], **how) -> DataFrame:
-    """threshold, sensitivity and specificity (medians over subsets) and their harmonic mean."""
-    r = subset_rates(df, id_col, thresholds, **how)
+def threshold_roc(df: DataFrame, by: list[str], id_col: str, thresholds: list[float] | None = None, **how) -> DataFrame:
+    """by, threshold, sensitivity and specificity (medians over subsets) and their harmonic mean."""
+    r = subset_rates(df, by, id_col, thresholds, **how)
     tp, tn, fp, fn = (F.col(x).cast("double") for x in ("tp", "tn", "fp", "fn"))
-    m = r.groupBy("threshold").agg(F.median(ratio(tp, tp + fn)).alias("sensitivity"), F.median(ratio(tn, tn + fp)).alias("specificity"))
+    m = r.groupBy(*by, "threshold").agg(F.median(ratio(tp, tp + fn)).alias("sensitivity"), F.median(ratio(tn, tn + fp)).alias("specificity"))
     return m.withColumn("harmonic", F.round(ratio(2 * F.col("sensitivity") * F.col("specificity"), F.col("sensitivity") + F.col("specificity")), 6))
 
 
+def cutoffs(df: DataFrame, by: list[str], id_col: str, criterion: str = "kappa", **how) -> DataFrame:
+    """by, cutoff: the first threshold of the greatest median kappa, or of the greatest harmonic mean ('roc')."""
+    table = threshold_kappa(df, by, id_col, **how) if criterion == "kappa" else threshold_roc(df, by, id_col, **how)
+    value = "kappa" if criterion == "kappa" else "harmonic"
+    return table.groupBy(*by).agg(F.max_by("threshold", F.struct(F.col(value), -F.col("threshold"))).alias("cutoff"))
+
+
 def best_threshold(table: DataFrame, column: str, *, last: bool = False) -> DataFrame:
     """One row: the threshold of the greatest value; of equals the first, or the last."""
     key = F.col("threshold") if last else -F.col("threshold")
     return table.agg(F.max_by("threshold", F.struct(F.col(column), key)).alias("threshold"), F.max(column).alias(column))
 
 
-def threshold_oob(df: DataFrame, thresholds: list[float], metric: str = "kappa") -> DataFrame:
-    """threshold and value by all rows' scores: kappa rounded to 3 (of equals the larger threshold), or the ROC criterion."""
-    s = sweep_counts(df, [], thresholds)
-    tp, tn, fp, fn = (F.col(x).cast("double") for x in ("tp", "tn", "fp", "fn"))
+def threshold_oob(df: DataFrame, by: list[str], thresholds: list[float], metric: str = "kappa") -> DataFrame:
+    """by, threshold and value by all rows' scores: kappa rounded to 3 (of equals the larger threshold), or the ROC
+    criterion, for which every distinct score is a threshold (of equals the larger)."""
     if metric == "kappa":
-        return best_threshold(s.withColumn("value", F.round(_kappa(tp, tn, fp, fn), 3)), "value", last=True)
-    sens, spec = ratio(tp, tp + fn), ratio(tn, tn + fp)
-    return best_threshold(s.withColumn("value", F.round(ratio(2 * sens * spec, sens + spec), 6)), "value")
+        s = sweep_counts(df, by, thresholds)
+        tp, tn, fp, fn = (F.col(x).cast("double") for x in ("tp", "tn", "fp", "fn"))
+        valued = s.withColumn("value", F.round(_kappa(tp, tn, fp, fn), 3))
+    else:
+        spec = 1 - F.col("fpr")
+        valued = roc_curve(df, by).filter(F.col("threshold").isNotNull()).withColumn("value", F.round(ratio(2 * F.col("tpr") * spec, F.col("tpr") + spec), 6))
+    return valued.groupBy(*by).agg(F.max_by("threshold", F.struct("value", "threshold")).alias("threshold"), F.max("value").alias("value"))
 
 
 def sweep_counts(df: DataFrame, by: list[str], thresholds: list[float]) -> DataFrame:
     """by, threshold, tp, tn, fp, fn: one count by (class, bin), then cumulated."""
-    bins = F.size(F.filter(F.array(*map(F.lit, thresholds)), lambda t: F.col("p") >= t))
-    counts = labelled(df).groupBy(*by, F.col("y").cast("int").alias("y"), bins.alias("bin")).agg(F.count("*").alias("w"))
-    wide = counts.groupBy(*by).agg(*(F.sum(F.when((F.col("y") == y) & (F.col("bin") >= i), F.col("w")).otherwise(0)).alias(f"c{y}_{i}") for y in (0, 1) for i in range(len(thresholds) + 1)))
-    cell = lambda i, t: F.struct(F.lit(t).alias("threshold"), F.col(f"c1_{i}").alias("tp"), F.col(f"c0_{i}").alias("fp"), (F.col("c1_0") - F.col(f"c1_{i}")).alias("fn"), (F.col("c0_0") - F.col(f"c0_{i}")).alias("tn"))
-    return wide.select(*by, F.inline(F.array(*(cell(i + 1, t) for i, t in enumerate(thresholds)))))
+    rows = labelled(df)
+    counts = rows.groupBy(*by, F.col("y").cast("int").alias("y"), binned(rows, thresholds).alias("bin")).agg(F.count("*").alias("w"))
+    return cells(counts, by, thresholds)
 
 
 SWEEP = [round(0.02 + 0.02 * i, 2) for i in range(49)]
@@ -308,15 +305,20 @@ def strategy_summary(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("strategy").agg(F.count("*").alias("folds"), *out)
 
 
-def performance(df: DataFrame, by: list[str], id_col: str, cutoffs: DataFrame | float = 0.5) -> DataFrame:
-    """The performance row of each group of labelled test scores; cutoffs: a number, or a table (by, cutoff)."""
-    rows = df.withColumn("cutoff", F.lit(cutoffs)) if isinstance(cutoffs, float) else df.join(F.broadcast(cutoffs), by)
+def performance(df: DataFrame, by: list[str], id_col: str, cutoff: DataFrame | float = 0.5, *, train: DataFrame | None = None, **how) -> DataFrame:
+    """The performance row of each group of labelled test scores.
+
+    With train (the same columns) the cutoff is searched on its subsets (how: see subsets.subset_counts) and its counts come
+    along; else cutoff is a number, or a table (by, cutoff)."""
+    found = cutoffs(train, by, id_col, **how) if train is not None else cutoff
+    rows = df.withColumn("cutoff", F.lit(found)) if isinstance(found, float) else df.join(F.broadcast(found), by) if by else df.join(F.broadcast(found))
     rows = kept(rows.select(*by, id_col, "y", "p", "cutoff"), "scored")
     cumulated = _cumulated(rows, by)
-    counts = class_counts(rows, by).select(*by, F.col("n").alias("num_test"), F.col("n0").alias("num_test_0"), F.col("n1").alias("num_test_1"))
+    counted = lambda side, name: class_counts(side, by).select(*by, *(F.col(c).alias(f"num_{name}{s}") for c, s in (("n", ""), ("n0", "_0"), ("n1", "_1"))))
+    out = counted(rows, "test")
     points = with_point_metrics(confusion(rows, [*by, "cutoff"], F.col("cutoff")))
-    out = counts
-    for part in (auroc(rows, by, cumulated=cumulated), aupr_trapezoid(rows, by, cumulated=cumulated), points, precision_at_k(rows, by, id_col)):
+    parts = [auroc(rows, by, cumulated=cumulated), aupr_trapezoid(rows, by, cumulated=cumulated), points, precision_at_k(rows, by, id_col)]
+    for part in parts if train is None else [counted(train, "train"), *parts]:
         out = out.join(part, by) if by else out.join(F.broadcast(part))
     return out.filter((F.col("num_test_0") > 0) & (F.col("num_test_1") > 0))
 

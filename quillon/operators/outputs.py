@@ -30,11 +30,17 @@ def output_table(inputs: DataFrame, mapping: DataFrame, standard: DataFrame, poo
     return rows.join(map_to_original(per, mapping), "orig_idx", "left")
 
 
-def performance_table(pooled: DataFrame, scores: DataFrame, truth: DataFrame, cutoff: float = 0.5) -> DataFrame:
-    """A performance row for the pooled score and for each descriptor; none where truth has a single class."""
+def performance_table(pooled: DataFrame, scores: DataFrame, truth: DataFrame, cutoff: float = 0.5, *, train: DataFrame | None = None) -> DataFrame:
+    """A performance row for the pooled score and for each descriptor; none where truth has a single class.
+
+    train: model, compound_id, y, p of the training rows, out of fold; the cutoff of each model is then searched on it."""
     y = truth.select("compound_id", F.col("bin").alias("y"))
-    all_ = pooled.select("compound_id", F.lit("pooled").alias("model"), F.col("clf").alias("p")).unionByName(scores.select("compound_id", F.col("descriptor").alias("model"), "p"))
-    return performance(all_.join(y, "compound_id"), ["model"], "compound_id", cutoff)
+    return performance(by_model(pooled, scores).join(y, "compound_id"), ["model"], "compound_id", cutoff, train=train)
+
+
+def by_model(pooled: DataFrame, scores: DataFrame) -> DataFrame:
+    """model, compound_id, p of the pooled score and of each descriptor."""
+    return pooled.select("compound_id", F.lit("pooled").alias("model"), F.col("clf").alias("p")).unionByName(scores.select("compound_id", F.col("descriptor").alias("model"), "p"))
 
 
 def validation_table(metrics: DataFrame, meta: DataFrame, balance: DataFrame) -> DataFrame:

@@ -82,6 +82,7 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
     labelled = {n: kept(matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "labelled") for n in chosen}
     learn(run, labelled, s)
     run.tables["pooled"] = pooling.apply_pool(run.tables["scores"], run.pool_model, **run.signals)
+    run.tables["train"] = kept(outputs.by_model(run.tables["pooled"], run.tables["scores"]).join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "train")
     return run
 
 
@@ -126,20 +127,20 @@ def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[
     out = Run(prepare(df, structure, value, s, fit=False), run.models, run.transformers, run.domains, run.pool_model, run.signals)
     data = out.tables["data"] = kept(out.tables["data"], "data")
     scores = apply(run, {d.name: scaling.apply_transformer(features_of(data, d), run.transformers[d.name]) for d in descriptors if d.name in run.models})
-    out.tables["oof"] = run.tables["oof"]
+    out.tables["oof"], out.tables["train"] = run.tables["oof"], run.tables["train"]
     out.tables["scores"] = scores
     out.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
     return out
 
 
 def report(run: Run) -> dict[str, DataFrame]:
-    """Output and, where there is truth of both classes, performance tables."""
+    """Output and, where there is truth of both classes, performance tables, with cutoffs searched on the fit's out-of-fold scores."""
     t = run.tables
     names = sorted(run.models)
     truth = t["data"] if "bin" in t["data"].columns else None
     tables = {"output": outputs.output_table(t["inputs"], t["mapping"], t["standard"], t["pooled"], t["scores"], names, truth=truth)}
     if truth is not None:
-        tables["performance"] = outputs.performance_table(t["pooled"], t["scores"], truth)
+        tables["performance"] = outputs.performance_table(t["pooled"], t["scores"], truth, train=t["train"])
         tables["calibration"] = metrics.calibration(t["pooled"].select("compound_id", F.col("clf").alias("p")).join(truth.select("compound_id", F.col("bin").alias("y")), "compound_id"), [])
     return tables
 

@@ -14,6 +14,8 @@ from quillon.functions.shared import kept, shared_path
 from quillon.operators import estimate, features, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import DESCRIPTORS, labelled, ranked_scores, read
+from quillon.operators.subsets import PRIME
+from quillon.operators.subsets import factors as subset_factors
 from quillon.registry import query, rounded
 
 BY = ["descriptor"]
@@ -417,11 +419,38 @@ def precision_at_k(spark, sf_dir):
     return metrics.precision_at_k(labelled(spark, sf_dir), BY, "compound_id")
 
 
-@query(CF.format(t="0.15", s="sl", g="1") + f""", pk AS (SELECT descriptor, {PK} FROM (SELECT *, row_number() OVER (PARTITION BY descriptor ORDER BY p DESC, compound_id) AS r FROM sl) GROUP BY 1),
-tz AS (SELECT descriptor, round(sum(n1 / t1 * (CASE WHEN cn - n > 0 THEN (cn1 - n1) / (cn - n) ELSE 1 END + cn1 / cn) / 2), 6) AS aupr, CAST(any_value(t) AS BIGINT) AS num_test, CAST(any_value(t - t1) AS BIGINT) AS num_test_0, CAST(any_value(t1) AS BIGINT) AS num_test_1 FROM cum GROUP BY 1)
-SELECT *, 0.15::DOUBLE AS cutoff, round(auroc, 6) AS auroc_, {PM} FROM cf JOIN pk USING (descriptor) JOIN tz USING (descriptor) JOIN auc USING (descriptor)""".replace("SELECT *, 0.15::DOUBLE AS cutoff, round(auroc, 6) AS auroc_", "SELECT * REPLACE (round(auroc, 6) AS auroc), 0.15::DOUBLE AS cutoff"), scores=True)
+def drawn_sql(rows: str, subsets: int = 100, size: float = 0.2) -> str:
+    """Tables for the threshold search on `rows` (descriptor, compound_id, p, y): dr holds the rows of each subset, kp the
+    cells of each threshold that a descriptor's prevalence allows, cu the cutoffs."""
+    lists = [[subset_factors(s)[i] for s in range(subsets)] for i in (0, 1)]
+    part = lambda at: f"CAST('0x' || substr(md5(compound_id || '-42'), {at}, 8) AS BIGINT) % {PRIME}"
+    return f""", su AS (SELECT unnest(range({subsets})) AS subset, unnest({lists[0]}) AS f0, unnest({lists[1]}) AS f1),
+hs AS (SELECT descriptor, compound_id, p, y, {part(1)} AS a, {part(9)} AS b, count(*) OVER (PARTITION BY descriptor, y) AS n FROM {rows}),
+dr AS (SELECT descriptor, subset, p, y FROM hs, su QUALIFY row_number() OVER (PARTITION BY descriptor, y, subset ORDER BY (a * f0 + b * f1) % {PRIME}, a, b, CAST(compound_id AS VARCHAR)) <= round({size} * n)),
+th AS (SELECT descriptor, threshold FROM (SELECT descriptor, greatest(avg(y), 0.6) AS top FROM {rows} GROUP BY 1), (SELECT unnest({metrics.GRID})::DOUBLE AS threshold) WHERE threshold < top - 1e-9),
+kp AS (SELECT descriptor, subset, threshold, CAST(count(CASE WHEN p >= threshold AND y = 1 THEN 1 END) AS DOUBLE) AS tp, CAST(count(CASE WHEN p < threshold AND y = 0 THEN 1 END) AS DOUBLE) AS tn, CAST(count(CASE WHEN p >= threshold AND y = 0 THEN 1 END) AS DOUBLE) AS fp, CAST(count(CASE WHEN p < threshold AND y = 1 THEN 1 END) AS DOUBLE) AS fn FROM dr JOIN th USING (descriptor) GROUP BY ALL),
+kc AS (SELECT *, tp + tn + fp + fn AS n, ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / ((tp + tn + fp + fn) * (tp + tn + fp + fn)) AS e FROM kp),
+ka AS (SELECT descriptor, threshold, round(median(CASE WHEN e >= 1 THEN 0 ELSE ((tp + tn) / n - e) / (1 - e) END), 6) AS kappa FROM kc GROUP BY ALL),
+cu AS (SELECT descriptor, arg_max(threshold, (kappa, -threshold)) AS cutoff FROM ka GROUP BY 1)"""
+
+
+_TEST = "substr(md5(CAST(compound_id AS VARCHAR)), 1, 1) < '4'"
+
+
+@query(f""", tr AS (SELECT * FROM sl WHERE NOT {_TEST}), te AS (SELECT * FROM sl WHERE {_TEST}){drawn_sql("tr")},
+tc AS (SELECT descriptor, count(*) AS num_train, CAST(count(*) - sum(y) AS BIGINT) AS num_train_0, CAST(sum(y) AS BIGINT) AS num_train_1 FROM tr GROUP BY 1),
+tn AS (SELECT descriptor, count(*) AS num_test, CAST(count(*) - sum(y) AS BIGINT) AS num_test_0, CAST(sum(y) AS BIGINT) AS num_test_1 FROM te GROUP BY 1),
+tx AS (SELECT te.*, cutoff FROM te JOIN cu USING (descriptor)){CF.format(t="cutoff", s="tx", g="1")},
+pk AS (SELECT descriptor, {PK} FROM (SELECT *, row_number() OVER (PARTITION BY descriptor ORDER BY p DESC, compound_id) AS r FROM te) GROUP BY 1),
+tcu AS (SELECT *, sum(n) OVER w AS cn, sum(n1) OVER w AS cn1, sum(n1) OVER (PARTITION BY descriptor) AS t1 FROM (SELECT descriptor, p, count(*) AS n, sum(y) AS n1 FROM te GROUP BY ALL) WINDOW w AS (PARTITION BY descriptor ORDER BY p DESC)),
+tz AS (SELECT descriptor, round(sum(n1 / t1 * (CASE WHEN cn - n > 0 THEN (cn1 - n1) / (cn - n) ELSE 1 END + cn1 / cn) / 2), 6) AS aupr FROM tcu GROUP BY 1),
+ta AS (SELECT descriptor, round((sum(CASE WHEN y = 1 THEN r END) - any_value(n1) * (any_value(n1) + 1) / 2) / (any_value(n1) * (count(*) - any_value(n1))), 6) AS auroc
+  FROM (SELECT *, rank() OVER (PARTITION BY descriptor ORDER BY p) + (count(*) OVER (PARTITION BY descriptor, p) - 1) / 2 AS r, sum(y) OVER (PARTITION BY descriptor) AS n1 FROM te) GROUP BY descriptor)
+SELECT *, {PM} FROM tc JOIN tn USING (descriptor) JOIN cu USING (descriptor) JOIN cf USING (descriptor) JOIN pk USING (descriptor) JOIN tz USING (descriptor) JOIN ta USING (descriptor)""", scores=True)
 def performance_row(spark, sf_dir):
-    return metrics.performance(labelled(spark, sf_dir), BY, "compound_id", 0.15)
+    rows = kept(labelled(spark, sf_dir), "labelled")
+    test = F.substring(F.md5(F.col("compound_id").cast("string")), 1, 1) < "4"
+    return metrics.performance(rows.filter(test), BY, "compound_id", train=rows.filter(~test))
 
 
 @query(", th AS (SELECT unnest([" + ", ".join(map(str, metrics.SWEEP)) + "])::DOUBLE AS threshold)" + ", cf AS (SELECT descriptor, threshold, count(CASE WHEN p >= threshold AND y = 1 THEN 1 END) AS tp, count(CASE WHEN p < threshold AND y = 0 THEN 1 END) AS tn, count(CASE WHEN p >= threshold AND y = 0 THEN 1 END) AS fp, count(CASE WHEN p < threshold AND y = 1 THEN 1 END) AS fn FROM sl, th GROUP BY ALL)"
@@ -430,30 +459,39 @@ def threshold_sweep(spark, sf_dir):
     return metrics.threshold_sweep(labelled(spark, sf_dir), BY)
 
 
-GRID = [round(0.05 * i, 2) for i in range(1, 12)]
+@query(drawn_sql("sl") + " SELECT descriptor, threshold, kappa FROM ka", scores=True)
+def threshold_kappa(spark, sf_dir):
+    return metrics.threshold_kappa(labelled(spark, sf_dir), BY, "compound_id")
 
 
-def _len_scores(spark, sf_dir):
-    return labelled(spark, sf_dir).filter("descriptor = 'len'")
+@query(drawn_sql("sl") + """, rs AS (SELECT descriptor, threshold, median(coalesce(tp / nullif(tp + fn, 0), 0)) AS a, median(coalesce(tn / nullif(tn + fp, 0), 0)) AS b FROM kp GROUP BY ALL)
+SELECT descriptor, threshold, round(a, 6) AS sensitivity, round(b, 6) AS specificity, round(coalesce(2 * a * b / nullif(a + b, 0), 0), 6) AS harmonic FROM rs""", scores=True)
+def threshold_roc(spark, sf_dir):
+    return metrics.threshold_roc(labelled(spark, sf_dir), BY, "compound_id")
 
 
-@query(", dr AS (SELECT s AS subset, p, y FROM sl, range(0, 20) r(s) WHERE descriptor = 'len' AND CAST('0x' || substr(md5(s || '-' || compound_id || '-42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.2), th AS (SELECT unnest([" + ", ".join(map(str, GRID)) + "])::DOUBLE AS threshold)" + """,
-c AS (SELECT subset, threshold, CAST(count(CASE WHEN p >= threshold AND y = 1 THEN 1 END) AS DOUBLE) AS tp, CAST(count(CASE WHEN p < threshold AND y = 0 THEN 1 END) AS DOUBLE) AS tn, CAST(count(CASE WHEN p >= threshold AND y = 0 THEN 1 END) AS DOUBLE) AS fp, CAST(count(CASE WHEN p < threshold AND y = 1 THEN 1 END) AS DOUBLE) AS fn FROM dr, th GROUP BY ALL),
-k AS (SELECT *, tp + tn + fp + fn AS n, ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / ((tp + tn + fp + fn) * (tp + tn + fp + fn)) AS e FROM c)
-SELECT threshold, round(median(CASE WHEN e >= 1 THEN 0 ELSE ((tp + tn) / n - e) / (1 - e) END), 6) AS kappa FROM k GROUP BY 1""", scores=True)
-def threshold_kappa(spark, sf_dir):
-    return metrics.threshold_kappa(_len_scores(spark, sf_dir), "compound_id", GRID, subsets=20)
+@query()
+def threshold_draws(spark, sf_dir):
+    return metrics.threshold_roc(labelled(spark, sf_dir), BY, "compound_id", replacement=True)
 
 
-@query()
-def threshold_roc(spark, sf_dir):
-    return metrics.threshold_roc(_len_scores(spark, sf_dir), "compound_id", GRID, subsets=20, replacement=True)
+@query(drawn_sql("sl") + " SELECT * FROM cu", scores=True)
+def cutoffs(spark, sf_dir):
+    return metrics.cutoffs(labelled(spark, sf_dir), BY, "compound_id")
+
+
+GRID = metrics.threshold_grid(0.0)
 
 
-@query(", th AS (SELECT unnest([" + ", ".join(map(str, GRID)) + "])::DOUBLE AS threshold), c AS (SELECT threshold, CAST(count(CASE WHEN p >= threshold AND y = 1 THEN 1 END) AS DOUBLE) AS tp, CAST(count(CASE WHEN p < threshold AND y = 0 THEN 1 END) AS DOUBLE) AS tn, CAST(count(CASE WHEN p >= threshold AND y = 0 THEN 1 END) AS DOUBLE) AS fp, CAST(count(CASE WHEN p < threshold AND y = 1 THEN 1 END) AS DOUBLE) AS fn FROM sl, th WHERE descriptor = 'len' GROUP BY ALL),"
-       + "k AS (SELECT *, tp + tn + fp + fn AS n, ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / ((tp + tn + fp + fn) * (tp + tn + fp + fn)) AS e FROM c), v AS (SELECT threshold, round(CASE WHEN e >= 1 THEN 0 ELSE ((tp + tn) / n - e) / (1 - e) END, 3) AS value FROM k) SELECT arg_max(threshold, (value, threshold)) AS threshold, max(value) AS value FROM v", scores=True)
+@query(", th AS (SELECT unnest([" + ", ".join(map(str, GRID)) + "])::DOUBLE AS threshold), c AS (SELECT descriptor, threshold, CAST(count(CASE WHEN p >= threshold AND y = 1 THEN 1 END) AS DOUBLE) AS tp, CAST(count(CASE WHEN p < threshold AND y = 0 THEN 1 END) AS DOUBLE) AS tn, CAST(count(CASE WHEN p >= threshold AND y = 0 THEN 1 END) AS DOUBLE) AS fp, CAST(count(CASE WHEN p < threshold AND y = 1 THEN 1 END) AS DOUBLE) AS fn FROM sl, th GROUP BY ALL),"
+       + "k AS (SELECT *, tp + tn + fp + fn AS n, ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / ((tp + tn + fp + fn) * (tp + tn + fp + fn)) AS e FROM c), v AS (SELECT descriptor, threshold, round(CASE WHEN e >= 1 THEN 0 ELSE ((tp + tn) / n - e) / (1 - e) END, 3) AS value FROM k) SELECT descriptor, arg_max(threshold, (value, threshold)) AS threshold, max(value) AS value FROM v GROUP BY 1", scores=True)
 def threshold_oob(spark, sf_dir):
-    return metrics.threshold_oob(_len_scores(spark, sf_dir), GRID)
+    return metrics.threshold_oob(labelled(spark, sf_dir), BY, GRID)
+
+
+@query(", v AS (SELECT descriptor, p, cn1 / t1 AS a, 1 - (cn - cn1) / (t - t1) AS b FROM cum), w AS (SELECT descriptor, p, round(coalesce(2 * a * b / nullif(a + b, 0), 0), 6) AS value FROM v) SELECT descriptor, round(arg_max(p, (value, p)), 6) AS threshold, max(value) AS value FROM w GROUP BY 1", scores=True)
+def threshold_oob_roc(spark, sf_dir):
+    return metrics.threshold_oob(labelled(spark, sf_dir), BY, [], "roc")
 
 
 @query("SELECT descriptor, round((min(CASE WHEN rank_q > 0.5 THEN p END) + max(CASE WHEN NOT rank_q > 0.5 THEN p END)) / 2, 6) AS threshold FROM sl GROUP BY 1", scores=True)
