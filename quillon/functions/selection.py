@@ -43,10 +43,6 @@ def _bin(x: Column, lo: Column, hi: Column, bins: int, first: bool) -> Column:
     return F.when(width > 0, place).otherwise(F.lit(0))  # neighbours may be of one magnitude
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST else df
-
-
 def _rows(df: DataFrame, by: list[str], column: str, weight: str | None) -> DataFrame:
     """_g (the group), _x and _w of rows with a number; infinities count as the largest finite number."""
     x = F.col(column).cast("double")
@@ -56,16 +52,16 @@ def _rows(df: DataFrame, by: list[str], column: str, weight: str | None) -> Data
     return df.filter(x.isNotNull() & ~F.isnan(x)).select(group.alias("_g"), held.alias("_x"), w.alias("_w"))
 
 
-def _in_intervals(rows: DataFrame, open_: DataFrame) -> DataFrame:
+def _in_intervals(rows: DataFrame, open_: DataFrame, *, small: bool) -> DataFrame:
     """The rows that lie in an open interval, with it; a group's intervals are equal or apart."""
     intervals = open_.select("_g", "_lo", "_hi", "_before").distinct()
-    here = rows.withColumnRenamed("_g", "_h").join(_sized(intervals), (F.col("_h") == F.col("_g")) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+    here = rows.withColumnRenamed("_g", "_h").join(F.broadcast(intervals) if small else intervals, (F.col("_h") == F.col("_g")) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
     return here.drop("_h")
 
 
-def _narrowed(counts: DataFrame, open_: DataFrame, order: str) -> DataFrame:
-    """Open places with the interval of the counted part (columns _lo2, _hi2, _c, _r) in which they lie."""
-    own = Window.partitionBy("_g", "_lo").orderBy(order)
+def _narrowed(counts: DataFrame, open_: DataFrame) -> DataFrame:
+    """Open places with the bin (_b, from _lo2 to _hi2, of weight _c and _r rows) in which they lie."""
+    own = Window.partitionBy("_g", "_lo").orderBy("_b")
     upto = counts.withColumn("_upto", F.col("_before") + F.sum("_c").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     part = upto.select(F.col("_g").alias("_h"), F.col("_lo").alias("_l"), "_lo2", "_hi2", "_c", "_r", "_upto")
     met = open_.select("_g", "_k", "_lo").join(part, (F.col("_g") == F.col("_h")) & (F.col("_lo") == F.col("_l")) & (F.col("_k") > F.col("_upto") - F.col("_c")) & (F.col("_k") <= F.col("_upto")))
@@ -74,21 +70,24 @@ def _narrowed(counts: DataFrame, open_: DataFrame, order: str) -> DataFrame:
 
 def _places(rows: DataFrame, wanted: DataFrame, bins: int, few: int) -> DataFrame:
     """_g, _k and _v for wanted: rows (_g, _k, _lo, _hi, _before, _rows), an interval that holds each place."""
-    state, first = kept(wanted, "places"), True
+    state, first = wanted, True
     while True:
-        far = (F.col("_lo") < F.col("_hi")) & (F.col("_rows") > few)
+        wide = F.col("_lo") < F.col("_hi")
+        left = state.agg(F.max(F.when(wide, F.col("_rows"))).alias("most"), F.count_if(wide).alias("open")).first()
+        if not left["open"]:
+            return state.select("_g", "_k", F.col("_lo").alias("_v"))
+        last = left["most"] <= few
+        far = wide if last else wide & (F.col("_rows") > few)
         open_ = state.filter(far)
-        if open_.isEmpty():
-            break
-        binned = _in_intervals(rows, open_).withColumn("_b", _bin(F.col("_x"), F.col("_lo"), F.col("_hi"), bins, first))
-        counts = binned.groupBy("_g", "_lo", "_before", "_b").agg(F.sum("_w").alias("_c"), F.count("*").alias("_r"), F.min("_x").alias("_lo2"), F.max("_x").alias("_hi2"))
-        state, first = kept(state.filter(~far).unionByName(_narrowed(counts, open_, "_b")), "places"), False
-    open_ = state.filter("_lo < _hi")
-    if open_.isEmpty():
-        return state.select("_g", "_k", F.col("_lo").alias("_v"))
-    counts = _in_intervals(rows, open_).groupBy("_g", "_lo", "_before", "_x").agg(F.sum("_w").alias("_c"), F.count("*").alias("_r"))
-    last = _narrowed(counts.withColumns({"_lo2": F.col("_x"), "_hi2": F.col("_x")}), open_, "_x")
-    return kept(state.filter("_lo = _hi").unionByName(last).select("_g", "_k", F.col("_lo").alias("_v")), "places")
+        inside = _in_intervals(rows, open_, small=left["open"] <= BROADCAST)
+        # at last every value is a bin of its own
+        place = F.col("_x") if last else _bin(F.col("_x"), F.col("_lo"), F.col("_hi"), bins, first)
+        binned = inside.withColumn("_b", place).groupBy("_g", "_lo", "_before", "_b")
+        counts = binned.agg(F.sum("_w").alias("_c"), F.count("*").alias("_r"), F.min("_x").alias("_lo2"), F.max("_x").alias("_hi2"))
+        state, first = state.filter(~far).unionByName(_narrowed(counts, open_)), False
+        if last:
+            return state.select("_g", "_k", F.col("_lo").alias("_v"))
+        state = kept(state, "places")
 
 
 def _whole(rows: DataFrame) -> DataFrame:
@@ -96,38 +95,41 @@ def _whole(rows: DataFrame) -> DataFrame:
 
 
 def bars(df: DataFrame, by: list[str], column: str, wanted: Column, *, weight: str | None = None, keep: bool = True, bins: int = BINS, few: int = FEW) -> DataFrame:
-    """by, bar, total (weight of the group): the least value up to which rows weigh `wanted` (of total) or more.
+    """by, bar, total (weight of the group): the least value up to which rows weigh `wanted` (a column over _total, the group's weight) or more.
 
     bar is null where wanted is below 1; a greater one than the total is the total. keep=False: df is read again at each
     pass instead of being written once as groups and numbers.
     """
     rows = _rows(df, by, column, weight)
     rows = kept(rows, "numbers") if keep else rows
-    whole = kept(_whole(rows).withColumn("_k", F.least(wanted_of(wanted), F.col("_total")).cast("long")), "groups")
+    whole = kept(_whole(rows).withColumn("_k", F.least(F.coalesce(wanted, F.lit(0)), F.col("_total")).cast("long")), "groups")
     state = whole.filter("_k >= 1").select("_g", "_k", "_lo", "_hi", F.lit(0).cast("long").alias("_before"), "_rows")
     found = _places(rows, state, bins, few).select(F.col("_g").alias("_h"), "_v")
     out = whole.join(found, F.col("_g") == F.col("_h"), "left")
     return out.select(*(F.col("_g")[b].alias(b) for b in by), F.col("_v").alias("bar"), F.col("_total").alias("total"))
 
 
-def wanted_of(wanted: Column) -> Column:
-    return F.coalesce(wanted, F.lit(0))
-
+def quantiles(df: DataFrame, by: list[str], column: str, shares: list[float], *, keep: bool = True, name: str = "q", ends: bool = False, bins: int = BINS, few: int = FEW) -> DataFrame:
+    """by and an array of the exact quantiles at shares, linear between neighbours; null and NaN are left out.
 
-def quantiles(df: DataFrame, by: list[str], column: str, shares: list[float], *, keep: bool = True, name: str = "q", bins: int = BINS, few: int = FEW) -> DataFrame:
-    """by and an array of the exact quantiles at shares, linear between neighbours; null and NaN are left out."""
+    ends: with columns least and greatest."""
     rows = _rows(df, by, column, None)
     rows = kept(rows, "numbers") if keep else rows
     whole = kept(_whole(rows), "groups")
-    at = [F.lit(float(s)) * (F.col("_total") - 1) for s in shares]
-    below = [F.floor(a).cast("long") + 1 for a in at]
-    above = [F.ceil(a).cast("long") + 1 for a in at]
-    places = F.explode(F.array_distinct(F.array(*below, *above))).alias("_k")
-    state = whole.select("_g", places, "_lo", "_hi", F.lit(0).cast("long").alias("_before"), "_rows")
+    given = F.array(*(F.lit(float(s)) for s in shares))
+    at = lambda s: s * (F.col("_total") - 1) + 1
+    both = F.flatten(F.transform(given, lambda s: F.array(F.floor(at(s)).cast("long"), F.ceil(at(s)).cast("long"))))
+    state = whole.select("_g", F.explode(F.array_distinct(both)).alias("_k"), "_lo", "_hi", F.lit(0).cast("long").alias("_before"), "_rows")
     found = _places(rows, state, bins, few).groupBy(F.col("_g").alias("_h")).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_m"))
     out = whole.join(found, F.col("_g") == F.col("_h"))
-    value = lambda a, lo, hi: F.when(lo == hi, F.col("_m")[lo]).otherwise(F.col("_m")[lo] * (hi - 1 - a) + F.col("_m")[hi] * (a - (lo - 1)))
-    return out.select(*(F.col("_g")[b].alias(b) for b in by), F.array(*map(value, at, below, above)).alias(name))
+
+    def value(s: Column) -> Column:
+        below, above = F.floor(at(s)).cast("long"), F.ceil(at(s)).cast("long")
+        low, high = F.col("_m")[below], F.col("_m")[above]
+        return F.when(below == above, low).otherwise(low * (above - at(s)) + high * (at(s) - below))
+
+    extremes = [F.col("_lo").alias("least"), F.col("_hi").alias("greatest")] if ends else []
+    return out.select(*(F.col("_g")[b].alias(b) for b in by), F.transform(given, value).alias(name), *extremes)
 
 
 def quantile(df: DataFrame, column: str, share: float, **how) -> float | None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.ordered import running
+from quillon.functions.selection import quantile
 from quillon.operators.metrics import auroc, regression_metrics
 
 SEED = 42
@@ -83,7 +84,7 @@ def fit_domain(df: DataFrame, features: str = "features", k: int = 8, share: flo
     c = vector_to_array(F.col("_c"))
     got = pca.transform(rows).agg(*(F.avg(c[i]).alias(f"m{i}") for i in range(k)), *(F.stddev_pop(c[i]).alias(f"s{i}") for i in range(k))).first()
     model = {"pca": pca, "mean": [got[f"m{i}"] for i in range(k)], "std": [got[f"s{i}"] or 1.0 for i in range(k)]}
-    model["cutoff"] = score_domain(model, df, features).agg(F.percentile("ad", share)).first()[0]
+    model["cutoff"] = quantile(score_domain(model, df, features), "ad", share)
     return model
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.curves import clip
 from quillon.functions.ordered import numbered, running
+from quillon.functions.selection import quantiles
 from quillon.functions.shared import kept
 from quillon.operators.subsets import binned, cells, subset_counts
 
@@ -272,13 +273,11 @@ def score_lens(df: DataFrame, by: list[str], id_col: str) -> DataFrame:
     return r.select(*by, id_col, clip(F.col("p"), 0.0, 1.0).alias("probability"), F.ln(q / (1 - q)).alias("log_odds"), F.col("pct").alias("rank"), ratio(F.col("p"), F.col("_prev")).alias("lift"), F.col("p").alias("raw"))
 
 
-def five_number(df: DataFrame, column: str, by: list[str], *, exact: bool = True) -> DataFrame:
-    """by, p5, p25, p50, p75, p95 of finite values (linear); exact=False uses the bounded sketch."""
+def five_number(df: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """by, p5, p25, p50, p75, p95 of finite values (exact, linear)."""
     v = F.col(column).cast("double")
     finite = df.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    shares = F.array(*map(F.lit, (0.05, 0.25, 0.5, 0.75, 0.95)))
-    agg = F.percentile(v, shares) if exact else F.percentile_approx(v, shares, F.lit(100_000))
-    return finite.groupBy(*by).agg(agg.alias("q")).select(*by, *(F.col("q")[i].alias(f"p{x}") for i, x in enumerate((5, 25, 50, 75, 95))))
+    return quantiles(finite, by, column, [0.05, 0.25, 0.5, 0.75, 0.95]).select(*by, *(F.col("q")[i].alias(f"p{x}") for i, x in enumerate((5, 25, 50, 75, 95))))
 
 
 def regression_metrics(df: DataFrame, by: list[str]) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.curves import EPS, clip, interpolate, logit, sigmoid
+from quillon.functions.selection import quantiles
+from quillon.functions.shared import kept
 
 AUXILIARY = ("umap-", "pca-", "tsne-", "_bin", "_rank", "_ad", "_raw")
 
@@ -127,11 +129,11 @@ def w_leads(performance: DataFrame, column: str = "perf") -> DataFrame:
 def bag_scaling(scores: DataFrame, schemes: list[DataFrame]) -> DataFrame:
     """compound_id, reg: columns scaled by median and IQR, averaged by each scheme (descriptor, w), put back on the pooled
     median and IQR, and averaged over schemes; a scheme whose weights sum to 0 counts all equal."""
-    q = F.percentile("p", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    per = scores.groupBy("descriptor").agg(q.alias("_q"))
-    whole = scores.agg(q.alias("_a"))
+    rows = kept(scores.select("compound_id", "descriptor", "p"), "scores")
+    per = quantiles(rows, ["descriptor"], "p", [0.25, 0.5, 0.75], keep=False, name="_q")
+    whole = quantiles(rows, [], "p", [0.25, 0.5, 0.75], keep=False, name="_a")
     spread = lambda c: F.when(c[2] - c[0] == 0, 1.0).otherwise(c[2] - c[0])
-    scaled = scores.join(F.broadcast(per), "descriptor").join(F.broadcast(whole))
+    scaled = rows.join(F.broadcast(per), "descriptor").join(F.broadcast(whole))
     z = (F.col("p") - F.col("_q")[1]) / spread(F.col("_q")) * (F.col("_a")[2] - F.col("_a")[0]) + F.col("_a")[1]
     rows = scaled.select("compound_id", "descriptor", z.alias("z"))
     parts = []

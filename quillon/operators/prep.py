@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.curves import clip
 from quillon.functions.ordered import numbered
+from quillon.functions.selection import quantiles
 from quillon.functions.text import tanimoto
 
 # Symbols that exclude a structure.
@@ -180,7 +181,7 @@ def smooth_repeats(df: DataFrame, value: str, rank_by: str, id_col: str) -> Data
     """
     hot = repeated_values(df, value).select(F.col(value).alias("_v"), F.col("n").alias("_n"))
     distinct = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("_v")).distinct()
-    edges = df.agg(F.percentile(value, 0.01).alias("_p1"), F.percentile(value, 0.99).alias("_p99"))
+    edges = quantiles(df, [], value, [0.01, 0.99]).select(F.col("q")[0].alias("_p1"), F.col("q")[1].alias("_p99"))
     placed = numbered(distinct, [], "_v", "_v", name="_i")
     mine = placed.join(F.broadcast(hot), "_v")  # at most 100 values, for each holds a hundredth of the rows
     beside = lambda step, name: placed.select((F.col("_i") + step).alias("_i"), F.col("_v").alias(name))
@@ -227,11 +228,10 @@ def inverse_power(y: Column, model: dict[str, float]) -> Column:
     return F.when(z >= 0, up).otherwise(down)
 
 
-def fit_quantiles(df: DataFrame, column: str, knots: int = 101, exact: bool = True) -> list[float]:
-    """Quantiles at evenly spaced shares; exact=False uses the bounded sketch for very large tables."""
-    shares = [i / (knots - 1) for i in range(knots)]
-    agg = F.percentile(column, F.array(*map(F.lit, shares))) if exact else F.percentile_approx(column, F.array(*map(F.lit, shares)), F.lit(100_000))
-    return list(df.agg(agg).first()[0] or [])
+def fit_quantiles(df: DataFrame, column: str, knots: int = 101) -> list[float]:
+    """Exact quantiles at evenly spaced shares."""
+    got = quantiles(df, [], column, [i / (knots - 1) for i in range(knots)]).first()
+    return list(got["q"]) if got else []
 
 
 def apply_quantiles(x: Column, knots: list[float], dist: str = "uniform") -> Column:

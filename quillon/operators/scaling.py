@@ -9,16 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.selection import quantiles
+from quillon.functions.shared import kept
 
-def fit_transformer(ref: DataFrame, features: str = "features", *, exact: bool = True) -> DataFrame:
+
+def fit_transformer(ref: DataFrame, features: str = "features") -> DataFrame:
     """pos, center (median), scale (interquartile range), fill (median) and is_constant; NaN and null are left out.
 
-    exact=False uses the bounded quantile sketch, for reference tables too large for exact percentiles.
+    The arrays are written once; each pass of the exact quantiles reads them and counts all features together.
     """
-    long = ref.select(F.posexplode(features).alias("pos", "x")).withColumn("x", F.col("x").cast("double")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile("x", shares) if exact else F.percentile_approx("x", shares, F.lit(100_000))
-    out = long.groupBy("pos").agg(q.alias("q"), (F.min("x") == F.max("x")).alias("same"))
+    arrays = kept(ref.select(F.col(features).alias("x")), "arrays")
+    out = quantiles(arrays.select(F.posexplode("x").alias("pos", "x")), ["pos"], "x", [0.25, 0.5, 0.75], keep=False, ends=True)
+    out = out.withColumn("same", F.col("least") == F.col("greatest"))
     return out.select("pos", F.concat(F.lit("f"), F.col("pos").cast("string")).alias("feature"), F.col("q")[1].alias("center"), (F.col("q")[2] - F.col("q")[0]).alias("scale"), F.col("q")[1].alias("fill"), (F.col("same") | (F.col("q")[2] == F.col("q")[0])).alias("is_constant"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.curves import clip
+from quillon.functions.selection import quantiles
 from quillon.functions.shared import kept
 from quillon.operators.metrics import percentile_rank
 
@@ -55,7 +56,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranked = kept(ranked_scores(spark, sf_dir), "ranked")
     rows = labelled_ranks(spark, sf_dir, ranked)
-    cuts = ranked.groupBy("descriptor").agg(F.percentile("ad", 0.05).alias("ad_cutoff"))
+    cuts = quantiles(ranked, ["descriptor"], "ad", [0.05]).select("descriptor", F.col("q")[0].alias("ad_cutoff"))
     return pool_signals(rows, cuts)
 
 
