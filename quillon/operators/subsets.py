@@ -54,52 +54,49 @@ def subset_counts(rows: DataFrame, by: list[str], id_col: str, *, subsets: int =
     """by, y, subset, bin, w (rows drawn, 0 left out) of rows (by, id, y, bin)."""
     keys = [*by, "y"]
     bins = kept(rows.groupBy(*keys, "bin").agg(F.count("*").alias("c")), "bins")
-    sizes = kept(draw_sizes(bins.groupBy(*keys).agg(F.sum("c").alias("n")), by, size), "sizes")
+    sizes = draw_sizes(bins.groupBy(*keys).agg(F.sum("c").alias("n")), by, size)
+    # a class of a group, as one column that joins null names too
+    sizes = kept(sizes.select(F.struct(*keys).alias("_g"), "n", "k"), "sizes")
     if replacement:
-        return _multinomial(bins, sizes, by, subsets, seed)
+        out = _multinomial(bins.select(F.struct(*keys).alias("_g"), "bin", "c"), sizes, subsets, seed)
+    else:
+        out = _least_hashes(rows.select(F.struct(*keys).alias("_g"), "bin", F.col(id_col).cast("string").alias("_id")), sizes, subsets, seed)
+    return out.select(*(F.col("_g")[c].alias(c) for c in keys), "subset", "bin", "w")
+
+
+def _least_hashes(rows: DataFrame, sizes: DataFrame, subsets: int, seed: int) -> DataFrame:
     share = F.col("k") / F.col("n")
     width = F.sqrt(share * (1 - share) / F.col("n")) + 2.0 / PRIME
-    hashed = rows.select(*keys, "bin", F.col(id_col).cast("string").alias("_id"))
     a, b = hash_parts(F.col("_id"), seed)
-    hashed = kept(hashed.withColumns({"_a": a, "_b": b}), "hashed")
+    hashed = kept(rows.withColumns({"_a": a, "_b": b}), "hashed")
+    full = F.explode(F.sequence(F.lit(0), F.lit(subsets - 1))).alias("subset")
     reach = DEVIATIONS
     while True:
         low = F.greatest(F.floor((share - reach * width) * PRIME), F.lit(0)).cast("long")
         high = F.least(F.ceil((share + reach * width) * PRIME), F.lit(PRIME)).cast("long")
-        stats = sizes.select(*(F.col(c).alias(f"_{c}") for c in keys), "k", low.alias("_low"), high.alias("_high"))
-        known = hashed.join(F.broadcast(stats), _same(keys)).drop(*(f"_{c}" for c in keys))
-        below = known.groupBy(*keys, "bin").agg(*(F.count_if(subset_hash(F.col("_a"), F.col("_b"), s) < F.col("_low")).alias(f"s{s}") for s in range(subsets)))
-        sure = below.select(*keys, "bin", F.posexplode(F.array(*(F.col(f"s{s}") for s in range(subsets)))).alias("subset", "w"))
+        known = hashed.join(F.broadcast(sizes.select("_g", "k", low.alias("_low"), high.alias("_high"))), "_g")
+        below = known.groupBy("_g", "bin").agg(*(F.count_if(subset_hash(F.col("_a"), F.col("_b"), s) < F.col("_low")).alias(f"s{s}") for s in range(subsets)))
+        sure = below.select("_g", "bin", F.posexplode(F.array(*(F.col(f"s{s}") for s in range(subsets)))).alias("subset", "w"))
         sure = kept(sure.filter("w > 0"), "sure")
-        of_subset = F.transform(F.array(*(F.struct(F.lit(s).alias("s"), *(F.lit(f).alias(f"f{i}") for i, f in enumerate(factors(s)))) for s in range(subsets))), lambda f: F.struct(f["s"].alias("subset"), ((F.col("_a") * f["f0"] + F.col("_b") * f["f1"]) % PRIME).alias("u")))
-        near = F.inline(F.filter(of_subset, lambda x: (x["u"] >= F.col("_low")) & (x["u"] < F.col("_high"))))
-        band = known.select(*keys, "bin", "_id", "_a", "_b", "k", near)
-        place = F.row_number().over(Window.partitionBy(*keys, "subset").orderBy("u", "_a", "_b", "_id"))
-        got = sure.groupBy(*keys, "subset").agg(F.sum("w").alias("_sure"))
-        placed = band.withColumn("_place", place).join(got, [*keys, "subset"], "left")
+        each = F.array(*(F.struct(F.lit(s).alias("subset"), *(F.lit(f).alias(f"f{i}") for i, f in enumerate(factors(s)))) for s in range(subsets)))
+        hashes = F.transform(each, lambda f: F.struct(f["subset"].alias("subset"), ((F.col("_a") * f["f0"] + F.col("_b") * f["f1"]) % PRIME).alias("u")))
+        band = known.select("_g", "bin", "_id", "_a", "_b", "k", F.inline(F.filter(hashes, lambda x: (x["u"] >= F.col("_low")) & (x["u"] < F.col("_high")))))
+        place = F.row_number().over(Window.partitionBy("_g", "subset").orderBy("u", "_a", "_b", "_id"))
+        before = sure.groupBy("_g", "subset").agg(F.sum("w").alias("_sure"))
+        placed = band.withColumn("_place", place).join(before, ["_g", "subset"], "left")
         chosen = placed.filter(F.col("_place") <= F.col("k") - F.coalesce("_sure", F.lit(0)))
-        chosen = kept(chosen.groupBy(*keys, "subset", "bin").agg(F.count("*").alias("w")), "near")
-        out = sure.unionByName(chosen.select(*sure.columns)).groupBy(*keys, "subset", "bin").agg(F.sum("w").alias("w"))
-        drawn = out.groupBy(*keys, "subset").agg(F.sum("w").alias("_drawn"))
-        full = F.explode(F.sequence(F.lit(0), F.lit(subsets - 1))).alias("subset")
-        wrong = sizes.filter("k > 0").select(*keys, "k", full).join(drawn, [*keys, "subset"], "left").filter(F.coalesce("_drawn", F.lit(0)) != F.col("k"))
+        chosen = kept(chosen.groupBy("_g", "subset", "bin").agg(F.count("*").alias("w")), "near")
+        out = sure.unionByName(chosen).groupBy("_g", "subset", "bin").agg(F.sum("w").alias("w"))
+        drawn = out.groupBy("_g", "subset").agg(F.sum("w").alias("_drawn"))
+        wrong = sizes.filter("k > 0").select("_g", "k", full).join(drawn, ["_g", "subset"], "left").filter(F.coalesce("_drawn", F.lit(0)) != F.col("k"))
         if wrong.isEmpty():
             return out
-        reach *= 4  # a k-th hash lies further out than six deviations
-
+        reach *= 4  # some k-th hash lies further out: rare, and sure to end, for the reach grows to all hashes
 
-def _same(keys: list[str]) -> Column:
-    out = F.lit(True)
-    for c in keys:
-        out = out & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return out
 
-
-def _multinomial(bins: DataFrame, sizes: DataFrame, by: list[str], subsets: int, seed: int) -> DataFrame:
-    keys = [*by, "y"]
-    rows = bins.join(F.broadcast(sizes.select(*(F.col(c).alias(f"_{c}") for c in keys), "k")), _same(keys)).drop(*(f"_{c}" for c in keys))
-    marked = rows.withColumn("_seed", F.xxhash64(F.lit(seed), *(F.col(c).cast("string") for c in keys)))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in rows.select(*keys).dtypes), "subset int", "bin int", "w long"])
+def _multinomial(bins: DataFrame, sizes: DataFrame, subsets: int, seed: int) -> DataFrame:
+    keys = [f"_g.{f.name}" for f in bins.schema["_g"].dataType.fields]
+    rows = bins.join(F.broadcast(sizes.select("_g", "k")), "_g").withColumn("_seed", F.xxhash64(F.lit(seed), *(F.col(c).cast("string") for c in keys)))
 
     def draw(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("bin")
@@ -107,10 +104,12 @@ def _multinomial(bins: DataFrame, sizes: DataFrame, by: list[str], subsets: int,
         rng = np.random.default_rng(int(part["_seed"].iloc[0]) % 2**63)
         w = rng.multinomial(int(part["k"].iloc[0]), counts / counts.sum(), size=subsets)
         s, i = np.nonzero(w)
-        return pd.DataFrame({c: part[c].to_numpy()[i] for c in keys} | {"subset": s.astype("int32"), "bin": part["bin"].to_numpy()[i].astype("int32"), "w": w[s, i]})
+        return pd.DataFrame({"_name": part["_name"].iloc[0], "subset": s.astype("int32"), "bin": part["bin"].to_numpy()[i].astype("int32"), "w": w[s, i]})
 
-    # one group is the bins of one class: as many rows as there are thresholds
-    return marked.groupBy(*keys).applyInPandas(draw, schema)
+    # one group is the bins of one class: as many rows as there are thresholds; groups go by their text
+    named = rows.withColumn("_name", F.to_json("_g"))
+    drawn = named.groupBy("_name").applyInPandas(draw, "_name string, subset int, bin int, w long")
+    return drawn.join(F.broadcast(named.select("_name", "_g").distinct()), "_name").drop("_name")
 
 
 def binned(df: DataFrame, thresholds: list[float]) -> Column:
