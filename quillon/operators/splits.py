@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.hot import join_by_key
 from quillon.functions.ordered import numbered, running
+from quillon.functions.selection import bars
 from quillon.functions.shared import kept
 from quillon.functions.text import tanimoto
 
@@ -165,64 +167,107 @@ def fold_jaccard(members: DataFrame) -> DataFrame:
     return out.select("a", "b", F.when(whole > 0, both / F.when(whole > 0, whole)).otherwise(0.0).alias("jaccard"))
 
 
-def select_folds(df: DataFrame, strategy: str, k: int, pool: int = 50, f: float = 0.2, id_col: str = "compound_id") -> tuple[DataFrame, list[dict]]:
-    """k folds from `pool` seeded candidates: membership (fold, compound_id, bin, is_test) and their meta rows.
+def _seeded_unit(key: Column, seed: Column) -> Column:
+    """_unit for a seed that is a column."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit("-"), seed.cast("string"))), 1, 13), 16, 10).cast("double")
 
-    One pass gives every row an array with its side in each candidate; class rates and all pairwise intersections are sums
-    over those arrays. The first fold has the best balance (class rates against the whole, test share against f); each next
-    one minimises its largest Jaccard with those chosen plus its imbalance. Candidates that lack a class are left out.
-    """
+
+def _candidate_bars(units: DataFrame, key: str, by: list[str], weight: str | None, pool: int, f: float) -> list[dict]:
+    """seed, by and bar: in candidate `seed` the units of hashes up to the bar are on the test side.
+
+    Every unit meets every seed, but only its hash and weight do, and they are counted where they are read; so the shuffle
+    holds a histogram for each seed."""
+    seed = F.explode(F.sequence(F.lit(0), F.lit(pool - 1))).alias("seed")
+    met = units.select(key, *by, *([weight] if weight else []), seed)
+    met = met.withColumn("u", _seeded_unit(F.col(key), F.col("seed")))
+    got = bars(met, ["seed", *by], "u", F.round(f * F.col("_total")), weight=weight, keep=False)
+    return [r.asDict() for r in got.collect()]  # a row a seed and class
+
+
+def _sides(key: str, bars_: list[dict], by: str | None) -> Column:
+    """A long whose bit s says that the unit is on the test side of candidate s."""
+    rows = [F.struct(F.lit(b["seed"]).alias("seed"), F.lit(b[by] if by else 0).alias("of"), F.lit(b["bar"]).alias("bar"), F.lit(1 << b["seed"]).alias("bit")) for b in bars_ if b["bar"] is not None]
+    if not rows:
+        return F.lit(0).cast("long")
+    of = F.col(by) if by else F.lit(0)
+    hit = lambda x: (x["of"] == of) & (_seeded_unit(F.col(key), x["seed"]) <= x["bar"])
+    return F.aggregate(F.array(*rows), F.lit(0).cast("long"), lambda m, x: F.when(hit(x), m.bitwiseOR(x["bit"].cast("long"))).otherwise(m))
+
+
+def candidates(df: DataFrame, strategy: str, pool: int = 50, f: float = 0.2, id_col: str = "compound_id") -> DataFrame:
+    """Units with sides: for `random` each entity (id, bin, n = 1, n1, sides), as split_random deals it by each seed; else
+    each group (group, n, n1, sides), as assign_groups does. Stored; at most 62 candidates."""
+    if not 0 < pool <= 62:
+        raise ValueError(f"1 to 62 candidates, not {pool}")
     if strategy == "random":
-        flags = F.array(*((_unit(F.col(id_col), s) / float(16**13) < f) for s in range(pool)))
-        sided = df.select(id_col, "bin", flags.alias("t"))
-    else:
-        groups = df.select("group").distinct()
-        sided = groups
-        sides = [assign_groups(df, s, f).select("group", F.struct(F.lit(s).alias("s"), "is_test").alias("x")) for s in range(pool)]
-        long = sides[0]
-        for s in sides[1:]:
-            long = long.unionByName(s)
-        arrays = long.groupBy("group").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["is_test"]).alias("t"))
-        sided = df.join(arrays, "group").select(id_col, "bin", "t")
-    sided = sided.persist()
-    places = range(pool)
-    one = sided.agg(F.count("*").alias("n"), F.sum("bin").alias("n1"), *(F.count_if(F.col("t")[i]).alias(f"n{i}") for i in places), *(F.sum(F.when(F.col("t")[i], F.col("bin"))).alias(f"p{i}") for i in places)).first()
-    both = sided.select(F.filter(F.sequence(F.lit(0), F.lit(pool - 1)), lambda i: F.get(F.col("t"), i)).alias("in"))
-    inter = {(r.a, r.b): r.n for r in both.select(F.explode("in").alias("a"), "in").select("a", F.explode("in").alias("b")).filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).collect()}  # at most pool^2 rows
-    n, n1 = one.n, one.n1 or 0
-    quality = {}
-    for i in places:
-        nt, pt = one[f"n{i}"], one[f"p{i}"] or 0
+        units = kept(df.select(id_col, F.col("bin").cast("int").alias("bin")), "units")
+        sides = _sides(id_col, _candidate_bars(units, id_col, ["bin"], None, pool, f), "bin")
+        return kept(units.select("*", F.lit(1).cast("long").alias("n"), F.col("bin").cast("long").alias("n1"), sides.alias("sides")), "sides")
+    units = kept(df.groupBy("group").agg(F.count("*").alias("n"), F.sum("bin").cast("long").alias("n1")), "units")
+    return kept(units.select("*", _sides("group", _candidate_bars(units, "group", [], "n", pool, f), None).alias("sides")), "sides")
+
+
+def choose_candidates(units: DataFrame, k: int, pool: int = 50, f: float = 0.2) -> list[dict]:
+    """Up to k candidates (seed, balance, mean_jaccard): first the best quality, then the least of quality and the largest
+    Jaccard with those chosen; of equals (to 12 digits) the least seed. Candidates that lack a class on a side are left out.
+
+    Class rates are one aggregate with two sums a candidate; overlaps with a chosen one are a sum a candidate."""
+    bit = lambda i: F.col("sides").bitwiseAND(F.lit(1 << i)) != 0
+    every = range(pool)
+    one = units.agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"), *(F.sum(F.when(bit(i), F.col(c))).alias(f"{c}_{i}") for i in every for c in ("n", "n1"))).first()
+    n, n1 = one["n"] or 0, one["n1"] or 0
+    balance, quality = {}, {}
+    for i in every:
+        nt, pt = one[f"n_{i}"] or 0, one[f"n1_{i}"] or 0
         if 0 < pt < nt and 0 < n1 - pt < n - nt:
-            rate = n1 / n
-            quality[i] = abs((n1 - pt) / (n - nt) - rate) + abs(pt / nt - rate) + abs(nt / n - f)
+            balance[i] = abs((n1 - pt) / (n - nt) - n1 / n) + abs(pt / nt - n1 / n)
+            quality[i] = balance[i] + abs(nt / n - f)
+    chosen: list[int] = []
+    shared: dict[int, dict[int, float]] = {}
+    while len(chosen) < min(k, len(quality)):
+        worst = {i: max((shared[j][i] for j in chosen), default=0.0) for i in quality}
+        new = min((i for i in quality if i not in chosen), key=lambda i: (round(quality[i] + worst[i], 12), i))
+        chosen.append(new)
+        both = units.filter(bit(new)).agg(*(F.sum(F.when(bit(i), F.col("n"))).alias(f"b{i}") for i in every)).first()
+        shared[new] = {i: (both[f"b{i}"] or 0) / (one[f"n_{i}"] + one[f"n_{new}"] - (both[f"b{i}"] or 0)) for i in quality}
+    return [{"seed": i, "balance": balance[i], "mean_jaccard": sum(shared[i][j] for j in chosen if j != i) / max(len(chosen) - 1, 1)} for i in chosen]
 
-    def jaccard(i, j):
-        x = inter.get((min(i, j), max(i, j)), 0)
-        return x / max(one[f"n{i}"] + one[f"n{j}"] - x, 1)
 
-    chosen: list[int] = []
-    while quality and len(chosen) < min(k, len(quality)):
-        rest = [i for i in quality if i not in chosen]
-        chosen.append(min(rest, key=lambda i: (quality[i] + (max(jaccard(i, j) for j in chosen) if chosen else 0), i)))
-    names = [f"{strategy}_{i:02d}" for i in range(len(chosen))]
-    rows = F.array(*(F.struct(F.lit(name).alias("fold"), F.get(F.col("t"), F.lit(i)).alias("is_test")) for name, i in zip(names, chosen)))
-    member = sided.select(F.col(id_col).alias("compound_id"), "bin", F.inline(rows)) if chosen else sided.select(F.lit("").alias("fold"), F.col(id_col).alias("compound_id"), "bin", F.lit(False).alias("is_test")).limit(0)
-    meta = [{"fold": name, "strategy": strategy, "seed": i, "balance": quality[i], "mean_jaccard": sum(jaccard(i, j) for j in chosen if j != i) / max(len(chosen) - 1, 1)} for name, i in zip(names, chosen)]
+def select_folds(df: DataFrame, strategy: str, k: int, pool: int = 50, f: float = 0.2, id_col: str = "compound_id") -> tuple[DataFrame, list[dict]]:
+    """k folds from `pool` seeded candidates: membership (fold, compound_id, bin, is_test) and their meta rows.
+
+    `random` draws stratified candidates; any other strategy deals whole groups (column group)."""
+    units = candidates(df, strategy, pool, f, id_col)
+    meta = [{"fold": f"{strategy}_{i:02d}", "strategy": strategy, **c} for i, c in enumerate(choose_candidates(units, k, pool, f))]
+    rows = units.select(id_col, "bin", "sides") if strategy == "random" else join_by_key(df.select(id_col, "bin", "group"), units.select("group", "n", "sides"), "group", "n")
+    folds = [F.struct(F.lit(m["fold"]).alias("fold"), (F.col("sides").bitwiseAND(F.lit(1 << m["seed"])) != 0).alias("is_test")) for m in meta]
+    named = rows.withColumn("_f", F.array(*folds)) if folds else rows.limit(0).withColumn("_f", F.array(F.struct(F.lit("").alias("fold"), F.lit(False).alias("is_test"))))
+    member = named.select(F.col(id_col).alias("compound_id"), "bin", F.inline("_f"))
     return member.select("fold", "compound_id", "bin", "is_test"), meta
 
 
-def build_folds(df: DataFrame, repeats: int = 3, schemas: tuple[str, ...] = ("random", "scaffold", "deterministic")) -> tuple[DataFrame, list[dict]]:
-    """The fold menu: `repeats` of each seeded strategy and one deterministic split, in that order."""
+MENU = ("random", "scaffold", "deterministic", "butina")
+
+
+def build_folds(df: DataFrame, repeats: int = 3, schemas: tuple[str, ...] = MENU, groups: dict[str, DataFrame] | None = None, pool: int = 50, f: float = 0.2) -> tuple[DataFrame, list[dict]]:
+    """The fold menu, in the order of MENU: `repeats` of each seeded strategy and one deterministic split.
+
+    groups: (compound_id, group) for scaffold (the deterministic split uses it too) and butina; by default df's column
+    group for scaffold. The deterministic split stays even where a side lacks a class; a strategy without a usable
+    candidate gives no folds."""
     parts, metas = [], []
-    for s in schemas:
+    rows = df.select("compound_id", "bin")
+    for s in [m for m in MENU if m in schemas]:
+        of = (groups or {}).get("scaffold" if s == "deterministic" else s)
+        data = rows if s == "random" else rows.join(of.select("compound_id", "group"), "compound_id") if of is not None else df
         if s == "deterministic":
-            one = split(df, s, 0)
-            if one is not None:
-                parts.append(one.select(F.lit("deterministic_00").alias("fold"), "compound_id", "bin", "is_test"))
-                metas.append({"fold": "deterministic_00", "strategy": s, "seed": None, "balance": None, "mean_jaccard": None})
+            first = data if "orig_idx" in data.columns else data.withColumn("orig_idx", F.col("compound_id"))
+            sides = kept(split_deterministic(first, f), "sides")
+            member = join_by_key(data.select("compound_id", "bin", "group"), sides, "group", "n")
+            parts.append(member.select(F.lit("deterministic_00").alias("fold"), "compound_id", "bin", "is_test"))
+            metas.append({"fold": "deterministic_00", "strategy": s, "seed": None, "balance": None, "mean_jaccard": None})
         else:
-            member, meta = select_folds(df, s, repeats)
+            member, meta = select_folds(data, s, repeats, pool, f)
             parts.append(member)
             metas += meta
     out = parts[0]

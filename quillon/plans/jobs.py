@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.shared import kept
-from quillon.functions.text import is_lexical_structure
+from quillon.functions.text import hashed_ngrams, is_lexical_structure
 from quillon.operators import estimate, metrics, outputs, pooling, prep, scaling, screen, splits
 
 
@@ -31,6 +31,9 @@ class Settings:
     kind: str = "logistic"
     is_valid: Callable[[Column], Column] = is_lexical_structure
     standard: Callable[[Column], Column] = field(default=lambda c: c)
+    schemas: tuple[str, ...] = splits.MENU
+    scaffold: Callable[[Column], Column] = field(default=lambda c: F.regexp_replace(c, "[^A-Za-z]", ""))  # the letters alone
+    sets: Callable[[Column], Column] = hashed_ngrams
 
 
 @dataclass
@@ -60,6 +63,17 @@ def prepare(df: DataFrame, structure: str, value: str | None, s: Settings, *, fi
     return {"inputs": rows, "mapping": mapping, "standard": standard, "data": data}
 
 
+def fold_groups(data: DataFrame, s: Settings) -> dict[str, DataFrame]:
+    """(compound_id, group) of the fold menu's grouped strategies, from data (compound_id, smiles)."""
+    out = {}
+    if {"scaffold", "deterministic"} & set(s.schemas):
+        out["scaffold"] = kept(splits.groups_by_key(data, s.scaffold).select("compound_id", "group"), "scaffolds")
+    if "butina" in s.schemas:
+        sets = kept(data.select("compound_id", s.sets(F.col("smiles")).alias("bits")), "sets")
+        out["butina"] = kept(splits.groups_butina(sets).withColumnRenamed("id", "compound_id"), "clusters")
+    return out
+
+
 def features_of(data: DataFrame, d: Descriptor) -> DataFrame:
     return data.select("compound_id", d.fn(F.col("smiles")).cast("array<double>").alias("features"))
 
@@ -77,7 +91,7 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
         matrices[d.name] = kept(scaling.apply_transformer(raw, run.transformers[d.name]), "matrix")
     chosen = sorted(matrices)
     if len(chosen) > s.top_k:
-        folds, _ = splits.build_folds(data.select("compound_id", "bin"), s.repeats, ("random",))
+        folds, _ = splits.build_folds(data, s.repeats, s.schemas, fold_groups(data, s))
         chosen = screen.screen(matrices, folds, s.top_k)
     labelled = {n: kept(matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "labelled") for n in chosen}
     learn(run, labelled, s)

@@ -347,9 +347,44 @@ def both_classes(spark, sf_dir):
     return splits.both_classes(_memberships(spark, sf_dir))
 
 
-@query()
+def _grouped(data, strategy):
+    """The three kinds of units: entities, sources, and openings (many small groups)."""
+    opening = F.substring(F.md5(F.substring(F.coalesce("text", F.lit("")), 1, 2)), 1, 4)
+    return data if strategy != "opening" else data.withColumn("group", opening)
+
+
+@query(f"""WITH {FD.replace("d.doc_id AS compound_id,", "d.doc_id AS compound_id, substr(md5(substr(coalesce(text, ''), 1, 2)), 1, 4) AS opening,")}, s AS (SELECT unnest(range(50)) AS seed),
+r AS (SELECT 'random' AS strategy, seed, compound_id, bin, row_number() OVER (PARTITION BY seed, bin ORDER BY md5(compound_id || '-' || seed)) <= round(0.2 * count(*) OVER (PARTITION BY seed, bin)) AS t FROM fd, s),
+k AS (SELECT 'source' AS strategy, grp AS k, compound_id, bin FROM fd UNION ALL SELECT 'opening', opening, compound_id, bin FROM fd), g AS (SELECT strategy, k, count(*) AS n FROM k GROUP BY ALL),
+gs AS (SELECT strategy, seed, k, coalesce(sum(n) OVER (PARTITION BY strategy, seed ORDER BY md5(k || '-' || seed) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < round(0.2 * sum(n) OVER (PARTITION BY strategy, seed)) AS t FROM g, s),
+m AS (SELECT * FROM r UNION ALL SELECT strategy, seed, compound_id, bin, t FROM k JOIN gs USING (strategy, k)),
+q AS (SELECT strategy, seed, abs(avg(CASE WHEN NOT t THEN bin END) - avg(bin)) + abs(avg(CASE WHEN t THEN bin END) - avg(bin)) AS balance, abs(avg(CASE WHEN t THEN 1 ELSE 0 END) - 0.2) AS off, count(CASE WHEN t THEN 1 END) AS n
+  FROM m GROUP BY ALL HAVING count(DISTINCT CASE WHEN t THEN bin END) = 2 AND count(DISTINCT CASE WHEN NOT t THEN bin END) = 2),
+b AS (SELECT x.strategy, x.seed AS a, y.seed AS b, count(*) AS c FROM m x JOIN m y ON x.strategy = y.strategy AND x.compound_id = y.compound_id AND x.t AND y.t GROUP BY ALL),
+j AS (SELECT q.strategy, q.seed AS a, z.seed AS b, coalesce(c, 0) / (q.n + z.n - coalesce(c, 0)) AS j FROM q JOIN q z USING (strategy) LEFT JOIN b ON b.strategy = q.strategy AND b.a = q.seed AND b.b = z.seed),
+one AS (SELECT strategy, arg_min(seed, (round(balance + off, 12), seed)) AS s1 FROM q GROUP BY 1),
+two AS (SELECT strategy, s1, arg_min(seed, (round(balance + off + j, 12), seed)) AS s2 FROM one JOIN q USING (strategy) JOIN j ON j.strategy = one.strategy AND j.a = s1 AND j.b = seed WHERE seed <> s1 GROUP BY ALL),
+three AS (SELECT two.strategy, s1, s2, arg_min(seed, (round(balance + off + greatest(x.j, y.j), 12), seed)) AS s3 FROM two JOIN q USING (strategy) JOIN j x ON x.strategy = two.strategy AND x.a = s1 AND x.b = seed JOIN j y ON y.strategy = two.strategy AND y.a = s2 AND y.b = seed WHERE seed NOT IN (s1, s2) GROUP BY ALL),
+c AS (SELECT strategy, 0 AS place, s1 AS seed FROM three UNION ALL SELECT strategy, 1, s2 FROM three UNION ALL SELECT strategy, 2, s3 FROM three)
+SELECT strategy, strategy || '_0' || place AS fold, CAST(seed AS INTEGER) AS seed, round(balance, 6) AS balance, q.n AS n_test, round((SELECT sum(j.j) / 2 FROM j JOIN c o ON o.strategy = j.strategy AND o.seed = j.b WHERE j.strategy = c.strategy AND j.a = c.seed AND o.seed <> c.seed), 6) AS mean_jaccard
+FROM c JOIN q USING (strategy, seed)""")
 def select_folds(spark, sf_dir):
-    member, _ = splits.select_folds(_fold_data(spark, sf_dir), "random", 3)
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("compound_id"), F.col("source").alias("group"), "text")
+    data = kept(docs.join(fx.labels(spark, sf_dir).withColumnRenamed("y", "bin"), "compound_id"), "data")
+    out = None
+    for strategy in ("random", "source", "opening"):
+        member, meta = splits.select_folds(_grouped(data, strategy), strategy, 3)
+        table = spark.createDataFrame([(strategy, m["fold"], m["seed"], m["balance"], m["mean_jaccard"]) for m in meta], "strategy string, fold string, seed int, balance double, mean_jaccard double")
+        one = table.join(member.groupBy("fold").agg(F.count_if("is_test").alias("n_test")), "fold")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query()
+def fold_menu(spark, sf_dir):
+    data = kept(_fold_data(spark, sf_dir), "data")
+    clusters = splits.groups_butina(_tri_sets(spark, sf_dir), 0.4).withColumnRenamed("id", "compound_id")
+    member, _ = splits.build_folds(data, 2, groups={"scaffold": data.select("compound_id", "group"), "butina": clusters})
     return splits.fold_balance(member)
 
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quillon.functions.hot import join_by_key
 from quillon.functions.text import hashed_ngrams
 from quillon.operators import features, scaling, screen, splits, telemetry
 
@@ -107,3 +108,38 @@ def test_step_durations(spark):
     assert {r.name: r.seconds for r in telemetry.step_durations(log).collect()} == {"a": 1.0, "b": 2.0}
     status = spark.createDataFrame([("done", 10.0), ("done", 20.0), ("queued", 0.0), ("running", 5.0)], "state string, elapsed double")
     assert telemetry.eta(status).first().seconds == 25.0
+
+
+def test_candidates_are_the_single_splits(spark):
+    """Bit s of a unit's sides is what split_random or assign_groups says for seed s."""
+    df = entities(spark).withColumn("group", F.when(F.col("orig_idx") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("orig_idx") % 40).cast("string"))))
+    rows = splits.candidates(df, "random", 4).collect()
+    for s in range(4):
+        wanted = {r["compound_id"]: r["is_test"] for r in splits.split_random(df, s).collect()}
+        assert {r["compound_id"]: bool(r["sides"] >> s & 1) for r in rows} == wanted
+    groups = splits.candidates(df, "scaffold", 4).collect()
+    for s in range(4):
+        wanted = {r["group"]: r["is_test"] for r in splits.assign_groups(df, s).collect()}
+        assert {r["group"]: bool(r["sides"] >> s & 1) for r in groups} == wanted
+    with pytest.raises(ValueError, match="candidates"):
+        splits.candidates(df, "random", 63)
+
+
+def test_the_menu_has_all_strategies_in_order(spark):
+    df = entities(spark).withColumn("group", (F.col("orig_idx") % 11).cast("string"))
+    clusters = df.select("compound_id", (F.col("orig_idx") % 17).cast("string").alias("group"))
+    member, meta = splits.build_folds(df, 2, groups={"butina": clusters}, pool=6)
+    assert [m["fold"] for m in meta] == ["random_00", "random_01", "scaffold_00", "scaffold_01", "deterministic_00", "butina_00", "butina_01"]
+    n = df.count()
+    assert {r["fold"]: r["count"] for r in member.groupBy("fold").count().collect()} == {m["fold"]: n for m in meta}
+    one_side = member.join(clusters, "compound_id").filter("fold LIKE 'butina%'").groupBy("fold", "group").agg(F.count_distinct("is_test").alias("k"))
+    assert {r["k"] for r in one_side.collect()} == {1}
+    only, none = splits.build_folds(df.withColumn("bin", F.lit(1)), 2, ("random",), pool=3)
+    assert only.count() == 0 and none == []
+
+
+def test_join_by_key(spark):
+    rows = spark.createDataFrame([("hot", i) for i in range(500)] + [(f"k{i // 2}", i) for i in range(40)] + [(None, 1), ("absent", 2)], "k string, v int")
+    table = rows.filter("k <> 'absent'").groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("m"))
+    got = join_by_key(rows, table, "k", "n")
+    assert got.count() == 540 and {r["m"] for r in got.filter("k = 'hot'").collect()} == {499} and got.columns == ["k", "v", "m"]
