@@ -164,21 +164,3 @@ def importance_weights(wide: DataFrame, descriptors: list[str]) -> dict[str, flo
     rows = wide.select(F.array(*(F.col(f"`{d}`").cast("double") for d in descriptors)).alias("features"), "y")
     model = RandomForestClassifier(numTrees=100, maxDepth=5, seed=SEED, featuresCol="_v", labelCol="y").fit(_vectors(rows.withColumn("y", F.col("y").cast("double")), "features"))
     return dict(zip(descriptors, model.featureImportances.toArray().tolist()))
-
-
-def bag_weighting(train: DataFrame, scores: DataFrame, schemes: list[dict[str, float]]) -> DataFrame:
-    """compound_id, clf: each descriptor's score calibrated by a logistic fit; per scheme a weighted mean, with the plain
-    mean one more scheme; then the mean over schemes."""
-    names = [r.descriptor for r in train.select("descriptor").distinct().orderBy("descriptor").collect()]
-    parts = []
-    for d in names:
-        m = LogisticRegression(featuresCol="_v", labelCol="y", regParam=1e-4).fit(_vectors(train.filter(F.col("descriptor") == d).select(F.array("p").alias("x"), F.col("y").cast("double").alias("y")), "x"))
-        parts.append((d, float(m.coefficients[0]), float(m.intercept)))
-    lines = scores.sparkSession.createDataFrame(parts, "descriptor string, _s double, _b double")
-    rows = scores.join(F.broadcast(lines), "descriptor").withColumn("q", 1 / (1 + F.exp(-(F.col("_s") * F.col("p") + F.col("_b")))))
-    means = [F.avg("q")]
-    for s in schemes:
-        w = F.coalesce(F.create_map(*[F.lit(x) for kv in s.items() for x in kv])[F.col("descriptor")], F.lit(0.0))
-        means.append(F.sum(w * F.col("q")) / F.sum(w))
-    return rows.groupBy("compound_id").agg((sum(means[1:], means[0]) / len(means)).alias("clf"))
-

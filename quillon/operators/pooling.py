@@ -126,9 +126,10 @@ def w_leads(performance: DataFrame, column: str = "perf") -> DataFrame:
     return performance.join(F.broadcast(lead)).select("descriptor", (1 - F.abs(F.col("_lead") - F.col(column))).alias("w"))
 
 
-def bag_scaling(scores: DataFrame, schemes: list[DataFrame]) -> DataFrame:
+def bag_scaling(scores: DataFrame, schemes: list[DataFrame], *, plain: bool = False) -> DataFrame:
     """compound_id, reg: columns scaled by median and IQR, averaged by each scheme (descriptor, w), put back on the pooled
-    median and IQR, and averaged over schemes; a scheme whose weights sum to 0 counts all equal."""
+    median and IQR, and averaged over schemes; a scheme whose weights sum to 0 counts all equal. plain: the unweighted mean
+    is one scheme more."""
     rows = kept(scores.select("compound_id", "descriptor", "p"), "scores")
     per = quantiles(rows, ["descriptor"], "p", [0.25, 0.5, 0.75], keep=False, name="_q")
     whole = quantiles(rows, [], "p", [0.25, 0.5, 0.75], keep=False, name="_a")
@@ -136,7 +137,7 @@ def bag_scaling(scores: DataFrame, schemes: list[DataFrame]) -> DataFrame:
     scaled = rows.join(F.broadcast(per), "descriptor").join(F.broadcast(whole))
     z = (F.col("p") - F.col("_q")[1]) / spread(F.col("_q")) * (F.col("_a")[2] - F.col("_a")[0]) + F.col("_a")[1]
     rows = scaled.select("compound_id", "descriptor", z.alias("z"))
-    parts = []
+    parts = [F.avg("z")] if plain else []
     for i, s in enumerate(schemes):
         total = s.agg(F.sum("w").alias("_t"))
         s = s.join(F.broadcast(total)).select("descriptor", F.when(F.col("_t") == 0, F.col("w") + 1).otherwise(F.col("w")).alias(f"w{i}"))
@@ -145,21 +146,6 @@ def bag_scaling(scores: DataFrame, schemes: list[DataFrame]) -> DataFrame:
     return rows.groupBy("compound_id").agg((reduce(lambda a, b: a + b, parts) / len(parts)).alias("reg"))
 
 
-def bag_reg_model(train: DataFrame, scores: DataFrame) -> DataFrame:
-    """compound_id, reg: a line fitted for each descriptor on (p, y), and the mean of the lines' values."""
-    lines = train.groupBy("descriptor").agg(F.regr_slope("y", "p").alias("_s"), F.regr_intercept("y", "p").alias("_i"))
-    return scores.join(F.broadcast(lines), "descriptor").groupBy("compound_id").agg(F.avg(F.col("_s") * F.col("p") + F.col("_i")).alias("reg"))
-
-
-def pool_classifier(scores: DataFrame, model: DataFrame | None = None, *, pooler: str = "reliability", mode: str = "median", task: str = "classification", **signals: bool) -> DataFrame:
-    """Dispatch: the reliability pooler by default, the bagger by choice or for regression."""
-    if pooler == "reliability" and task == "classification":
-        return apply_pool(scores, model, **signals)
-    if mode == "median":
-        return bag_median(scores).withColumn("clf_bin", (F.col("clf") > 0.5).cast("int"))
-    raise ValueError(f"unknown mode {mode}")
-
-
 def assemble(entities: DataFrame, pooled: DataFrame, mapping: DataFrame) -> DataFrame:
     """Pooled values of every entity, copied to all its input rows."""
     per_entity = entities.select("compound_id").join(pooled, "compound_id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillon.functions import text as tx
 from quillon.functions.curves import logit, sigmoid
 from quillon.functions.shared import kept, shared_path
-from quillon.operators import estimate, features, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
+from quillon.operators import bagging, estimate, features, logistic, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import DESCRIPTORS, labelled, ranked_scores, read
 from quillon.operators.subsets import PRIME
@@ -659,7 +659,7 @@ def bag_scaling(spark, sf_dir):
 
 @query(", ln AS (SELECT descriptor, regr_slope(y, p) AS s, regr_intercept(y, p) AS i FROM sl GROUP BY 1) SELECT compound_id, round(avg(s * p + i), 6) AS reg FROM ps JOIN ln USING (descriptor) GROUP BY 1", scores=True)
 def bag_reg_model(spark, sf_dir):
-    return pooling.bag_reg_model(labelled(spark, sf_dir), fx.scores(spark, sf_dir))
+    return bagging.apply_bag(fx.scores(spark, sf_dir), bagging.fit_bag(labelled(spark, sf_dir), "model", "regression"))
 
 
 @query("SELECT compound_id, " + ", ".join(f"round(CAST(max(CASE WHEN descriptor = '{d}' THEN p END) AS FLOAT)::DOUBLE, 5) AS \"model-{d}-clf\"" for d in DESCRIPTORS) + " FROM ps GROUP BY 1", scores=True)
@@ -841,10 +841,52 @@ def screen(spark, sf_dir):
     return sc.screen_table(spark, solo, chosen)
 
 
-@query()
+def _newton_sql(points: str, rounds: int = 25) -> str:
+    """Tables n0 to n<rounds> (descriptor, s, b): a logistic fit of each descriptor of points (descriptor, x, y), penalty 1."""
+    out = [f"n0 AS (SELECT descriptor, CAST(0 AS DOUBLE) AS s, ln(avg(y) / (1 - avg(y))) AS b FROM {points} GROUP BY 1)"]
+    for k in range(rounds):
+        out.append(f"""n{k + 1} AS (SELECT descriptor, s + (h0 * g1 - h1 * g0) / (h0 * h2 - h1 * h1) AS s, b + (h2 * g0 - h1 * g1) / (h0 * h2 - h1 * h1) AS b
+  FROM (SELECT descriptor, any_value(s) AS s, any_value(b) AS b, sum(y - q) AS g0, sum((y - q) * x) - any_value(s) AS g1, sum(q * (1 - q)) AS h0, sum(q * (1 - q) * x) AS h1, sum(q * (1 - q) * x * x) + 1 AS h2
+  FROM (SELECT p.descriptor, x, y, s, b, 1 / (1 + exp(-(s * x + b))) AS q FROM {points} p JOIN n{k} USING (descriptor)) GROUP BY descriptor))""")
+    return ",\n".join(out)
+
+
+@query(", pt AS (SELECT descriptor, p AS x, y FROM sl), " + _newton_sql("pt") + " SELECT descriptor, round(s, 5) AS slope, round(b, 5) AS intercept FROM n25", scores=True)
+def logistic_lines(spark, sf_dir):
+    lines = logistic.fit_lines(labelled(spark, sf_dir), BY, "p", "y")
+    return lines.select("descriptor", F.round("slope", 5).alias("slope"), F.round("intercept", 5).alias("intercept"))
+
+
+@query(", pt AS (SELECT descriptor, p AS x, y FROM sl), " + _newton_sql("pt") + " SELECT compound_id, round(median(1 / (1 + exp(-(s * p + b)))), 6) AS clf, CAST(median(1 / (1 + exp(-(s * p + b)))) > 0.5 AS INTEGER) AS clf_bin FROM s0 JOIN n25 USING (descriptor) GROUP BY 1", scores=True)
+def bag_model(spark, sf_dir):
+    return bagging.apply_bag(fx.scores(spark, sf_dir), bagging.fit_bag(labelled(spark, sf_dir), "model"))
+
+
+_POWER = "CASE WHEN abs(l) < 1e-9 THEN ln(1 + p) ELSE (pow(1 + p, l) - 1) / l END"
+_POWERS = f"""pw AS (SELECT descriptor, arg_max({{'l': l, 'm': m, 'v': v}}, (round(-0.5 * n * ln(greatest(v, 1e-300)) + (l - 1) * logs, 6), l)) AS f FROM (SELECT descriptor, l, var_pop(t) AS v, avg(t) AS m, sum(ln(1 + p)) AS logs, count(*) AS n
+  FROM (SELECT descriptor, p, l, {_POWER} AS t FROM sl, (SELECT unnest({bagging.LAMBDAS})::DOUBLE AS l)) GROUP BY ALL) GROUP BY 1),
+pf AS (SELECT descriptor, f.l AS l, f.m AS m, CASE WHEN f.v > 0 THEN sqrt(f.v) ELSE 1 END AS d FROM pw)"""
+
+
+@query(f", {_POWERS} SELECT descriptor, l AS lambda, round(m, 6) AS mean, round(d, 6) AS std FROM pf", scores=True)
+def power_by_descriptor(spark, sf_dir):
+    return bagging.fit_powers(labelled(spark, sf_dir), BY, "p")
+
+
+@query(f""", {_POWERS}, pt AS (SELECT descriptor, ({_POWER} - m) / d AS x, y FROM sl JOIN pf USING (descriptor)), """ + _newton_sql("pt") + f""",
+ld AS (SELECT descriptor, 1 - abs((SELECT quantile_cont(auroc, 0.66) FROM auc) - auroc) AS w FROM auc),
+qs AS (SELECT compound_id, w, 1 / (1 + exp(-(s * (({_POWER} - m) / d) + b))) AS q FROM s0 JOIN pf USING (descriptor) JOIN n25 USING (descriptor) JOIN ld USING (descriptor)),
+mw AS (SELECT compound_id, (avg(q) + sum(w * q) / sum(w)) / 2 AS clf FROM qs GROUP BY 1) SELECT compound_id, round(clf, 6) AS clf, CAST(clf > 0.5 AS INTEGER) AS clf_bin FROM mw""", scores=True)
 def bag_weighting(spark, sf_dir):
+    """The forest's weights, which no SQL has, are left out here; see bag_forest."""
     rows = kept(labelled(spark, sf_dir), "labelled")
-    return estimate.bag_weighting(rows.select("compound_id", "descriptor", "p", "y"), fx.scores(spark, sf_dir).drop("n_chars"), [{"len": 0.5, "space": 0.3, "digit": 0.2}])
+    bag = bagging.fit_bag(rows, "weighting", schemes=[bagging.lead_weights(rows)])
+    return bagging.apply_bag(fx.scores(spark, sf_dir), bag)
+
+
+@query()
+def bag_forest(spark, sf_dir):
+    return bagging.apply_bag(fx.scores(spark, sf_dir), bagging.fit_bag(kept(labelled(spark, sf_dir), "labelled"), "weighting"))
 
 
 @query()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.functions import text as tx
-from quillon.operators import estimate, metrics, outputs, pooling, prep, ranking, splits, telemetry
+from quillon.operators import bagging, estimate, metrics, outputs, pooling, prep, ranking, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import labelled, read
 from quillon.queries import AP, FD, LG, PM, _avg_pool, _fold_data, _log
@@ -86,7 +86,7 @@ def reconcile(spark, sf_dir):
 
 @query(" SELECT compound_id, round(median(p), 6) AS clf, CAST(median(p) > 0.5 AS INTEGER) AS clf_bin FROM s0 GROUP BY 1", scores=True)
 def pool_classifier(spark, sf_dir):
-    return pooling.pool_classifier(fx.scores(spark, sf_dir), pooler="bagger")
+    return bagging.pool_scores(fx.scores(spark, sf_dir), bagging.Bag("median"))
 
 
 @query(AP + " SELECT doc_id * 2 AS orig_idx, CASE WHEN doc_id % 5 > 0 THEN doc_id END::VARCHAR AS compound_id, CASE WHEN doc_id % 5 > 0 THEN CAST(round(clf * 1e6) AS BIGINT) END::VARCHAR AS clf_millionths FROM documents LEFT JOIN ap ON compound_id = doc_id", scores=True)
