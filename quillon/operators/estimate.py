@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from quillon.functions.ordered import running
 from quillon.functions.selection import quantile
+from quillon.functions.shared import kept
+from quillon.operators.calibrate import calibrated, cross_calibrated, fit_isotonic, knots_of
 from quillon.operators.metrics import auroc, regression_metrics
 
 SEED = 42
@@ -47,21 +49,23 @@ def predict(model: Model, df: DataFrame, features: str = "features") -> DataFram
 
 
 def oof_scores(df: DataFrame, features: str = "features", k: int = 5, kind: str = "logistic", id_col: str = "compound_id") -> DataFrame:
-    """id, y, p, p_raw: each row scored by the model that has not seen it; folds by hashed id. Falls back to one model of
-    all rows where a fold's training side lacks a class."""
+    """id, y, p, p_raw: p_raw is the score of the model that has not seen the row, p that score calibrated on the raw scores
+    of the other folds; folds by hashed id. Falls back to one model of all rows, calibrated on them, where a fold's training
+    side lacks a class."""
     folds = df.withColumn("_fold", (F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("long") % k).cast("int"))
     sides = {r["_fold"]: (r.n, r.n1) for r in folds.groupBy("_fold").agg(F.count("*").alias("n"), F.sum("y").alias("n1")).collect()}
     n, n1 = sum(s[0] for s in sides.values()), sum(s[1] or 0 for s in sides.values())
     parts = []
     for fold, (m, m1) in sorted(sides.items()):
         if not 0 < n1 - (m1 or 0) < n - m:
-            return predict(fit_estimator(df, features, kind), df, features).select(id_col, "y", "p", "p_raw")
+            whole = kept(predict(fit_estimator(df, features, kind), df, features).select(id_col, "y", "p_raw"), "raw")
+            return calibrated(whole, knots_of(fit_isotonic(whole, []), []), []).select(id_col, "y", "p", "p_raw")
         model = fit_estimator(folds.filter(F.col("_fold") != fold), features, kind)
-        parts.append(predict(model, folds.filter(F.col("_fold") == fold), features).select(id_col, "y", "p", "p_raw"))
+        parts.append(predict(model, folds.filter(F.col("_fold") == fold), features).select(id_col, "y", "p_raw", "_fold"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return cross_calibrated(kept(out, "raw"), "_fold").select(id_col, "y", "p", "p_raw")
 
 
 def rank_quantile(query: DataFrame, reference: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -51,10 +51,11 @@ def labelled_ranks(spark: SparkSession, sf_dir: str, ranked: DataFrame | None =
     return (ranked or ranked_scores(spark, sf_dir)).join(labels(spark, sf_dir), "compound_id")
 
 
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def signals(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
+    """Pool signals of the labelled documents; ranked: a stored table of ranked scores."""
     from quillon.operators.estimate import pool_signals
 
-    ranked = kept(ranked_scores(spark, sf_dir), "ranked")
+    ranked = kept(ranked_scores(spark, sf_dir), "ranked") if ranked is None else ranked
     rows = labelled_ranks(spark, sf_dir, ranked)
     cuts = quantiles(ranked, ["descriptor"], "ad", [0.05]).select("descriptor", F.col("q")[0].alias("ad_cutoff"))
     return pool_signals(rows, cuts)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.shared import kept
 from quillon.functions.text import hashed_ngrams, is_lexical_structure
-from quillon.operators import estimate, metrics, outputs, pooling, prep, scaling, screen, splits
+from quillon.operators import bagging, calibrate, estimate, metrics, outputs, pooling, prep, scaling, screen, splits
 
 
 @dataclass
@@ -29,6 +29,8 @@ class Settings:
     folds: int = 5
     min_class: int | None = 30
     kind: str = "logistic"
+    pooler: str = "reliability"
+    bag_mode: str = "weighting"
     is_valid: Callable[[Column], Column] = is_lexical_structure
     standard: Callable[[Column], Column] = field(default=lambda c: c)
     schemas: tuple[str, ...] = splits.MENU
@@ -45,6 +47,8 @@ class Run:
     transformers: dict[str, DataFrame] = field(default_factory=dict)
     domains: dict = field(default_factory=dict)
     pool_model: DataFrame | None = None
+    knots: dict = field(default_factory=dict)  # calibration by descriptor, learned from its out-of-fold scores
+    bag: bagging.Bag | None = None
     signals: dict[str, bool] = field(default_factory=dict)
 
 
@@ -95,7 +99,7 @@ def fit(df: DataFrame, structure: str, value: str, descriptors: list[Descriptor]
         chosen = screen.screen(matrices, folds, s.top_k)
     labelled = {n: kept(matrices[n].join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "labelled") for n in chosen}
     learn(run, labelled, s)
-    run.tables["pooled"] = pooling.apply_pool(run.tables["scores"], run.pool_model, **run.signals)
+    run.tables["pooled"] = bagging.pool_scores(run.tables["scores"], run.bag or run.pool_model, **run.signals)
     run.tables["train"] = kept(outputs.by_model(run.tables["pooled"], run.tables["scores"]).join(data.select("compound_id", F.col("bin").alias("y")), "compound_id"), "train")
     return run
 
@@ -120,13 +124,17 @@ def learn(run: Run, labelled: dict[str, DataFrame], s: Settings) -> None:
     # a row a descriptor, with at most 20 knots each: kept as rows, so later plans don't carry the fit's lineage
     run.pool_model = spark.createDataFrame(model.collect(), model.schema)
     run.tables["scores"], run.tables["oof"] = scores, parts
+    run.knots = calibrate.knots_of(calibrate.fit_isotonic(parts, ["descriptor"]), ["descriptor"])
+    if s.pooler == "bagger":
+        run.bag = bagging.fit_bag(scores, s.bag_mode)
 
 
 def apply(run: Run, matrices: dict[str, DataFrame]) -> DataFrame:
     """Scores with ranks and domain of new matrices (compound_id, features), by a run's models and its out-of-fold scores."""
     parts = None
     for name, x in matrices.items():
-        got = estimate.predict(run.models[name], x).select("compound_id", "p", "p_raw")
+        got = estimate.predict(run.models[name], x).select("compound_id", "p_raw", F.lit(name).alias("descriptor"))
+        got = calibrate.calibrated(got, run.knots, ["descriptor"]).drop("descriptor")
         ad = estimate.score_domain(run.domains[name], x).select("compound_id", "ad")
         one = got.join(ad, "compound_id", "left").withColumn("descriptor", F.lit(name))
         parts = one if parts is None else parts.unionByName(one)
@@ -138,12 +146,12 @@ def apply(run: Run, matrices: dict[str, DataFrame]) -> DataFrame:
 def predict(df: DataFrame, structure: str, value: str | None, descriptors: list[Descriptor], run: Run, settings: Settings | None = None) -> Run:
     """Score a new table with a fit's models: only selected descriptors are computed, saved transformers and domains used."""
     s = settings or Settings()
-    out = Run(prepare(df, structure, value, s, fit=False), run.models, run.transformers, run.domains, run.pool_model, run.signals)
+    out = replace(run, tables=prepare(df, structure, value, s, fit=False))
     data = out.tables["data"] = kept(out.tables["data"], "data")
     scores = apply(run, {d.name: scaling.apply_transformer(features_of(data, d), run.transformers[d.name]) for d in descriptors if d.name in run.models})
     out.tables["oof"], out.tables["train"] = run.tables["oof"], run.tables["train"]
     out.tables["scores"] = scores
-    out.tables["pooled"] = pooling.apply_pool(scores, run.pool_model, **run.signals)
+    out.tables["pooled"] = bagging.pool_scores(scores, run.bag or run.pool_model, **run.signals)
     return out
 
 
@@ -175,7 +183,7 @@ def run_folds(data: DataFrame, folds: DataFrame, descriptors: list[Descriptor],
         run = Run({})
         learn(run, {n: x.filter(~F.col("is_test")).drop("is_test") for n, x in joined.items()}, s)
         scores = apply(run, {n: joined[n].filter("is_test").select("compound_id", "features") for n in run.models})
-        pooled = pooling.apply_pool(scores, run.pool_model, **run.signals).select("compound_id", F.col("clf").alias("p"))
+        pooled = bagging.pool_scores(scores, run.bag or run.pool_model, **run.signals).select("compound_id", F.col("clf").alias("p"))
         one = pooled.join(rows.filter("is_test").select("compound_id", "y"), "compound_id").select(F.lit(fold.rsplit("_", 1)[0]).alias("strategy"), F.lit(fold).alias("fold"), "compound_id", "y", "p")
         out = one if out is None else out.unionByName(one)
     if out is None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillon.functions import text as tx
 from quillon.functions.curves import logit, sigmoid
 from quillon.functions.shared import kept, shared_path
-from quillon.operators import bagging, estimate, features, logistic, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
+from quillon.operators import bagging, calibrate, estimate, features, logistic, metrics, outputs, pooling, prep, ranking, scaling, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import DESCRIPTORS, labelled, ranked_scores, read
 from quillon.operators.subsets import PRIME
@@ -609,18 +609,42 @@ w2 AS (SELECT * REPLACE (w / sum(w) OVER (PARTITION BY compound_id) AS w), least
 
 
 def _weighted(spark, sf_dir):
-    model = pooling.fit_pool(fx.signals(spark, sf_dir))
-    return pooling.weights(ranked_scores(spark, sf_dir), model)
+    ranked = kept(ranked_scores(spark, sf_dir), "ranked")
+    return pooling.weights(ranked, pooling.fit_pool(fx.signals(spark, sf_dir, ranked)))
 
 
 def _pooled(spark, sf_dir):
     return pooling.pool(_weighted(spark, sf_dir))
 
 
+# the isotonic rate of a score is the greatest, over first scores up to it, of the least rate over last scores from it on
+ISO = """, ix AS (SELECT descriptor, p, n, n1, row_number() OVER w AS i, sum(n) OVER w AS cn, sum(n1) OVER w AS c1 FROM sc WINDOW w AS (PARTITION BY descriptor ORDER BY p)),
+jk AS (SELECT a.descriptor, a.i AS j, b.i AS k, (b.c1 - a.c1 + a.n1) / (b.cn - a.cn + a.n) AS m FROM ix a JOIN ix b ON a.descriptor = b.descriptor AND b.i >= a.i),
+mn AS (SELECT descriptor, j, k AS i, min(m) OVER (PARTITION BY descriptor, j ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS v FROM jk),
+iso AS (SELECT descriptor, p, rate FROM (SELECT descriptor, i, max(v) AS rate FROM mn GROUP BY ALL) JOIN ix USING (descriptor, i)),
+bl AS (SELECT descriptor, round(rate, 12) AS rate, min(p) AS lo, max(p) AS hi FROM iso GROUP BY ALL), kk AS (SELECT descriptor, lo AS x, rate FROM bl UNION SELECT descriptor, hi, rate FROM bl),
+kz AS (SELECT descriptor, x AS x0, rate AS r0, lead(x) OVER w AS x1, lead(rate) OVER w AS r1, min(rate) OVER (PARTITION BY descriptor) AS least FROM kk WINDOW w AS (PARTITION BY descriptor ORDER BY x))"""
+
+
+@query(ISO + " SELECT descriptor, round(lo, 6) AS lo, round(hi, 6) AS hi, round(rate, 6) AS rate FROM bl", scores=True)
+def isotonic(spark, sf_dir):
+    return calibrate.fit_isotonic(labelled(spark, sf_dir), BY, "p").select("descriptor", "lo", "hi", "rate")
+
+
+@query(POOL + ISO + """, cl AS (SELECT w2.compound_id, w2.w, s.p, CASE WHEN x0 IS NULL THEN (SELECT min(least) FROM kz z WHERE z.descriptor = s.descriptor) WHEN x1 IS NULL THEN r0 ELSE r0 + (r1 - r0) * (s.p - x0) / (x1 - x0) END AS c
+  FROM w2 JOIN ps s USING (compound_id, descriptor) ASOF LEFT JOIN kz ON kz.descriptor = s.descriptor AND s.p >= kz.x0), cq AS (SELECT compound_id, w, least(1 - 1e-7, greatest(1e-7, p)) AS a, least(1 - 1e-7, greatest(1e-7, c)) AS b FROM cl)
+SELECT compound_id, round(1 / (1 + exp(-sum(w * ln(b / (1 - b))))), 5) AS clf, round(1 / (1 + exp(-sum(w * ln(a / (1 - a))))), 5) AS clf_raw FROM cq GROUP BY 1""", scores=True)
+def pool_raw(spark, sf_dir):
+    """Calibrated scores pooled beside the raw ones."""
+    knots = calibrate.knots_of(calibrate.fit_isotonic(labelled(spark, sf_dir), BY, "p"), BY)
+    rows = calibrate.calibrated(_weighted(spark, sf_dir).withColumnRenamed("p", "p_raw"), knots, BY)
+    return pooling.pool(rows, raw=True).select("compound_id", F.round("clf", 5).alias("clf"), F.round("clf_raw", 5).alias("clf_raw"))
+
+
 @query(POOL + " SELECT descriptor, compound_id, round(least(1, greatest(0, 1 - er)), 6) AS reliability FROM rl", scores=True)
 def reliability(spark, sf_dir):
-    model = pooling.fit_pool(fx.signals(spark, sf_dir))
-    rows = ranked_scores(spark, sf_dir).join(F.broadcast(model), "descriptor")
+    ranked = kept(ranked_scores(spark, sf_dir), "ranked")
+    rows = ranked.join(F.broadcast(pooling.fit_pool(fx.signals(spark, sf_dir, ranked))), "descriptor")
     return rows.select("descriptor", "compound_id", pooling.reliability(F.col("rank_q"), F.col("curve"), F.col("has_curve")).alias("reliability"))
 
 
