@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.shared import kept
-from quillon.functions.text import store_key
+from quillon.functions.text import store_key, symbol_ratio
 
 MAX_DESCRIPTORS, MAX_PROJECTIONS = 10, 3
 #: Type names that count as numeric.
@@ -56,6 +56,43 @@ def featurize(df: DataFrame, fn: Callable[[list[str]], list], *, width: int, des
     return out.withColumns({"descriptor": F.lit(descriptor), "version": F.lit(version)})
 
 
+def featurize_whole(df: DataFrame, fn: Callable[[list[str]], list], fallback: Callable[[list[str]], list], *, width: int, descriptor: str, version: str, batch: int = 1_000) -> DataFrame:
+    """As featurize, but one function makes all rows: a batch that fails in any partition switches the whole table to
+    `fallback`, computed anew from the stored structures; batches that fail there are halved down to the failing rows.
+
+    Two jobs at most: the first stores what `fn` makes, and a partition stops at its first failure with a mark."""
+    inputs = kept(df.select("smiles").filter(F.col("smiles").isNotNull()), "structures")
+
+    def strict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                part = frame.iloc[at : at + batch]
+                try:
+                    got = [list(map(float, x)) for x in fn(part["input"].tolist())]
+                    whole = len(got) == len(part) and all(len(x) == width for x in got)
+                except Exception:
+                    whole = False
+                if not whole:
+                    yield pd.DataFrame({"key": [None], "input": [None], "features": [None], "ok": [False]})
+                    return
+                yield pd.DataFrame({"key": part["key"].values, "input": part["input"].values, "features": got, "ok": True})
+
+    keyed = inputs.select(store_key(F.col("smiles")).alias("key"), F.col("smiles").alias("input"))
+    first = kept(keyed.mapInPandas(strict, "key string, input string, features array<float>, ok boolean"), "features")
+    if first.filter(~F.col("ok")).isEmpty():
+        return first.withColumns({"descriptor": F.lit(descriptor), "version": F.lit(version)})
+    return featurize(inputs, fallback, width=width, descriptor=descriptor, version=version, batch=batch)
+
+
+def properties(df: DataFrame, fns: dict[str, Callable[[Column], Column]] | None = None, *, structure: str = "smiles", digits: int = 4) -> DataFrame:
+    """df with a column for each named property of its structure, rounded; NaN where the structure is null or has none.
+
+    By default the text's length and its share of symbols."""
+    fns = fns or {"length": F.length, "symbols": symbol_ratio}
+    value = lambda fn: F.coalesce(F.round(fn(F.col(structure)).cast("double"), digits), F.lit(float("nan")))
+    return df.withColumns({name: value(fn) for name, fn in fns.items()})
+
+
 def assert_any_ok(features: DataFrame) -> None:
     """An error if rows were computed and none succeeded."""
     got = features.agg(F.count("*").alias("n"), F.count_if("ok").alias("ok")).first()
@@ -188,13 +225,3 @@ def matrix_extent(entities: DataFrame, features: DataFrame, columns: DataFrame)
     per = columns.groupBy("descriptor").agg(F.count("*").alias("w")).join(have, "descriptor", "left")
     width = per.agg(F.when(F.count("*") == F.count("_h"), F.sum("w")).alias("width"))
     return entities.agg(F.count("*").alias("n")).join(F.broadcast(width))
-
-
-def project_2d(df: DataFrame, vector: str, id_col: str = "compound_id", k: int = 2) -> DataFrame:
-    """compound_id, name, x, y: the two first principal components of a feature array."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    rows = df.filter(F.col(vector).isNotNull()).select(id_col, array_to_vector(vector).alias("v"))
-    v = vector_to_array(F.col("c"))
-    return PCA(k=k, inputCol="v", outputCol="c").fit(rows).transform(rows).select(F.col(id_col).alias("compound_id"), F.lit("pca").alias("name"), v[0].alias("x"), v[1].alias("y"))

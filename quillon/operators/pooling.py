@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.curves import EPS, clip, interpolate, logit, sigmoid
@@ -40,6 +40,15 @@ def fit_pool(signals: DataFrame) -> DataFrame:
     return model.withColumn("has_curve", F.min(F.col("curve").isNotNull().cast("int")).over(everyone) == 1).drop("_raw")
 
 
+def save_pool(model: DataFrame, path: str) -> None:
+    """The pool model as Parquet, a row a descriptor."""
+    model.write.mode("overwrite").parquet(path)
+
+
+def load_pool(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def signals_present(scores: DataFrame) -> dict[str, bool]:
     """Whether rank, ad and raw scores are there: every descriptor has the column and not all its values are unusable."""
     ok = lambda c: F.max(F.when(F.col(c).isNotNull() & ~F.isnan(c), 1).otherwise(0))

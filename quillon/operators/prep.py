@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from quillon.functions.curves import clip
 from quillon.functions.ordered import numbered
 from quillon.functions.selection import quantiles
+from quillon.functions.shared import kept
 from quillon.functions.text import tanimoto
 
 # Symbols that exclude a structure.
 METALS = (
-    "Sc Ti V Cr Mn Fe Co Ni Cu Ga Y Zr Nb Mo Tc Ru Rh Pd Cd In Sn La Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po Ac "
-    "Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr Ge Sb"
-).split()
+    "Sc", "Ti", "V", "Cr", "Mn", "Fe", "Co", "Ni", "Cu", "Ga", "Y", "Zr", "Nb", "Mo", "Tc", "Ru", "Rh", "Pd",
+    "Cd", "In", "Sn", "La", "Hf", "Ta", "W", "Re", "Os", "Ir", "Pt", "Au", "Hg", "Tl", "Pb", "Bi", "Po", "Ac",
+    "Ce", "Pr", "Nd", "Pm", "Sm", "Eu", "Gd", "Tb", "Dy", "Ho", "Er", "Tm", "Yb", "Lu", "Th", "Pa", "U", "Np",
+    "Pu", "Am", "Cm", "Bk", "Cf", "Es", "Fm", "Md", "No", "Lr", "Ge", "Sb",
+)
 MAX_BORON = 7
 
 # What anonymizing overwrites and drops.
@@ -195,6 +198,72 @@ def smooth_repeats(df: DataFrame, value: str, rank_by: str, id_col: str) -> Data
     return moved.unionByName(df.join(F.broadcast(hot), F.col(value) == F.col("_v"), "left_anti").withColumn("smoothed", F.col(value)))
 
 
+def spread_bounds(rest: DataFrame, value: str, repeats: list[float], *, tail: float = 0.05, edge: float = 0.01) -> dict[float, tuple[float, float]]:
+    """The interval that each repeated value is spread over, by the values that are not repeated.
+
+    Within the middle (1 - 2 * tail) of them: from the (1 - edge) quantile of those below to the edge quantile of those
+    above. In the lower tail: as far below the value as the edge quantile of those above is above it, to the value; in the
+    upper tail from the value to as far above it as the edge quantile of those below is below. A side without values ends
+    at the value. All quantiles are found together, as places in the order of the whole."""
+    below = rest.agg(F.count("*").alias("n"), *(F.count_if(F.col(value) < r).alias(f"b{i}") for i, r in enumerate(repeats))).first()
+    n = below["n"]
+    places = {"low": tail * (n - 1), "high": (1 - tail) * (n - 1)}
+    for i in range(len(repeats)):
+        b = below[f"b{i}"]
+        places |= {("over", i): b + edge * (n - b - 1), ("under", i): (1 - edge) * (b - 1), ("first", i): edge * (b - 1)}
+    if n == 0:
+        return {r: (r, r) for r in repeats}
+    shares = [min(max(p / (n - 1), 0.0), 1.0) if n > 1 else 0.0 for p in places.values()]
+    at = dict(zip(places, quantiles(rest, [], value, shares).first()["q"], strict=True))
+    out = {}
+    for i, r in enumerate(repeats):
+        b = below[f"b{i}"]
+        over, under, first = at["over", i] if b < n else r, at["under", i] if b else r, at["first", i] if b else r
+        out[r] = (r - (over - r), r) if r < at["low"] else (r, r + (r - first)) if r > at["high"] else (under, over)
+    return out
+
+
+def hash_normal(key: Column) -> Column:
+    """A number that is drawn from the normal distribution by the key's hash."""
+    u = (F.conv(F.substring(F.md5(key.cast("string")), 1, 13), 16, 10).cast("double") + 0.5) / float(16**13)
+    return normal_quantile(u)
+
+
+def smooth_by_model(df: DataFrame, value: str, features: str, id_col: str, *, kind: str = "forest", noise: float = 1e-6) -> DataFrame:
+    """df with `smoothed`: rows of a value that occurs too often are spread evenly over its interval (see spread_bounds), in
+    the order that a model predicts from their features (ties by id); then every value has a little noise.
+
+    The model learns the uniform quantile of the values that are not repeated. noise: its deviation, as a share of that of
+    the smoothed values; drawn by hash, so it is the same on any cluster. kind: forest or linear. Repeated values are at most
+    100, for each holds a hundredth of the rows."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+
+    rows = kept(df, "rows")
+    hot = [r[0] for r in repeated_values(rows, value).select(F.col(value).cast("double")).orderBy(value).collect()]
+    often = F.coalesce(F.col(value).cast("double").isin(hot), F.lit(False))
+    smoothed = rows.withColumn("smoothed", F.col(value).cast("double"))
+    rest = rows.filter(~often & F.col(value).isNotNull() & F.col(features).isNotNull())
+    knots = fit_quantiles(rest, value) if hot else []
+    if knots:
+        common = {"featuresCol": "_v", "labelCol": "_u"}
+        learner = RandomForestRegressor(numTrees=100, maxDepth=5, seed=42, **common) if kind == "forest" else LinearRegression(regParam=0.0, solver="normal", **common)
+        vectors = lambda t: t.withColumn("_v", array_to_vector(features))
+        model = learner.fit(vectors(rest.withColumn("_u", apply_quantiles(F.col(value).cast("double"), knots))))
+        bounds = spread_bounds(rows.filter(~often & F.col(value).isNotNull()), value, hot)
+        table = rows.sparkSession.createDataFrame([(r, *b) for r, b in bounds.items()], "_r double, _lo double, _hi double")
+        guess = model.transform(vectors(rows.filter(often & F.col(features).isNotNull()))).drop("_v").withColumnRenamed("prediction", "_guess")
+        none = rows.filter(often & F.col(features).isNull()).withColumn("_guess", F.lit(float("-inf")))
+        placed = numbered(guess.unionByName(none), [value], "_guess", id_col, name="_place")
+        counts = placed.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+        spread = placed.join(F.broadcast(counts), F.col(value) == F.col("_value")).join(F.broadcast(table), F.col(value).cast("double") == F.col("_r"))
+        even = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_place") - 1) / F.greatest(F.col("_n") - 1, F.lit(1))
+        smoothed = smoothed.filter(~often).unionByName(spread.select(*rows.columns, even.alias("smoothed")))
+    smoothed = kept(smoothed, "smoothed")
+    spread_of = smoothed.agg(F.coalesce(F.stddev_pop("smoothed"), F.lit(0.0)).alias("_std"))
+    return smoothed.join(F.broadcast(spread_of)).withColumn("smoothed", F.col("smoothed") + noise * F.col("_std") * hash_normal(F.col(id_col))).drop("_std")
+
+
 def yeo_johnson(x: Column, lam: float) -> Column:
     """The power transform of one value."""
     up = F.ln(1 + x) if abs(lam) < 1e-9 else (F.power(1 + x, F.lit(lam)) - 1) / lam

@@ -848,11 +848,6 @@ def domain_pca(spark, sf_dir):
     return estimate.score_domain(estimate.fit_domain(v), v).select("compound_id", "ad")
 
 
-@query()
-def project_2d(spark, sf_dir):
-    return features.project_2d(_vectors(spark, sf_dir), "features")
-
-
 @query()
 def screen(spark, sf_dir):
     from quillon.operators import screen as sc
@@ -990,7 +985,7 @@ def dedupe_stream(spark, sf_dir):
 
     rows = _event_stream(spark, sf_dir).withColumn("smiles", F.concat_ws("-", "event_type", "user_id"))
     at = shared_path(spark, "stream")
-    stream = streams.dedupe_stream(rows).select("key")
+    stream = streams.dedupe_stream(rows, late="3650 days").select("key")
     stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("key string").parquet(f"{at}/out")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.text import store_key
+from quillon.operators.pooling import apply_pool, load_pool
 
 
 def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None):
@@ -46,6 +47,34 @@ def dedupe_stream(stream: DataFrame, *, structure: str = "smiles", ts: str = "ts
     return rows.dropDuplicatesWithinWatermark(["key"])
 
 
+def dedupe_store(stream: DataFrame, store: str, checkpoint: str, *, key: str = "key", order: str = "ts", trigger: dict | None = None):
+    """Append the rows of keys that no earlier micro-batch had to a store of Parquet, a folder a batch; of rows of one key in
+    a batch the first by `order` stays.
+
+    What was seen is the store itself, so it has no horizon and survives lost executors and restarts; a batch that runs
+    again overwrites its own folder and reads earlier ones alone."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        spark, at = df.sparkSession, f"{store}/batch={number}"
+        first = df.groupBy(key).agg(F.min(F.struct(order, *(c for c in df.columns if c not in (key, order)))).alias("_row")).select(key, "_row.*")
+        if number:
+            seen = spark.read.schema(first.schema).option("basePath", store).parquet(store).filter(F.col("batch") < number)
+            first = first.join(seen.select(key), key, "left_anti")
+        first.write.mode("overwrite").parquet(at)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def pooled_stream(stream: DataFrame, scores: Callable[[DataFrame], DataFrame], model: str, out: str, checkpoint: str, *, trigger: dict | None = None, **signals: bool):
+    """Pool each micro-batch by a saved pool model (see pooling.save_pool): scores makes (compound_id, descriptor, p, ...) of
+    the entities, and a folder a batch is written below `out`. The model is read at each batch, so a new one is picked up."""
+
+    def score(df: DataFrame) -> DataFrame:
+        return apply_pool(scores(df), load_pool(df.sparkSession, model), **signals)
+
+    return score_stream(stream, score, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint, trigger)
+
+
 def run_to_end(stream: DataFrame, build: Callable[[DataFrame], DataFrame], at: str, *, ts: str = "ts", end: str = "9999-01-01") -> DataFrame:
     """The rows of build(stream) over all there is now, with the windows that are open at its end, as a table below `at`.
 
@@ -64,8 +93,10 @@ def run_to_end(stream: DataFrame, build: Callable[[DataFrame], DataFrame], at: s
     return spark.read.schema(built.schema).parquet(f"{at}/out")
 
 
-def register_hooks(spark: SparkSession, functions: dict[str, Callable]) -> list[str]:
-    """Register pandas or plain user functions under their names, for SQL."""
+def register_hooks(spark: SparkSession, functions: dict[str, Callable], tables: dict[str, Callable] | None = None) -> list[str]:
+    """Register pandas or plain user functions, and user table functions, under their names, for SQL."""
     for name, fn in functions.items():
         spark.udf.register(name, fn)
-    return sorted(functions)
+    for name, fn in (tables or {}).items():
+        spark.udtf.register(name, fn)
+    return sorted([*functions, *(tables or {})])
