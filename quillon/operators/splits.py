@@ -78,23 +78,33 @@ def set_classes(df: DataFrame, id_col: str = "compound_id", bits: str = "bits")
     return named.select("id", F.coalesce("rep", "id").alias("rep"), F.coalesce("n", F.lit(1)).alias("n"))
 
 
-def similar_pairs(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id", bits: str = "bits") -> DataFrame:
-    """a, b (a < b), similarity of classes of equal sets (by their greatest ids, see set_classes) whose sets are at least
-    1 - cutoff alike; empty sets have no pairs. With set_classes these are all links; copies are not paired.
+def candidate_pairs(sets: DataFrame, t: float) -> DataFrame:
+    """a, b (a < b) of sets (id, set) that may be at least t alike: what is left to compare member by member.
 
-    Inverted index over the rarest members: two sets this alike share one among the first n - ceil(t n) + 1 members in
-    order of rarity, and their sizes are within the ratio t, so frequent members are never joined on.
-    """
-    t = 1 - cutoff
-    sets = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(bits)).alias("set")).filter(F.size("set") > 0).groupBy("set").agg(F.max("id").alias("id"))
+    Members are ordered from the rarest on. A set of n members that is this alike to a set of no more members shares one of
+    its first n - ceil(t n) + 1, and the smaller one has it among its first n - ceil(2 t n / (1 + t)) + 1; so an inverted
+    index of these meets all pairs without frequent members. Pairs whose sizes differ too much are dropped as they meet, and
+    so are those whose members behind the one that met are too few for the overlap that is needed."""
     members = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("m"))
     counts = members.groupBy("m").agg(F.count("*").alias("df"))
     rare = members.join(counts, "m").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "m"))).alias("o"))
-    prefix = rare.select("id", "n", F.explode(F.slice("o", 1, (F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1).cast("int"))).alias("x")).select("id", "n", "x.m")
-    left, right = prefix.select(F.col("id").alias("a"), F.col("n").alias("na"), "m"), prefix.select(F.col("id").alias("b"), F.col("n").alias("nb"), "m")
-    close = (F.col("a") < F.col("b")) & (F.col("na") >= t * F.col("nb") - 1e-9) & (F.col("nb") >= t * F.col("na") - 1e-9)
-    pairs = left.join(right, "m").filter(close).select("a", "b").distinct()
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    first = lambda share: (F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1).cast("int")
+    prefix = lambda share: rare.select("id", "n", F.posexplode(F.slice("o", 1, first(share))).alias("i", "x"))
+    small = prefix(2 * t / (1 + t)).select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("x.m").alias("m"))
+    large = prefix(t).select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("x.m").alias("m"))
+    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    sized = F.col("na") >= t * F.col("nb") - 1e-9
+    enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= F.ceil((F.col("na") + F.col("nb")) * t / (1 + t) - 1e-9)
+    met = small.join(large, "m").filter(ordered & sized & enough)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar_pairs(df: DataFrame, cutoff: float = 0.6, id_col: str = "compound_id", bits: str = "bits") -> DataFrame:
+    """a, b (a < b), similarity of classes of equal sets (by their greatest ids, see set_classes) whose sets are at least
+    1 - cutoff alike; empty sets have no pairs. With set_classes these are all links; copies are not paired."""
+    t = 1 - cutoff
+    sets = df.select(F.col(id_col).alias("id"), F.array_sort(F.array_distinct(bits)).alias("set")).filter(F.size("set") > 0).groupBy("set").agg(F.max("id").alias("id"))
+    both = candidate_pairs(sets, t).join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     return both.withColumn("similarity", tanimoto(F.col("sa"), F.col("sb"))).filter(F.col("similarity") >= t - 1e-9).select("a", "b", "similarity")
 
 

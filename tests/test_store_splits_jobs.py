@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,27 @@ def test_join_by_key(spark):
     table = rows.filter("k <> 'absent'").groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("m"))
     got = join_by_key(rows, table, "k", "n")
     assert got.count() == 540 and {r["m"] for r in got.filter("k = 'hot'").collect()} == {499} and got.columns == ["k", "v", "m"]
+
+
+@pytest.mark.parametrize("cutoff", [0.6, 0.3, 0.0])
+def test_similar_pairs_equal_all_pairs(spark, cutoff):
+    """Random sets of many sizes; the pairs that are compared are far fewer than those that share a member."""
+    rng = random.Random(3)
+    sets = {}
+    for i in range(150):
+        sets[i] = set(rng.sample(range(60), rng.randint(1, 20)))
+    for i in range(150, 220):
+        near = set(sets[rng.randrange(150)])
+        near.discard(next(iter(near)))
+        sets[i] = near | {rng.randrange(60)}
+    sets[220] = sets[3]
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()] + [(900, []), (901, None)], "compound_id long, bits array<long>")
+    latest = {frozenset(s): max(i for i, z in sets.items() if z == s) for s in sets.values()}
+    reps = sorted(latest.values())
+    like = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    wanted = {(i, j) for i in reps for j in reps if i < j and like(i, j) >= 1 - cutoff - 1e-9}
+    assert {(r["a"], r["b"]) for r in splits.similar_pairs(df, cutoff).collect()} == wanted
+    classes = spark.createDataFrame([(i, sorted(sets[i])) for i in reps], "id long, set array<long>")
+    sharing = sum(1 for i in reps for j in reps if i < j and sets[i] & sets[j])
+    compared = splits.candidate_pairs(classes, 1 - cutoff).count()
+    assert len(wanted) <= compared < {0.6: 0.6, 0.3: 0.15, 0.0: 0.02}[cutoff] * sharing
