@@ -6,14 +6,14 @@ from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.ordered import running
 from quillon.functions.selection import quantile
 from quillon.functions.shared import kept
 from quillon.operators.calibrate import calibrated, cross_calibrated, fit_isotonic, knots_of
-from quillon.operators.metrics import auroc, regression_metrics
+from quillon.operators.metrics import auroc, cutoffs, regression_metrics
 
 SEED = 42
 
@@ -135,12 +135,14 @@ def pool_signals(oof: DataFrame, ad_cutoffs: DataFrame | None = None) -> DataFra
     return out.join(ad_cutoffs, by, "left")
 
 
-def cv_report(oof: DataFrame, train: DataFrame) -> DataFrame:
-    """descriptor, oof_auroc, train_auroc, gap, n, n_pos, prior."""
+def cv_report(oof: DataFrame, train: DataFrame, timings: DataFrame | None = None, id_col: str = "compound_id") -> DataFrame:
+    """descriptor, oof_auroc, train_auroc, gap, n, n_pos, prior and the cutoff searched on the out-of-fold scores; with
+    timings (descriptor, phase, seconds) the summed seconds of all phases."""
     by = ["descriptor"]
     out = oof.groupBy(*by).agg(F.count("*").alias("n"), F.sum("y").cast("long").alias("n_pos"), F.avg("y").alias("prior"))
     a, b = auroc(oof, by).withColumnRenamed("auroc", "oof_auroc"), auroc(train, by).withColumnRenamed("auroc", "train_auroc")
-    return out.join(a, by, "left").join(b, by, "left").withColumn("gap", F.col("train_auroc") - F.col("oof_auroc"))
+    out = out.join(a, by, "left").join(b, by, "left").join(cutoffs(oof, by, id_col), by, "left").withColumn("gap", F.col("train_auroc") - F.col("oof_auroc"))
+    return out if timings is None else out.join(timings.groupBy(*by).agg(F.sum("seconds").alias("seconds")), by, "left")
 
 
 def fit_all(tables: dict[str, DataFrame], features: str = "features", kind: str = "logistic") -> tuple[dict[str, Model], dict[str, str]]:
@@ -156,11 +158,14 @@ def fit_all(tables: dict[str, DataFrame], features: str = "features", kind: str
     return models, errors
 
 
-def evaluate(df: DataFrame, task: str = "classification") -> DataFrame:
-    """auroc (0 for a single class) or r2 over rows with truth."""
+def evaluate(df: DataFrame, task: str = "classification", validation: Column | None = None) -> DataFrame:
+    """part, and auroc (0 for a single class) or r2 over rows with truth: of all rows and, where given, of the validation
+    rows among them."""
+    parts = F.array(F.lit("all")) if validation is None else F.when(validation, F.array(F.lit("all"), F.lit("validation"))).otherwise(F.array(F.lit("all")))
+    rows = df.withColumn("part", F.explode(parts))
     if task == "regression":
-        return regression_metrics(df, []).select("r2")
-    return auroc(df, []).select(F.coalesce("auroc", F.lit(0.0)).alias("auroc"))
+        return regression_metrics(rows, ["part"]).select("part", "r2")
+    return auroc(rows, ["part"]).select("part", F.coalesce("auroc", F.lit(0.0)).alias("auroc"))
 
 
 def importance_weights(wide: DataFrame, descriptors: list[str]) -> dict[str, float]:

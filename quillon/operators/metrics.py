@@ -295,6 +295,13 @@ def heldout_metrics(heldout: DataFrame, *, cutoff: float = 0.5) -> DataFrame:
     return a.filter(F.col("auroc").isNotNull()).join(b, by).join(c.select(*by, "mcc", "f1"), by)
 
 
+def strategy_curves(heldout: DataFrame) -> DataFrame:
+    """strategy, curve (roc or pr), threshold, x, y: held-out rows of all folds of a strategy pooled, a point a score."""
+    by = ["strategy"]
+    roc = roc_curve(heldout, by).select(*by, F.lit("roc").alias("curve"), "threshold", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    return roc.unionByName(pr_curve(heldout, by).select(*by, F.lit("pr").alias("curve"), "threshold", F.col("recall").alias("x"), F.col("precision").alias("y")))
+
+
 def strategy_summary(metrics: DataFrame) -> DataFrame:
     """strategy, mean and population deviation of each metric over folds; NaN and null are left out."""
     out = []

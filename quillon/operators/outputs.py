@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.operators.metrics import performance
+from quillon.operators.metrics import auroc, confusion, performance, with_point_metrics
 
 
 def map_to_original(values: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -44,9 +44,9 @@ def by_model(pooled: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def validation_table(metrics: DataFrame, meta: DataFrame, balance: DataFrame) -> DataFrame:
-    """strategy, fold, seed, auroc, aupr, num_train, num_test, num_test_1."""
-    counts = balance.select("fold", F.col("n_train").alias("num_train"), F.col("n_test").alias("num_test"), F.round(F.col("test_rate") * F.col("n_test")).cast("long").alias("num_test_1"))
-    return meta.select("strategy", "fold", "seed").join(metrics.select("fold", "auroc", "aupr"), "fold").join(counts, "fold").select("strategy", "fold", "seed", "auroc", "aupr", "num_train", "num_test", "num_test_1")
+    """strategy, fold, seed, auroc, aupr, num_train, num_test, num_test_1 and test_ratio (the share of positives)."""
+    counts = balance.select("fold", F.col("n_train").alias("num_train"), F.col("n_test").alias("num_test"), F.round(F.col("test_rate") * F.col("n_test")).cast("long").alias("num_test_1"), F.col("test_rate").alias("test_ratio"))
+    return meta.select("strategy", "fold", "seed").join(metrics.select("fold", "auroc", "aupr"), "fold").join(counts, "fold").select("strategy", "fold", "seed", "auroc", "aupr", "num_train", "num_test", "num_test_1", "test_ratio")
 
 
 def role_columns(columns: list[str]) -> dict[str, str | None]:
@@ -55,8 +55,9 @@ def role_columns(columns: list[str]) -> dict[str, str | None]:
 
 
 def run_summary(data: DataFrame, pooled: DataFrame, weights: DataFrame, descriptors: list[str], used: list[str], tier: str) -> DataFrame:
-    """section, name, value (text) of a run: entities and classes, descriptors, weighting tier, the 4 heaviest descriptors
-    and the 4 most often outside their domain (both limits are the feature)."""
+    """section, name, value (text) of a run: entities and classes, descriptors, weighting tier, the pooled score's AUROC,
+    accuracy and MCC over entities with truth, the 4 heaviest descriptors and the 4 most often outside their domain (both
+    limits are the feature)."""
     spark = data.sparkSession
     counts = data.agg(F.count("*").alias("entities"), F.count_if(F.col("bin") == 1).alias("active"), F.count_if(F.col("bin") == 0).alias("inactive"))
     a = counts.select(F.inline(F.array(*(F.struct(F.lit("counts").alias("section"), F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in ("entities", "active", "inactive")))))
@@ -64,4 +65,8 @@ def run_summary(data: DataFrame, pooled: DataFrame, weights: DataFrame, descript
     w = weights.groupBy("descriptor").agg(F.avg("w").alias("w"), F.avg(F.col("vetoed").cast("double")).alias("out"))
     top = lambda c, s: w.orderBy(F.desc(c), "descriptor").limit(4).select(F.lit(s).alias("section"), F.col("descriptor").alias("name"), F.round(c, 4).cast("string").alias("value"))
     share = pooled.agg(F.avg("clf_bin").alias("x")).select(F.lit("pooling").alias("section"), F.lit("share_active").alias("name"), F.round("x", 4).cast("string").alias("value"))
-    return a.unionByName(b).unionByName(share).unionByName(top("w", "weights")).unionByName(top("out", "outside"))
+    known = pooled.select("compound_id", F.col("clf").alias("p"), "clf_bin").join(data.select("compound_id", F.col("bin").alias("y")), "compound_id")
+    called = with_point_metrics(confusion(known.drop("p").withColumnRenamed("clf_bin", "p"), [], 1.0))
+    quality = auroc(known, []).join(F.broadcast(called.select("accuracy", "mcc")))
+    figures = quality.select(F.inline(F.array(*(F.struct(F.lit("quality").alias("section"), F.lit(c).alias("name"), F.round(c, 4).cast("string").alias("value")) for c in ("auroc", "accuracy", "mcc")))))
+    return a.unionByName(b).unionByName(share).unionByName(figures).unionByName(top("w", "weights")).unionByName(top("out", "outside"))

@@ -337,6 +337,11 @@ def label_variants(df: DataFrame, value: str, power: dict[str, float], knots: li
     return df.withColumns({"raw": x, "power": apply_power(x, power), "uniform": apply_quantiles(x, knots), "normal": apply_quantiles(x, knots, "normal")})
 
 
+def inverse_variants(df: DataFrame, variants: dict[str, Column]) -> DataFrame:
+    """df with each named variant back on the label's scale: columns made by inverse_power or inverse_quantiles."""
+    return df.withColumns({f"{name}_label": back for name, back in variants.items()})
+
+
 def label_column(task: str, columns: list[str]) -> str | None:
     """`bin` for classification, `val` for regression; None if absent."""
     name = {"classification": "bin", "regression": "val"}[task]

@@ -36,6 +36,14 @@ def validate_transformer(transformer: DataFrame, names: list[str]) -> None:
         raise ValueError(f"features differ: {found}")
 
 
+def reorder_features(df: DataFrame, transformer: DataFrame, names: list[str], features: str = "features") -> DataFrame:
+    """df with its array in the transformer's order, from arrays in the order of names; an error if the sets differ."""
+    validate_transformer(transformer, names)
+    order = [r.feature for r in transformer.orderBy("pos").select("feature").collect()]  # a row a feature
+    at = F.array(*(F.lit(names.index(n)) for n in order))
+    return df.withColumn(features, F.transform(at, lambda i: F.get(F.col(features), i)))
+
+
 def apply_transformer(df: DataFrame, transformer: DataFrame, features: str = "features") -> DataFrame:
     """df with its feature array scaled: NaN and null filled first, constant features 0, values as float."""
     params = transformer.agg(F.array_sort(F.collect_list(F.struct("pos", "center", "scale", "fill", "is_constant"))).alias("_t"))

@@ -54,7 +54,14 @@ def phase_totals(steps: DataFrame, *, run: str = "run") -> DataFrame:
 
 
 def usage_timeline(log: DataFrame, *, run: str = "run") -> DataFrame:
-    """run, name, t, cpu, ram_used_gb and elapsed since the run's first record."""
+    """run, name, t, cpu, ram_used_gb and elapsed since the run's first record, with seconds (of the step in all) and place
+    (1: the run's longest step, of equals the first by name)."""
+    steps = step_durations(log, run=run)
+    longest = steps.withColumn("place", F.row_number().over(Window.partitionBy(run).orderBy(F.desc(F.round("seconds", 3)), "name")))
+    return _timeline(log, run).join(longest.select(run, "name", "seconds", "place"), [run, "name"], "left")
+
+
+def _timeline(log: DataFrame, run: str) -> DataFrame:
     return log.withColumn("elapsed", F.col("t") - F.min("t").over(Window.partitionBy(run))).select(run, "name", "t", "elapsed", "cpu", "ram_used_gb")
 
 

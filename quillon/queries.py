@@ -166,10 +166,11 @@ def sanitize_name(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", tx.sanitize_name(F.col("url")).alias("name"))
 
 
-@query("SELECT 'NA' AS smiles, count(*) AS n FROM documents")
+@query("SELECT doc_id, 'NA' AS smiles, 'NA' AS inchikey, n_chars AS clf FROM documents")
 def anonymize(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select(F.col("text").alias("smiles"), F.col("n_chars").alias("MolWt"), F.col("lang").alias("sim_lang"))
-    return prep.anonymize(docs).groupBy("smiles").agg(F.count("*").alias("n"))
+    """A row a document; the structure, its key and two property columns go."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("smiles"), F.md5("text").alias("inchikey"), F.col("n_chars").alias("MolWt"), F.col("lang").alias("sim_lang"), F.col("n_chars").alias("clf"))
+    return prep.anonymize(docs)
 
 
 # Feature store
@@ -775,8 +776,8 @@ ra AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY p) + (count(*) OVER (PA
 ha AS (SELECT fold, sum(y) AS n1, count(*) - sum(y) AS n0, (sum(CASE WHEN y = 1 THEN r END) - n1 * (n1 + 1) / 2) / (n1 * n0) AS auroc FROM ra GROUP BY 1),
 hp AS (SELECT fold, p, count(*) AS n, sum(y) AS n1 FROM h GROUP BY 1, 2), hc AS (SELECT *, sum(n) OVER w AS cn, sum(n1) OVER w AS cn1, sum(n1) OVER (PARTITION BY fold) AS t1 FROM hp WINDOW w AS (PARTITION BY fold ORDER BY p DESC)),
 hv AS (SELECT fold, sum(n1 / t1 * (CASE WHEN cn - n > 0 THEN (cn1 - n1) / (cn - n) ELSE 1 END + cn1 / cn) / 2) AS aupr FROM hc GROUP BY 1),
-b AS (SELECT fold, count(CASE WHEN NOT is_test THEN 1 END) AS num_train, count(CASE WHEN is_test THEN 1 END) AS num_test, CAST(sum(CASE WHEN is_test THEN bin END) AS BIGINT) AS num_test_1 FROM m GROUP BY 1)
-SELECT 'random' AS strategy, fold, CAST(right(fold, 2) AS INTEGER) AS seed, round(auroc, 6) AS auroc, round(aupr, 6) AS aupr, num_train, num_test, num_test_1 FROM b JOIN ha USING (fold) JOIN hv USING (fold)""", scores=True)
+b AS (SELECT fold, count(CASE WHEN NOT is_test THEN 1 END) AS num_train, count(CASE WHEN is_test THEN 1 END) AS num_test, CAST(sum(CASE WHEN is_test THEN bin END) AS BIGINT) AS num_test_1, round(avg(CASE WHEN is_test THEN bin END), 6) AS test_ratio FROM m GROUP BY 1)
+SELECT 'random' AS strategy, fold, CAST(right(fold, 2) AS INTEGER) AS seed, round(auroc, 6) AS auroc, round(aupr, 6) AS aupr, num_train, num_test, num_test_1, test_ratio FROM b JOIN ha USING (fold) JOIN hv USING (fold)""", scores=True)
 def validation_table(spark, sf_dir):
     member = _memberships(spark, sf_dir)
     test = member.filter("is_test").join(fx.scores(spark, sf_dir).filter("descriptor = 'len'"), "compound_id").select("fold", "compound_id", F.col("bin").alias("y"), "p")

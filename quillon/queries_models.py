@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.functions import text as tx
+from quillon.functions.shared import kept
 from quillon.operators import bagging, estimate, metrics, outputs, pooling, prep, ranking, splits, telemetry
 from quillon.plans import fixtures as fx
 from quillon.plans.fixtures import labelled, read
-from quillon.queries import AP, FD, LG, PM, _avg_pool, _fold_data, _log
+from quillon.queries import AP, FD, LG, PM, _avg_pool, _fold_data, _log, drawn_sql
 from quillon.registry import query
 
 # Folds and reports
@@ -33,11 +34,12 @@ def fold_summary(spark, sf_dir):
     return splits.fold_summary(part).select("strategy", "mean", "std", F.size("values").cast("long").alias("folds"))
 
 
-@query(""", c AS (SELECT descriptor, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos, round(avg(y), 6) AS prior FROM sl GROUP BY 1)
-SELECT descriptor, n, n_pos, prior, round(auroc, 6) AS oof_auroc, round(1 - auroc, 6) AS train_auroc, round(1 - 2 * auroc, 6) AS gap FROM c JOIN auc USING (descriptor)""", scores=True)
+@query(drawn_sql("sl") + """, c AS (SELECT descriptor, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos, round(avg(y), 6) AS prior FROM sl GROUP BY 1)
+SELECT descriptor, n, n_pos, prior, round(auroc, 6) AS oof_auroc, round(1 - auroc, 6) AS train_auroc, round(1 - 2 * auroc, 6) AS gap, cutoff, 3.5::DOUBLE AS seconds FROM c JOIN auc USING (descriptor) JOIN cu USING (descriptor)""", scores=True)
 def cv_report(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
-    return estimate.cv_report(rows, rows.withColumn("p", 1 - F.col("p")))
+    rows = kept(labelled(spark, sf_dir), "labelled")
+    timings = rows.select("descriptor").distinct().select("descriptor", F.explode(F.array(F.lit(1.0), F.lit(2.5))).alias("seconds"))
+    return estimate.cv_report(rows, rows.withColumn("p", 1 - F.col("p")), timings)
 
 
 HELD = """, h AS (SELECT descriptor AS strategy, descriptor || '_' || (compound_id % 3) AS fold, p, y FROM sl),
@@ -111,10 +113,14 @@ def performance_table(spark, sf_dir):
     return out.select("model", "auroc", "tp", "tn", "fp", "fn", "accuracy", "balanced_accuracy", "precision", "recall", "f1", "mcc")
 
 
-@query(AP + """, w AS (SELECT descriptor, avg(p) AS w, avg(CASE WHEN p < 0.1 THEN 1.0 ELSE 0.0 END) AS o FROM s0 GROUP BY 1)
+@query(AP + """, w AS (SELECT descriptor, avg(p) AS w, avg(CASE WHEN p < 0.1 THEN 1.0 ELSE 0.0 END) AS o FROM s0 GROUP BY 1),
+ql AS (SELECT clf, y FROM ap JOIN lab USING (compound_id)), qr AS (SELECT y, rank() OVER (ORDER BY clf) + (count(*) OVER (PARTITION BY clf) - 1) / 2 AS r FROM ql),
+qa AS (SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y)) AS a FROM qr),
+qc AS (SELECT count(CASE WHEN clf > 0.5 AND y = 1 THEN 1 END) AS tp, count(CASE WHEN clf <= 0.5 AND y = 0 THEN 1 END) AS tn, count(CASE WHEN clf > 0.5 AND y = 0 THEN 1 END) AS fp, count(CASE WHEN clf <= 0.5 AND y = 1 THEN 1 END) AS fn FROM ql), qm AS (SELECT """ + PM + """ FROM qc)
 SELECT 'counts' AS section, 'entities' AS name, CAST(count(*) AS VARCHAR) AS value FROM lab UNION ALL SELECT 'counts', 'active', CAST(sum(y) AS BIGINT)::VARCHAR FROM lab UNION ALL SELECT 'counts', 'inactive', CAST(sum(1 - y) AS BIGINT)::VARCHAR FROM lab
 UNION ALL SELECT 'descriptors', d, CASE WHEN d = 'digit' THEN 'dropped' ELSE 'used' END FROM unnest(['digit', 'len', 'space']) t(d) UNION ALL SELECT 'pooling', 'tier', 'skill'
-UNION ALL SELECT 'pooling', 'share_active', CAST(round(avg(CASE WHEN clf > 0.5 THEN 1.0 ELSE 0.0 END), 4) AS VARCHAR) FROM ap UNION ALL SELECT 'weights', descriptor, CAST(round(w, 4) AS VARCHAR) FROM w UNION ALL SELECT 'outside', descriptor, CAST(round(o, 4) AS VARCHAR) FROM w""", scores=True)
+UNION ALL SELECT 'pooling', 'share_active', CAST(round(avg(CASE WHEN clf > 0.5 THEN 1.0 ELSE 0.0 END), 4) AS VARCHAR) FROM ap UNION ALL SELECT 'quality', 'auroc', CAST(round(a, 4) AS VARCHAR) FROM qa UNION ALL SELECT 'quality', 'accuracy', CAST(round(accuracy, 4) AS VARCHAR) FROM qm UNION ALL SELECT 'quality', 'mcc', CAST(round(mcc, 4) AS VARCHAR) FROM qm
+UNION ALL SELECT 'weights', descriptor, CAST(round(w, 4) AS VARCHAR) FROM w UNION ALL SELECT 'outside', descriptor, CAST(round(o, 4) AS VARCHAR) FROM w""", scores=True)
 def run_summary(spark, sf_dir):
     weights = fx.scores(spark, sf_dir).select("descriptor", F.col("p").alias("w"), (F.col("p") < 0.1).alias("vetoed"))
     data = fx.labels(spark, sf_dir).withColumnRenamed("y", "bin")
@@ -154,9 +160,9 @@ def training_reference(spark, sf_dir):
 # Telemetry and text
 
 
-@query(f"WITH {LG} SELECT run, name, round(t, 6) AS t, round(t - min(t) OVER (PARTITION BY run), 6) AS elapsed, cpu FROM lg")
+@query(f"WITH {LG} SELECT lg.run, lg.name, round(lg.t, 6) AS t, round(lg.t - min(lg.t) OVER (PARTITION BY lg.run), 6) AS elapsed, cpu, round(s, 3) AS seconds, place FROM lg LEFT JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY run ORDER BY round(s, 3) DESC, name) AS INTEGER) AS place FROM sd) x ON x.run = lg.run AND x.name = lg.name")
 def usage_timeline(spark, sf_dir):
-    return telemetry.usage_timeline(_log(spark, sf_dir)).drop("ram_used_gb")
+    return telemetry.usage_timeline(_log(spark, sf_dir)).drop("ram_used_gb").withColumn("seconds", F.round("seconds", 3))
 
 
 @query("""WITH m AS (SELECT avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS m, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS q FROM orders)
@@ -186,9 +192,22 @@ def digest_log(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", tx.digest_log(line).alias("status"))
 
 
-@query("SELECT p_partkey, round(u, 6) AS uniform, p_retailprice AS raw FROM (SELECT p_partkey, p_retailprice, (p_retailprice - lo) / (hi - lo) AS u FROM part, (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part))")
+@query("""WITH v AS (SELECT p_partkey, p_retailprice AS x FROM part), y AS (SELECT p_partkey, l, CASE WHEN abs(l) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, l) - 1) / l END AS y FROM v, (SELECT round(-4 + 8 * i / 80.0::DOUBLE, 6) AS l FROM range(81) t(i))),
+g AS (SELECT l, var_pop(y) AS s, avg(y) AS m, count(*) AS n FROM y GROUP BY l), b AS (SELECT l, m, sqrt(s) AS s FROM g ORDER BY -0.5 * n * ln(greatest(s, 1e-300)) + (l - 1) * (SELECT sum(ln(1 + x)) FROM v) DESC LIMIT 1), z AS (SELECT p_partkey, (y - m) / s AS power FROM y JOIN b USING (l)),
+k AS (SELECT quantile_cont(CAST(x AS DOUBLE), [i / 100 FOR i IN range(0, 101)]) AS k FROM v), a AS (SELECT p_partkey, CAST(x AS DOUBLE) AS x, k, len(list_filter(k, lambda q: q <= CAST(x AS DOUBLE))) AS b FROM v, k),
+u AS (SELECT p_partkey, x, CASE WHEN b = 0 THEN 0 WHEN b > 100 THEN 1 ELSE (b - 1 + (x - k[b]) / (k[b + 1] - k[b])) / 100 END AS u FROM a), n AS (SELECT *, 2 * least(1 - 1e-7, greatest(1e-7, u)) - 1 AS e FROM u),
+w AS (SELECT *, ln(greatest(1 - e * e, 1e-300)) AS l, 2 / (3.141592653589793 * 0.147) + ln(greatest(1 - e * e, 1e-300)) / 2 AS f FROM n)
+SELECT p_partkey, round(x, 6) AS raw, round(power, 5) AS power, round(u, 6) AS uniform, round(sign(e) * sqrt(sqrt(f * f - l / 0.147) - f) * sqrt(2), 5) AS normal FROM w JOIN z USING (p_partkey)""")
 def label_variants(spark, sf_dir):
-    """With two knots, the ends, the uniform variant is the share of the range; power and normal have tests of their own."""
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    knots = prep.fit_quantiles(part, "p_retailprice", 2)
-    return prep.label_variants(part, "p_retailprice", {"lambda": 1.0, "mean": 0.0, "std": 1.0}, knots).select("p_partkey", "uniform", "raw")
+    part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("v"))
+    out = prep.label_variants(part, "v", prep.fit_power(part, "v"), prep.fit_quantiles(part, "v"))
+    return out.select("p_partkey", "raw", F.round("power", 5).alias("power"), "uniform", F.round("normal", 5).alias("normal"))
+
+
+@query("SELECT p_partkey, round(CAST(p_retailprice AS DOUBLE), 3) AS raw, round(CAST(p_retailprice AS DOUBLE), 3) AS power_label, round(CAST(p_retailprice AS DOUBLE), 3) AS uniform_label FROM part")
+def inverse_labels(spark, sf_dir):
+    """Variants put back on the label's scale are the labels."""
+    part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("v"))
+    power, knots = prep.fit_power(part, "v"), prep.fit_quantiles(part, "v")
+    out = prep.inverse_variants(prep.label_variants(part, "v", power, knots), {"power": prep.inverse_power(F.col("power"), power), "uniform": prep.inverse_quantiles(F.col("uniform"), knots)})
+    return out.select("p_partkey", *(F.round(c, 3).alias(c) for c in ("raw", "power_label", "uniform_label")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quillon.functions.shared import kept, shared_path
-from quillon.operators import features, pooling, prep, projection
+from quillon.operators import estimate, features, metrics, pooling, prep, projection, scaling
 from quillon.plans import fixtures as fx
-from quillon.plans.fixtures import read
+from quillon.plans.fixtures import labelled, read
+from quillon.queries import STATS, _vectors
+from quillon.queries_models import HELD, _heldout
 from quillon.registry import query
+from quillon.sources import tables
 from quillon.streaming import streams
 
 
@@ -107,3 +111,87 @@ def project_2d(spark, sf_dir):
 @query()
 def project_spectral(spark, sf_dir):
     return _projected(spark, sf_dir, "spectral")
+
+
+# What a run keeps
+
+
+@query("""SELECT lang AS descriptor, doc_id, CASE WHEN lang = 'en' THEN 2.0 * n_chars ELSE n_chars END::DOUBLE AS value FROM documents WHERE lang IS NOT NULL""")
+def effective_features(spark, sf_dir):
+    """The English matrix was treated, the others are raw."""
+    docs = read(spark, sf_dir, "documents").filter("lang IS NOT NULL").select(F.col("lang").alias("descriptor"), "doc_id", F.col("n_chars").cast("double").alias("value"))
+    treated = docs.filter("descriptor = 'en'").withColumn("value", 2 * F.col("value"))
+    return tables.effective_features(docs, treated)
+
+
+@query(HELD + " SELECT strategy, fold, round(auroc, 6) AS auroc, round(ap, 6) AS ap, mcc, f1 FROM hm", scores=True)
+def write_validation(spark, sf_dir):
+    """Metrics, held-out rows and summary are written; the metrics read back."""
+    at, found = shared_path(spark, "validation"), kept(_heldout(spark, sf_dir), "metrics")
+    held = labelled(spark, sf_dir).select(F.col("descriptor").alias("strategy"), "p", "y")
+    tables.write_validation(found, held, metrics.strategy_summary(found), at)
+    return spark.read.schema(found.schema).csv(f"{at}/validation", header=True)
+
+
+@query(" SELECT 'scores' AS dir, count(*) AS n FROM sl UNION ALL SELECT 'model', count(*) FROM sl", scores=True)
+def retention(spark, sf_dir):
+    """The intermediate table of a fit goes, its scores and model stay."""
+    at = shared_path(spark, "run")
+    for name in ("matrix", "scores", "model"):
+        labelled(spark, sf_dir).write.parquet(f"{at}/{name}")
+    tables.drop_tables(spark, at, prep.retained(["matrix", "scores", "model"], "fit", intermediate={"matrix"}, models={"model"}))
+    left = spark.read.option("recursiveFileLookup", "true").parquet(at)
+    return left.groupBy(F.regexp_extract(F.input_file_name(), "/([a-z]+)/[^/]+$", 1).alias("dir")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {STATS} SELECT vec_id AS compound_id, round(sum(abs(CAST((x - m) / s AS FLOAT)::DOUBLE)), 3) AS total FROM e JOIN f USING (pos) GROUP BY 1")
+def saved_transformer(spark, sf_dir):
+    """Fitted, saved, loaded, and applied to arrays in another order."""
+    at, v = shared_path(spark, "transformers"), _vectors(spark, sf_dir)
+    scaling.save_transformer(scaling.fit_transformer(v), at, "embedding", "v1")
+    saved = scaling.load_transformer(spark, at, "embedding", "v1")
+    names = [f"f{i}" for i in reversed(range(saved.count()))]
+    back = scaling.reorder_features(v.withColumn("features", F.reverse("features")), saved, names)
+    out = scaling.apply_transformer(back, saved)
+    return out.select("compound_id", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + F.abs(x.cast("double"))), 3).alias("total"))
+
+
+@query("SELECT 'broken' AS descriptor, false AS fitted, count(*) AS n FROM embeddings UNION ALL SELECT 'first', true, count(*) FROM embeddings")
+def fit_all(spark, sf_dir):
+    """A descriptor whose features are missing fails alone."""
+    v = _vectors(spark, sf_dir)
+    matrices = {"first": v.withColumn("features", F.slice("features", 1, 4)), "broken": v.withColumn("features", F.lit(None).cast("array<float>"))}
+    models, errors = estimate.fit_all(matrices)
+    rows = [matrices[n].select(F.lit(n).alias("descriptor"), F.lit(n in models).alias("fitted")) for n in sorted({*models, *errors})]
+    return rows[0].unionByName(rows[1]).groupBy("descriptor", "fitted").agg(F.count("*").alias("n"))
+
+
+_EV = """, ev AS (SELECT 'all' AS part, p, y FROM sl WHERE descriptor = 'len' UNION ALL SELECT 'validation', p, y FROM sl WHERE descriptor = 'len' AND substr(md5(CAST(compound_id AS VARCHAR)), 1, 1) < '8'),
+er AS (SELECT part, y, rank() OVER (PARTITION BY part ORDER BY p) + (count(*) OVER (PARTITION BY part, p) - 1) / 2 AS r FROM ev)"""
+
+
+@query(_EV + " SELECT part, round((sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y)), 6) AS auroc FROM er GROUP BY 1", scores=True)
+def evaluate(spark, sf_dir):
+    rows = labelled(spark, sf_dir).filter("descriptor = 'len'")  # one model's scores, as the operator takes them
+    return estimate.evaluate(rows, validation=F.substring(F.md5(F.col("compound_id").cast("string")), 1, 1) < "8")
+
+
+@query("SELECT descriptor AS strategy, 'roc' AS curve, round(p, 6) AS threshold, round((cn - cn1) / (t - t1), 6) AS x, round(cn1 / t1, 6) AS y FROM cum UNION ALL SELECT DISTINCT descriptor, 'roc', NULL, 0.0, 0.0 FROM cum UNION ALL SELECT descriptor, 'pr', round(p, 6), round(cn1 / t1, 6), round(cn1 / cn, 6) FROM cum UNION ALL SELECT DISTINCT descriptor, 'pr', NULL, 0.0, 1.0 FROM cum", scores=True)
+def strategy_curves(spark, sf_dir):
+    return metrics.strategy_curves(labelled(spark, sf_dir).select(F.col("descriptor").alias("strategy"), "p", "y"))
+
+
+@query("SELECT p_partkey, upper(w) AS word FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part)")
+def hooks(spark, sf_dir):
+    """A user function and a user table function, called from SQL by name."""
+    @F.pandas_udf("string")
+    def shout(values: pd.Series) -> pd.Series:
+        return values.str.upper()
+
+    class Words:
+        def eval(self, text: str):
+            for word in (text or "").split(" "):
+                yield (word,)
+
+    streams.register_hooks(spark, {"hook_shout": shout}, {"hook_words": F.udtf(Words, returnType="word string")})
+    return spark.sql("SELECT p_partkey, hook_shout(word) AS word FROM {part}, LATERAL hook_words(p_name)", part=read(spark, sf_dir, "part"))

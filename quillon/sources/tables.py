@@ -111,8 +111,10 @@ def sparsity(df: DataFrame, column: str = "features", rows: int | None = SPARSE_
 
 
 def effective_features(raw: DataFrame | None, treated: DataFrame | None) -> DataFrame | None:
-    """The treated matrix where there is one, else the raw one."""
-    return treated if treated is not None else raw
+    """Of each descriptor the treated matrix where there is one, else the raw one; a store that is absent has none."""
+    if raw is None or treated is None:
+        return treated if treated is not None else raw
+    return treated.unionByName(raw.join(F.broadcast(treated.select("descriptor").distinct()), "descriptor", "left_anti"))
 
 
 def feature_info(df: DataFrame, columns: DataFrame) -> DataFrame:
@@ -133,6 +135,16 @@ def write_validation(metrics: DataFrame, heldout: DataFrame, summary: DataFrame,
     summary.write.mode("overwrite").json(f"{path}/summary")
 
 
+def drop_tables(spark: SparkSession, path: str, names: list[str]) -> list[str]:
+    """Delete tables below a folder of any file system; the names of those that were there."""
+    jvm, gone = spark._jvm, []
+    for name in names:
+        at = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True):
+            gone.append(name)
+    return gone
+
+
 def write_projections(points: DataFrame, manifest: DataFrame, path: str) -> None:
     points.write.mode("overwrite").parquet(f"{path}/projections")
     manifest.write.mode("overwrite").json(f"{path}/projections_manifest")
