@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions.ordered import numbered, running
+from quillon.functions.selection import bars
+from quillon.functions.shared import kept
 from quillon.operators.metrics import score_counts
 
 
@@ -102,8 +104,13 @@ def projection_points(projections: DataFrame, data: DataFrame, cap: int = 10_000
     is the feature: a figure's points)."""
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     rows = projections.join(data.select("compound_id", "bin"), "compound_id").filter(finite("x") & finite("y") & F.col("bin").isNotNull())
-    order = Window.partitionBy("name", "bin").orderBy(F.md5(F.col("compound_id").cast("string")), "compound_id")
-    return rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= cap).drop("_r")
+    digest = F.md5(F.col("compound_id").cast("string"))
+    rows = kept(rows.withColumn("_u", F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")), "points")
+    # rows above the cap-th least hash are left out first, so that no task orders more than about cap of a class
+    bar = bars(rows, ["name", "bin"], "_u", F.lit(cap)).select(F.col("name").alias("_name"), F.col("bin").alias("_bin"), "bar")
+    near = rows.join(F.broadcast(bar), (F.col("name") == F.col("_name")) & (F.col("bin") == F.col("_bin")) & (F.col("_u") <= F.col("bar"))).drop("_name", "_bin", "bar", "_u")
+    order = Window.partitionBy("name", "bin").orderBy(digest, "compound_id")
+    return near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= cap).drop("_r")
 
 
 def class_percent(data: DataFrame) -> DataFrame:

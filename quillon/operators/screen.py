@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillon.functions.shared import kept
 from quillon.operators.estimate import estimator, predict, _vectors
 from quillon.operators.metrics import auroc
 
@@ -63,4 +64,4 @@ def screen(features: dict[str, DataFrame], folds: DataFrame, k: int = 3, *, mode
     if mode != "fit" or task != "classification" or len(names) <= k:
         return names
     preds = proxy_scores(features, folds)
-    return names if preds is None else select_descriptors(preds.persist(), names, k)[0]
+    return names if preds is None else select_descriptors(kept(preds, "proxies"), names, k)[0]

@@ -8,6 +8,7 @@ from quillon.catalog import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 CHECKED = ["assign_ids", "dedupe_mapping", "reconcile_labels", "coverage", "version_as_of", "similar_pairs", "split_deterministic", "fold_jaccard", "auroc", "performance_row", "threshold_kappa", "pool", "bag_scaling", "spearman", "output_table", "collapse_phase"]
+CHECKED += ["cutoffs", "select_folds", "bag_weighting", "bag_model", "isotonic", "pool_raw", "featurize_whole", "dedupe_store", "pooled_stream", "saved_transformer", "label_variants", "run_summary", "hooks", "retention"]
 CHECKED += ["read_table", "remap", "read_through", "contribute", "featurize", "store_size", "smooth_repeats", "set_classes", "heldout_metrics", "signals_present", "performance_table", "session_stream", "telemetry_stream", "dedupe_stream"]
 
 
