@@ -203,16 +203,20 @@ def whiten_brute(rows, k):
 
 def compare(found, rows, k):
     ids, n, deviation, white, explained = whiten_brute(rows, k)
-    found = sorted(found.collect(), key=lambda r: (str(r[0]), r["deviation"], r["component"]))
+    found = found.collect()
     assert len(found) == len(ids) * k
-    got = np.array([r["whitened"] for r in found]).reshape(len(ids), k)
-    order = sorted(range(len(ids)), key=lambda j: (str(ids[j]), deviation[j]))
-    assert [r[0] for r in found[::k]] == [ids[j] for j in order]
-    assert [r["deviation"] for r in found[::k]] == [deviation[j] for j in order]
+    places = defaultdict(lambda: defaultdict(list))
+    for r in found:
+        places[str(r[0]), r["deviation"]][r["component"]].append(r["whitened"])
+    # repeated rows, of one id and vector, have their values as often
+    times = Counter((str(i), d) for i, d in zip(ids, deviation, strict=True))
+    assert {key: {c: len(v) for c, v in of.items()} for key, of in places.items()} == {key: {c + 1: m for c in range(k)} for key, m in times.items()}
+    assert all(len(set(v)) == 1 for of in places.values() for v in of.values())
+    got = np.array([[places[str(i), d][c + 1][0] for c in range(k)] for i, d in zip(ids, deviation, strict=True)])
     assert {r["n"] for r in found} == {n}
-    assert np.allclose([r["explained"] for r in found[:k]], explained, rtol=1e-9)
-    wanted = white[order]
-    assert np.allclose(got * np.sign((got * wanted).sum(axis=0)), wanted, atol=1e-6)
+    shares = {r["component"]: r["explained"] for r in found}
+    assert np.allclose([shares[c + 1] for c in range(k)], explained, rtol=1e-9)
+    assert np.allclose(got * np.sign((got * white).sum(axis=0)), white, atol=1e-6)
     assert {r["identity_error"] for r in found}.pop() < 1e-8
 
 
