@@ -71,6 +71,21 @@ def drawn(df: DataFrame, group: str, place: DataFrame, sample: int, hash_col: st
     return near.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).drop("_place")
 
 
+#: Bits of the bitmap of may_be_in: 4 MB, whatever the tables.
+BITS = 1 << 25
+
+
+def may_be_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """rows with a boolean _likely: false for none of the rows whose `key` (a long) is among keys (one column of that name),
+    and true for few others while there are far fewer keys than BITS. The keys' bits are broadcast, 4 MB at most."""
+    slot = F.pmod(F.col(key), F.lit(BITS))
+    bits = keys.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    placed = rows.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot)}).join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    return placed.withColumn("_likely", likely).drop("_bucket", "_bit", "_bits")
+
+
 def held_out(doc_id: str = "doc_id"):
     """True where crc32 of the id as text leaves no remainder modulo 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
