@@ -13,11 +13,11 @@ one with the least other columns stays; nothing else depends on order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import decontamination, language, near_dedup, secrets, word_bpe
-from quillon.llm._common import held_out, read, stored
+from quillon.llm._common import held_out, may_be_in, read, stored
 from quillon.llm.tokens import definition_of, vocabulary_path
 
 ORACLE_SQL = None
@@ -30,6 +30,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.predict(rows, model, keep=("row",)).filter(~F.col("rejected")).select("row.*")
 
 
+def _apart(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs that named (_id, _digest: id and text digest) cannot have, and the others, by a bitmap that is
+    broadcast: a join with named then shuffles the texts of the latter alone."""
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("doc_id", F.xxhash64("text")).alias("_key"))
+    told = may_be_in(keyed, named.select(F.xxhash64("_id", "_digest").alias("_key")), "_key")
+    return told.filter(~F.col("_likely")).select("row.*"), told.filter("_likely").select("row.*")
+
+
+def _same(docs: DataFrame, named: DataFrame) -> Column:
+    return docs["doc_id"].eqNullSafe(named["_id"]) & (F.xxhash64(docs["text"]) == named["_digest"])
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each near-duplicate class: the one with the least doc_id (null last), then the least text digest.
 
@@ -38,21 +50,22 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     least = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
     marked = classes.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), least.alias("_least"), "n")
     marked = stored(marked.filter(~F.col("_least") | (F.col("n") > 1)).drop("n"), "classes")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest"))
-    single = docs.join(marked, same, "left_anti")
+    clear, likely = _apart(docs, marked)
+    single = clear.unionByName(likely.join(marked, _same(likely, marked), "left_anti"))
     repeated = stored(marked.filter("_least"), "repeated")
+    _, copies = _apart(docs, repeated)
     others = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
     row = F.min(F.struct(*others, "text")).alias("row")  # of types that have an order
-    one = docs.join(repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("digest")).agg(row)
+    one = copies.join(repeated, _same(copies, repeated), "left_semi").groupBy("doc_id", F.xxhash64("text").alias("digest")).agg(row)
     return single.unionByName(one.select("doc_id", "row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a benchmark window occurs."""
     found = decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    hit = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_drop"), "digest").distinct()
-    same = docs["doc_id"].eqNullSafe(hit["_drop"]) & (F.xxhash64(docs["text"]) == hit["digest"])
-    return docs.join(hit, same, "left_anti")
+    hit = stored(found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "hit")
+    clear, likely = _apart(docs, hit)
+    return clear.unionByName(likely.join(hit, _same(likely, hit), "left_anti"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
