@@ -63,10 +63,10 @@ def run_summary(data: DataFrame, pooled: DataFrame, weights: DataFrame, descript
     a = counts.select(F.inline(F.array(*(F.struct(F.lit("counts").alias("section"), F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in ("entities", "active", "inactive")))))
     b = spark.createDataFrame([("descriptors", d, "used" if d in used else "dropped") for d in descriptors] + [("pooling", "tier", tier)], "section string, name string, value string")
     w = weights.groupBy("descriptor").agg(F.avg("w").alias("w"), F.avg(F.col("vetoed").cast("double")).alias("out"))
-    top = lambda c, s: w.orderBy(F.desc(c), "descriptor").limit(4).select(F.lit(s).alias("section"), F.col("descriptor").alias("name"), F.round(c, 4).cast("string").alias("value"))
-    share = pooled.agg(F.avg("clf_bin").alias("x")).select(F.lit("pooling").alias("section"), F.lit("share_active").alias("name"), F.round("x", 4).cast("string").alias("value"))
+    top = lambda c, s: w.orderBy(F.desc(c), "descriptor").limit(4).select(F.lit(s).alias("section"), F.col("descriptor").alias("name"), F.round(c, 4).cast("decimal(18,4)").cast("string").alias("value"))
+    share = pooled.agg(F.avg("clf_bin").alias("x")).select(F.lit("pooling").alias("section"), F.lit("share_active").alias("name"), F.round("x", 4).cast("decimal(18,4)").cast("string").alias("value"))
     known = pooled.select("compound_id", F.col("clf").alias("p"), "clf_bin").join(data.select("compound_id", F.col("bin").alias("y")), "compound_id")
     called = with_point_metrics(confusion(known.drop("p").withColumnRenamed("clf_bin", "p"), [], 1.0))
     quality = auroc(known, []).join(F.broadcast(called.select("accuracy", "mcc")))
-    figures = quality.select(F.inline(F.array(*(F.struct(F.lit("quality").alias("section"), F.lit(c).alias("name"), F.round(c, 4).cast("string").alias("value")) for c in ("auroc", "accuracy", "mcc")))))
+    figures = quality.select(F.inline(F.array(*(F.struct(F.lit("quality").alias("section"), F.lit(c).alias("name"), F.round(c, 4).cast("decimal(18,4)").cast("string").alias("value")) for c in ("auroc", "accuracy", "mcc")))))
     return a.unionByName(b).unionByName(share).unionByName(figures).unionByName(top("w", "weights")).unionByName(top("out", "outside"))

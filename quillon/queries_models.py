@@ -119,8 +119,8 @@ qa AS (SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2) / (s
 qc AS (SELECT count(CASE WHEN clf > 0.5 AND y = 1 THEN 1 END) AS tp, count(CASE WHEN clf <= 0.5 AND y = 0 THEN 1 END) AS tn, count(CASE WHEN clf > 0.5 AND y = 0 THEN 1 END) AS fp, count(CASE WHEN clf <= 0.5 AND y = 1 THEN 1 END) AS fn FROM ql), qm AS (SELECT """ + PM + """ FROM qc)
 SELECT 'counts' AS section, 'entities' AS name, CAST(count(*) AS VARCHAR) AS value FROM lab UNION ALL SELECT 'counts', 'active', CAST(sum(y) AS BIGINT)::VARCHAR FROM lab UNION ALL SELECT 'counts', 'inactive', CAST(sum(1 - y) AS BIGINT)::VARCHAR FROM lab
 UNION ALL SELECT 'descriptors', d, CASE WHEN d = 'digit' THEN 'dropped' ELSE 'used' END FROM unnest(['digit', 'len', 'space']) t(d) UNION ALL SELECT 'pooling', 'tier', 'skill'
-UNION ALL SELECT 'pooling', 'share_active', CAST(round(avg(CASE WHEN clf > 0.5 THEN 1.0 ELSE 0.0 END), 4) AS VARCHAR) FROM ap UNION ALL SELECT 'quality', 'auroc', CAST(round(a, 4) AS VARCHAR) FROM qa UNION ALL SELECT 'quality', 'accuracy', CAST(round(accuracy, 4) AS VARCHAR) FROM qm UNION ALL SELECT 'quality', 'mcc', CAST(round(mcc, 4) AS VARCHAR) FROM qm
-UNION ALL SELECT 'weights', descriptor, CAST(round(w, 4) AS VARCHAR) FROM w UNION ALL SELECT 'outside', descriptor, CAST(round(o, 4) AS VARCHAR) FROM w""", scores=True)
+UNION ALL SELECT 'pooling', 'share_active', CAST(CAST(round(avg(CASE WHEN clf > 0.5 THEN 1.0 ELSE 0.0 END), 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM ap UNION ALL SELECT 'quality', 'auroc', CAST(CAST(round(a, 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM qa UNION ALL SELECT 'quality', 'accuracy', CAST(CAST(round(accuracy, 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM qm UNION ALL SELECT 'quality', 'mcc', CAST(CAST(round(mcc, 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM qm
+UNION ALL SELECT 'weights', descriptor, CAST(CAST(round(w, 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM w UNION ALL SELECT 'outside', descriptor, CAST(CAST(round(o, 4) AS DECIMAL(18, 4)) AS VARCHAR) FROM w""", scores=True)
 def run_summary(spark, sf_dir):
     weights = fx.scores(spark, sf_dir).select("descriptor", F.col("p").alias("w"), (F.col("p") < 0.1).alias("vetoed"))
     data = fx.labels(spark, sf_dir).withColumnRenamed("y", "bin")
@@ -192,16 +192,17 @@ def digest_log(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", tx.digest_log(line).alias("status"))
 
 
-@query("""WITH v AS (SELECT p_partkey, p_retailprice AS x FROM part), y AS (SELECT p_partkey, l, CASE WHEN abs(l) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, l) - 1) / l END AS y FROM v, (SELECT round(-4 + 8 * i / 80.0::DOUBLE, 6) AS l FROM range(81) t(i))),
+@query("""WITH v AS (SELECT p_partkey, CAST(p_retailprice AS DOUBLE) / 1000 AS x FROM part), y AS (SELECT p_partkey, l, CASE WHEN abs(l) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, l) - 1) / l END AS y FROM v, (SELECT round(-4 + 8 * i / 80.0::DOUBLE, 6) AS l FROM range(81) t(i))),
 g AS (SELECT l, var_pop(y) AS s, avg(y) AS m, count(*) AS n FROM y GROUP BY l), b AS (SELECT l, m, sqrt(s) AS s FROM g ORDER BY -0.5 * n * ln(greatest(s, 1e-300)) + (l - 1) * (SELECT sum(ln(1 + x)) FROM v) DESC LIMIT 1), z AS (SELECT p_partkey, (y - m) / s AS power FROM y JOIN b USING (l)),
 k AS (SELECT quantile_cont(CAST(x AS DOUBLE), [i / 100 FOR i IN range(0, 101)]) AS k FROM v), a AS (SELECT p_partkey, CAST(x AS DOUBLE) AS x, k, len(list_filter(k, lambda q: q <= CAST(x AS DOUBLE))) AS b FROM v, k),
 u AS (SELECT p_partkey, x, CASE WHEN b = 0 THEN 0 WHEN b > 100 THEN 1 ELSE (b - 1 + (x - k[b]) / (k[b + 1] - k[b])) / 100 END AS u FROM a), n AS (SELECT *, 2 * least(1 - 1e-7, greatest(1e-7, u)) - 1 AS e FROM u),
 w AS (SELECT *, ln(greatest(1 - e * e, 1e-300)) AS l, 2 / (3.141592653589793 * 0.147) + ln(greatest(1 - e * e, 1e-300)) / 2 AS f FROM n)
-SELECT p_partkey, round(x, 6) AS raw, round(power, 5) AS power, round(u, 6) AS uniform, round(sign(e) * sqrt(sqrt(f * f - l / 0.147) - f) * sqrt(2), 5) AS normal FROM w JOIN z USING (p_partkey)""")
+SELECT p_partkey, round(x, 6) AS raw, round(power, 4) AS power, round(u, 6) AS uniform, round(sign(e) * sqrt(sqrt(f * f - l / 0.147) - f) * sqrt(2), 4) AS normal FROM w JOIN z USING (p_partkey)""")
 def label_variants(spark, sf_dir):
-    part = read(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("v"))
+    """Prices in thousands: negative powers of large numbers differ by less than a double can tell."""
+    part = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice").cast("double") / 1000).alias("v"))
     out = prep.label_variants(part, "v", prep.fit_power(part, "v"), prep.fit_quantiles(part, "v"))
-    return out.select("p_partkey", "raw", F.round("power", 5).alias("power"), "uniform", F.round("normal", 5).alias("normal"))
+    return out.select("p_partkey", "raw", F.round("power", 4).alias("power"), "uniform", F.round("normal", 4).alias("normal"))
 
 
 @query("SELECT p_partkey, round(CAST(p_retailprice AS DOUBLE), 3) AS raw, round(CAST(p_retailprice AS DOUBLE), 3) AS power_label, round(CAST(p_retailprice AS DOUBLE), 3) AS uniform_label FROM part")
