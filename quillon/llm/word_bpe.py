@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quillon.llm._common import read, sliced
 from quillon.llm.tokens import definition_of, vocabulary_path
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 PAIRS = 1_000_000
 LONG_PIECE = 64
 #: White space of the vocabulary's pattern (Unicode White_Space); Python's split() would add U+001C to U+001F.
