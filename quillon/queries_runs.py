@@ -37,12 +37,13 @@ def properties(spark, sf_dir):
     return got.select("doc_id", *(F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("length", "symbols")))
 
 
-def _halves(spark, rows, half) -> str:
-    """Rows written as two files, so that a stream of one file a trigger has two micro-batches."""
+def _in_halves(spark, rows, half, start) -> None:
+    """Two micro-batches: a half is written as files of its own tasks and read by start(stream, checkpoint) to its end, then
+    the other one by the same state. A run has one batch, however many files there are."""
     at = shared_path(spark, "stream")
     for k in (0, 1):
-        rows.filter(half == k).coalesce(1).write.mode("append").parquet(at)
-    return at
+        rows.filter(half == k).write.mode("append").parquet(at)
+        start(spark.readStream.schema(rows.schema).parquet(at), f"{at}-state").awaitTermination()
 
 
 @query("""WITH e AS (SELECT md5(event_type || '-' || user_id) AS key, ts, event_id, event_id % 2 AS b FROM events), f AS (SELECT key, min(b) AS b FROM e GROUP BY 1)
@@ -50,10 +51,8 @@ SELECT key, arg_min(event_id, (ts, event_id)) AS event_id, CAST(b AS INTEGER) AS
 def dedupe_store(spark, sf_dir):
     """Two micro-batches; a key of the first is not seen as new in the second."""
     rows = read(spark, sf_dir, "events").select(F.md5(F.concat_ws("-", "event_type", "user_id")).alias("key"), "ts", "event_id")
-    at = _halves(spark, rows, F.col("event_id") % 2)
     to = shared_path(spark, "seen")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(at)
-    streams.dedupe_store(stream, to, f"{at}-state").awaitTermination()
+    _in_halves(spark, rows, F.col("event_id") % 2, lambda stream, state: streams.dedupe_store(stream, to, state))
     return spark.read.option("basePath", to).parquet(to).select("key", "event_id", F.col("batch").cast("int").alias("batch"))
 
 
@@ -62,15 +61,14 @@ def pooled_stream(spark, sf_dir):
     """Documents in two micro-batches, pooled by a model that was fitted on labelled ones and saved."""
     saved, out = shared_path(spark, "pool-model"), shared_path(spark, "pooled")
     pooling.save_pool(pooling.fit_pool(fx.signals(spark, sf_dir)), saved)
-    docs = read(spark, sf_dir, "documents")
-    at = _halves(spark, docs, F.pmod(F.xxhash64("doc_id"), F.lit(2)))
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(at)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
 
     def scores(df):
         blank = F.lit(None).cast("double")
         return fx.scores(spark, sf_dir, df).select("compound_id", "descriptor", "p", blank.alias("rank_q"), blank.alias("ad"))
 
-    streams.pooled_stream(stream, scores, saved, out, f"{at}-state", use_rank=False, use_ad=False).awaitTermination()
+    pooled = lambda stream, state: streams.pooled_stream(stream, scores, saved, out, state, use_rank=False, use_ad=False)
+    _in_halves(spark, docs, F.pmod(F.xxhash64("doc_id"), F.lit(2)), pooled)
     return spark.read.parquet(f"{out}/*").select("compound_id", "clf")
 
 

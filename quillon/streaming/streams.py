@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.functions.shared import kept
 from quillon.functions.text import store_key
 from quillon.operators.pooling import apply_pool, load_pool
 
@@ -70,7 +71,8 @@ def pooled_stream(stream: DataFrame, scores: Callable[[DataFrame], DataFrame], m
     the entities, and a folder a batch is written below `out`. The model is read at each batch, so a new one is picked up."""
 
     def score(df: DataFrame) -> DataFrame:
-        return apply_pool(scores(df), load_pool(df.sparkSession, model), **signals)
+        # the entities are read once
+        return apply_pool(kept(scores(df), "scores"), load_pool(df.sparkSession, model), **signals)
 
     return score_stream(stream, score, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), checkpoint, trigger)
 

@@ -1,9 +1,13 @@
 """Projections, the switch of output modes, hooks and streams over several micro-batches."""
 
+import glob
+import os
+
 import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quillon.catalog import QUERIES
 from quillon.operators import features, projection
 from quillon.streaming import streams
 
@@ -95,6 +99,20 @@ def test_seen_keys_outlive_a_restart(spark, tmp_path):
     assert got["a"] == ("first", 0) and got["b"] == ("b", 0) and set(got) == {"a", "b", "c", "d"}
 
 
+def test_halves_of_a_stream_are_many_files(spark, sf_dir, tmp_path):
+    """No task holds half of a table: each of the two micro-batches has as many files as tasks wrote it."""
+    for table in ("labels", "documents"):
+        rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        rows.repartition(4).write.parquet(f"{tmp_path}/{table}.parquet")
+    top = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(glob.glob(f"{top}/stream-*")) | set(glob.glob(f"{top}/pooled-*"))
+    assert QUERIES["pooled_stream"](spark, str(tmp_path)).count() == 200
+    new = (set(glob.glob(f"{top}/stream-*")) | set(glob.glob(f"{top}/pooled-*"))) - before
+    written = [p for p in new if "/stream-" in p and not p.endswith("-state")]
+    assert len(written) == 1 and len(glob.glob(f"{written[0]}/*.parquet")) == 8
+    assert sorted(os.listdir(next(p for p in new if "/pooled-" in p))) == ["batch=0", "batch=1"]
+
+
 def test_hooks(spark):
     from pyspark.sql.functions import udf, udtf
 
