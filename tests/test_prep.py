@@ -1,3 +1,6 @@
+import random
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +31,25 @@ def test_mapping_keeps_every_row(spark):
     assert got == {0: 0, 1: None, 2: 0, 3: None} and entities.count() == 1
 
 
+def test_ids_are_given_without_writing_texts(spark):
+    texts = [random.Random(i).randbytes(20_000).hex() for i in range(40)]
+    df = spark.createDataFrame([(i, t, "v") for i, t in enumerate(texts)], "orig_idx long, s string, v string")
+    top = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(top.iterdir())
+    mapping, entities = prep.dedupe(prep.normalize(prep.validate(df, lambda c: c != "", "s"), "s", "v", more=["valid"]), ("value",))
+    assert mapping.count() == entities.count() == prep.assign_ids(df, "s").count() == 40
+    assert sum(f.stat().st_size for d in set(top.iterdir()) - before for f in d.iterdir()) < 200_000
+
+
+def test_entities_are_first_rows(spark):
+    rows = [(5, "b", "x"), (2, "b", "y"), (2, "b", "y"), (7, "a", "z"), (None, "c", "w"), (9, None, "q"), (1, "", "u")]
+    df = spark.createDataFrame(rows, "orig_idx long, s string, v string")
+    mapping, entities = prep.dedupe(prep.normalize(prep.validate(df, lambda c: c != "", "s"), "s", "v", more=["valid"]), ("smiles", "value"))
+    got = {r.smiles: (r.value, r.compound_id) for r in entities.collect()}
+    assert {s: v for s, (v, _) in got.items()} == {"b": "y", "a": "z", "c": "w"} and len(mapping.collect()) == len(rows)
+    assert {r.s: r.compound_id for r in prep.assign_ids(df, "s").collect() if r.s} == {s: i for s, (_, i) in got.items()}
+
+
 def test_labels_reconcile_by_median(spark):
     df = values(spark, [("a", 0.0), ("a", 1.0), ("b", 0.0), ("b", 0.0), ("b", 1.0), ("c", None)])
     assert {r.compound_id: r.value for r in prep.reconcile_labels(df).collect()} == {"a": 1.0, "b": 0.0}
