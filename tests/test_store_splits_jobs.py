@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quillon.functions.hot import join_by_key
 from quillon.functions.text import hashed_ngrams
 from quillon.operators import features, scaling, screen, splits, telemetry
+from quillon.plans import jobs
 
 
 def test_batches_are_halved_until_the_bad_row(spark):
@@ -169,3 +170,22 @@ def test_similar_pairs_equal_all_pairs(spark, cutoff):
     sharing = sum(1 for i in reps for j in reps if i < j and sets[i] & sets[j])
     compared = splits.candidate_pairs(classes, 1 - cutoff).count()
     assert len(wanted) <= compared < {0.6: 0.6, 0.3: 0.15, 0.0: 0.02}[cutoff] * sharing
+
+
+def test_predict_computes_a_descriptor_once_a_row(spark):
+    """Score and domain come from one pass over the features: a descriptor function sees each new entity once."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def counted(text):
+        calls.add(1)
+        return [float(len(text)), float(text.count("b"))]
+
+    texts = [("a" * (i % 7 + 1)) + "b" * (i % 5 + i % 2 * 3) + str(i) for i in range(60)]
+    df = spark.createDataFrame([(i, t, float(i % 2)) for i, t in enumerate(texts)], "orig_idx long, s string, v double")
+    s = jobs.Settings(is_valid=lambda c: F.length(c) > 0, min_class=None)
+    d = [jobs.Descriptor("counts", counted)]
+    run = jobs.fit(df, "s", "v", d, s)
+    calls.value = 0
+    out = jobs.predict(df.drop("v"), "s", None, d, run, s).tables["scores"]
+    assert out.count() == 60 and out.filter("ad IS NULL OR p_raw IS NULL").count() == 0 and calls.value == 60
