@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quillon.catalog import QUERIES
-from quillon.operators import features, projection
+from quillon.operators import features, outputs, projection
+from quillon.plans import fixtures
 from quillon.streaming import streams
 
 
@@ -113,6 +114,32 @@ def test_halves_of_a_stream_are_many_files(spark, sf_dir, tmp_path):
     assert sorted(os.listdir(next(p for p in new if "/pooled-" in p))) == ["batch=0", "batch=1"]
 
 
+def test_summary_reads_weights_and_pooled_rows_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        calls.add(1)
+        return v
+
+    pooled = spark.range(20).select(F.col("id").alias("compound_id"), counted(F.col("id") / 20).alias("clf"), (F.col("id") > 9).cast("int").alias("clf_bin"))
+    data = spark.range(20).select(F.col("id").alias("compound_id"), (F.col("id") % 2).cast("int").alias("bin"))
+    weights = spark.range(30).select(F.lit("d").alias("descriptor"), counted(F.col("id") / 30).alias("w")).withColumn("vetoed", F.col("w") < 0.5)
+    got = {(r.section, r.name): r.value for r in outputs.run_summary(data, pooled, weights, ["d"], ["d"], "skill").collect()}
+    assert got[("outside", "d")] == "0.5000" and got[("pooling", "share_active")] == "0.5000" and got[("counts", "entities")] == "20"
+    assert calls.value == 50
+
+
+def test_shared_scores_count_each_text_once(spark, sf_dir):
+    out = fixtures.scores(spark, sf_dir)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "regexp_replace" not in plan
+    texts = {r.doc_id: (r.text or "", r.n_chars) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in out.filter("descriptor = 'digit'").collect():
+        text, n = texts[r.compound_id]
+        assert r.p == (min(1.0, sum("0" <= ch <= "9" for ch in text) / n) if n else 0.0)
+
+
 def test_hooks(spark):
     from pyspark.sql.functions import udf, udtf
 
