@@ -1,3 +1,4 @@
+import math
 import random
 from pathlib import Path
 
@@ -83,6 +84,37 @@ def test_transforms_invert(spark):
     assert all(abs(r.x - r.a) < 1e-6 and abs(r.x - r.b) < 1e-6 for r in out)
 
 
+def test_variants_search_the_knots_once(spark):
+    df = spark.createDataFrame([(x,) for x in (None, float("nan"), -1.0, 0.0, 0.5, 3.0, 4.0, 9.0)], "x double")
+    out = prep.label_variants(df, "x", {"lambda": 1.0, "mean": 0.0, "std": 1.0}, [0.0, 1.0, 4.0])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("filter([") == 1
+    got = [r.uniform for r in out.collect()]
+    assert got[0] is None and got[1:] == [1.0, 0.0, 0.0, 0.25, 0.5 + 1 / 3, 1.0, 1.0]
+
+
+def test_power_counts_values_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(i):
+        calls.add(1)
+        return float(i % 5) / 2
+
+    x = [(i % 5) / 2 for i in range(100)]
+    got = prep.fit_power(spark.range(100).select(counted("id").alias("x")), "x", 41)
+    assert calls.value <= 200  # the filter and the group may each call it
+
+    def fit(lam):
+        t = [math.log1p(v) if abs(lam) < 1e-9 else ((1 + v) ** lam - 1) / lam for v in x]
+        m = sum(t) / len(t)
+        return m, sum((u - m) ** 2 for u in t) / len(t)
+
+    lams = [round(-4 + 8 * i / 40, 6) for i in range(41)]
+    best = max(lams, key=lambda lam: -50 * math.log(fit(lam)[1]) + (lam - 1) * sum(map(math.log1p, x)))
+    mean, var = fit(best)
+    assert got["lambda"] == best and abs(got["mean"] - mean) < 1e-9 and abs(got["std"] - var**0.5) < 1e-9
+
+
 def test_repeats_are_spread(spark):
     df = spark.createDataFrame([(str(i), 5.0 if i < 10 else float(i), float(i)) for i in range(20)], "id string, v double, rank double")
     out = {r.id: r.smoothed for r in prep.smooth_repeats(df, "v", "rank", "id").collect()}
