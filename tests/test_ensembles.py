@@ -1,13 +1,16 @@
 """Logistic fits, power transforms, baggers and isotonic calibration against plain Python."""
 
 import math
+import re
 import statistics
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillon.catalog import QUERIES
 from quillon.operators import bagging, calibrate, logistic
+from quillon.plans import fixtures as fx
 
 BY = ["descriptor"]
 
@@ -158,3 +161,58 @@ def test_calibration_leaves_the_own_fold_out(spark):
     assert all(a[i] == b[i] for i, _, _, f in rows if f == 1) and any(a[i] != b[i] for i, _, _, f in rows if f != 1)
     whole = calibrate.fit_isotonic(spark.createDataFrame(rows, "i int, p_raw double, y int, f int"), [])
     assert whole.agg(F.sum("n")).first()[0] == 120
+
+
+def test_scores_of_odd_texts(spark, sf_dir):
+    """Blanks and digits are those of ASCII, whatever the other characters' length; null counts as empty."""
+    docs = [(1, "a 1 b 22", 8), (2, "\u00e9 \u20ac\u00a0\u0664 7\U0001f600 ", 8), (3, None, 0), (4, None, 5), (5, "", 0), (6, "  9", 1)]
+    got = {(r["compound_id"], r["descriptor"]): r["p"] for r in fx.scores(spark, sf_dir, spark.createDataFrame(docs, "doc_id long, text string, n_chars long")).collect()}
+    share = lambda n, c: min(1.0, n / c) if c else 0.0
+    for i, t, c in docs:
+        assert got[i, "space"] == share((t or "").count(" "), c) and got[i, "digit"] == share(len(re.findall("[0-9]", t or "")), c)
+        assert math.isclose(got[i, "len"], 1 / (1 + math.exp(-(math.log(c + 1) - 7))))
+
+
+@pytest.mark.parametrize("name", ["bag_forest", "bag_weighting", "bag_model", "bag_reg_model", "bag_scaling"])
+def test_bags_read_texts_once(spark, sf_dir, monkeypatch, name):
+    reads = []
+    read = fx.read
+    monkeypatch.setattr(fx, "read", lambda s, d, table: reads.append(table) or read(s, d, table))
+    assert QUERIES[name](spark, sf_dir).count() == read(spark, sf_dir, "documents").count()
+    assert reads.count("documents") == 1
+
+
+def test_labels_meet_no_texts(spark, sf_dir, capsys):
+    """Labels that are too many for a broadcast join counts of texts: no exchange holds a text."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        capsys.readouterr()
+        fx.labelled(spark, sf_dir).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert len(shuffled) >= 2 and not any("text#" in s for s in shuffled)
+
+
+def test_powers_of_a_bag_are_stored(spark):
+    """Applying a bag does not fit its powers again."""
+    bag = bagging.fit_bag(spark.createDataFrame(train_rows(), SCHEMA), "weighting", schemes=[])
+    assert bag.powers.inputFiles() and bag.powers.count() == 3
+
+
+def test_forest_repeats_however_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(bagging, "FOREST_ROWS", 150, raising=False)
+    train = spark.createDataFrame(train_rows(), SCHEMA)
+    names = ["spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n) for n in names]
+    got = []
+    try:
+        for n in (2, 5):
+            for name, value in zip(names, ("false", str(n)), strict=True):
+                spark.conf.set(name, value)
+            got.append(bagging.forest_weights(train.repartition(n + 1, "p")))
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert got[0] == got[1] and max(got[0], key=got[0].get) == "a"
