@@ -1,18 +1,18 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
-Each vector is cut into slices of its dimensions. A slice is a list of partial scores of every candidate for every query; a
-score is the sum over the slices, whose rows lie in different blocks and are worked on apart.
+Each vector is cut into two slices of its dimensions. A slice is a list of partial scores of every candidate for every query;
+a score is the sum over the slices, whose rows lie in different blocks and are worked on apart.
 
 1. Gather: each block of each slice reports its k + 1 best partial scores a query. The candidates best in some slice are
    scored exactly, and the (k + 1)-th best of their different ids is a bound that the answer reaches whichever id is the query's.
-2. The bound divided by the number of slices is the uniform cutoff, which goes out with the queries: a candidate below it
-   in all slices cannot reach the bound. A block reports the entries that reach it. Its rows are sorted by length, and those too
-   short to reach the cutoff (Cauchy-Schwarz) are not multiplied at all.
-3. A candidate's reported scores are added up; one whose upper bound (the cutoff for slices not reported) stays below the
-   bound goes, for the others the missing slices' scores alone are fetched and added. The k best are taken.
+2. Half the bound is the uniform cutoff, which goes out with the queries: a candidate below it in both slices cannot reach the
+   bound. A block reports the entries that reach it. Rows too short to reach the cutoff (Cauchy-Schwarz) are not multiplied at all.
+3. The entries of a pair of blocks visit the other slice's block, where their missing scores alone are fetched and added;
+   those that reach the bound are left (an entry that both slices report is left to the first). The k best are taken.
 
 Cutoffs are safe for scores of any sign. Equal vectors share one row, as query and as candidate, and are expanded only for
-the k + 1 smallest ids, which are all that ties can need. Query blocks are dealt to the blocks of vectors by number.
+the k + 1 smallest ids, which are all that ties can need. Query blocks are dealt to the blocks of vectors by number. All joins
+are shuffled: the copies of query blocks grow with the square of the table, and Spark would estimate and broadcast them as one.
 
 Results for odd input: vectors that are null, empty, or hold null or non-finite values take no part, nor do rows without an
 id; vectors of another length than the query's are not its candidates; rows that repeat an id are candidates each, and rows
@@ -31,6 +31,8 @@ from quillon.llm._common import read, stored
 
 K, SLICES = 5, 2
 ROWS_A_BLOCK, QUERIES_A_BLOCK = 8_192, 512
+#: Times k + 1 candidates of a slice are scored for the bound. The higher the bound, the fewer entries reach the cutoff.
+DEPTH = 4
 #: The bound of a query with so few candidates that all are its answer.
 LOWEST = -(2**60)
 
@@ -47,81 +49,121 @@ def usable(c: Column) -> Column:
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Integer inner products; by floats where these are exact, which is faster."""
-    most = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * q.shape[1]
-    if most < 2**24:
-        return np.rint(q.astype(np.float32) @ v.astype(np.float32).T).astype(np.int64)
-    if most < 2**53:
-        return np.rint(q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
-    return q @ v.T
+    """Integer inner products; as floats where these are exact, which is faster."""
+    most = np.abs(q.astype(float)).max(initial=0) * np.abs(v.astype(float)).max(initial=0) * q.shape[1]
+    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+    return q.astype(kind) @ v.astype(kind).T
+
+
+def _limits(scores: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Integer limits in the scores' type, which need not hold those that no score is near."""
+    most = {4: 2**24, 8: 2**53}[scores.itemsize]
+    return limits if scores.dtype == np.int64 else np.clip(limits, -most, most).astype(scores.dtype)
 
 
 def _cuts(width: int) -> list[int]:
     return np.linspace(0, width, min(SLICES, width) + 1).astype(int).tolist()
 
 
+def _cutoffs(bounds: np.ndarray, width: int) -> np.ndarray:
+    """The least partial score that some slice of a candidate must have to reach the bound."""
+    return -(-bounds // min(SLICES, width))
+
+
 def _pack(key: tuple, table: pa.Table) -> pa.Table:
-    """One row for a block of a slice: ids and parts as bytes, the longest parts first; limits (where present) in that order."""
-    parts = np.array(table.column("part").to_pylist(), "<i8")
-    order = np.argsort(-(parts.astype(float) ** 2).sum(1), kind="stable")
-    out = {"width": key[0], "slice": key[1], "block": key[2]}
+    """One row for a block of a slice, in the order of its keys: keys and bounds as bytes, parts in integers of `size` bytes."""
+    keys, bounds = (table.column(c).to_numpy() for c in ("key", "bound"))
+    parts = table.column("part").combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
+    size = next(n for n in (2, 4, 8) if n == 8 or (parts.min() >= -(2 ** (8 * n - 1)) and parts.max() < 2 ** (8 * n - 1)))
+    order = np.argsort(keys)
     columns = [pa.array([x.as_py()], t) for x, t in zip(key, (pa.int32(), pa.int32(), pa.int64()))]
-    columns += [pa.array([x[order].tobytes()], pa.binary()) for x in (table.column("key").to_numpy().astype("<i8"), parts, table.column("cutoff").to_numpy().astype("<i8"))]
-    return pa.table(columns, [*out, "keys", "parts", "cutoffs"])
+    columns += [pa.array([x[order].astype(t).tobytes()], pa.binary()) for x, t in ((keys, "<i8"), (parts, f"<i{size}"), (bounds, "<i8"))]
+    return pa.table([*columns, pa.array([size], pa.int32())], ["width", "slice", "block", "keys", "parts", "bounds", "size"])
 
 
 def _packed(parts: DataFrame, cells: int) -> DataFrame:
-    """width, slice, block, keys, parts, cutoffs of (width, slice, key, part, cutoff)."""
+    """width, slice, block, keys, parts, bounds, size of (width, slice, key, part, bound)."""
     keyed = parts.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(cells)))
-    return keyed.groupBy("width", "slice", "block").applyInArrow(_pack, "width int, slice int, block long, keys binary, parts binary, cutoffs binary")
+    return keyed.groupBy("width", "slice", "block").applyInArrow(_pack, "width int, slice int, block long, keys binary, parts binary, bounds binary, size int")
 
 
-def _blocks(batches, names: tuple[str, ...]):
-    """slice, query keys, parts and cutoffs, candidate keys and parts of each pair of blocks."""
+def _pairs(batches):
+    """Of each pair of blocks its row, the queries' keys, parts (of the row's slice) and bounds, the candidates' keys and parts."""
     for b in batches:
-        for r in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in names)):
-            q, cutoffs, c = (np.frombuffer(x, "<i8") for x in (r[1], r[3], r[4]))
-            yield r[0], q, np.frombuffer(r[2], "<i8").reshape(len(q), -1), cutoffs, c, np.frombuffer(r[5], "<i8").reshape(len(c), -1)
+        for at in range(b.num_rows):
+            r = b.slice(at, 1).to_pylist()[0]
+            lo, hi = _cuts(r["width"])[r["slice"] :][:2]
+            q = np.frombuffer(r["q_parts"], f"<i{r['q_size']}").reshape(-1, r["width"])[:, lo:hi].astype(np.int64)
+            v = np.frombuffer(r["parts"], f"<i{r['size']}").reshape(-1, hi - lo).astype(np.int64)
+            yield r, np.frombuffer(r["q_keys"], "<i8"), q, np.frombuffer(r["q_bounds"], "<i8"), np.frombuffer(r["keys"], "<i8"), v
 
 
-_PAIRED = ("slice", "q_keys", "q_parts", "q_cutoffs", "keys", "parts")
-
-
-def _entries(number: int, q: np.ndarray, c: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64()), pa.array(np.full(len(q), number), pa.int32()), pa.array(part, pa.int64())], ["query", "class", "slice", "part"])
+def _entries(number: int, q: np.ndarray, c: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64()), pa.array(np.full(len(q), number), pa.int32()), pa.array(score.astype(np.int64))], ["query", "class", "slice", "score"])
 
 
 def _gather(k: int):
     """Phase 1: each query's k + 1 best entries of the block."""
 
     def run(batches):
-        for number, q, q_parts, _, c, parts in _blocks(batches, _PAIRED):
-            score = _scores(q_parts, parts)
-            m = min(k + 1, len(c))
-            best = np.argpartition(-score, m - 1, axis=1)[:, :m]
+        for r, q_keys, q, _, keys, v in _pairs(batches):
+            score = _scores(q, v)
+            m = min(k + 1, len(keys))
+            best = np.argpartition(score, len(keys) - m, axis=1)[:, len(keys) - m :]
             row, col = np.repeat(np.arange(len(q)), m), best.ravel()
-            yield _entries(number, q[row], c[col], score[row, col])
+            yield _entries(r["slice"], q_keys[row], keys[col], score[row, col])
 
     return run
 
 
-def _collect():
-    """Phase 2: the entries of the block that reach their query's cutoff."""
+def _collect(batches):
+    """Phase 2: the entries of the block that reach their query's cutoff, as places (query's times number of keys plus key's)
+    and partial scores, on their way to the other slice. A vector of one slice has no other; its entries stay at home."""
+    for r, _, q, bounds, keys, v in _pairs(batches):
+        cutoff = _cutoffs(bounds, r["width"])
+        length, own = (np.sqrt((x.astype(float) ** 2).sum(1)) for x in (v, q))
+        need = np.where(cutoff > 0, cutoff / np.maximum(own, 1e-9), 0).min()
+        near = np.flatnonzero(length >= need * (1 - 1e-9))  # the rest is too short for any of these queries
+        score = _scores(q, v[near])
+        row, col = np.nonzero(score >= _limits(score, cutoff)[:, None])
+        if len(row):
+            out = {c: r[c] for c in ("width", "block", "q_keys", "q_parts", "q_bounds", "q_size")}
+            out |= {"home": r["slice"], "slice": (r["slice"] + 1) % min(SLICES, r["width"]), "places": (row * len(keys) + near[col]).astype("<i8").tobytes(), "sums": score[row, col].astype("<i8").tobytes()}
+            yield pa.RecordBatch.from_pylist([out], _UNDERWAY)
 
-    def run(batches):
-        for number, q, q_parts, cutoff, c, parts in _blocks(batches, _PAIRED):
-            length = np.sqrt((parts.astype(float) ** 2).sum(1))
-            own = np.sqrt((q_parts.astype(float) ** 2).sum(1))
-            need = np.where(cutoff > 0, cutoff / np.maximum(own, 1e-9), 0).min()
-            n = int(np.searchsorted(-length, -need * (1 - 1e-9), "right"))  # the rest is too short for any of these queries
-            score = _scores(q_parts, parts[:n])
-            row, col = np.nonzero(score >= cutoff[:, None])
-            yield _entries(number, q[row], c[col], score[row, col])
 
-    return run
+_PACKED_ENTRIES = "width int, slice int, block long, home int, q_keys binary, q_parts binary, q_bounds binary, q_size int, places binary, sums binary"
+_UNDERWAY = pa.schema([(name, {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[kind]) for name, kind in map(str.split, _PACKED_ENTRIES.split(", "))])
+
+
+def _visit(batches):
+    """Phase 3: entries that reach the bound once the other slice's score is added."""
+    for r, q_keys, q, bounds, keys, v in _pairs(batches):
+        places, sums = np.frombuffer(r["places"], "<i8"), np.frombuffer(r["sums"], "<i8")
+        cutoff = _cutoffs(bounds, r["width"])
+        for at in range(0, len(places), 1 << 16):
+            row, col = np.divmod(places[at : at + (1 << 16)], len(keys))
+            part = np.einsum("ij,ij->i", q[row], v[col]) * (r["slice"] != r["home"])
+            score = sums[at : at + (1 << 16)] + part
+            keep = (score >= bounds[row]) & ((r["slice"] >= r["home"]) | (part < cutoff[row]))
+            yield _entries(r["home"], q_keys[row[keep]], keys[col[keep]], score[keep])
+
+
+_ENTRY = "query long, class long, slice int, score long"
+
+
+def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by shuffle whatever Spark estimates: stored arrays and blocks are far larger in memory than their files."""
+    return left.join(right.hint("merge"), on, how)
 
 
-_ENTRY = "query long, class long, slice int, part long"
+def _met(q_blocks: DataFrame, v_blocks: DataFrame, cells: int) -> DataFrame:
+    """Every query block with every block of each slice, dealt out by slice and block."""
+    names = {"width": "width", "keys": "q_keys", "parts": "q_parts", "bounds": "q_bounds", "size": "q_size"}
+    slices = F.sequence(F.lit(0), F.least("width", F.lit(SLICES)) - 1)
+    dealt = q_blocks.select(*(F.col(c).alias(to) for c, to in names.items()), F.explode(slices).alias("slice"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
+    return _joined(dealt, v_blocks, ["width", "slice", "block"])
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, scale: int = 256) -> DataFrame:
@@ -134,7 +176,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     members = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1)
     members = members.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("vec_id", "n"))).alias("ids"))
     classes = stored(members.withColumn("class", F.monotonically_increasing_id()), "classes")
-    queries = stored(rows.filter("is_query").select("v", F.col("vec_id").alias("query_id")).join(classes.select("v", "class"), "v").select("class", "query_id"), "queries")
+    queries = stored(_joined(rows.filter("is_query").select("v", F.col("vec_id").alias("query_id")), classes.select("v", "class"), "v"), "queries")
+    asked = stored(queries.select("class", "v").dropDuplicates(["class"]), "asked")
 
     widths = [r.w for r in classes.select(F.size("v").alias("w")).distinct().collect()]  # a row for each length of vector
     if not widths:
@@ -142,48 +185,30 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     cuts = F.create_map(*(x for w in widths for x in (F.lit(w), F.array(*map(F.lit, _cuts(w))))))
     at = F.element_at(cuts, F.size("v"))
     pieces = F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda i: F.struct((i - 1).cast("int").alias("slice"), F.slice("v", F.get(at, i - 1) + 1, F.get(at, i) - F.get(at, i - 1)).alias("part")))
-    parts = stored(classes.select("class", F.size("v").alias("width"), F.inline(pieces)), "parts")
-    v_parts = parts.withColumnRenamed("class", "key").withColumn("cutoff", F.lit(0).cast("long"))
-    n, n_queries = classes.count(), queries.select("class").distinct().count()
-    cells, q_cells = max(1, -(-n // ROWS_A_BLOCK)), max(1, -(-n_queries // QUERIES_A_BLOCK))
-    v_blocks = stored(_packed(v_parts, cells).drop("cutoffs"), "vector-blocks")
-    q_parts = v_parts.join(queries.select(F.col("class").alias("key")).distinct(), "key", "left_semi")
-
-    def met(q: DataFrame) -> DataFrame:
-        """Every query block with every block of its slice, dealt out by slice and block."""
-        packed = stored(_packed(q, q_cells), "query-blocks").select("width", "slice", F.col("block").alias("q_block"), *(F.col(c).alias(f"q_{c}") for c in ("keys", "parts", "cutoffs")))
-        dealt = packed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
-        return dealt.repartition("width", "slice", "block", "q_block").join(v_blocks, ["width", "slice", "block"]).select(*_PAIRED)
+    parts = classes.select(F.col("class").alias("key"), F.size("v").alias("width"), F.lit(LOWEST).alias("bound"), F.inline(pieces))
+    cells, q_cells = (max(1, -(-df.count() // a_block)) for df, a_block in ((classes, ROWS_A_BLOCK), (asked, QUERIES_A_BLOCK)))
+    v_blocks = stored(_packed(parts, cells).drop("bounds"), "vector-blocks")
+    q_whole = asked.select(F.col("class").alias("key"), F.size("v").alias("width"), F.lit(0).alias("slice"), F.col("v").alias("part"))
 
     # phase 1
-    gathered = met(q_parts).mapInArrow(_gather(k), _ENTRY)
-    down = Window.partitionBy("query", "slice").orderBy(F.desc("part"), "class")
-    best = gathered.withColumn("place", F.row_number().over(down)).filter(F.col("place") <= k + 1).select("query", "class").distinct()
-    whole = best.join(classes.select("class", "v", "ids"), "class").join(classes.select(F.col("class").alias("query"), F.col("v").alias("q")), "query")
+    gathered = _met(stored(_packed(q_whole.withColumn("bound", F.lit(LOWEST)), q_cells), "query-blocks"), v_blocks, cells).mapInArrow(_gather(k), _ENTRY)
+    down = Window.partitionBy("query", "slice").orderBy(F.desc("score"), "class")
+    best = gathered.withColumn("place", F.row_number().over(down)).filter(F.col("place") <= DEPTH * (k + 1)).select("query", "class").distinct()
+    whole = _joined(_joined(best, classes.select("class", "v", "ids"), "class"), asked.select(F.col("class").alias("query"), F.col("v").alias("q")), "query")
     score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
     by_id = whole.select("query", score.alias("score"), F.explode("ids.vec_id").alias("vec_id")).groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
-    bounds = stored(by_id.withColumn("place", place).filter(F.col("place") == k + 1).select("query", F.col("score").alias("bound")), "bounds")
-    # phase 2
-    slices = F.array_min(F.array("width", F.lit(SLICES)))
-    limited = q_parts.drop("cutoff").join(bounds.withColumnRenamed("query", "key"), "key", "left").withColumn("bound", F.coalesce("bound", F.lit(LOWEST)))
-    limited = limited.withColumn("slices", slices).withColumn("cutoff", F.expr("IF(bound > 0, bound + slices - 1, bound) div slices"))
-    entries = stored(met(limited.drop("bound", "slices")).mapInArrow(_collect(), _ENTRY), "entries")
-    # phase 3
-    limits = limited.filter("slice = 0").select(F.col("key").alias("query"), "bound", "cutoff", "slices")
-    seen = entries.groupBy("query", "class").agg(F.sum("part").alias("sum"), F.array_sort(F.collect_list("slice")).alias("seen")).join(limits, "query")
-    open_ = F.col("slices") - F.size("seen")
-    likely = stored(seen.filter(F.col("sum") + open_ * (F.col("cutoff") - 1) >= F.col("bound")), "survivors")
-    missing = likely.filter(open_ > 0).select("query", "class", F.explode(F.array_except(F.sequence(F.lit(0), F.col("slices") - 1), "seen")).alias("slice"))
-    a, b = parts.select(F.col("class").alias("query"), "slice", F.col("part").alias("q")), parts.select("class", "slice", F.col("part").alias("v"))
-    fetched = missing.join(b, ["class", "slice"]).join(a, ["query", "slice"]).groupBy("query", "class").agg(F.sum(score).alias("rest"))
-    exact = likely.join(fetched, ["query", "class"], "left").withColumn("score", F.col("sum") + F.coalesce("rest", F.lit(0))).filter(F.col("score") >= F.col("bound"))
+    bounds = stored(by_id.withColumn("place", place).filter(F.col("place") == k + 1).select(F.col("query").alias("key"), F.col("score").alias("bound")), "bounds")
+    # phases 2 and 3
+    limited = _joined(q_whole, bounds, "key", "left").withColumn("bound", F.coalesce("bound", F.lit(LOWEST)))
+    underway = _met(stored(_packed(limited, q_cells), "query-blocks"), v_blocks, cells).mapInArrow(_collect, _PACKED_ENTRIES)
+    exact = stored(_joined(underway, v_blocks, ["width", "slice", "block"]).mapInArrow(_visit, _ENTRY), "survivors")
     # of an id's rows k are enough, and 2 k rows hold k of other ids than any one
-    expanded = exact.join(classes.select("class", "ids"), "class").select("query", "score", F.inline("ids"))
+    expanded = _joined(exact, classes.select("class", "ids"), "class").select("query", "score", F.inline("ids"))
     in_id = F.row_number().over(Window.partitionBy("query", "vec_id").orderBy(F.desc("score")))
     in_all = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     top = expanded.withColumn("place", in_id).filter(F.col("place") <= k).withColumn("place", in_all).filter(F.col("place") <= 2 * k).drop("place")
-    answers = queries.withColumnRenamed("class", "query").join(top, "query").filter("vec_id <> query_id")
+    answers = _joined(queries.select(F.col("class").alias("query"), "query_id"), top, "query").filter("vec_id <> query_id")
     copies = answers.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
     return copies.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

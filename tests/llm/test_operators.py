@@ -216,6 +216,26 @@ def test_top_k_counts_every_row_of_a_repeated_id(spark):
     assert got == [(50, 1, 7, 131072), (50, 2, 7, 65536)]
 
 
+def test_top_k_broadcasts_no_block(spark, monkeypatch):
+    """Many pairs of blocks, among them vectors of one dimension and scores below 0, where Spark lets nothing be broadcast."""
+    monkeypatch.setattr(topk_search, "ROWS_A_BLOCK", 48)
+    monkeypatch.setattr(topk_search, "QUERIES_A_BLOCK", 12)
+    rng = np.random.default_rng(5)
+    vectors = [(i, np.floor(rng.normal(size=8) * 256).astype(int)) for i in range(120)]
+    vectors += [(200 + i, np.floor(rng.normal(size=1) * 256).astype(int)) for i in range(20)] + [(300 + i, np.full(3, (-1) ** i * (i + 1) * 2**17)) for i in range(20)]
+    df = spark.createDataFrame([(i, (v / 256).tolist()) for i, v in vectors], "vec_id long, embedding array<double>")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "64")
+    try:
+        got = sorted(map(tuple, topk_search.top_k(df, F.col("vec_id") % 5 == 0).collect()))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    want = []
+    for q, v in (x for x in vectors if x[0] % 5 == 0):
+        scored = sorted((-int(v @ w), i) for i, w in vectors if i != q and len(w) == len(v))[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert got == sorted(want)
+
+
 # op 5
 
 
